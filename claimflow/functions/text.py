@@ -50,4 +50,4 @@ def safe_double(c: Column) -> Column:
 
 def yyyymmdd_to_date(c: Column) -> Column:
     """8-character ``yyyyMMdd`` text -> DATE, anything else (or a bad calendar date) -> NULL."""
-    return F.try_to_date(F.when(F.length(c) == 8, c), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.when(F.length(c) == 8, c), "yyyyMMdd")
