@@ -25,6 +25,7 @@ from claimflow.operators import quality as Q
 from claimflow.operators import segments as S
 from claimflow.plans.oracle_sql import BASE_CTES, PARSE_CTES, TEXT_CTES, with_ctes
 from claimflow.sources import config as cfg
+from claimflow.session import materialize
 from claimflow.sources.fixtures import render_landing
 from claimflow.sources.star import read_table
 
@@ -55,7 +56,9 @@ class Stages:
 
     @cached_property
     def landing(self) -> DataFrame:
-        return render_landing(self.spark, self.sf_dir)
+        # The rendered files are stored once, like files in a landing folder:
+        # every plan below starts from that stored copy, not from the renderer.
+        return materialize(render_landing(self.spark, self.sf_dir))
 
     @cached_property
     def ingested(self) -> DataFrame:
@@ -77,10 +80,23 @@ class Stages:
     def claims(self) -> DataFrame:
         return C.dedupe_claims(self.parsed["claims"])
 
+    @cached_property
+    def shared_claims(self) -> DataFrame:
+        """Claims checkpointed once, for queries that derive several tables from them.
+
+        All gold tables, silver and gold metrics then read the stored claims:
+        the parse runs once per query instead of once per branch.
+        """
+        return materialize(self.claims)
+
     @cached_property
     def silver(self) -> DataFrame:
         return C.to_silver(self.claims, TS)
 
+    @cached_property
+    def shared_silver(self) -> DataFrame:
+        return C.to_silver(self.shared_claims, TS)
+
     @cached_property
     def errors(self) -> DataFrame:
         return C.errors_table(self.parsed["errors"], TS)

@@ -120,7 +120,7 @@ _GOLD_TABLES = ["claim_header", "claim_service_line", "claim_diagnosis", "claim_
 
 def _gold_all(st: Stages, claims: DataFrame | None = None) -> list[DataFrame]:
     from claimflow.operators import gold as G
-    c = st.claims if claims is None else claims
+    c = st.shared_claims if claims is None else claims
     return [G.NORMALIZERS[t](c, RUN_ID, TS) for t in _GOLD_TABLES]
 
 
@@ -178,8 +178,8 @@ FROM sil s LEFT JOIN gold g ON g.file_path = s.file_path"""
 def _recon(st: Stages) -> DataFrame:
     # Gold lags silver: it was built by the earlier run, from files modified before the cutoff.
     ts_ok = st.bronze.filter(F.col("modification_time") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp")).select("file_hash")
-    earlier = st.claims.join(ts_ok, "file_hash", "left_semi")
-    sm = A.silver_metrics(st.silver)
+    earlier = st.shared_claims.join(ts_ok, "file_hash", "left_semi")
+    sm = A.silver_metrics(st.shared_silver)
     gm = A.gold_metrics(*_gold_all(st, earlier))
     return A.reconcile_files(sm, gm, ts=TS)
 
@@ -224,9 +224,8 @@ FROM all_claims GROUP BY vendor_id, file_path, st_control, transaction_version""
 def recon_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OPS5: per (file, ST, version) parsed vs gold headers, amounts, and whether gold has lines."""
     st = Stages(spark, sf_dir)
-    h = _gold_all(st)[0]
-    ln = _gold_all(st)[1]
-    r = A.reconcile_transactions(st.silver, h, ln, TS)
+    gold = _gold_all(st)
+    r = A.reconcile_transactions(st.shared_silver, gold[0], gold[1], TS)
     return _paths(r, st.bronze).select(
         "vendor_id", "file_path", "st_control", "transaction_version", "expected_claims", "parsed_claims",
         "gold_headers", "gold_lines", "parsed_claim_amt", "header_claim_amt", "header_match", "lines_match",

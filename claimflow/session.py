@@ -36,14 +36,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset.
+    """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is left alone; only a
-    local test session without it gets a fresh scratch folder.
+    On a cluster that setting names a shared folder and is used as is. Only a
+    local-mode session without it (tests, the bench) gets a fresh scratch
+    folder; a cluster session without it is an error, because a
+    machine-local folder would not survive the loss of an executor.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    if current:
+        return current
+    current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder to run claimflow jobs on a cluster")
         current = tempfile.mkdtemp(prefix="claimflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Reliable checkpoint of ``df`` (cuts the lineage; survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
