@@ -33,7 +33,14 @@ PIPELINE = cfg.PIPELINE_NAME
 
 
 class TableStore:
-    """Versioned parquet tables under ``root`` (``<root>/<name>/v<epoch_ms>/``)."""
+    """Versioned parquet tables under ``root``.
+
+    ``<root>/<name>/v<n>/`` is a full version (a rewrite), ``d<n>/`` an
+    appended delta. A reader takes the newest committed full version plus the
+    committed deltas after it. Versions are numbered from the clock, and only
+    directories with Spark's ``_SUCCESS`` marker count, so a killed job is
+    simply invisible.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -54,35 +61,72 @@ class TableStore:
         out = []
         for st in fs.listStatus(p):
             n = st.getPath().getName()
-            if st.isDirectory() and n.startswith("v") and fs.exists(self._Path(f"{base}/{n}/_SUCCESS")):
+            if st.isDirectory() and n[:1] in ("v", "d") and n[1:].isdigit() \
+                    and fs.exists(self._Path(f"{base}/{n}/_SUCCESS")):
                 out.append(n)
         return sorted(out, key=lambda v: int(v[1:]))
 
+    def _live(self, name: str) -> list[str]:
+        vs = self._versions(name)
+        fulls = [i for i, v in enumerate(vs) if v[0] == "v"]
+        start = fulls[-1] if fulls else 0
+        return vs[start:]
+
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
 
     def read(self, name: str, schema: str | None = None) -> DataFrame:
-        vs = self._versions(name)
-        if not vs:
+        live = self._live(name)
+        if not live:
             if schema is None:
                 raise FileNotFoundError(name)
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(f"{self.root}/{name}/{vs[-1]}")
+        return self.spark.read.parquet(*[f"{self.root}/{name}/{v}" for v in live])
 
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+    def _next(self, name: str) -> int:
         last = self._versions(name)
-        v = max(int(time.time() * 1000), int(last[-1][1:]) + 1 if last else 0)
-        path = f"{self.root}/{name}/v{v}"
+        return max(int(time.time() * 1000), int(last[-1][1:]) + 1 if last else 0)
+
+    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Replace the table with ``df`` (a new full version)."""
+        return self._save(f"{self.root}/{name}/v{self._next(name)}", df, partition_by)
+
+    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Add ``df`` as a delta version (existing files are never touched)."""
+        return self._save(f"{self.root}/{name}/d{self._next(name)}", df, partition_by)
+
+    @staticmethod
+    def _save(path: str, df: DataFrame, partition_by: list[str] | None) -> str:
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         return path
 
-    def drop_old_versions(self, name: str, keep: int = 2) -> None:
-        for v in self._versions(name)[:-keep]:
-            p = f"{self.root}/{name}/{v}"
-            self._fs(p).delete(self._Path(p), True)
+    def insert_new(self, name: str, source: DataFrame, keys: list[str], schema: str | None = None) -> None:
+        """Insert-only merge as an append: the source rows whose keys are not in the table yet.
+
+        Keys match null-safely; the source is reduced to one row per key first.
+        """
+        if not self.exists(name):
+            self.write(name, M.dedupe_source(source, keys))
+            return
+        target = self.read(name, schema)
+        src = M.dedupe_source(source, keys)
+        tk = target.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+        cond = None
+        for k in keys:
+            c = src[k].eqNullSafe(tk[f"__k_{k}"])
+            cond = c if cond is None else cond & c
+        self.append(name, src.join(tk, cond, "left_anti").select(*target.columns))
+
+    def drop_old_versions(self, name: str) -> None:
+        """Delete versions older than the live ones (after readers have moved on)."""
+        live = set(self._live(name))
+        for v in self._versions(name):
+            if v not in live:
+                p = f"{self.root}/{name}/{v}"
+                self._fs(p).delete(self._Path(p), True)
 
 
 @dataclass
@@ -123,11 +167,8 @@ def bronze_step(ctx: RunContext, landing: DataFrame) -> None:
     """Landing rows -> bronze_837_raw (insert-only on file_hash) + bronze_837_quarantine (append)."""
     ing = B.ingest(landing, ctx.run_id, ctx.ts).persist()
     good, bad = B.split_rejects(ing)
-    target = ctx.store.read("bronze_837_raw", BRONZE_SCHEMA)
-    merged = M.insert_only(target, B.dedupe_by_hash(good), ["file_hash"])
-    ctx.store.write("bronze_837_raw", merged)
-    rej = ctx.store.read("bronze_837_quarantine", REJECT_SCHEMA).unionByName(bad)
-    ctx.store.write("bronze_837_quarantine", rej)
+    ctx.store.insert_new("bronze_837_raw", B.dedupe_by_hash(good), ["file_hash"], BRONZE_SCHEMA)
+    ctx.store.append("bronze_837_quarantine", bad)
     ing.unpersist()
 
 
@@ -139,11 +180,15 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     todo = B.unprocessed(bronze, claims_t, errors_t, reprocess)
     res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA))
     claims = C.to_silver(C.dedupe_claims(res["claims"]), ctx.ts)
-    upd = [c for c in C.SILVER_COLUMNS if c not in ("file_hash", "st_control", "claim_id")]
-    ctx.store.write("silver_837_claim", M.merge_frames(claims_t, claims, ["file_hash", "st_control", "claim_id"], update=upd))
+    keys = ["file_hash", "st_control", "claim_id"]
+    if reprocess is None:
+        # Only files without claims or errors were parsed, so no key can match: an append.
+        ctx.store.insert_new("silver_837_claim", claims, keys, SILVER_SCHEMA)
+    else:
+        upd = [c for c in C.SILVER_COLUMNS if c not in keys]
+        ctx.store.write("silver_837_claim", M.merge_frames(claims_t, claims, keys, update=upd))
     errs = C.errors_table(res["errors"], ctx.ts)
-    ctx.store.write("silver_837_parse_error",
-                    M.insert_only(errors_t, errs, ["file_hash", "error_stage", "error_message"]))
+    ctx.store.insert_new("silver_837_parse_error", errs, ["file_hash", "error_stage", "error_message"], ERROR_SCHEMA)
     q_t = ctx.store.read("quarantine_files", QUARANTINE_SCHEMA)
     q = C.quarantine_rows(errs, ctx.run_id, ctx.ts)
     ctx.store.write("quarantine_files", M.merge_frames(
@@ -160,9 +205,7 @@ def standardize_step(ctx: RunContext) -> None:
 def _gold_step(ctx: RunContext, table: str) -> None:
     silver = ctx.vendor_filter(ctx.store.read("silver_837_claim", SILVER_SCHEMA))
     new = G.NORMALIZERS[table](silver, ctx.run_id, ctx.ts)
-    if ctx.store.exists(table):
-        new = M.insert_only(ctx.store.read(table), new, G.GOLD_KEYS[table])
-    ctx.store.write(table, new)
+    ctx.store.insert_new(table, new, G.GOLD_KEYS[table])
 
 
 def gold_header_step(ctx: RunContext) -> None:
@@ -214,9 +257,7 @@ def ops_step(ctx: RunContext) -> None:
                 "GOLD_SERVICE_LINE": gold["claim_service_line"], "GOLD_DIAGNOSIS": gold["claim_diagnosis"],
                 "GOLD_PROVIDER": gold["claim_provider"]}
     dq = Q.run_dq_rules(entities, st.read("dq_rules_837", cfg.DQ_RULES_SCHEMA), PIPELINE, ctx.run_id, ctx.ts)
-    dq_t = st.read("dq_results") if st.exists("dq_results") else None
-    st.write("dq_results", dq if dq_t is None else M.insert_only(
-        dq_t, dq, ["pipeline_name", "run_id", "rule_id", "file_hash", "vendor_id"]))
+    st.insert_new("dq_results", dq, ["pipeline_name", "run_id", "rule_id", "file_hash", "vendor_id"])
     status = A.run_status(st.read("file_audit"), touched=recon.select("file_hash"), end_ts=ctx.ts)
     st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, status.drop("failed_files")))
 

@@ -21,7 +21,7 @@ from claimflow.sources.star import read_table
 # They overlap in 1996, so merges see matched, target-only and source-only keys.
 _SNAP_T = "o_orderdate < TIMESTAMP '1997-01-01 00:00:00'"
 _SNAP_S = "o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'"
-_SRC_PRICE = "CAST(CAST(o_totalprice * 1.1 AS DECIMAL(18,2)) AS DOUBLE)"
+_SRC_PRICE = "o_totalprice + 100.0"
 _SRC_STATUS = "CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END"
 _SNAP_SQL = f"""
 WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, NULLIF(o_orderpriority, '5-LOW') AS prio
