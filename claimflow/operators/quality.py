@@ -238,3 +238,27 @@ def version_check(claims: DataFrame, registry: DataFrame) -> DataFrame:
     r = registry.select(F.col("vendor_id").alias("_rv"), "expected_version")
     j = t.join(r, t.vendor_id == r._rv, "left").drop("_rv")
     return j.filter(~F.coalesce(F.col("transaction_version") == F.col("expected_version"), F.lit(False)))
+
+
+# ---------------------------------------------------------------- partner extracts
+def partner_manifest(extract: DataFrame, key: str = "claim_key", amount: str = "claim_amount") -> DataFrame:
+    """Manifest per partner: row count, decimal total, first / last key.
+
+    Built from mergeable aggregates only, so a partner holding most of the
+    rows is pre-aggregated map-side and never gathered into one task.
+    """
+    return extract.groupBy("vendor_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.coalesce(F.sum(F.coalesce(F.col(amount), F.lit(0)).cast("decimal(18,2)")), F.lit(0).cast("decimal(18,2)"))
+        .cast("double").alias("total_amount"),
+        F.min(key).alias("first_claim_key"),
+        F.max(key).alias("last_claim_key"),
+    )
+
+
+def write_partner_extract(extract: DataFrame, path: str, order_by: list[str] | None = None) -> None:
+    """Write the extract one folder per partner, rows sorted inside each file."""
+    df = extract.repartition("vendor_id")
+    if order_by:
+        df = df.sortWithinPartitions(*order_by)
+    df.write.mode("overwrite").partitionBy("vendor_id").parquet(path)

@@ -243,3 +243,7 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = Stages(spark, sf_dir)
     rec = _recon(st)
     return A.run_status(rec, touched=rec.select("file_hash"), end_ts=TS).select("status", "notes", "failed_files")
+
+
+# The configuration / quality / orchestration family registers itself on import.
+from claimflow.plans import queries_config as _cfg  # noqa: E402,F401
