@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark import StorageLevel
 
 from claimflow.functions.text import delimiter_regex, el, safe_double
 from claimflow.operators import segments as S
@@ -287,15 +288,23 @@ def file_parties(seg: DataFrame) -> DataFrame:
     )
 
 
-def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: int | None = None) -> dict[str, DataFrame]:
+def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: int | None = None,
+          persist: bool = False) -> dict[str, DataFrame]:
     """Bronze rows -> ``{"claims", "errors", "segments", "transactions", "parties", "files"}``.
 
     ``claims`` is one row per claim with typed nested columns (use
     :func:`to_silver` for the JSON table shape); ``errors`` one row per
     (file, stage, message).
+
+    The segment table feeds three aggregations (claims, spans, parties) and
+    the errors; with ``persist=True`` it is computed once and kept
+    (memory, spilling to local disk; lost blocks are recomputed from the
+    input) — the caller unpersists ``result["segments"]`` when done.
     """
     gated = S.resolve_delimiters(files, profiles)
     seg = S.segment_table(gated, num_partitions)
+    if persist:
+        seg = seg.persist(StorageLevel.MEMORY_AND_DISK)
     txn = S.transactions(seg)
     parties = file_parties(seg)
     blocks = claim_rows(seg)

@@ -178,7 +178,7 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     claims_t = ctx.store.read("silver_837_claim", SILVER_SCHEMA)
     errors_t = ctx.store.read("silver_837_parse_error", ERROR_SCHEMA)
     todo = B.unprocessed(bronze, claims_t, errors_t, reprocess)
-    res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA))
+    res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA), persist=True)
     claims = C.to_silver(C.dedupe_claims(res["claims"]), ctx.ts)
     keys = ["file_hash", "st_control", "claim_id"]
     if reprocess is None:
@@ -193,6 +193,7 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     q = C.quarantine_rows(errs, ctx.run_id, ctx.ts)
     ctx.store.write("quarantine_files", M.merge_frames(
         q_t, q, ["vendor_id", "file_hash", "stage", "rule_id"], update=["file_path", "run_id", "reason", "created_ts"]))
+    res["segments"].unpersist()
 
 
 def standardize_step(ctx: RunContext) -> None:
@@ -203,7 +204,15 @@ def standardize_step(ctx: RunContext) -> None:
 
 
 def _gold_step(ctx: RunContext, table: str) -> None:
+    """Normalize only silver files the gold table has not seen, then insert-only merge on its keys.
+
+    The file-level anti join keeps a re-run from re-normalizing the whole
+    silver table; the key-level merge keeps the table idempotent.
+    """
     silver = ctx.vendor_filter(ctx.store.read("silver_837_claim", SILVER_SCHEMA))
+    if ctx.store.exists(table):
+        seen = ctx.store.read(table).select("file_hash").distinct()
+        silver = silver.join(seen, "file_hash", "left_anti")
     new = G.NORMALIZERS[table](silver, ctx.run_id, ctx.ts)
     ctx.store.insert_new(table, new, G.GOLD_KEYS[table])
 
