@@ -144,11 +144,12 @@ def claim_rows(seg: DataFrame) -> DataFrame:
     is_dtp = (tag == "DTP") & (F.size(e) >= 4)
     is_nm1 = tag == "NM1"
     comp_d = F.col("component_delim")
-    comp_re = delimiter_regex(comp_d)
+    comp_re = F.col("comp_re")
     is_sv = tag.isin("SV1", "SV2")
     # step 1: split composites once per row (kept as columns, not repeated inside CASE branches)
     pre = seg.filter(F.col("in_claim")).select(
-        "file_hash", "k", "g", "pos", "clm_flag", "segment_delim", "component_delim", "blk_off", "el", "tag", "lx", "text",
+        "file_hash", "k", "g", "pos", "clm_flag", "segment_delim", "component_delim", "comp_re", "blk_off", "el", "tag",
+        "lx", "text",
         F.when(is_sv & _truthy(el(e, 1)), F.split(el(e, 1), comp_re, -1)).alias("_c1"),
         F.when((tag == "SV2") & _truthy(el(e, 2)), F.split(el(e, 2), comp_re, -1)).alias("_c2"),
         ((tag == "SV2") & F.coalesce(F.instr(el(e, 1), comp_d) > 0, F.lit(False))).alias("_sv2ref"),
@@ -156,7 +157,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
     )
     # step 2: row values
     rows = pre.select(
-        "file_hash", "k", "g", "pos", "clm_flag", "segment_delim", "component_delim", "blk_off",
+        "file_hash", "k", "g", "pos", "clm_flag", "segment_delim", "comp_re", "blk_off",
         F.when(F.col("clm_flag"), e).alias("_clm_el"),
         F.when(is_dtp & (el(e, 1) == "434"), el(e, 3)).alias("_d434"),
         F.when(is_dtp & (el(e, 1) == "472"), el(e, 3)).alias("_d472"),
@@ -177,7 +178,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
     aggs = [
         F.first("g").alias("g"),
         F.first("segment_delim").alias("_seg_d"),
-        F.first("component_delim").alias("_comp_d"),
+        F.first("comp_re").alias("_comp_re"),
         F.min_by(F.col("_clm_el"), F.when(F.col("clm_flag"), pos)).alias("clm"),
         F.min_by(F.col("_d434"), F.when(F.col("_d434").isNotNull(), pos)).alias("from_434"),
         F.min("_d472").alias("min_472"),
@@ -203,7 +204,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
         "file_hash", "g", "k", "n_block_segments",
         el(clm, 1).alias("claim_id"),
         safe_double(el(clm, 2)).alias("claim_amount"),
-        F.when(_truthy(pos_el), el(_components(pos_el, delimiter_regex(F.col("_comp_d"))), 0)).alias("place_of_service"),
+        F.when(_truthy(pos_el), el(_components(pos_el, F.col("_comp_re")), 0)).alias("place_of_service"),
         F.when(F.col("has_472"), F.when(_truthy(from_434), from_434).otherwise(F.col("min_472"))).otherwise(from_434).alias("claim_from_dt"),
         F.when(F.col("has_472"), F.col("max_472")).alias("claim_to_dt"),
         _sorted_values(F.col("_lines")).alias("service_lines"),
@@ -288,13 +289,71 @@ def file_parties(seg: DataFrame) -> DataFrame:
     )
 
 
+def preceding_parties(seg: DataFrame) -> DataFrame:
+    """Per claim: billing provider, subscriber and patient as they stood at the claim's CLM segment.
+
+    The same overlay rules as the file scope (last segment wins per group,
+    NULLs included), but only segments before the CLM count: running
+    ``last(..., ignorenulls)`` windows over the segment order, read at the
+    CLM row. Keyed by ``(file_hash, k)``.
+    """
+    w = Window.partitionBy("file_hash").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tag, e, kind, marker = F.col("tag"), F.col("el"), F.col("party_kind"), F.col("marker")
+
+    def last(cond: Column, value: Column) -> Column:
+        return F.last(F.when(cond, value), True).over(w)
+
+    cols = {
+        "_bill": last(marker == "85", F.struct(F.col("pos").alias("at"), nm1_info(e).alias("v"))),
+        "_bill_n3": last((tag == "N3") & (kind == "85"), F.struct(F.col("party_pos").alias("at"), el(e, 1).alias("v"))),
+        "_bill_n4": last((tag == "N4") & (kind == "85"), F.struct(F.col("party_pos").alias("at"), el(e, 1).alias("city"),
+                                                                   el(e, 2).alias("state"), el(e, 3).alias("zip"))),
+    }
+    for p, name in (("IL", "sub"), ("QC", "pat")):
+        cols[f"_{name}_nm1"] = last(marker == p, F.struct(_id_or_last(e).alias("member_id"), el(e, 3).alias("last_name"),
+                                                          el(e, 4).alias("first_name")))
+        cols[f"_{name}_dmg"] = last((tag == "DMG") & (kind == p), F.struct(el(e, 2).alias("dob"), el(e, 3).alias("gender")))
+        cols[f"_{name}_n3"] = last((tag == "N3") & (kind == p), F.struct(el(e, 1).alias("v")))
+        cols[f"_{name}_n4"] = last((tag == "N4") & (kind == p), F.struct(el(e, 1).alias("city"), el(e, 2).alias("state"),
+                                                                         el(e, 3).alias("zip")))
+    at_clm = seg.select("file_hash", "k", "clm_flag", *[v.alias(n) for n, v in cols.items()]).filter(F.col("clm_flag"))
+
+    def party(name: str) -> Column:
+        return F.struct(
+            F.col(f"_{name}_nm1.member_id").alias("member_id"), F.col(f"_{name}_nm1.first_name").alias("first_name"),
+            F.col(f"_{name}_nm1.last_name").alias("last_name"), F.col(f"_{name}_dmg.dob").alias("dob"),
+            F.col(f"_{name}_dmg.gender").alias("gender"), F.col(f"_{name}_n3.v").alias("addr1"),
+            F.col(f"_{name}_n4.city").alias("city"), F.col(f"_{name}_n4.state").alias("state"),
+            F.col(f"_{name}_n4.zip").alias("zip"),
+        )
+
+    same = lambda c: F.col(f"{c}.at") == F.col("_bill.at")  # noqa: E731 - address of the current billing NM1 only
+    billing = F.when(F.col("_bill").isNotNull(), F.col("_bill.v")
+                     .withField("addr1", F.when(same("_bill_n3"), F.col("_bill_n3.v")))
+                     .withField("city", F.when(same("_bill_n4"), F.col("_bill_n4.city")))
+                     .withField("state", F.when(same("_bill_n4"), F.col("_bill_n4.state")))
+                     .withField("zip", F.when(same("_bill_n4"), F.col("_bill_n4.zip"))))
+    subscriber = F.when(F.col("_sub_nm1").isNotNull(), party("sub"))
+    pat_member = F.col("_pat_nm1.member_id")
+    sub_id = F.col("_sub_nm1.member_id")
+    return at_clm.select(
+        "file_hash", "k",
+        billing.alias("billing_provider"), F.col("_bill.v.npi").alias("billing_npi"),
+        subscriber.alias("subscriber"),
+        F.when(F.col("_pat_nm1").isNotNull(), party("pat")).otherwise(subscriber).alias("patient"),
+        sub_id.alias("subscriber_id"),
+        F.when(_truthy(pat_member), pat_member).otherwise(sub_id).alias("patient_id"),
+    )
+
+
 def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: int | None = None,
-          persist: bool = False) -> dict[str, DataFrame]:
+          persist: bool = False, party_scope: str = "file") -> dict[str, DataFrame]:
     """Bronze rows -> ``{"claims", "errors", "segments", "transactions", "parties", "files"}``.
 
     ``claims`` is one row per claim with typed nested columns (use
     :func:`to_silver` for the JSON table shape); ``errors`` one row per
-    (file, stage, message).
+    (file, stage, message). ``party_scope="preceding"`` gives each claim the
+    parties in force at its CLM segment instead of the file's last ones.
 
     The segment table feeds three aggregations (claims, spans, parties) and
     the errors; with ``persist=True`` it is computed once and kept
@@ -312,9 +371,15 @@ def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: i
     meta = gated.select("file_hash", "vendor_id", "file_path", "run_id")
     claims = (
         blocks.join(txn.select("file_hash", "g", "st_control", "transaction_version"), ["file_hash", "g"], "inner")
-        .join(parties, "file_hash", "inner")
         .join(meta, "file_hash", "inner")
     )
+    if party_scope == "file":
+        claims = claims.join(parties, "file_hash", "inner")
+    elif party_scope == "preceding":
+        claims = claims.join(parties.select("file_hash", "isa_control", "gs_control"), "file_hash", "inner") \
+            .join(preceding_parties(seg), ["file_hash", "k"], "inner")
+    else:
+        raise ValueError(f"party_scope must be 'file' or 'preceding', not {party_scope!r}")
     claims = claims.withColumn(
         "providers",
         F.when(

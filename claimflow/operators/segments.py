@@ -118,70 +118,80 @@ def resolve_delimiters(files: DataFrame, profiles: DataFrame | None = None) -> D
 def explode_segments(files: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Files (with delimiters, ``gate_error`` NULL) -> one row per non-empty segment.
 
-    Columns: ``file_hash, segment_delim, component_delim, pos, text, el, tag``.
+    Columns: ``file_hash, segment_delim, component_delim, comp_re, pos, text, el, tag``.
     ``tag`` is ``el[0]`` only when the segment has an element after it (a
     segment *is* ``ID`` only when it starts with ``ID`` + element delimiter).
+    The delimiter regexes are built once per file, before the explode.
     """
     f = files.filter(F.col("gate_error").isNull()).select(
-        "file_hash", "content_str", "segment_delim", "element_delim", "component_delim"
+        "file_hash", "content_str", "segment_delim", "component_delim",
+        delimiter_regex(F.col("segment_delim")).alias("seg_re"),
+        delimiter_regex(F.col("element_delim")).alias("el_re"),
+        delimiter_regex(F.col("component_delim")).alias("comp_re"),
     )
     f = f.repartition(num_partitions, "file_hash") if num_partitions else f.repartition("file_hash")
     pieces = f.select(
-        "file_hash",
-        "segment_delim",
-        "element_delim",
-        "component_delim",
-        F.posexplode(F.split(F.col("content_str"), delimiter_regex(F.col("segment_delim")), -1)).alias("pos", "raw"),
+        "file_hash", "segment_delim", "component_delim", "comp_re", "el_re",
+        F.posexplode(F.split(F.col("content_str"), F.col("seg_re"), -1)).alias("pos", "raw"),
     )
     segs = pieces.select(
-        "file_hash", "segment_delim", "element_delim", "component_delim", "pos", py_strip(F.col("raw")).alias("text")
+        "file_hash", "segment_delim", "component_delim", "comp_re", "el_re", "pos", py_strip(F.col("raw")).alias("text")
     ).filter(F.col("text") != "")
-    segs = segs.withColumn("el", F.split(F.col("text"), delimiter_regex(F.col("element_delim")), -1))
-    return segs.withColumn("tag", F.when(F.size("el") > 1, el("el", 0))).drop("element_delim")
+    segs = segs.withColumn("el", F.split(F.col("text"), F.col("el_re"), -1)).drop("el_re")
+    return segs.withColumn("tag", F.when(F.size("el") > 1, el("el", 0)))
 
 
 def annotate(segs: DataFrame) -> DataFrame:
-    """Add the scan state (``g, in_txn, k, in_claim, lx, party_*, blk_off``) with running windows."""
+    """Add the scan state (``g, in_txn, k, in_claim, lx, party_*, blk_off``) with running windows.
+
+    Two window operators over the same ``(file_hash ORDER BY pos)`` sort:
+    the first carries what depends only on the segment itself (SE count,
+    last ST*837 / SE / LX / party marker, running text length), the second
+    what depends on the transaction state (claim ordinal, last claim start).
+    A row is inside a transaction when the last ST*837 at or before it comes
+    after the last SE strictly before it; inside a claim when, in addition,
+    the last in-transaction CLM does.
+    """
     w = Window.partitionBy("file_hash").orderBy("pos")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("file_hash")
 
     tag = F.col("tag")
+    pos = F.col("pos")
     is_se = (tag == "SE").cast("int")
-    is_st837 = (tag == "ST") & (el("el", 1) == "837")
+    is_st837 = F.coalesce((tag == "ST") & (el("el", 1) == "837"), F.lit(False))
     marker = F.when((tag == "NM1") & (F.size("el") > 2) & el("el", 1).isin("85", "IL", "QC"), el("el", 1))
     seg_len = F.length("text") + F.length("segment_delim")
 
-    s = (
-        segs.withColumn("is_st837", F.coalesce(is_st837, F.lit(False)))
-        .withColumn("marker", marker)
-        .withColumn("g", F.sum(is_se).over(run) - is_se)
-        .withColumn("_party", F.last(F.when(F.col("marker").isNotNull(), F.struct(F.col("marker").alias("kind"), F.col("pos").alias("at"))), True).over(run))
-        .withColumn("last85_pos", F.max(F.when(F.col("marker") == "85", F.col("pos"))).over(whole))
+    s = segs.withColumn("is_st837", is_st837).withColumn("marker", marker).select(
+        "*",
+        (F.sum(is_se).over(run) - is_se).alias("g"),
+        F.max(F.when(F.col("is_st837"), pos)).over(run).alias("_last_st"),
+        F.max(F.when(tag == "SE", pos)).over(before).alias("_last_se"),
+        F.sum(seg_len).over(run).alias("_cum"),
+        F.last(F.when(tag == "LX", F.struct(pos.alias("at"), el("el", 1).alias("v"))), True).over(run).alias("_lx"),
+        F.last(F.when(F.col("marker").isNotNull(), F.struct(F.col("marker").alias("kind"), pos.alias("at"))), True)
+        .over(run).alias("_party"),
+        F.max(F.when(F.col("marker") == "85", pos)).over(whole).alias("last85_pos"),
     )
-    s = s.withColumn("in_txn", F.coalesce(F.max(F.when(F.col("is_st837"), F.col("g"))).over(run) == F.col("g"), F.lit(False)))
+    after_se = F.coalesce(F.col("_last_se"), F.lit(-1))
+    s = s.withColumn("in_txn", F.coalesce(F.col("_last_st") > after_se, F.lit(False)))
     s = s.withColumn("clm_flag", F.coalesce(tag == "CLM", F.lit(False)) & F.col("in_txn"))
-    s = (
-        s.withColumn("k", F.sum(F.col("clm_flag").cast("int")).over(run))
-        .withColumn(
-            "in_claim",
-            F.col("in_txn") & F.coalesce(F.max(F.when(F.col("clm_flag"), F.col("g"))).over(run) == F.col("g"), F.lit(False)),
-        )
-    )
-    s = (
-        s.withColumn(
-            "_lx",
-            F.last(F.when((tag == "LX") & F.col("in_claim"), F.struct(F.col("k").alias("lk"), el("el", 1).alias("v"))), True).over(run),
-        )
-        .withColumn("_cum", F.sum(F.when(F.col("in_claim"), seg_len)).over(run))
+    s = s.select(
+        "*",
+        F.sum(F.col("clm_flag").cast("int")).over(run).alias("k"),
+        F.max(F.when(F.col("clm_flag"), pos)).over(run).alias("_last_clm"),
+        F.last(F.when(F.col("clm_flag"), F.col("_cum") - seg_len), True).over(run).alias("_start"),
     )
-    s = s.withColumn("_start", F.last(F.when(F.col("clm_flag"), F.col("_cum") - seg_len), True).over(run))
+    in_claim = F.col("in_txn") & F.coalesce(F.col("_last_clm") > after_se, F.lit(False))
     return (
-        s.withColumn("lx", F.when(F.col("_lx.lk") == F.col("k"), F.col("_lx.v")))
+        s.withColumn("in_claim", in_claim)
+        .withColumn("lx", F.when(F.col("_lx.at") > F.col("_last_clm"), F.col("_lx.v")))
         .withColumn("blk_off", F.when(F.col("in_claim"), F.col("_cum") - seg_len - F.col("_start")))
         .withColumn("party_kind", F.col("_party.kind"))
         .withColumn("party_pos", F.col("_party.at"))
-        .drop("_lx", "_cum", "_start", "_party")
+        .drop("_lx", "_cum", "_start", "_party", "_last_st", "_last_se", "_last_clm")
     )
 
 

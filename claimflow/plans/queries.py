@@ -412,6 +412,16 @@ QUERIES["subscribers"].__doc__ = "X9/G5: file-level subscriber (last NM1*IL over
 QUERIES["patients"].__doc__ = "X9/G6: patient (NM1*QC overlay, else the subscriber) per claim."
 
 
+@register("party_scope_preceding", with_ctes(BASE_CTES, TEXT_CTES, PARSE_CTES) + _PARTY_SQL.format(**_PAT))
+def party_scope_preceding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 option: parties in force at each CLM (``party_scope="preceding"``) -> gold patients."""
+    st = Stages(spark, sf_dir)
+    pre = C.dedupe_claims(C.parse(st.bronze, cfg.vendor_profiles(spark), party_scope="preceding")["claims"])
+    p = G.claim_patient(pre, RUN_ID, TS)
+    return p.select("file_path", "claim_id", "member_id", "first_name", "last_name", _d("dob"), "gender",
+                    "addr1", "city", "state", "zip")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

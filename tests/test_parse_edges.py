@@ -193,3 +193,17 @@ def test_ingest_vendor_from_path(spark):
     from claimflow.operators import bronze as B
     rows = B.ingest(df.withColumn("path", F.lit("/landing/nofolder/a.x12"))).collect()
     assert rows[0].vendor_id is None and rows[0].reject_reason == B.REJECT_NO_VENDOR
+
+
+def test_party_scope_preceding(spark):
+    text = (isa() + ENV + "ST*837*1*V~NM1*85*2*A*****XX*111~N3*1 MAIN~NM1*IL*1*DOE*JOHN****MI*M1~CLM*A*1~"
+            "NM1*IL*1*ROE*JANE****MI*M2~NM1*QC*1*KID*K****MI*P2~NM1*85*2*B*****XX*222~CLM*B*2~SE*9*1~")
+    res, _ = parse_texts(spark, [("vendorA", "pre.x12", text)])
+    from claimflow.operators import bronze as B
+    from claimflow.sources import config as cfg
+    good, _ = B.split_rejects(B.ingest(landing(spark, [("vendorA", "pre.x12", text)])))
+    pre = C.parse(good, cfg.vendor_profiles(spark), party_scope="preceding")["claims"]
+    got = {r.claim_id: (r.subscriber_id, r.patient_id, r.billing_npi, r.providers[0].addr1) for r in pre.collect()}
+    assert got == {"A": ("M1", "M1", "111", "1 MAIN"), "B": ("M2", "P2", "222", None)}
+    filed = {r.claim_id: (r.subscriber_id, r.patient_id, r.billing_npi) for r in res["claims"].collect()}
+    assert filed == {"A": ("M2", "P2", "222"), "B": ("M2", "P2", "222")}
