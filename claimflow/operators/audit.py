@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.operators.claims import LINE_TYPE
 from claimflow.operators.merge import append_missing, merge_frames
 
 AMOUNT_TOLERANCE = 0.01
@@ -117,7 +116,8 @@ def silver_metrics(silver: DataFrame) -> DataFrame:
     if "service_lines" in silver.columns:
         n_lines = F.size("service_lines")
     else:
-        n_lines = F.size(F.from_json("service_lines_json", LINE_TYPE))
+        # counts the array's elements without materialising them (NULL for NULL / non-array text)
+        n_lines = F.json_array_length("service_lines_json")
     return silver.groupBy("vendor_id", "file_hash").agg(
         F.count(F.lit(1)).alias("silver_claim_count"),
         money_sum(F.col("claim_amount")).alias("silver_total_claim_amount"),

@@ -149,7 +149,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
     # step 1: split composites once per row (kept as columns, not repeated inside CASE branches)
     pre = seg.filter(F.col("in_claim")).select(
         "file_hash", "k", "g", "pos", "clm_flag", "segment_delim", "component_delim", "comp_re", "blk_off", "el", "tag",
-        "lx", "text",
+        "lx", "text", "span_st",
         F.when(is_sv & _truthy(el(e, 1)), F.split(el(e, 1), comp_re, -1)).alias("_c1"),
         F.when((tag == "SV2") & _truthy(el(e, 2)), F.split(el(e, 2), comp_re, -1)).alias("_c2"),
         ((tag == "SV2") & F.coalesce(F.instr(el(e, 1), comp_d) > 0, F.lit(False))).alias("_sv2ref"),
@@ -158,6 +158,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
     # step 2: row values
     rows = pre.select(
         "file_hash", "k", "g", "pos", "clm_flag", "segment_delim", "comp_re", "blk_off",
+        F.when(F.col("clm_flag"), F.col("span_st")).alias("_span"),
         F.when(F.col("clm_flag"), e).alias("_clm_el"),
         F.when(is_dtp & (el(e, 1) == "434"), el(e, 3)).alias("_d434"),
         F.when(is_dtp & (el(e, 1) == "472"), el(e, 3)).alias("_d472"),
@@ -180,6 +181,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
         F.first("segment_delim").alias("_seg_d"),
         F.first("comp_re").alias("_comp_re"),
         F.min_by(F.col("_clm_el"), F.when(F.col("clm_flag"), pos)).alias("clm"),
+        F.min_by(F.col("_span"), F.when(F.col("clm_flag"), pos)).alias("_span"),
         F.min_by(F.col("_d434"), F.when(F.col("_d434").isNotNull(), pos)).alias("from_434"),
         F.min("_d472").alias("min_472"),
         F.max("_d472").alias("max_472"),
@@ -202,6 +204,8 @@ def claim_rows(seg: DataFrame) -> DataFrame:
     from_434 = F.col("from_434")
     return claims.select(
         "file_hash", "g", "k", "n_block_segments",
+        F.col("_span.st_control").alias("st_control"),
+        F.col("_span.transaction_version").alias("transaction_version"),
         el(clm, 1).alias("claim_id"),
         safe_double(el(clm, 2)).alias("claim_amount"),
         F.when(_truthy(pos_el), el(_components(pos_el, F.col("_comp_re")), 0)).alias("place_of_service"),
@@ -347,12 +351,13 @@ def preceding_parties(seg: DataFrame) -> DataFrame:
 
 
 def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: int | None = None,
-          persist: bool = False, party_scope: str = "file") -> dict[str, DataFrame]:
+          persist: bool = False, party_scope: str = "file", repartition: bool = True) -> dict[str, DataFrame]:
     """Bronze rows -> ``{"claims", "errors", "segments", "transactions", "parties", "files"}``.
 
     ``claims`` is one row per claim with typed nested columns (use
     :func:`to_silver` for the JSON table shape); ``errors`` one row per
-    (file, stage, message). ``party_scope="preceding"`` gives each claim the
+    (file, stage, message). Pass ``repartition=False`` for input already
+    hash-partitioned by ``file_hash``. ``party_scope="preceding"`` gives each claim the
     parties in force at its CLM segment instead of the file's last ones.
 
     The segment table feeds three aggregations (claims, spans, parties) and
@@ -361,7 +366,7 @@ def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: i
     input) — the caller unpersists ``result["segments"]`` when done.
     """
     gated = S.resolve_delimiters(files, profiles)
-    seg = S.segment_table(gated, num_partitions)
+    seg = S.segment_table(gated, num_partitions, repartition)
     if persist:
         seg = seg.persist(StorageLevel.MEMORY_AND_DISK)
     txn = S.transactions(seg)
@@ -369,10 +374,8 @@ def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: i
     blocks = claim_rows(seg)
 
     meta = gated.select("file_hash", "vendor_id", "file_path", "run_id")
-    claims = (
-        blocks.join(txn.select("file_hash", "g", "st_control", "transaction_version"), ["file_hash", "g"], "inner")
-        .join(meta, "file_hash", "inner")
-    )
+    # span controls come with the claim rows (carried by the windows): only file_hash joins below
+    claims = blocks.join(meta, "file_hash", "inner")
     if party_scope == "file":
         claims = claims.join(parties, "file_hash", "inner")
     elif party_scope == "preceding":

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import BooleanType
 
-from claimflow.sources.config import active, scoped_lookup
+from claimflow.sources.config import active, broadcast_if_small, scoped_lookup
 
 SAMPLE_CHARS = 2000
 SAMPLE_ROWS = 20
@@ -235,7 +235,7 @@ def version_check(claims: DataFrame, registry: DataFrame) -> DataFrame:
     """Transactions whose version differs from the vendor's expected version."""
     t = claims.select("vendor_id", "file_hash", "file_path", "st_control", "transaction_version").dropDuplicates(
         ["file_hash", "st_control", "transaction_version"])
-    r = registry.select(F.col("vendor_id").alias("_rv"), "expected_version")
+    r = broadcast_if_small(registry.select(F.col("vendor_id").alias("_rv"), "expected_version"))
     j = t.join(r, t.vendor_id == r._rv, "left").drop("_rv")
     return j.filter(~F.coalesce(F.col("transaction_version") == F.col("expected_version"), F.lit(False)))
 

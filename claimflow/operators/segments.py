@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from claimflow.functions.text import delimiter_regex, el, py_strip
-from claimflow.sources.config import DEFAULT_PROFILE, latest_profiles
+from claimflow.sources.config import DEFAULT_PROFILE, broadcast_if_small, latest_profiles
 
 # ISA is fixed-width; 0-based offsets of the element delimiter,
 # repetition separator (ISA11), component separator (ISA16) and the segment
@@ -85,7 +85,7 @@ def resolve_delimiters(files: DataFrame, profiles: DataFrame | None = None) -> D
     ``gate_error`` is the error stage for files that cannot be parsed.
     """
     if profiles is not None:
-        prof = latest_profiles(profiles).withColumnRenamed("vendor_id", "_pv")
+        prof = broadcast_if_small(latest_profiles(profiles).withColumnRenamed("vendor_id", "_pv"))
         files = files.join(prof, files["vendor_id"] == prof["_pv"], "left").drop("_pv")
     else:
         for c in ["use_isa_delimiters", "strict_mode", *DELIM_COLUMNS]:
@@ -115,13 +115,15 @@ def resolve_delimiters(files: DataFrame, profiles: DataFrame | None = None) -> D
     return out.withColumn("gate_error", gate).drop("_det", "use_isa_delimiters", "strict_mode")
 
 
-def explode_segments(files: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def explode_segments(files: DataFrame, num_partitions: int | None = None, repartition: bool = True) -> DataFrame:
     """Files (with delimiters, ``gate_error`` NULL) -> one row per non-empty segment.
 
     Columns: ``file_hash, segment_delim, component_delim, comp_re, pos, text, el, tag``.
     ``tag`` is ``el[0]`` only when the segment has an element after it (a
     segment *is* ``ID`` only when it starts with ``ID`` + element delimiter).
     The delimiter regexes are built once per file, before the explode.
+    ``repartition=False`` when ``files`` is already hash-partitioned by
+    ``file_hash`` (the windows then need no exchange at all).
     """
     f = files.filter(F.col("gate_error").isNull()).select(
         "file_hash", "content_str", "segment_delim", "component_delim",
@@ -129,7 +131,8 @@ def explode_segments(files: DataFrame, num_partitions: int | None = None) -> Dat
         delimiter_regex(F.col("element_delim")).alias("el_re"),
         delimiter_regex(F.col("component_delim")).alias("comp_re"),
     )
-    f = f.repartition(num_partitions, "file_hash") if num_partitions else f.repartition("file_hash")
+    if repartition:
+        f = f.repartition(num_partitions, "file_hash") if num_partitions else f.repartition("file_hash")
     pieces = f.select(
         "file_hash", "segment_delim", "component_delim", "comp_re", "el_re",
         F.posexplode(F.split(F.col("content_str"), F.col("seg_re"), -1)).alias("pos", "raw"),
@@ -169,6 +172,7 @@ def annotate(segs: DataFrame) -> DataFrame:
         (F.sum(is_se).over(run) - is_se).alias("g"),
         F.max(F.when(F.col("is_st837"), pos)).over(run).alias("_last_st"),
         F.max(F.when(tag == "SE", pos)).over(before).alias("_last_se"),
+        F.max(F.when(F.col("is_st837"), pos)).over(before).alias("_last_st_before"),
         F.sum(seg_len).over(run).alias("_cum"),
         F.last(F.when(tag == "LX", F.struct(pos.alias("at"), el("el", 1).alias("v"))), True).over(run).alias("_lx"),
         F.last(F.when(F.col("marker").isNotNull(), F.struct(F.col("marker").alias("kind"), pos.alias("at"))), True)
@@ -178,8 +182,12 @@ def annotate(segs: DataFrame) -> DataFrame:
     after_se = F.coalesce(F.col("_last_se"), F.lit(-1))
     s = s.withColumn("in_txn", F.coalesce(F.col("_last_st") > after_se, F.lit(False)))
     s = s.withColumn("clm_flag", F.coalesce(tag == "CLM", F.lit(False)) & F.col("in_txn"))
+    # the ST*837 that opens a span arrives while no transaction is open
+    opener = F.col("is_st837") & ~F.coalesce(F.col("_last_st_before") > after_se, F.lit(False))
     s = s.select(
         "*",
+        F.last(F.when(opener, F.struct(el("el", 2).alias("st_control"), el("el", 3).alias("transaction_version"))), True)
+        .over(run).alias("_span"),
         F.sum(F.col("clm_flag").cast("int")).over(run).alias("k"),
         F.max(F.when(F.col("clm_flag"), pos)).over(run).alias("_last_clm"),
         F.last(F.when(F.col("clm_flag"), F.col("_cum") - seg_len), True).over(run).alias("_start"),
@@ -191,13 +199,14 @@ def annotate(segs: DataFrame) -> DataFrame:
         .withColumn("blk_off", F.when(F.col("in_claim"), F.col("_cum") - seg_len - F.col("_start")))
         .withColumn("party_kind", F.col("_party.kind"))
         .withColumn("party_pos", F.col("_party.at"))
-        .drop("_lx", "_cum", "_start", "_party", "_last_st", "_last_se", "_last_clm")
+        .withColumn("span_st", F.when(F.col("in_txn"), F.col("_span")))
+        .drop("_lx", "_cum", "_start", "_party", "_last_st", "_last_se", "_last_clm", "_last_st_before", "_span")
     )
 
 
-def segment_table(files: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def segment_table(files: DataFrame, num_partitions: int | None = None, repartition: bool = True) -> DataFrame:
     """Exploded and annotated segments of every parseable file."""
-    return annotate(explode_segments(files, num_partitions))
+    return annotate(explode_segments(files, num_partitions, repartition))
 
 
 def envelope_and_parties_raw(seg: DataFrame) -> DataFrame:

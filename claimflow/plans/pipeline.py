@@ -174,11 +174,14 @@ def bronze_step(ctx: RunContext, landing: DataFrame) -> None:
 
 def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     """Unparsed bronze files -> silver claims (upsert), parse errors (insert-only), SILVER quarantine (upsert)."""
-    bronze = ctx.vendor_filter(ctx.store.read("bronze_837_raw", BRONZE_SCHEMA))
+    # One shuffle of file content: by file_hash, before the anti join, which
+    # (with the broadcast profile join) keeps that partitioning for the windows.
+    bronze = ctx.vendor_filter(ctx.store.read("bronze_837_raw", BRONZE_SCHEMA)).repartition("file_hash")
     claims_t = ctx.store.read("silver_837_claim", SILVER_SCHEMA)
     errors_t = ctx.store.read("silver_837_parse_error", ERROR_SCHEMA)
     todo = B.unprocessed(bronze, claims_t, errors_t, reprocess)
-    res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA), persist=True)
+    res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA), persist=True,
+                  repartition=reprocess is not None)
     claims = C.to_silver(C.dedupe_claims(res["claims"]), ctx.ts)
     keys = ["file_hash", "st_control", "claim_id"]
     if reprocess is None:

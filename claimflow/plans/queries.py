@@ -74,7 +74,8 @@ class Stages:
 
     @cached_property
     def parsed(self) -> dict[str, DataFrame]:
-        return C.parse(self.bronze, cfg.vendor_profiles(self.spark))
+        # bronze comes out of the hash dedupe, already partitioned by file_hash
+        return C.parse(self.bronze, cfg.vendor_profiles(self.spark), repartition=False)
 
     @cached_property
     def claims(self) -> DataFrame:

@@ -186,6 +186,21 @@ def latest_profiles(profiles: DataFrame) -> DataFrame:
     return latest.select("vendor_id", *[pick(c) for c in cols])
 
 
+# Config sides are broadcast only behind this row-count check; larger ones take a shuffle join.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast for a config frame whose size was checked (one small count job).
+
+    Planning the broadcast up front (rather than leaving it to AQE at
+    runtime) keeps the data side from being shuffled on the config key —
+    e.g. file content by vendor — before the join is re-planned.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def active(df: DataFrame, flag: str = "active_flag") -> DataFrame:
     return df.filter(F.col(flag) == F.lit(True))
 
@@ -208,10 +223,11 @@ def scoped_lookup(
     m = active(mapping)
     order = F.col(precedence) if precedence else F.lit(0)
     best = m.groupBy("vendor_id", map_key).agg(F.min_by(F.struct(*value_cols), order).alias("v"))
-    vend = best.filter(F.col("vendor_id").isNotNull()).select(
+    vend = broadcast_if_small(best.filter(F.col("vendor_id").isNotNull()).select(
         F.col("vendor_id").alias("_mv"), F.col(map_key).alias("_mk"), F.col("v").alias("_vv")
-    )
-    glob = best.filter(F.col("vendor_id").isNull()).select(F.col(map_key).alias("_gk"), F.col("v").alias("_gv"))
+    ))
+    glob = broadcast_if_small(
+        best.filter(F.col("vendor_id").isNull()).select(F.col(map_key).alias("_gk"), F.col("v").alias("_gv")))
     out = (
         data.join(vend, (data["vendor_id"] == vend["_mv"]) & (data[data_key] == vend["_mk"]), "left")
         .join(glob, data[data_key] == glob["_gk"], "left")
