@@ -132,11 +132,14 @@ def _samples(scored: DataFrame, good: list, cols: list[str]) -> DataFrame:
     fail_idx = F.filter(
         F.array(*[F.when(F.col(f"_f{i}"), F.lit(i)) for i in range(len(good))]), lambda x: x.isNotNull()
     )
-    rows = scored.select("vendor_id", "file_hash", F.to_json(F.struct(*[F.col(c) for c in cols])).alias("_j"),
+    row = F.struct(*[F.col(c) for c in cols])
+    rows = scored.select("vendor_id", "file_hash", row.alias("_row"), F.xxhash64(*[F.col(c) for c in cols]).alias("_o"),
                          F.explode(fail_idx).alias("_i"))
     rows = rows.withColumn("rule_id", rid)
-    w = Window.partitionBy("vendor_id", "file_hash", "rule_id").orderBy("_j")
+    # rank by a cheap row hash (deterministic); only the kept rows are turned into JSON
+    w = Window.partitionBy("vendor_id", "file_hash", "rule_id").orderBy("_o")
     top = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= SAMPLE_ROWS)
+    top = top.select("vendor_id", "file_hash", "rule_id", "_rn", F.to_json(F.col("_row")).alias("_j"))
     return top.groupBy("vendor_id", "file_hash", "rule_id").agg(
         F.substring(
             F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_j"))),

@@ -17,7 +17,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.operators import audit as A
@@ -137,6 +137,16 @@ class RunContext:
     ts: str
     vendor_ids: list[str] | None = None
     timings: dict[str, float] = field(default_factory=dict)
+    observations: dict[str, Observation] = field(default_factory=dict)
+
+    def observe(self, name: str, df: DataFrame) -> DataFrame:
+        """Count ``df``'s rows as a side effect of whatever job consumes it (no extra pass)."""
+        obs = Observation(name)
+        self.observations[name] = obs
+        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    def metrics(self) -> dict[str, int]:
+        return {k: v.get.get("rows", 0) for k, v in self.observations.items()}
 
     def vendor_filter(self, df: DataFrame) -> DataFrame:
         return df if not self.vendor_ids else df.filter(F.col("vendor_id").isin(self.vendor_ids))
@@ -167,8 +177,9 @@ def bronze_step(ctx: RunContext, landing: DataFrame) -> None:
     """Landing rows -> bronze_837_raw (insert-only on file_hash) + bronze_837_quarantine (append)."""
     ing = B.ingest(landing, ctx.run_id, ctx.ts).persist()
     good, bad = B.split_rejects(ing)
-    ctx.store.insert_new("bronze_837_raw", B.dedupe_by_hash(good), ["file_hash"], BRONZE_SCHEMA)
-    ctx.store.append("bronze_837_quarantine", bad)
+    ctx.store.insert_new("bronze_837_raw", ctx.observe("bronze_candidates", B.dedupe_by_hash(good)), ["file_hash"],
+                         BRONZE_SCHEMA)
+    ctx.store.append("bronze_837_quarantine", ctx.observe("bronze_rejected", bad))
     ing.unpersist()
 
 
@@ -182,7 +193,7 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     todo = B.unprocessed(bronze, claims_t, errors_t, reprocess)
     res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA), persist=True,
                   repartition=reprocess is not None)
-    claims = C.to_silver(C.dedupe_claims(res["claims"]), ctx.ts)
+    claims = ctx.observe("silver_claims_parsed", C.to_silver(C.dedupe_claims(res["claims"]), ctx.ts))
     keys = ["file_hash", "st_control", "claim_id"]
     if reprocess is None:
         # Only files without claims or errors were parsed, so no key can match: an append.
@@ -190,7 +201,7 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     else:
         upd = [c for c in C.SILVER_COLUMNS if c not in keys]
         ctx.store.write("silver_837_claim", M.merge_frames(claims_t, claims, keys, update=upd))
-    errs = C.errors_table(res["errors"], ctx.ts)
+    errs = ctx.observe("silver_parse_errors", C.errors_table(res["errors"], ctx.ts))
     ctx.store.insert_new("silver_837_parse_error", errs, ["file_hash", "error_stage", "error_message"], ERROR_SCHEMA)
     q_t = ctx.store.read("quarantine_files", QUARANTINE_SCHEMA)
     q = C.quarantine_rows(errs, ctx.run_id, ctx.ts)

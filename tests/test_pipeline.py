@@ -21,7 +21,10 @@ def test_pipeline_end_to_end_and_idempotent(spark):
     root, store = _store(spark)
     render_landing(spark, SF001).write.parquet(f"{root}/landing")
     landing = spark.read.parquet(f"{root}/landing")
-    P.run_pipeline(P.RunContext(spark, store, "r1", "2024-06-01 00:00:00"), landing)
+    ctx1 = P.RunContext(spark, store, "r1", "2024-06-01 00:00:00")
+    P.run_pipeline(ctx1, landing)
+    m = ctx1.metrics()
+    assert m["bronze_candidates"] == 147 and m["bronze_rejected"] == 3 and m["silver_claims_parsed"] == 1369
     counts1 = {t: store.read(t).count() for t in ["bronze_837_raw", "silver_837_claim", "silver_837_parse_error",
                                                    "claim_header", "claim_service_line", "claim_diagnosis",
                                                    "claim_provider", "claim_subscriber", "claim_patient",
@@ -80,3 +83,34 @@ def test_stream_ingest_equals_batch(spark):
     q2 = start_bronze_stream(spark, f"{root}/land", store, f"{root}/ckpt2", ingest_ts="2024-06-02 00:00:00")
     q2.awaitTermination(300)
     assert store.read("bronze_837_raw").count() == len(batch)
+
+
+def test_batch_landing_scan_and_content_free_listing(spark):
+    import io
+    import contextlib
+
+    from claimflow.operators import bronze as B
+    from claimflow.sources.landing import list_landing, scan_landing
+
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    rows = render_landing(spark, SF001).collect()[:12]
+    for r in rows:
+        path = f"{root}/land{r.path}"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as fh:
+            fh.write(bytes(r.content))
+    with open(f"{root}/land/landing/x12/837/vendorA/readme.txt", "w") as fh:
+        fh.write("not a claim file")
+    scanned = scan_landing(spark, f"{root}/land")
+    got = {(r.file_hash, r.vendor_id) for r in B.ingest(scanned).collect()}
+    want = {(__import__("hashlib").sha256(bytes(r.content)).hexdigest(), r.path.split("/")[4]) for r in rows}
+    assert got == want
+    # an explicit path list reads exactly those files
+    two = [f"{root}/land{r.path}" for r in rows[:2]]
+    assert scan_landing(spark, two).count() == 2
+    listing = list_landing(spark, f"{root}/land")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        listing.explain()
+    read_schema = [ln for ln in buf.getvalue().splitlines() if "ReadSchema" in ln or "FileScan" in ln]
+    assert listing.count() == 13 and not any("content" in ln for ln in read_schema)
