@@ -120,6 +120,39 @@ class TableStore:
             cond = c if cond is None else cond & c
         self.append(name, src.join(tk, cond, "left_anti").select(*target.columns))
 
+    def read_new(self, name: str, since: int | None, schema: str | None = None) -> tuple[DataFrame, int | None]:
+        """Rows added after version ``since``: the live deltas newer than it.
+
+        When a full rewrite happened after ``since`` (or there is no
+        watermark yet) the whole live table is returned. Also returns the
+        newest version number read, to store as the next watermark.
+        """
+        live = self._live(name)
+        if not live:
+            return (self.read(name, schema) if schema else self.spark.createDataFrame([], "x int")), since
+        newest = int(live[-1][1:])
+        base = int(live[0][1:])
+        if since is None or (live[0][0] == "v" and base > since):
+            return self.read(name, schema), newest
+        fresh = [v for v in live if int(v[1:]) > since]
+        if not fresh:
+            return self.spark.createDataFrame([], self.read(name).schema), since
+        return self.spark.read.parquet(*[f"{self.root}/{name}/{v}" for v in fresh]), newest
+
+    def watermark(self, consumer: str, source: str) -> int | None:
+        if not self.exists("_watermarks"):
+            return None
+        rows = self.read("_watermarks").filter((F.col("consumer") == consumer) & (F.col("source") == source)).collect()
+        return int(rows[0]["version"]) if rows else None
+
+    def set_watermark(self, consumer: str, source: str, version: int | None) -> None:
+        if version is None:
+            return
+        row = self.spark.createDataFrame([(consumer, source, int(version))], "consumer string, source string, version bigint")
+        cur = self.read("_watermarks") if self.exists("_watermarks") else row.limit(0)
+        keep = cur.filter(~((F.col("consumer") == consumer) & (F.col("source") == source)))
+        self.write("_watermarks", keep.unionByName(row).coalesce(1))
+
     def drop_old_versions(self, name: str) -> None:
         """Delete versions older than the live ones (after readers have moved on)."""
         live = set(self._live(name))
@@ -184,15 +217,19 @@ def bronze_step(ctx: RunContext, landing: DataFrame) -> None:
 
 
 def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
-    """Unparsed bronze files -> silver claims (upsert), parse errors (insert-only), SILVER quarantine (upsert)."""
-    # One shuffle of file content: by file_hash, before the anti join, which
-    # (with the broadcast profile join) keeps that partitioning for the windows.
-    bronze = ctx.vendor_filter(ctx.store.read("bronze_837_raw", BRONZE_SCHEMA)).repartition("file_hash")
+    """Unparsed bronze files -> silver claims (upsert), parse errors (insert-only), SILVER quarantine (upsert).
+
+    Only bronze deltas newer than the silver watermark are read, so a run
+    touches the content of new files only; the anti join on ``file_hash``
+    against claims and errors stays as the idempotency guard.
+    """
+    since = ctx.store.watermark("silver", "bronze_837_raw") if reprocess is None else None
+    bronze, upto = ctx.store.read_new("bronze_837_raw", since, BRONZE_SCHEMA)
+    bronze = ctx.vendor_filter(bronze)
     claims_t = ctx.store.read("silver_837_claim", SILVER_SCHEMA)
     errors_t = ctx.store.read("silver_837_parse_error", ERROR_SCHEMA)
     todo = B.unprocessed(bronze, claims_t, errors_t, reprocess)
-    res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA), persist=True,
-                  repartition=reprocess is not None)
+    res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA), persist=True)
     claims = ctx.observe("silver_claims_parsed", C.to_silver(C.dedupe_claims(res["claims"]), ctx.ts))
     keys = ["file_hash", "st_control", "claim_id"]
     if reprocess is None:
@@ -208,6 +245,8 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     ctx.store.write("quarantine_files", M.merge_frames(
         q_t, q, ["vendor_id", "file_hash", "stage", "rule_id"], update=["file_path", "run_id", "reason", "created_ts"]))
     res["segments"].unpersist()
+    if not ctx.vendor_ids:  # a vendor-filtered run has not consumed the other vendors' files
+        ctx.store.set_watermark("silver", "bronze_837_raw", upto)
 
 
 def standardize_step(ctx: RunContext) -> None:
@@ -218,17 +257,19 @@ def standardize_step(ctx: RunContext) -> None:
 
 
 def _gold_step(ctx: RunContext, table: str) -> None:
-    """Normalize only silver files the gold table has not seen, then insert-only merge on its keys.
+    """Normalize the silver rows added since this table's watermark, then insert-only merge on its keys.
 
-    The file-level anti join keeps a re-run from re-normalizing the whole
-    silver table; the key-level merge keeps the table idempotent.
+    A re-run reads no old silver rows; after a silver rewrite (reprocess)
+    the whole table is read again and the key-level merge keeps the gold
+    table idempotent.
     """
-    silver = ctx.vendor_filter(ctx.store.read("silver_837_claim", SILVER_SCHEMA))
-    if ctx.store.exists(table):
-        seen = ctx.store.read(table).select("file_hash").distinct()
-        silver = silver.join(seen, "file_hash", "left_anti")
+    since = ctx.store.watermark(table, "silver_837_claim")
+    silver, upto = ctx.store.read_new("silver_837_claim", since, SILVER_SCHEMA)
+    silver = ctx.vendor_filter(silver)
     new = G.NORMALIZERS[table](silver, ctx.run_id, ctx.ts)
     ctx.store.insert_new(table, new, G.GOLD_KEYS[table])
+    if not ctx.vendor_ids:
+        ctx.store.set_watermark(table, "silver_837_claim", upto)
 
 
 def gold_header_step(ctx: RunContext) -> None:
