@@ -45,8 +45,9 @@ def main() -> None:
 
     ctx2 = P.RunContext(spark, store, run_id="bench-run-2", ts="2024-06-02 00:00:00")
     t1 = time.time()
-    P.run_pipeline(ctx2, landing)
+    second = P.run_pipeline(ctx2, landing)
     queries["rerun_idempotent"] = round(time.time() - t1, 3)
+    rerun_steps = {k.lower(): v for k, v in second.items()}
 
     claims = store.read("silver_837_claim").count()
     lines = store.read("claim_service_line").count()
@@ -57,6 +58,7 @@ def main() -> None:
         "unit": "sec",
         "queries": queries,
         "render_landing": render_s,
+        "rerun_steps": rerun_steps,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
         "silver_claims": claims,

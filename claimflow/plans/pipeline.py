@@ -103,16 +103,18 @@ class TableStore:
         w.parquet(path)
         return path
 
-    def insert_new(self, name: str, source: DataFrame, keys: list[str], schema: str | None = None) -> None:
+    def insert_new(self, name: str, source: DataFrame, keys: list[str], schema: str | None = None,
+                   unique: bool = False) -> None:
         """Insert-only merge as an append: the source rows whose keys are not in the table yet.
 
-        Keys match null-safely; the source is reduced to one row per key first.
+        Keys match null-safely; the source is reduced to one row per key first
+        unless the caller guarantees unique keys (``unique=True`` saves that shuffle).
         """
+        src = source if unique else M.dedupe_source(source, keys)
         if not self.exists(name):
-            self.write(name, M.dedupe_source(source, keys))
+            self.write(name, src)
             return
         target = self.read(name, schema)
-        src = M.dedupe_source(source, keys)
         tk = target.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
         cond = None
         for k in keys:
@@ -139,20 +141,6 @@ class TableStore:
             return self.spark.createDataFrame([], self.read(name).schema), since
         return self.spark.read.parquet(*[f"{self.root}/{name}/{v}" for v in fresh]), newest
 
-    def watermark(self, consumer: str, source: str) -> int | None:
-        if not self.exists("_watermarks"):
-            return None
-        rows = self.read("_watermarks").filter((F.col("consumer") == consumer) & (F.col("source") == source)).collect()
-        return int(rows[0]["version"]) if rows else None
-
-    def set_watermark(self, consumer: str, source: str, version: int | None) -> None:
-        if version is None:
-            return
-        row = self.spark.createDataFrame([(consumer, source, int(version))], "consumer string, source string, version bigint")
-        cur = self.read("_watermarks") if self.exists("_watermarks") else row.limit(0)
-        keep = cur.filter(~((F.col("consumer") == consumer) & (F.col("source") == source)))
-        self.write("_watermarks", keep.unionByName(row).coalesce(1))
-
     def drop_old_versions(self, name: str) -> None:
         """Delete versions older than the live ones (after readers have moved on)."""
         live = set(self._live(name))
@@ -171,6 +159,33 @@ class RunContext:
     vendor_ids: list[str] | None = None
     timings: dict[str, float] = field(default_factory=dict)
     observations: dict[str, Observation] = field(default_factory=dict)
+    _marks: dict | None = None
+    _dirty: dict = field(default_factory=dict)
+
+    def watermark(self, consumer: str, source: str) -> int | None:
+        """The last ``source`` version ``consumer`` has processed (read once per run)."""
+        if self._marks is None:
+            self._marks = {}
+            if self.store.exists("_watermarks"):
+                for r in self.store.read("_watermarks").collect():
+                    self._marks[(r["consumer"], r["source"])] = int(r["version"])
+        return self._marks.get((consumer, source))
+
+    def advance(self, consumer: str, source: str, version: int | None) -> None:
+        """Record a new watermark; :meth:`flush` writes them (a crash before it only means re-reading deltas,
+        which the key-level anti joins make harmless)."""
+        if version is not None and not self.vendor_ids:  # a vendor-filtered run has not consumed everything
+            self.watermark(consumer, source)
+            self._marks[(consumer, source)] = int(version)
+            self._dirty[(consumer, source)] = int(version)
+
+    def flush(self) -> None:
+        if not self._dirty:
+            return
+        rows = [(c, s_, v) for (c, s_), v in self._marks.items()]
+        self.store.write("_watermarks", self.spark.createDataFrame(
+            rows, "consumer string, source string, version bigint").coalesce(1))
+        self._dirty = {}
 
     def observe(self, name: str, df: DataFrame) -> DataFrame:
         """Count ``df``'s rows as a side effect of whatever job consumes it (no extra pass)."""
@@ -223,7 +238,7 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     touches the content of new files only; the anti join on ``file_hash``
     against claims and errors stays as the idempotency guard.
     """
-    since = ctx.store.watermark("silver", "bronze_837_raw") if reprocess is None else None
+    since = ctx.watermark("silver", "bronze_837_raw") if reprocess is None else None
     bronze, upto = ctx.store.read_new("bronze_837_raw", since, BRONZE_SCHEMA)
     bronze = ctx.vendor_filter(bronze)
     claims_t = ctx.store.read("silver_837_claim", SILVER_SCHEMA)
@@ -234,19 +249,20 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     keys = ["file_hash", "st_control", "claim_id"]
     if reprocess is None:
         # Only files without claims or errors were parsed, so no key can match: an append.
-        ctx.store.insert_new("silver_837_claim", claims, keys, SILVER_SCHEMA)
+        # dedupe_claims already made (file_hash, st_control, claim_id) unique
+        ctx.store.insert_new("silver_837_claim", claims, keys, SILVER_SCHEMA, unique=True)
     else:
         upd = [c for c in C.SILVER_COLUMNS if c not in keys]
         ctx.store.write("silver_837_claim", M.merge_frames(claims_t, claims, keys, update=upd))
     errs = ctx.observe("silver_parse_errors", C.errors_table(res["errors"], ctx.ts))
-    ctx.store.insert_new("silver_837_parse_error", errs, ["file_hash", "error_stage", "error_message"], ERROR_SCHEMA)
+    ctx.store.insert_new("silver_837_parse_error", errs, ["file_hash", "error_stage", "error_message"], ERROR_SCHEMA,
+                         unique=True)
     q_t = ctx.store.read("quarantine_files", QUARANTINE_SCHEMA)
     q = C.quarantine_rows(errs, ctx.run_id, ctx.ts)
     ctx.store.write("quarantine_files", M.merge_frames(
         q_t, q, ["vendor_id", "file_hash", "stage", "rule_id"], update=["file_path", "run_id", "reason", "created_ts"]))
     res["segments"].unpersist()
-    if not ctx.vendor_ids:  # a vendor-filtered run has not consumed the other vendors' files
-        ctx.store.set_watermark("silver", "bronze_837_raw", upto)
+    ctx.advance("silver", "bronze_837_raw", upto)
 
 
 def standardize_step(ctx: RunContext) -> None:
@@ -263,13 +279,12 @@ def _gold_step(ctx: RunContext, table: str) -> None:
     the whole table is read again and the key-level merge keeps the gold
     table idempotent.
     """
-    since = ctx.store.watermark(table, "silver_837_claim")
+    since = ctx.watermark(table, "silver_837_claim")
     silver, upto = ctx.store.read_new("silver_837_claim", since, SILVER_SCHEMA)
     silver = ctx.vendor_filter(silver)
     new = G.NORMALIZERS[table](silver, ctx.run_id, ctx.ts)
     ctx.store.insert_new(table, new, G.GOLD_KEYS[table])
-    if not ctx.vendor_ids:
-        ctx.store.set_watermark(table, "silver_837_claim", upto)
+    ctx.advance(table, "silver_837_claim", upto)
 
 
 def gold_header_step(ctx: RunContext) -> None:
@@ -360,6 +375,7 @@ def run_pipeline(ctx: RunContext, landing: DataFrame, steps: list[str] | None =
             continue
         fn = STEP_FUNCTIONS[name]
         _timed(ctx, name, (lambda: fn(ctx, landing)) if name == "BRONZE" else (lambda: fn(ctx)))
+    ctx.flush()
     return ctx.timings
 
 
@@ -394,6 +410,7 @@ def orchestrate(ctx: RunContext, listing: DataFrame, landing: DataFrame) -> Data
         except Exception as e:  # a failing step marks its vendors FAILED; others continue
             outcomes += [(v, False, str(e)[:500]) for v in r["vendors"]]
     ctx.vendor_ids = None
+    ctx.flush()
     failed = {v for v, _, _ in outcomes}
     ok_rows = [(v, True, None) for v in sorted({v for r in enabled for v in r["vendors"]} - failed)]
     res = ctx.spark.createDataFrame(outcomes + ok_rows, "vendor_id string, ok boolean, notes string")
