@@ -122,6 +122,10 @@ class TableStore:
             cond = c if cond is None else cond & c
         self.append(name, src.join(tk, cond, "left_anti").select(*target.columns))
 
+    def latest_version(self, name: str) -> int | None:
+        vs = self._versions(name)
+        return int(vs[-1][1:]) if vs else None
+
     def read_new(self, name: str, since: int | None, schema: str | None = None) -> tuple[DataFrame, int | None]:
         """Rows added after version ``since``: the live deltas newer than it.
 
@@ -240,6 +244,8 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     """
     since = ctx.watermark("silver", "bronze_837_raw") if reprocess is None else None
     bronze, upto = ctx.store.read_new("bronze_837_raw", since, BRONZE_SCHEMA)
+    if since is not None and upto == since:
+        return  # no bronze delta since the last silver run (known from the version listing, no job)
     bronze = ctx.vendor_filter(bronze)
     claims_t = ctx.store.read("silver_837_claim", SILVER_SCHEMA)
     errors_t = ctx.store.read("silver_837_parse_error", ERROR_SCHEMA)
@@ -254,7 +260,7 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     else:
         upd = [c for c in C.SILVER_COLUMNS if c not in keys]
         ctx.store.write("silver_837_claim", M.merge_frames(claims_t, claims, keys, update=upd))
-    errs = ctx.observe("silver_parse_errors", C.errors_table(res["errors"], ctx.ts))
+    errs = ctx.observe("silver_parse_errors", C.errors_table(res["errors"], ctx.ts)).persist()
     ctx.store.insert_new("silver_837_parse_error", errs, ["file_hash", "error_stage", "error_message"], ERROR_SCHEMA,
                          unique=True)
     q_t = ctx.store.read("quarantine_files", QUARANTINE_SCHEMA)
@@ -262,6 +268,7 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     ctx.store.write("quarantine_files", M.merge_frames(
         q_t, q, ["vendor_id", "file_hash", "stage", "rule_id"], update=["file_path", "run_id", "reason", "created_ts"]))
     res["segments"].unpersist()
+    errs.unpersist()
     ctx.advance("silver", "bronze_837_raw", upto)
 
 
@@ -281,6 +288,8 @@ def _gold_step(ctx: RunContext, table: str) -> None:
     """
     since = ctx.watermark(table, "silver_837_claim")
     silver, upto = ctx.store.read_new("silver_837_claim", since, SILVER_SCHEMA)
+    if since is not None and upto == since:
+        return
     silver = ctx.vendor_filter(silver)
     new = G.NORMALIZERS[table](silver, ctx.run_id, ctx.ts)
     ctx.store.insert_new(table, new, G.GOLD_KEYS[table])
@@ -312,11 +321,24 @@ def gold_other_payer_step(ctx: RunContext) -> None:
     _gold_step(ctx, "claim_other_payer")
 
 
+OPS_SOURCES = ["bronze_837_raw", "silver_837_claim", "quarantine_files", *G.NORMALIZERS]
+
+
 def ops_step(ctx: RunContext) -> None:
-    """Run row, file audit, silver/gold reconciliation, per-ST recon, DQ results, run status."""
+    """Run row, file audit, silver/gold reconciliation, per-ST recon, DQ results, run status.
+
+    When no source table has a version newer than the last ops run, the
+    audit, reconciliation and DQ results cannot change: only the run row is
+    recorded.
+    """
     st = ctx.store
     runs = st.read("pipeline_run", A.RUN_SCHEMA)
     runs = A.start_run(runs, A.run_row(ctx.spark, PIPELINE, ctx.run_id, "claimflow", None))
+    latest = {t: st.latest_version(t) for t in OPS_SOURCES}
+    if st.exists("file_audit") and all(ctx.watermark("ops", t) == v for t, v in latest.items()):
+        nothing = A.run_status(st.read("file_audit").limit(0), end_ts=ctx.ts)
+        st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, nothing.drop("failed_files")))
+        return
     bronze = st.read("bronze_837_raw", BRONZE_SCHEMA)
     fa = st.read("file_audit") if st.exists("file_audit") else A.empty_file_audit(ctx.spark)
     fa = A.upsert_file_audit(fa, A.file_audit_base(bronze, ctx.ts))
@@ -339,6 +361,8 @@ def ops_step(ctx: RunContext) -> None:
     st.insert_new("dq_results", dq, ["pipeline_name", "run_id", "rule_id", "file_hash", "vendor_id"])
     status = A.run_status(st.read("file_audit"), touched=recon.select("file_hash"), end_ts=ctx.ts)
     st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, status.drop("failed_files")))
+    for t, v in latest.items():
+        ctx.advance("ops", t, v)
 
 
 STEP_FUNCTIONS = {
