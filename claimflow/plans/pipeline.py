@@ -15,6 +15,7 @@ rows, so a step runs once for all vendors that have work.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -91,9 +92,19 @@ class TableStore:
         """Replace the table with ``df`` (a new full version)."""
         return self._save(f"{self.root}/{name}/v{self._next(name)}", df, partition_by)
 
-    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Add ``df`` as a delta version (existing files are never touched)."""
-        return self._save(f"{self.root}/{name}/d{self._next(name)}", df, partition_by)
+    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str | None:
+        """Add ``df`` as a delta version (existing files are never touched).
+
+        The rows are counted while they are written (an observation, no extra
+        job); an empty delta is removed again, so consumers see no new version.
+        """
+        path = f"{self.root}/{name}/d{self._next(name)}"
+        obs = Observation(f"append-{uuid.uuid4().hex}")
+        self._save(path, df.observe(obs, F.count(F.lit(1)).alias("n")), partition_by)
+        if obs.get.get("n", 0) == 0:
+            self._fs(path).delete(self._Path(path), True)
+            return None
+        return path
 
     @staticmethod
     def _save(path: str, df: DataFrame, partition_by: list[str] | None) -> str:
