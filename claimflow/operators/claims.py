@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark import StorageLevel
 
-from claimflow.functions.text import delimiter_regex, el, safe_double
+from claimflow.functions.text import el, safe_double
 from claimflow.operators import segments as S
 
 # NM101 entity code -> provider role (unknown codes keep the

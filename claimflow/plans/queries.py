@@ -15,19 +15,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.operators import audit as A
 from claimflow.operators import bronze as B
 from claimflow.operators import claims as C
 from claimflow.operators import gold as G
-from claimflow.operators import merge as M
-from claimflow.operators import orchestration as O
-from claimflow.operators import quality as Q
 from claimflow.operators import segments as S
 from claimflow.plans.oracle_sql import BASE_CTES, PARSE_CTES, TEXT_CTES, with_ctes
 from claimflow.sources import config as cfg
 from claimflow.session import materialize
 from claimflow.sources.fixtures import render_landing
-from claimflow.sources.star import read_table
 
 RUN_ID = "run-0001"
 TS = "2024-06-01 00:00:00"

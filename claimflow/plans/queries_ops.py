@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 
 from claimflow.operators import audit as A
 from claimflow.operators import merge as M
-from claimflow.operators import orchestration as O
-from claimflow.operators import quality as Q
 from claimflow.plans.oracle_sql import BASE_CTES, PARSE_CTES, TEXT_CTES, with_ctes
 from claimflow.plans.queries import EARLIER_RUN_CUTOFF, RUN_ID, TS, Stages, _paths, register
-from claimflow.sources import config as cfg
 from claimflow.sources.star import read_table
 
 # ====================================================================== merges on order snapshots
