@@ -133,8 +133,10 @@ def _samples(scored: DataFrame, good: list, cols: list[str]) -> DataFrame:
         F.array(*[F.when(F.col(f"_f{i}"), F.lit(i)) for i in range(len(good))]), lambda x: x.isNotNull()
     )
     row = F.struct(*[F.col(c) for c in cols])
-    rows = scored.select("vendor_id", "file_hash", row.alias("_row"), F.xxhash64(*[F.col(c) for c in cols]).alias("_o"),
-                         F.explode(fail_idx).alias("_i"))
+    # only failing rows are hashed and kept as structs
+    failing = scored.withColumn("_fi", fail_idx).filter(F.size("_fi") > 0)
+    rows = failing.select("vendor_id", "file_hash", row.alias("_row"), F.xxhash64(*[F.col(c) for c in cols]).alias("_o"),
+                          F.explode("_fi").alias("_i"))
     rows = rows.withColumn("rule_id", rid)
     # rank by a cheap row hash (deterministic); only the kept rows are turned into JSON
     w = Window.partitionBy("vendor_id", "file_hash", "rule_id").orderBy("_o")

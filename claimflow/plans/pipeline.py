@@ -362,13 +362,18 @@ def ops_step(ctx: RunContext) -> None:
     bronze_new = new_rows("bronze_837_raw", BRONZE_SCHEMA)
     silver_new = new_rows("silver_837_claim", SILVER_SCHEMA)
     gold_new = {t: new_rows(t) for t in G.NORMALIZERS}
-    touched = silver_new.select("file_hash")
-    for g in gold_new.values():
-        touched = touched.unionByName(g.select("file_hash"))
-    touched = broadcast_if_small(touched.distinct())
+    first_run = ctx.watermark("ops", "silver_837_claim") is None
+    if first_run:  # every file is new: no need to compute the touched set
+        def only_touched(df: DataFrame) -> DataFrame:
+            return df
+    else:
+        touched = silver_new.select("file_hash")
+        for g in gold_new.values():
+            touched = touched.unionByName(g.select("file_hash"))
+        touched = broadcast_if_small(touched.distinct())
 
-    def only_touched(df: DataFrame) -> DataFrame:
-        return df.join(touched, "file_hash", "left_semi")
+        def only_touched(df: DataFrame) -> DataFrame:
+            return df.join(touched, "file_hash", "left_semi")
 
     fa = st.read("file_audit") if st.exists("file_audit") else A.empty_file_audit(ctx.spark)
     fa = A.upsert_file_audit(fa, A.file_audit_base(bronze_new, ctx.ts))
