@@ -371,6 +371,9 @@ def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: i
         seg = seg.persist(StorageLevel.MEMORY_AND_DISK)
     txn = S.transactions(seg)
     parties = file_parties(seg)
+    if persist:  # one row per span / per file: small, and read by both the claims and the errors
+        txn = txn.persist(StorageLevel.MEMORY_AND_DISK)
+        parties = parties.persist(StorageLevel.MEMORY_AND_DISK)
     blocks = claim_rows(seg)
 
     meta = gated.select("file_hash", "vendor_id", "file_path", "run_id")

@@ -279,7 +279,8 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     q = C.quarantine_rows(errs, ctx.run_id, ctx.ts)
     ctx.store.write("quarantine_files", M.merge_frames(
         q_t, q, ["vendor_id", "file_hash", "stage", "rule_id"], update=["file_path", "run_id", "reason", "created_ts"]))
-    res["segments"].unpersist()
+    for k in ("segments", "transactions", "parties"):
+        res[k].unpersist()
     errs.unpersist()
     ctx.advance("silver", "bronze_837_raw", upto)
 
