@@ -396,7 +396,8 @@ def ops_step(ctx: RunContext) -> None:
     dq = Q.run_dq_rules(entities, st.read("dq_rules_837", cfg.DQ_RULES_SCHEMA), PIPELINE, ctx.run_id, ctx.ts)
     # one row per (run, rule, vendor, file) by construction
     st.insert_new("dq_results", dq, ["pipeline_name", "run_id", "rule_id", "file_hash", "vendor_id"], unique=True)
-    status = A.run_status(st.read("file_audit"), touched=recon.select("file_hash"), end_ts=ctx.ts)
+    # files reconciled by this run carry its run id: no need to recompute the reconciliation
+    status = A.run_status(st.read("file_audit").filter(F.col("gold_run_id") == ctx.run_id), end_ts=ctx.ts)
     st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, status.drop("failed_files")))
     for t, v in latest.items():
         ctx.advance("ops", t, v)
