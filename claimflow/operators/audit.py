@@ -41,8 +41,14 @@ STATUS_QUARANTINED = "QUARANTINED"
 
 
 def money_sum(c: Column) -> Column:
-    """NULL-as-zero sum through decimal(18,2), returned as double."""
-    return F.coalesce(F.sum(F.coalesce(c, F.lit(0)).cast("decimal(18,2)")), F.lit(0).cast("decimal(18,2)")).cast("double")
+    """NULL-as-zero sum through decimal(38,2), returned as double.
+
+    ``try_cast``: under ANSI mode a plain cast of an absurd amount (say 1e40
+    from a malformed file) would fail the whole job; such an amount counts
+    as NULL instead.
+    """
+    return F.coalesce(F.sum(F.coalesce(c, F.lit(0)).try_cast("decimal(38,2)")),
+                      F.lit(0).cast("decimal(38,2)")).cast("double")
 
 
 # ---------------------------------------------------------------- runs

@@ -254,7 +254,7 @@ def partner_manifest(extract: DataFrame, key: str = "claim_key", amount: str = "
     """
     return extract.groupBy("vendor_id").agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(F.coalesce(F.col(amount), F.lit(0)).cast("decimal(18,2)")), F.lit(0).cast("decimal(18,2)"))
+        F.coalesce(F.sum(F.coalesce(F.col(amount), F.lit(0)).try_cast("decimal(38,2)")), F.lit(0).cast("decimal(38,2)"))
         .cast("double").alias("total_amount"),
         F.min(key).alias("first_claim_key"),
         F.max(key).alias("last_claim_key"),

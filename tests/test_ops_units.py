@@ -90,3 +90,12 @@ def test_claim_references_classified_by_ref_map(spark):
     # the REF before the first CLM belongs to no claim
     assert got == [("A", "F8", "ORIG1", "ORIGINAL_REFERENCE"), ("A", "ZZ", "X", "VENDOR_SPECIFIC"),
                    ("B", "1K", "PCN", "PAYER_CLAIM_CONTROL")]
+
+
+def test_money_sums_survive_absurd_amounts(spark):
+    from claimflow.operators import audit as A
+
+    df = spark.createDataFrame([("v", "f", 1.25, "[]"), ("v", "f", 1e40, "[{}]"), ("v", "f", None, None)],
+                               "vendor_id string, file_hash string, claim_amount double, service_lines_json string")
+    r = A.silver_metrics(df).first()
+    assert (r.silver_claim_count, r.silver_total_claim_amount, r.silver_service_line_count) == (3, 1.25, 1)
