@@ -99,3 +99,19 @@ def test_money_sums_survive_absurd_amounts(spark):
                                "vendor_id string, file_hash string, claim_amount double, service_lines_json string")
     r = A.silver_metrics(df).first()
     assert (r.silver_claim_count, r.silver_total_claim_amount, r.silver_service_line_count) == (3, 1.25, 1)
+
+
+def test_partner_extract_written_per_partner_with_manifest(spark):
+    import os
+    import tempfile
+
+    ex = spark.createDataFrame([("vA", "k2", 10.0), ("vA", "k1", 5.5), ("vB", "k3", 1.0)],
+                               "vendor_id string, claim_key string, claim_amount double")
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/extract"
+    Q.write_partner_extract(ex, out, order_by=["claim_key"])
+    assert sorted(d for d in os.listdir(out) if d.startswith("vendor_id=")) == ["vendor_id=vA", "vendor_id=vB"]
+    back = spark.read.parquet(out)
+    assert back.filter("vendor_id = 'vA'").count() == 2
+    m = {r.vendor_id: (r.row_count, r.total_amount, r.first_claim_key, r.last_claim_key)
+         for r in Q.partner_manifest(ex).collect()}
+    assert m == {"vA": (2, 15.5, "k1", "k2"), "vB": (1, 1.0, "k3", "k3")}
