@@ -144,3 +144,18 @@ def test_incremental_runs_equal_one_shot(spark):
     dq_inc = sorted(tuple(r) for r in inc.read("dq_results").select("rule_id", "file_hash", "failed_count").collect())
     dq_one = sorted(tuple(r) for r in one.read("dq_results").select("rule_id", "file_hash", "failed_count").collect())
     assert dq_inc == dq_one  # every row is checked exactly once across the two runs
+
+
+def test_standardize_step_rewrites_silver(spark):
+    from claimflow.operators import claims as C
+
+    root, store = _store(spark)
+    rows = [("vendorB", "h1", "/landing/x12/837/vendorB/a.x12", "r", None, None, None, "1", "005010x222a1",
+             " C1 ", None) + (None,) * 14]
+    cols = C.SILVER_COLUMNS
+    schema = P.SILVER_SCHEMA
+    df = spark.createDataFrame([tuple(r[:len(cols)]) for r in rows], schema)
+    store.write("silver_837_claim", df)
+    P.standardize_step(P.RunContext(spark, store, "s1", "2024-06-01 00:00:00"))
+    r = store.read("silver_837_claim").first()
+    assert (r.claim_id, r.transaction_version, r.claim_amount) == ("C1", "005010X222A1", 0.0)
