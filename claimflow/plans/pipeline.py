@@ -403,6 +403,20 @@ def ops_step(ctx: RunContext) -> None:
         ctx.advance("ops", t, v)
 
 
+REWRITTEN_TABLES = ["file_audit", "pipeline_run", "quarantine_files", "recon_summary", "vendor_state", "_watermarks"]
+
+
+def vacuum(store: TableStore, tables: list[str] | None = None) -> None:
+    """Delete superseded versions (older than the newest full version) of the given tables.
+
+    Run it between pipeline runs: a version is only removed once a newer full
+    version exists, and readers of an older snapshot must be finished.
+    """
+    for t in tables or REWRITTEN_TABLES:
+        if store.exists(t):
+            store.drop_old_versions(t)
+
+
 STEP_FUNCTIONS = {
     "BRONZE": bronze_step, "SILVER": silver_step, "SILVER_STD": standardize_step,
     "GOLD_HEADER": gold_header_step, "GOLD_LINES": gold_lines_step, "GOLD_DX": gold_dx_step,

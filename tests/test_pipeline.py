@@ -159,3 +159,16 @@ def test_standardize_step_rewrites_silver(spark):
     P.standardize_step(P.RunContext(spark, store, "s1", "2024-06-01 00:00:00"))
     r = store.read("silver_837_claim").first()
     assert (r.claim_id, r.transaction_version, r.claim_amount) == ("C1", "005010X222A1", 0.0)
+
+
+def test_vacuum_keeps_live_versions_only(spark):
+    root, store = _store(spark)
+    df1 = spark.createDataFrame([(1, "a")], "k int, v string")
+    store.write("t", df1)
+    store.write("t", df1.union(spark.createDataFrame([(2, "b")], "k int, v string")))
+    store.append("t", spark.createDataFrame([(3, "c")], "k int, v string"))
+    before = sorted(tuple(r) for r in store.read("t").collect())
+    P.vacuum(store, ["t"])
+    left = [n for n in os.listdir(f"{root}/wh/t") if not n.startswith(".")]
+    assert sorted(n[0] for n in left) == ["d", "v"]  # the newest full version and the delta after it
+    assert sorted(tuple(r) for r in store.read("t").collect()) == before == [(1, "a"), (2, "b"), (3, "c")]
