@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import decontaminate, exact_dedup, secrets, sharding
+from claimflow.llm import decontaminate, exact_dedup, minhash, secrets, sharding
 from claimflow.llm.common import table
 
 
@@ -73,6 +73,32 @@ FROM n
 """
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents over 4-word shingles at a similarity of 0.8."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
+    )
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_aggregate(w[i:i + 3], 'string_agg', ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, x) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.x AS component_id, d.doc_id = m.x AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(x) AS x FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with how widely their values are owned across sources."""
     docs = table(spark, sf_dir, "documents").select(
@@ -90,9 +116,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op3_sharding": op3_sharding,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op10_secret_scan": op10_secret_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op7_exact_dedup": OP7_SQL}
+    return {"op2_decontamination": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_minhash_near_dedup": OP8_SQL}
