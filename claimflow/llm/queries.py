@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import decontaminate, exact_dedup, minhash, secrets, sharding
+from claimflow.llm import decontaminate, exact_dedup, minhash, secrets, sharding, toxicity
 from claimflow.llm.common import table
 
 
@@ -59,6 +59,18 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "row.doc_id",
+        toxicity.held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document of equal text that stays."""
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -115,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": op2_decontamination,
         "op3_sharding": op3_sharding,
+        "op6_toxicity": op6_toxicity,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op10_secret_scan": op10_secret_scan,
