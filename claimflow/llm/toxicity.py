@@ -36,7 +36,9 @@ GRAMS = (4, 6)
 HEAD, TAIL = 24, 16
 #: Distinct words whose inputs a task remembers, and windows of one forward pass.
 CACHE_WORDS, CHUNK = 200_000, 2048
-STEPS, BATCH, RATE = 600, 128, 0.01
+STEPS, BATCH, RATE = 500, 128, 0.01
+#: Floor of the optimiser's scale for embeddings: what few windows say moves them little.
+EMBED_EPS = 1e-3
 #: Training documents that must hold a word or an n-gram before it has an embedding (rarer ones say nothing).
 LEAST_WORD_DOCS, LEAST_GRAM_DOCS = 3, 6
 #: Score from which a document is predicted to be toxic.
@@ -255,7 +257,8 @@ def train(windows: list[tuple[int, int, list[bytes]]], share_toxic: float, seed:
             gk = g[k].reshape(v.shape) * clip + 1e-5 * v
             mean[k] += 0.1 * (gk - mean[k])
             square[k] += 0.01 * (gk * gk - square[k])
-            v -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
+            eps = EMBED_EPS if k in live else 1e-8
+            v -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + eps)
     table = model.inputs(names)
     rest = np.flatnonzero(fold if fold.any() else ~fold)
     parts = [rest[i : i + CHUNK] for i in range(0, len(rest), CHUNK)]
