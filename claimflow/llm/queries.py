@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import decontaminate, exact_dedup, minhash, secrets, sharding, toxicity
+from claimflow.llm import decontaminate, exact_dedup, minhash, mixing, secrets, sharding, tokens, toxicity, warc
 from claimflow.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and unigram tokens of every document."""
+    found = tokens.token_counts(table(spark, sf_dir, "documents"), ["doc_id", "n_chars"])
+    return found.select("row.doc_id", "row.n_chars", "n_pretokens", "n_tokens")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a 10-word window of a benchmark item."""
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
@@ -59,6 +65,25 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back at its offset in the normalised archives."""
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(x, CAST((i // 4) * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS INT) + 1, 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learnt from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -111,6 +136,15 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(x) AS x FRO
 """
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates and copies of every document for the target shares of quality domains."""
+    labels = table(spark, sf_dir, "labels")
+    domain = mixing.label_domain(F.col("quality"), F.col("toxic")).alias("domain")
+    found = mixing.mix(table(spark, sf_dir, "documents"), labels.select("doc_id", domain), mixing.TARGETS, ["doc_id"])
+    shares = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)]
+    return found.select("row.doc_id", "n_tokens", *shares, "rate", "copies")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with how widely their values are owned across sources."""
     docs = table(spark, sf_dir, "documents").select(
@@ -125,14 +159,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
         "op3_sharding": op3_sharding,
+        "op5_warc": op5_warc,
         "op6_toxicity": op6_toxicity,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
+        "op9_mixing": op9_mixing,
         "op10_secret_scan": op10_secret_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_minhash_near_dedup": OP8_SQL}
+    return {"op2_decontamination": OP2_SQL, "op5_warc": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_minhash_near_dedup": OP8_SQL}
