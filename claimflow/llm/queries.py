@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import decontaminate, exact_dedup, minhash, mixing, secrets, sharding, tokens, toxicity, warc
+from claimflow.llm import decontaminate, exact_dedup, lines, minhash, mixing, secrets, sharding, tokens, toxicity, warc
 from claimflow.llm.common import table
 
 
@@ -65,6 +65,35 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat an earlier line or lie one edit from one."""
+    found = lines.line_dedup(table(spark, sf_dir, "documents"))
+    dropped = F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped")
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_exact", "n_near", dropped)
+
+
+OP4_SQL = r"""
+WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+pos AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM raw),
+s AS (SELECT doc_id, i, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS t FROM pos),
+o AS (SELECT doc_id, i, t, row_number() OVER (ORDER BY doc_id, i) AS r FROM s WHERE length(t) >= 10),
+d AS (SELECT t, min(r) AS r, length(t) AS n FROM o GROUP BY t),
+h AS (
+  SELECT t, r, n, unnest([{'k': n, 'm': 'h', 'x': left(t, n // 2)}, {'k': n, 'm': 't', 'x': right(t, n - n // 2)},
+    {'k': n + 1, 'm': 'h', 'x': left(t, (n + 1) // 2)}, {'k': n + 1, 'm': 't', 'x': right(t, n + 1 - (n + 1) // 2)}], recursive := true) FROM d),
+p AS (SELECT DISTINCT y.t AS t, x.t AS u FROM h x JOIN h y ON x.k = y.k AND x.m = y.m AND x.x = y.x WHERE x.r < y.r),
+near AS (SELECT DISTINCT t FROM p WHERE abs(length(t) - length(u)) <= 1 AND levenshtein(t, u) = 1),
+gone AS (
+  SELECT o.doc_id, o.i, near.t IS NOT NULL AS near FROM o JOIN d USING (t) LEFT JOIN near USING (t) WHERE near.t IS NOT NULL OR o.r <> d.r),
+g AS (
+  SELECT doc_id, count(*) FILTER (NOT near) AS n_exact, count(*) FILTER (near) AS n_near, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS dropped
+  FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,
+       coalesce(dropped, '') AS dropped
+FROM raw LEFT JOIN g USING (doc_id)
+"""
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, read back at its offset in the normalised archives."""
     found = warc.round_trip(table(spark, sf_dir, "pages"))
@@ -162,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
         "op3_sharding": op3_sharding,
+        "op4_line_dedup": op4_line_dedup,
         "op5_warc": op5_warc,
         "op6_toxicity": op6_toxicity,
         "op7_exact_dedup": op7_exact_dedup,
@@ -172,4 +202,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op5_warc": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_minhash_near_dedup": OP8_SQL}
+    return {"op2_decontamination": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_warc": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_minhash_near_dedup": OP8_SQL}
