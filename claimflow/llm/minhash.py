@@ -1,23 +1,25 @@
 """Near-duplicate detection by b-bit MinHash.
 
-1. One Arrow pass hashes each text's distinct word shingles, takes ``HASHES``
-   minima, and stores per document: the set's size, a digest of the whole set,
-   one key per band of minima, and the packed signature (``BITS`` low bits of
-   every minimum).
+1. One Arrow pass hashes each text's distinct word shingles and takes
+   ``ROWS * BANDS`` minima; it stores per document the set's size, a digest of
+   the whole set, and one key per band of minima.
 2. Equal sets (equal digests) become one class; only classes go on, so exact
-   copies never meet each other in a bucket.
-3. Classes sharing a band key are candidates. First each is compared with its
-   bucket's smallest class only. A pair goes on when its sizes allow the
-   threshold and its similarity, estimated from the bit counts of the packed
-   signatures and corrected for chance agreement of the bits, is not more
-   than ``SIGMAS`` standard errors below it. Links are then confirmed on the
-   full shingle sets.
-4. Components of those links decide what is still open: pairs inside a bucket
-   that lie in different components. Each class outside the component of its
+   copies never meet each other in a bucket. Classes sharing a band key are
+   candidates.
+3. For the classes that share a key, the packed signature is made: the
+   ``BITS`` low bits of ``HASHES`` minima, the first of them the band minima.
+   A candidate pair goes on when its sizes allow the threshold and its
+   similarity, estimated from the bit counts of two signatures and corrected
+   for chance agreement of the bits, is not more than ``SIGMAS`` standard
+   errors below it. Links are then confirmed on the full shingle sets.
+4. First each class is compared with its bucket's smallest class only, and
+   components are formed. What is still open are pairs inside a bucket that
+   lie in different components: each class outside the component of its
    bucket's smallest class is compared with the bucket's members of other
-   components, by the same estimate inside the join and the same confirmation.
-   So no link between different components that share a bucket is lost, and a
-   large group of near copies is never expanded into its pairs.
+   components, by the same estimate inside the join condition (in the first
+   bucket that both share) and the same confirmation. So no link between
+   different components is lost, and a large group of near copies is not
+   expanded into its pairs.
 
 With bands of 5 minima a pair at the threshold of 0.8 shares none of its 32
 keys with probability 0.672 ** 32 = 3e-6; pairs above it with less.
@@ -38,9 +40,11 @@ from pyspark.sql import types as T
 from claimflow.llm.common import stored
 from claimflow.llm.components import components
 
-ROWS, BANDS, BITS = 5, 32, 2
-HASHES = ROWS * BANDS
+ROWS, BANDS = 5, 32
+#: Minima and low bits of a signature; lanes of a 64-bit word, and words that hold the band minima.
+HASHES, BITS = 1024, 2
 LANES = 64 // BITS
+COARSE = ROWS * BANDS // LANES
 #: Standard errors that an estimate may lie below the threshold before the pair is given up.
 SIGMAS = 5.0
 #: Words whose hash a task remembers at most.
@@ -85,12 +89,12 @@ class Shingler:
         return np.unique(mix(out))
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of every hash function over the set."""
+def minima(shingles: np.ndarray, hashes: int) -> np.ndarray:
+    """The smallest value of each of the first hash functions over the set."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+    low = np.full(hashes, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(x), 512):
-        np.minimum(low, np.multiply.outer(x[i : i + 512], _MULTIPLIERS).min(axis=0), out=low)
+        np.minimum(low, np.multiply.outer(x[i : i + 512], _MULTIPLIERS[:hashes]).min(axis=0), out=low)
     return low
 
 
@@ -109,24 +113,20 @@ def _signer(size: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(size)
         for batch in batches:
-            n, k, bands, sig = [], [], [], []
+            n, k, bands = [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingle(text)
                 n.append(len(s))
                 k.append(blake2b(s.tobytes(), digest_size=16).digest())
-                low = minima(s) if len(s) else None
-                bands.append(None if low is None else band_keys(low))
-                sig.append(None if low is None else packed(low))
+                bands.append(band_keys(minima(s, ROWS * BANDS)) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"),
-                    batch.column("h"),
+                    *(batch.column(c) for c in ("id", "g", "h")),
                     pa.array(n, pa.int64()),
                     pa.array(k, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(sig, pa.list_(pa.int64())),
                 ],
-                ["id", "h", "n", "k", "bands", "sig"],
+                ["id", "g", "h", "n", "k", "bands"],
             )
 
     return sign
@@ -135,46 +135,53 @@ def _signer(size: int):
 def _set_maker(size: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(size)
+        kind = pa.list_(pa.int64())
         for batch in batches:
-            sets = [shingle(text).view(np.int64) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
-            )
+            sets = [shingle(text) for text in batch.column("text").to_pylist()]
+            sigs = [packed(minima(s, HASHES)) for s in sets]
+            cols = [pa.array([s.view(np.int64) for s in sets], kind), pa.array(sigs, kind)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *cols], ["node", "shingles", "sig"])
 
     return make
 
 
-def estimated(sig_a: str, sig_b: str) -> Column:
-    """Similarity estimated from two packed signatures, corrected for chance agreement.
-
-    A lane differs when any of its bits does; m agreeing lanes of HASHES give
-    (m / HASHES - c) / (1 - c) with c = 2 ** -BITS.
-    """
+def _differing(a: Column, b: Column) -> Column:
+    """Lanes of two signature words that differ in any of their bits."""
     ones = sum(1 << (BITS * i) for i in range(LANES))
-    ones -= (1 << 64) if ones >> 63 else 0
-    differ = F.lit(0)
-    for i in range(HASHES // LANES):
-        x = F.col(sig_a)[i].bitwiseXOR(F.col(sig_b)[i])
-        lanes = x
-        for j in range(1, BITS):
-            lanes = lanes.bitwiseOR(F.shiftrightunsigned(x, j))
-        differ = differ + F.bit_count(lanes.bitwiseAND(F.lit(ones)))
-    c = 2.0**-BITS
-    return ((F.lit(float(HASHES)) - differ) / HASHES - c) / (1 - c)
+    x = a.bitwiseXOR(b)
+    lanes = x
+    for j in range(1, BITS):
+        lanes = lanes.bitwiseOR(F.shiftrightunsigned(x, j))
+    return F.bit_count(lanes.bitwiseAND(F.lit(ones - (1 << 64) if ones >> 63 else ones)))
+
 
+def most_differing(percent: int, hashes: int) -> int:
+    """Differing lanes at which an estimate is ``SIGMAS`` standard errors below the threshold.
 
-def least_estimate(percent: int) -> float:
-    """The threshold less ``SIGMAS`` standard errors of an estimate there."""
+    Two sets of similarity j agree in a lane with probability p = j + (1 - j) * c,
+    c = 2 ** -BITS by chance; the estimate is (m / hashes - c) / (1 - c).
+    """
     c = 2.0**-BITS
     j = percent / 100
     p = j + (1 - j) * c
-    return j - SIGMAS * (p * (1 - p) / HASHES) ** 0.5 / (1 - c)
+    least = j - SIGMAS * (p * (1 - p) / hashes) ** 0.5 / (1 - c)
+    return int(hashes * (1 - c) * (1 - least))
 
 
 def _plausible(percent: int) -> Column:
-    """Sizes that allow the threshold, and an estimate near or above it (columns n/sig and n2/sig2)."""
+    """Sizes that allow the threshold, and an estimate near or above it (columns n/sig and n2/sig2).
+
+    The estimate is read from the band minima's words first and, where they
+    don't rule the pair out, from the whole signatures.
+    """
     small, large = F.least("n", "n2"), F.greatest("n", "n2")
-    return (small * 100 >= large * percent) & (estimated("sig", "sig2") >= least_estimate(percent))
+    coarse = sum((_differing(F.col("sig")[i], F.col("sig2")[i]) for i in range(1, COARSE)), _differing(F.col("sig")[0], F.col("sig2")[0]))
+    fine = F.aggregate(F.zip_with("sig", "sig2", _differing), F.lit(0), lambda n, x: n + x)
+    return (
+        (small * 100 >= large * percent)
+        & (coarse <= most_differing(percent, ROWS * BANDS))
+        & (fine <= most_differing(percent, HASHES))
+    )
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -186,10 +193,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sb, "b").join(sa, "a").where(both * 100 >= union * percent).select("a", "b").distinct()
 
 
+def _row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """128 bits of id and text by which rows are found again (equal rows share them)."""
+    return F.xxhash64(id_col, text_col).alias("g"), F.xxhash64(text_col).alias("h")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
-    """One row per input row: ``id``, ``h`` (hash of the text), ``n_shingles``, ``component_id``.
+    """One row per input row: ``id``, ``g`` and ``h`` (the row's key), ``n_shingles``, ``component_id``.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of
     their sets of distinct ``size``-word shingles (a text of fewer words is
@@ -203,37 +215,37 @@ def near_duplicates(
     schema = T.StructType(
         [
             T.StructField("id", id_type),
+            T.StructField("g", T.LongType()),
             T.StructField("h", T.LongType()),
             T.StructField("n", T.LongType()),
             T.StructField("k", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
-            T.StructField("sig", T.ArrayType(T.LongType())),
         ]
     )
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).cast("binary").alias("text")
-    )
+    rows = docs.select(F.col(id_col).alias("id"), *_row_key(id_col, text_col), F.col(text_col).cast("binary").alias("text"))
     signed = rows.mapInArrow(_signer(size), schema).withColumn("rid", F.monotonically_increasing_id())
     signed = stored(signed, "minhash-signatures")
 
     classes = signed.where("n > 0").groupBy("k").agg(F.min("rid").alias("node"), F.min("id").alias("least_id"))
     classes = stored(classes, "minhash-classes")
     nodes = signed.join(classes.select(F.col("node").alias("rid")), "rid").withColumnRenamed("rid", "node")
-    nodes = stored(nodes.select("node", "id", "h", "n", "bands", "sig"), "minhash-nodes")
+    nodes = stored(nodes.select("node", "g", "h", "bands"), "minhash-nodes")
 
     keys = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = keys.groupBy("bucket").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("c")).where("c > 1")
     matched = stored(keys.join(shared.select("bucket", "center"), "bucket"), "minhash-buckets")
 
-    # the full sets of every class that shares a bucket
-    met = nodes.join(matched.select("node").distinct(), "node").select("node", "id", "h")
-    same = met["id"].eqNullSafe(rows["id"]) & (met["h"] == rows["h"])
-    texts = rows.join(met, same).select("node", "text")
-    sets = texts.mapInArrow(_set_maker(size), "node long, shingles array<long>")
+    # the full sets and signatures of every class that shares a bucket
+    met = nodes.join(matched.select("node").distinct(), "node")
+    once = Window.partitionBy("g", "h").orderBy("node")  # of equal rows, one stands for the class
+    texts = rows.drop("id").join(met.select("node", "g", "h"), ["g", "h"]).withColumn("nth", F.row_number().over(once))
+    texts = texts.where("nth = 1").select("node", "text")
+    sets = texts.mapInArrow(_set_maker(size), "node long, shingles array<long>, sig array<long>")
     sets = stored(sets, "minhash-sets")
 
-    marks = nodes.select("node", "n", "sig")
-    marks2 = nodes.select(F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("sig").alias("sig2"))
+    marks = sets.select("node", F.size("shingles").alias("n"), "sig")
+    marks2 = marks.toDF("node2", "n2", "sig2")
+    keys_of = met.select("node", "bands")
     star = matched.where("node != center").select(F.col("center").alias("node2"), "node").distinct()
     star = star.join(marks, "node").join(marks2, "node2").where(_plausible(percent))
     links = stored(_confirmed(star.select(F.col("node2").alias("a"), F.col("node").alias("b")), sets, percent), "minhash-links")
@@ -255,16 +267,19 @@ def near_duplicates(
     outside = stored(placed.where("comp != main"), "minhash-outside")
     crowded = outside.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_out"))
     others = placed.where("node != center").join(crowded, "bucket").where("n_out > 1 or comp = main")
-    others = others.join(marks, "node").select(
+    others = others.join(marks, "node").join(keys_of, "node").select(
         "bucket",
         F.col("node").alias("node2"),
         F.col("comp").alias("comp2"),
         (F.col("comp") == F.col("main")).alias("in_main"),
         F.col("n").alias("n2"),
         F.col("sig").alias("sig2"),
+        F.col("bands").alias("bands2"),
     )
+    outside = outside.join(marks, "node").join(keys_of, "node")
     differ = (F.col("comp") != F.col("comp2")) & (F.col("in_main") | (F.col("node") < F.col("node2")))
-    open_pairs = outside.join(marks, "node").join(others, "bucket").where(differ & _plausible(percent))
+    first = F.col("bucket") == F.array_min(F.array_intersect("bands", "bands2"))
+    open_pairs = outside.drop("main", "center").join(others, "bucket").where(differ & _plausible(percent) & first)
     open_pairs = open_pairs.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
     late = _confirmed(open_pairs, sets, percent)
     la = labels.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
@@ -281,9 +296,9 @@ def near_duplicates(
     )
     least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     by_set = named.join(least, "comp").select("k", "component_id")
-    out = signed.select("id", "h", "n", "k").join(by_set, "k", "left")
+    out = signed.select("id", "g", "h", "n", "k").join(by_set, "k", "left")
     return out.select(
-        "id", "h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
+        "id", "g", "h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
     )
 
 
@@ -298,9 +313,8 @@ def near_dedup(
     found = near_duplicates(docs, id_col, text_col, size, percent)
     empty = F.col("n_shingles") == 0
     stay = found.where(empty | F.col("id").eqNullSafe(F.col("component_id")))
-    stay = stay.groupBy("id", "h").agg(F.first(empty).alias("empty"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("i"), F.xxhash64(text_col).alias("t"))
-    same = rows["i"].eqNullSafe(stay["id"]) & (rows["t"] == stay["h"])
-    nth = F.row_number().over(Window.partitionBy("i", "t").orderBy("i"))
-    kept = rows.join(stay, same).withColumn("nth", nth).where("nth = 1 or empty")
+    stay = stay.groupBy("g", "h").agg(F.first(empty).alias("empty"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *_row_key(id_col, text_col))
+    nth = F.row_number().over(Window.partitionBy("g", "h").orderBy("g"))
+    kept = rows.join(stay, ["g", "h"]).withColumn("nth", nth).where("nth = 1 or empty")
     return kept.select("row.*")
