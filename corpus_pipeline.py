@@ -1,12 +1,68 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of ``documents``. Each works on all its predecessor
+kept:
+
+1. toxicity: documents whose score reaches the threshold go;
+2. near duplicates: one document of each group stays (five-word shingles,
+   similarity 0.8);
+3. decontamination: documents holding a benchmark window go;
+4. mixing: documents are taken as often as the fitted rates say, so that the
+   expected shares of the domains meet the targets;
+5. sharding: every row gets its shard and a slot inside it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from claimflow.llm import decontaminate, minhash, mixing, sharding, toxicity
 from claimflow.llm.common import stored, table
 
-STAGES: list = []
+SHARDS = 8
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose toxicity score is under the threshold; texts are scored whole."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, model, docs.columns)
+    return found.where(F.col("score") < toxicity.THRESHOLD).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id."""
+    return minhash.near_dedup(docs, size=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without any window of 10 benchmark words (or a whole shorter item)."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, max_coverage=0.0)
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents, each as often as the rates for the domains' target shares say."""
+    domain = mixing.label_domain(F.col("quality"), F.col("toxic")).alias("domain")
+    labelled = table(spark, sf_dir, "labels").select("doc_id", domain)
+    return mixing.mixed(docs, labelled, mixing.TARGETS)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows with ``shard`` (0 to SHARDS - 1) and ``slot`` (gapless from 0 in a shard)."""
+    placed = docs.withColumn("shard", sharding.shard_of("doc_id", sharding.default_tree(SHARDS)))
+    return sharding.with_slots(placed, ["doc_id", "text"])
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_domains),
+    ("sharding", shard),
+]
+
+#: SQL can express neither the network nor the fitted rates; the tests compare with brute force.
 ORACLE_SQL = None
 
 
@@ -14,5 +70,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages in order to the whole ``documents`` table."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
