@@ -83,7 +83,7 @@ def find_spans(text: str) -> list[tuple[int, int, int, str]]:
         for m in DENSE.finditer(text):
             if _dense(m[0]) and not any(a < m.end() and m.start() < b for a, b in base):
                 out.append((3, m.start(), m.end(), m[0]))
-    return sorted(out)
+    return sorted(out, key=lambda s: (s[1], s[0]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
