@@ -8,9 +8,9 @@
    move the rates from 1: with ``G = sum n p p'`` and ``W' W = inv(G)``, in
    units that weight a document by its tokens, the gradient of a document is
    ``p . y`` with ``y = inv(G) (sum r n p - target)`` and the step length 1 is
-   safe. Each step is one distributed sum of as many numbers as there are
-   domains; a document's rate follows from the list of ``y`` so far, so no
-   rate is stored between steps.
+   safe; steps are taken with momentum. Each is one distributed sum of a few
+   numbers a domain; a document's rate follows from the list of ``y`` so far,
+   so no rate is stored between steps.
 3. A document is emitted ``floor(rate)`` times, and once more with the
    probability of the rest, by a hash of its id and text.
 """
@@ -37,7 +37,7 @@ STEPS, BATCH, RATE = 500, 128, 0.02
 #: Words whose bucket a task remembers at most.
 CACHE_WORDS = 500_000
 #: Projected gradient steps at most, and the residual (as a share of the target total) that ends them.
-MAX_STEPS, TOLERANCE = 60, 1e-5
+MAX_STEPS, TOLERANCE = 60, 1e-4
 #: Domains of the labelled table and the shares of the token total that the query asks for.
 TARGETS = {"high": 0.85, "low": 0.12, "toxic": 0.03}
 
@@ -182,20 +182,37 @@ def posteriors(docs: DataFrame, model, carry: list[str], id_col: str = "doc_id",
     return rows.mapInArrow(_predicting(model), schema)
 
 
-def rate_of(steps: list[list[float]]) -> Column:
-    """A document's rate after the projected steps, from its posteriors ``p``."""
+def _states(steps: list[list[float]], domains: int) -> Column:
+    """A document's last two rates after the steps, from its posteriors ``p``.
+
+    A step holds ``y`` and the momentum: from ``z = rate + momentum * (rate -
+    rate before)`` it goes to ``max(0, z - p . y)``.
+    """
+    state = lambda rate, before: F.struct(rate.alias("rate"), before.alias("before"))
+    one = F.lit(1.0)
     if not steps:
-        return F.lit(1.0)
+        return state(one, one)
     ys = F.array(*[F.array(*[F.lit(float(v)) for v in y]) for y in steps])
-    dot = lambda y: sum((F.col("p")[d] * y[d] for d in range(1, len(steps[0]))), F.col("p")[0] * y[0])
-    return F.aggregate(ys, F.lit(1.0), lambda r, y: F.greatest(F.lit(0.0), r - dot(y)))
+
+    def move(s: Column, y: Column) -> Column:
+        z = s["rate"] + y[domains] * (s["rate"] - s["before"])
+        for d in range(domains):
+            z = z - F.col("p")[d] * y[d]
+        return state(F.greatest(F.lit(0.0), z), s["rate"])
+
+    return F.aggregate(ys, state(one, one), move)
+
+
+def rate_of(steps: list[list[float]], domains: int) -> Column:
+    """A document's rate after the projected steps."""
+    return _states(steps, domains)["rate"]
 
 
 def fit_rates(known: DataFrame, weights: list[float], budget: float | None = None) -> list[list[float]]:
     """The projected gradient steps for documents with ``n_tokens`` and ``p``.
 
     ``weights`` are the targets' shares of ``budget`` tokens (all tokens if
-    null). Every step is one pass over the narrow table and brings as many
+    null). Every step is one pass over the narrow table and brings twice as many
     sums to the driver as there are domains. Targets out of reach are
     approached in the least-squares sense.
     """
@@ -204,17 +221,19 @@ def fit_rates(known: DataFrame, weights: list[float], budget: float | None = Non
     gram = known.agg(F.sum(n), *[F.sum(n * p[i] * p[j]) for i in range(k) for j in range(k)]).first()
     if not gram[0]:
         return []
-    g = np.array(gram[1:], float).reshape(k, k)
-    inverse = np.linalg.pinv(g, rcond=1e-9, hermitian=True)
+    inverse = np.linalg.pinv(np.array(gram[1:], float).reshape(k, k), rcond=1e-9, hermitian=True)
     total = float(budget or gram[0])
     target = np.array(weights, float) / sum(weights) * total
     steps: list[list[float]] = []
-    for _ in range(MAX_STEPS):
-        sums = known.select("n_tokens", "p", rate_of(steps).alias("r")).agg(*[F.sum(n * F.col("r") * p[d]) for d in range(k)]).first()
-        off = np.array(sums, float) - target
-        if np.abs(off).sum() <= TOLERANCE * total:
+    for i in range(MAX_STEPS):
+        momentum = i / (i + 3)
+        now = known.select("n_tokens", "p", _states(steps, k).alias("s"))
+        ahead = F.col("s.rate") + F.lit(momentum) * (F.col("s.rate") - F.col("s.before"))
+        sums = now.agg(*[F.sum(n * x * p[d]) for x in (F.col("s.rate"), ahead) for d in range(k)]).first()
+        off = np.array(sums, float).reshape(2, k) - target
+        if np.abs(off[0]).sum() <= TOLERANCE * total:
             break
-        steps.append((inverse @ off).tolist())
+        steps.append([*(inverse @ off[1]).tolist(), momentum])
     return steps
 
 
@@ -238,7 +257,7 @@ def mix(
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labelled, domains, id_col, text_col))
     narrow = stored(posteriors(docs, model, [id_col], id_col, text_col).select("n_tokens", "p"), "mixing-posteriors")
     steps = fit_rates(narrow, [targets[d] for d in domains], budget)
-    found = posteriors(docs, model, carry, id_col, text_col).withColumn("rate", rate_of(steps))
+    found = posteriors(docs, model, carry, id_col, text_col).withColumn("rate", rate_of(steps, len(domains)))
     return found.withColumn("copies", F.floor(F.col("rate") + F.col("u")).cast("int")).drop("u")
 
 
