@@ -6,16 +6,18 @@ the mean of the hashed embeddings of its character n-grams. Windows of
 direction; attention pools the states and a logistic unit gives the window's
 probability. A document's score is a logistic function, fitted on labelled
 rows that the network was not trained on, of the mean over all its windows
-and of their number.
+and of their number; it is shifted so that the threshold is the cut of the
+highest F1 on those rows.
 
-The network is trained in numpy on a bounded sample of labelled rows: at most
-``SAMPLE_DOCS`` documents a class, chosen by hash, and ``SAMPLE_WINDOWS``
-windows of each. Scoring reads every text whole.
+The network is trained in numpy, in one task, on a bounded sample of labelled
+rows: at most ``SAMPLE_DOCS`` documents a class, chosen by hash, and
+``SAMPLE_WINDOWS`` windows of each. Scoring reads every text whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +38,7 @@ GRAMS = (4, 6)
 HEAD, TAIL = 24, 16
 #: Distinct words whose inputs a task remembers, and windows of one forward pass.
 CACHE_WORDS, CHUNK = 200_000, 2048
-STEPS, BATCH, RATE = 500, 128, 0.01
+STEPS, BATCH, RATE = 700, 128, 0.01
 #: Floor of the optimiser's scale for embeddings: what few windows say moves them little.
 EMBED_EPS = 1e-3
 #: Training documents that must hold a word or an n-gram before it has an embedding (rarer ones say nothing).
@@ -61,14 +63,14 @@ def starts_of(n: int) -> range:
     return range(0, max(n - (WINDOW - STRIDE), 1), STRIDE) if n else range(0)
 
 
-def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word bucket of each word, its n-gram buckets (padded) and which of them are real."""
+def features(words: list[bytes], longest: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word bucket of each word, its n-gram buckets (padded to those of ``longest`` bytes) and which of them are real."""
     width = HEAD + TAIL + 2
     flat = b"".join((b"^" + w + b"$").ljust(width, b"\0") for w in words)
     m = np.frombuffer(flat, np.uint8).reshape(len(words), width).astype(np.uint32)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 2
     bucket = np.fromiter((xxhash.xxh32_intdigest(w) % WORD_BUCKETS for w in words), np.int64, len(words))
-    longest = int(size.max(initial=max(GRAMS)))
+    longest = max(longest, int(size.max(initial=max(GRAMS))))
     ids, real = [], []
     for n in GRAMS:
         places = longest - n + 1
@@ -76,7 +78,7 @@ def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for j in range(n):
             code = code * np.uint32(0x01000193) ^ m[:, j : j + places]
         code = (code ^ (code >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-        ids.append((code ^ (code >> np.uint32(13))) % np.uint32(GRAM_BUCKETS))
+        ids.append(((code ^ (code >> np.uint32(13))) % np.uint32(GRAM_BUCKETS)).astype(np.uint16))
         real.append(np.arange(places)[None, :] <= np.maximum(size - n, 0)[:, None])
     return bucket, np.concatenate(ids, 1), np.concatenate(real, 1)
 
@@ -178,7 +180,7 @@ def _backward(p: dict, kept: tuple, d: np.ndarray) -> tuple[dict, np.ndarray]:
     return g, dx.reshape(n, steps, 6 * HIDDEN)
 
 
-def train(windows: list[tuple[int, int, list[bytes]]], share_toxic: float, seed: int = 6) -> Model:
+def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, seed: int = 6) -> Model:
     """Fit the network on (document, label, words) windows, the classes weighted alike.
 
     The document's function is then fitted with the classes weighted as in
@@ -200,26 +202,38 @@ def train(windows: list[tuple[int, int, list[bytes]]], share_toxic: float, seed:
         "bo": np.zeros(1, np.float32),
     }
     model = Model(p, np.array([-4.0, 8.0, 0.0, 0.0, 0.0]))
-    windows = sorted((w for w in windows if w[2]), key=lambda w: (w[0], w[2]))
-    y = np.array([w[1] for w in windows], np.float32)
+    place: dict[bytes, int] = {}
+    found = []
+    for d, label, words in windows:
+        if words:
+            found.append((d, label, np.fromiter((place.setdefault(w, len(place)) for w in words), np.int32, len(words))))
+    names = sorted(place)
+    rank = np.empty(len(names), np.int32)
+    rank[[place[w] for w in names]] = np.arange(len(names))
+    found = sorted(((d, label, rank[w]) for d, label, w in found), key=lambda f: (f[0], f[2].tobytes()))
+    y = np.array([f[1] for f in found], np.float32)
     if not len(y) or y.min() == y.max():  # nothing to learn from: every text gets the same low score
         return Model(p, np.array([-6.0, 0.0, 0.0, 0.0, 0.0]))
-    names = sorted({w for _, _, ws in windows for w in ws})
-    place = {w: i for i, w in enumerate(names)}
-    bucket, gram, real = features(names)
-    share = real / real.sum(1, keepdims=True)
-    doc_of = {d: i for i, d in enumerate(sorted({w[0] for w in windows}))}
-    pairs = np.array(sorted({(doc_of[d], place[w]) for d, _, ws in windows for w in ws}))
-    p["word"][_documents(pairs[:, 0], bucket[pairs[:, 1]], WORD_BUCKETS) < LEAST_WORD_DOCS] = 0
-    at, col = np.nonzero(real[pairs[:, 1]])
-    p["gram"][_documents(pairs[at, 0], gram[pairs[at, 1], col], GRAM_BUCKETS) < LEAST_GRAM_DOCS] = 0
+    longest = max(max(map(len, names)) + 2, max(GRAMS))
+    places = sum(longest - n + 1 for n in GRAMS)
+    bucket, gram, real = (np.empty((len(names), *k), t) for k, t in (((), np.int32), ((places,), np.uint16), ((places,), bool)))
+    for i in range(0, len(names), 8192):
+        bucket[i : i + 8192], gram[i : i + 8192], real[i : i + 8192] = features(names[i : i + 8192], longest)
+    del place
+    owner = np.array([f[0] for f in found])
+    ids = np.zeros((len(found), WINDOW), np.int32)
+    mask = np.zeros((len(found), WINDOW), np.float32)
+    for i, (_, _, w) in enumerate(found):
+        ids[i, : len(w)] = w
+        mask[i, : len(w)] = 1
+    for key, buckets, least in (("word", WORD_BUCKETS, LEAST_WORD_DOCS), ("gram", GRAM_BUCKETS, LEAST_GRAM_DOCS)):
+        docs = np.zeros(buckets, np.int64)
+        for rows in np.split(np.arange(len(found)), np.flatnonzero(np.diff(owner)) + 1):
+            used = np.unique(ids[rows][mask[rows] > 0])
+            docs[np.unique(bucket[used] if key == "word" else gram[used][real[used]])] += 1
+        p[key][docs < least] = 0
     live = {k: (p[k] != 0) for k in ("word", "gram")}
-    ids = np.zeros((len(windows), WINDOW), np.int64)
-    mask = np.zeros((len(windows), WINDOW), np.float32)
-    for i, (_, _, ws) in enumerate(windows):
-        ids[i, : len(ws)] = [place[w] for w in ws]
-        mask[i, : len(ws)] = 1
-    fold = np.array([w[0] % 4 == 0 for w in windows])  # a quarter of the documents fits the document's function
+    fold = owner % 4 == 0  # a quarter of the documents fits the document's function
     groups = [np.flatnonzero((y == c) & ~fold) for c in (0, 1)]
     if not all(len(g) for g in groups) or not fold.any():
         fold[:] = False
@@ -233,7 +247,7 @@ def train(windows: list[tuple[int, int, list[bytes]]], share_toxic: float, seed:
         m[: BATCH // 2] *= np.arange(WINDOW) < cut[:, None]  # clean texts of any length are clean
         used, where = np.unique(ids[rows], return_inverse=True)
         where = where.reshape(BATCH, WINDOW)
-        gw = (share[used][:, :, None]).astype(np.float32)
+        gw = (real[used] / real[used].sum(1, keepdims=True)).astype(np.float32)[:, :, None]
         x = np.concatenate([p["word"][bucket[used]], (p["gram"][gram[used]] * gw).sum(1)], 1)
         table = x @ p["wx"] + p["bx"]
         logit, kept = _forward(p, table[where], m)
@@ -259,21 +273,29 @@ def train(windows: list[tuple[int, int, list[bytes]]], share_toxic: float, seed:
             square[k] += 0.01 * (gk * gk - square[k])
             eps = EMBED_EPS if k in live else 1e-8
             v -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + eps)
-    table = model.inputs(names)
     rest = np.flatnonzero(fold if fold.any() else ~fold)
-    parts = [rest[i : i + CHUNK] for i in range(0, len(rest), CHUNK)]
-    prob = np.concatenate([model.windows(table, ids[i], mask[i]) for i in parts])
-    _, doc, n = np.unique([windows[i][0] for i in rest], return_inverse=True, return_counts=True)
+    prob = np.empty(len(rest))
+    for i in range(0, len(rest), CHUNK):
+        rows = rest[i : i + CHUNK]
+        used, where = np.unique(ids[rows], return_inverse=True)
+        prob[i : i + CHUNK] = model.windows(model.inputs([names[j] for j in used]), where.reshape(-1, WINDOW), mask[rows])
+    _, doc, n = np.unique(owner[rest], return_inverse=True, return_counts=True)
     label = np.bincount(doc, y[rest]) / n
     weight = np.where(label > 0.5, share_toxic / max(label.mean(), 1e-9), (1 - share_toxic) / max(1 - label.mean(), 1e-9))
-    model.doc = _logistic(_doc_features(np.bincount(doc, prob) / n, n), label, weight)
+    x = _doc_features(np.bincount(doc, prob) / n, n)
+    model.doc = _logistic(x, label, weight)
+    model.doc[0] += np.log(THRESHOLD / (1 - THRESHOLD)) - _best_cut(x @ model.doc, label > 0.5, weight)
     return model
 
 
-def _documents(doc: np.ndarray, bucket: np.ndarray, buckets: int) -> np.ndarray:
-    """Number of documents of each bucket."""
-    both = np.unique(doc.astype(np.int64) * buckets + bucket)
-    return np.bincount(both % buckets, minlength=buckets)
+def _best_cut(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> float:
+    """The log odds above which the weighted F1 of the toxic class is highest."""
+    order = np.argsort(-z, kind="stable")
+    hit, all_ = np.cumsum((weight * toxic)[order]), np.cumsum(weight[order])
+    f1 = 2 * hit / (all_ + (weight * toxic).sum())
+    f1[:-1][np.diff(z[order]) == 0] = 0  # equal values can't be parted
+    i = int(f1.argmax())
+    return float((z[order][i] + z[order][min(i + 1, len(z) - 1)]) / 2)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -324,8 +346,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # at most 2 * SAMPLE_DOCS rows of ids and labels
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("binary").alias("text"))
     rows = rows.join(F.broadcast(sample), "i").select(F.col("o").alias("doc"), "label", "text")
-    found = rows.mapInArrow(_windows, "doc long, label int, words binary").toLocalIterator()
-    return train([(r.doc, r.label, bytes(r.words).split()) for r in found], share)
+    found = rows.mapInArrow(_windows, "doc long, label int, words binary").repartition(1)
+    made = found.mapInArrow(_training(float(share)), "model binary").first()
+    return train([], share) if made is None else pickle.loads(made.model)
+
+
+def _training(share: float):
+    """Train in one task, whose input the sample bounds; the result is the pickled model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc", "label", "words"))))
+        model = train(((d, y, w.split()) for d, y, w in rows), share)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    return run
 
 
 class _Scorer:
