@@ -431,22 +431,40 @@ def parse_errors(gated: DataFrame, parties: DataFrame, txn: DataFrame, meta: Dat
     return errs.join(sample, "file_hash", "inner")
 
 
-def dedupe_claims(claims: DataFrame) -> DataFrame:
-    """One claim per silver key ``(file_hash, st_control, claim_id)``: the last by claim ordinal.
+def _rank(df: DataFrame, ordinal: str) -> DataFrame:
+    """Add ``claims_with_id`` and ``newer_claims``: claims of the same silver key, and those after this one."""
+    w = Window.partitionBy("file_hash", "st_control", "claim_id")
+    return df.withColumns({
+        "claims_with_id": F.count(F.lit(1)).over(w),
+        "newer_claims": F.row_number().over(w.orderBy(F.col(ordinal).desc())) - 1,
+    })
+
+
+def rank_claims(claims: DataFrame) -> DataFrame:
+    """Parsed claims with their ordinal in the file and their place among claims of the same silver key.
 
     The window is keyed by ``file_hash`` first, so it reuses the parse's
     partitioning (no shuffle).
     """
-    w = Window.partitionBy("file_hash", "st_control", "claim_id").orderBy(F.col("k").desc())
-    return claims.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return _rank(claims.withColumn("claim_ordinal", F.col("k").cast("int")), "claim_ordinal")
+
+
+def rank_silver(silver: DataFrame) -> DataFrame:
+    """The same for silver rows that carry ``claim_ordinal``."""
+    return _rank(silver, "claim_ordinal")
+
+
+def dedupe_claims(claims: DataFrame) -> DataFrame:
+    """One claim per silver key ``(file_hash, st_control, claim_id)``: the last by claim ordinal."""
+    return rank_claims(claims).filter("newer_claims = 0").drop("claim_ordinal", "claims_with_id", "newer_claims")
 
 
 def _json(c: str) -> Column:
     return F.to_json(F.col(c), {"ignoreNullFields": "false"})
 
 
-def to_silver(claims: DataFrame, parse_ts: str | None = None) -> DataFrame:
-    """Typed claims -> the silver claim table shape (nested values as JSON text)."""
+def to_silver(claims: DataFrame, parse_ts: str | None = None, extra: list[str] | None = None) -> DataFrame:
+    """Typed claims -> the silver claim table shape (nested values as JSON text), plus the ``extra`` columns."""
     ts = F.lit(parse_ts).cast("timestamp") if parse_ts else F.current_timestamp()
     return claims.select(
         "vendor_id", "file_hash", "file_path", "run_id", ts.alias("parse_ts"), "isa_control", "gs_control",
@@ -459,6 +477,7 @@ def to_silver(claims: DataFrame, parse_ts: str | None = None) -> DataFrame:
         _json("subscriber").alias("subscriber_json"),
         _json("patient").alias("patient_json"),
         _json("other_payers").alias("other_payer_json"),
+        *(extra or []),
     )
 
 

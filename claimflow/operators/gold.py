@@ -95,9 +95,10 @@ def claim_diagnosis(claims: DataFrame, run_id: str | None = None, load_ts: str |
 
 def claim_provider(claims: DataFrame, run_id: str | None = None, load_ts: str | None = None) -> DataFrame:
     df = _with_base(claims, run_id, load_ts).withColumn("_p", _nested(claims, "providers", "providers_json", PROVIDER_TYPE))
-    x = df.select(*BASE, "claim_key", F.explode("_p").alias("p"))
+    x = df.select(*BASE, "claim_key", F.posexplode("_p").alias("_pos", "p"))
     out = x.select(
         *BASE, "claim_key",
+        (F.col("_pos") + 1).cast("int").alias("provider_seq"),
         F.col("p.role").alias("provider_role"),
         *[F.col(f"p.{c}").alias(c) for c in ["nm1_code", "entity_type", "last_name_or_org", "first_name",
                                              "id_qualifier", "id_value", "npi", "addr1", "city", "state", "zip"]],
@@ -141,12 +142,13 @@ def claim_other_payer(claims: DataFrame, run_id: str | None = None, load_ts: str
     return out.withColumn("other_payer_key", hash_key("claim_key", "payer_seq", "payer_id", "payer_name", raw=1))
 
 
-# Merge keys of each gold table (null-safe).
+# Merge keys of each gold table (null-safe). Child rows have their position in the key, so that rows with
+# equal codes (lines without LX, revenue-only lines, one provider in two roles or twice) are all kept.
 GOLD_KEYS = {
     "claim_header": ["file_hash", "st_control", "claim_id"],
-    "claim_service_line": ["file_hash", "st_control", "claim_id", "lx", "procedure_code", "modifiers_str"],
+    "claim_service_line": ["file_hash", "st_control", "claim_id", "line_seq", "lx", "procedure_code", "modifiers_str"],
     "claim_diagnosis": ["diagnosis_key"],
-    "claim_provider": ["provider_key"],
+    "claim_provider": ["provider_key", "provider_seq"],
     "claim_subscriber": ["subscriber_key"],
     "claim_patient": ["patient_key"],
     "claim_other_payer": ["other_payer_key"],

@@ -18,15 +18,16 @@ UpdateSpec = Sequence[str] | Mapping[str, "str | Callable[[Callable[[str], Colum
 
 
 def dedupe_source(source: DataFrame, keys: Sequence[str], order: Column | str | None = None) -> DataFrame:
-    """One row per key: the row with the largest ``order`` (any row when ``order`` is None).
+    """One row per key: the row with the largest ``order``; without one, the largest by its other columns in turn.
 
-    A ``max_by`` aggregate, so it pre-aggregates map-side: a key held by a
-    third of the rows is collapsed before the shuffle.
+    So the row that stays doesn't depend on how the rows are partitioned. A
+    ``max_by`` aggregate, so it pre-aggregates map-side: a key held by a third
+    of the rows is collapsed before the shuffle.
     """
     others = [c for c in source.columns if c not in keys]
     if not others:
         return source.dropDuplicates(list(keys))
-    o = F.col(order) if isinstance(order, str) else (order if order is not None else F.lit(0))
+    o = F.col(order) if isinstance(order, str) else (order if order is not None else F.struct(*others))
     return (
         source.groupBy(*keys)
         .agg(F.max_by(F.struct(*others), o).alias("_r"))

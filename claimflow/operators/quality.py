@@ -19,25 +19,30 @@ from pyspark.sql.types import BooleanType
 from claimflow.sources.config import active, broadcast_if_small, scoped_lookup
 
 SAMPLE_CHARS = 2000
-SAMPLE_ROWS = 20
+# A row's JSON and the comma after it have three characters at least, so no later row reaches the first SAMPLE_CHARS.
+SAMPLE_ROWS = SAMPLE_CHARS // 3 + 1
 DQ_COLUMNS = ["pipeline_name", "run_id", "vendor_id", "file_hash", "rule_id", "entity", "severity",
               "failed_count", "sample_values", "load_ts"]
 ENTITIES = ["SILVER_CLAIM", "GOLD_HEADER", "GOLD_SERVICE_LINE", "GOLD_DIAGNOSIS", "GOLD_PROVIDER"]
-_SUBQUERY = re.compile(r"\b(select|exists)\b", re.IGNORECASE)
+# A subquery opens with a bracket and one of these words; text inside quotes doesn't count.
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|`[^`]*`", re.DOTALL)
+_SUBQUERY = re.compile(r"\(\s*(select|with|from|values|table)\b", re.IGNORECASE)
 
 
 def validate_predicate(df: DataFrame, predicate: str) -> str | None:
     """None when ``predicate`` is a boolean expression over ``df``'s columns, else the reason.
 
-    Subqueries are refused (a rule must stay a row filter); analysis runs on
-    the driver and starts no job.
+    A rule must stay a row filter: subqueries, aggregates and window functions
+    are refused. Analysis runs on the driver and starts no job.
     """
     if predicate is None or not predicate.strip():
         return "empty predicate"
-    if _SUBQUERY.search(predicate):
+    if _SUBQUERY.search(_QUOTED.sub("''", predicate)):
         return "subqueries are not allowed in DQ predicates"
     try:
         dtype = df.select(F.expr(predicate).alias("_p")).schema["_p"].dataType
+        if isinstance(dtype, BooleanType):
+            df.filter(F.expr(predicate)).schema  # an aggregate or window function can't stand in a filter
     except Exception as e:  # analysis error: unknown column, bad syntax
         return f"invalid predicate: {str(e).splitlines()[0][:200]}"
     if not isinstance(dtype, BooleanType):
@@ -52,12 +57,16 @@ def run_dq_rules(
     run_id: str,
     load_ts: str | None = None,
     with_samples: bool = True,
+    probe: bool = False,
 ) -> DataFrame:
     """``dq_results`` rows: one per (rule, vendor, file) with at least one failing row.
 
     Vendor-scoped rules only count rows of their vendor. A NULL predicate
     result is not a failure (SQL WHERE semantics). A rule that does not
-    analyse gives one ``RULE_ERROR`` row with the reason as sample.
+    analyse gives one ``RULE_ERROR`` row with the reason as sample. With
+    ``probe`` every rule is first run over its entity alone (a job each); one
+    that fails on the data, such as a cast of unfit text, gives a
+    ``RULE_ERROR`` row too and the others are counted as usual.
     """
     spark = rules.sparkSession
     defs = active(rules).select("rule_id", "entity", "severity", "vendor_id", "sql_predicate").orderBy("rule_id").collect()
@@ -71,6 +80,8 @@ def run_dq_rules(
         good = []
         for r in (x for x in defs if x["entity"] == entity):
             reason = validate_predicate(frame, r["sql_predicate"])
+            if reason is None and probe:
+                reason = _fails(frame, r)
             if reason:
                 errors.append((pipeline_name, run_id, r["vendor_id"], None, r["rule_id"], entity, "RULE_ERROR", None,
                                reason[:SAMPLE_CHARS]))
@@ -78,26 +89,24 @@ def run_dq_rules(
                 good.append(r)
         if not good:
             continue
-        flags = []
-        for i, r in enumerate(good):
-            cond = F.coalesce(F.expr(r["sql_predicate"]), F.lit(False))
-            if r["vendor_id"]:
-                cond = cond & F.coalesce(F.col("vendor_id") == F.lit(r["vendor_id"]), F.lit(False))
-            flags.append(cond.alias(f"_f{i}"))
+        flags = [_failing(r).alias(f"_f{i}") for i, r in enumerate(good)]
         scored = frame.select("*", *flags)
         counts = scored.groupBy("vendor_id", "file_hash").agg(
             *[F.count_if(F.col(f"_f{i}")).alias(f"_n{i}") for i in range(len(good))]
         )
-        stack = "stack({n}, {items}) as (rule_id, failed_count)".format(
-            n=len(good), items=", ".join(f"'{r['rule_id']}', _n{i}" for i, r in enumerate(good))
-        )
-        long = counts.selectExpr("vendor_id", "file_hash", stack).filter(F.col("failed_count") > 0)
-        meta = spark.createDataFrame(
-            [(r["rule_id"], r["severity"]) for r in good], "rule_id string, severity string"
-        )
-        long = long.join(F.broadcast(meta), "rule_id", "inner").withColumn("entity", F.lit(entity))
+        items = F.array(*[
+            F.struct(F.lit(r["rule_id"]).alias("rule_id"), F.lit(r["severity"]).cast("string").alias("severity"),
+                     F.col(f"_n{i}").alias("failed_count"))
+            for i, r in enumerate(good)
+        ])
+        long = counts.select("vendor_id", "file_hash", F.explode(items).alias("_r")).select(
+            "vendor_id", "file_hash", "_r.*").filter(F.col("failed_count") > 0)
+        long = long.withColumn("entity", F.lit(entity))
         if with_samples:
-            long = long.join(_samples(scored, good, frame.columns), ["vendor_id", "file_hash", "rule_id"], "left")
+            smp = _samples(scored, good, frame.columns)
+            same = [long[k].eqNullSafe(smp[k]) for k in ("vendor_id", "file_hash", "rule_id")]
+            long = long.join(smp, same[0] & same[1] & same[2], "left").select(
+                *[long[c] for c in long.columns], smp["sample_values"])
         else:
             long = long.withColumn("sample_values", F.lit(None).cast("string"))
         outputs.append(long)
@@ -121,12 +130,30 @@ def run_dq_rules(
     return out
 
 
+def _failing(rule) -> Column:
+    """True for the rows that fail the rule."""
+    cond = F.coalesce(F.expr(rule["sql_predicate"]), F.lit(False))
+    if rule["vendor_id"]:
+        cond = cond & F.coalesce(F.col("vendor_id") == F.lit(rule["vendor_id"]), F.lit(False))
+    return cond
+
+
+def _fails(frame: DataFrame, rule) -> str | None:
+    """The reason why the rule can't be evaluated over the rows, if it can't (runs a job)."""
+    try:
+        frame.agg(F.count_if(_failing(rule))).collect()
+    except Exception as e:
+        return f"rule failed on the data: {str(e).splitlines()[0][:200]}"
+    return None
+
+
 def _samples(scored: DataFrame, good: list, cols: list[str]) -> DataFrame:
-    """Up to SAMPLE_ROWS failing rows per (vendor, file, rule) as JSON, cut to SAMPLE_CHARS.
+    """Failing rows per (vendor, file, rule) as JSON, cut to SAMPLE_CHARS, the only cut that shows.
 
-    ``row_number() <= k`` is planned as a window group limit that is also
-    applied before the shuffle, so a file with millions of failures sends at
-    most k rows per task, never all of them.
+    Rows past SAMPLE_ROWS can't reach the text that is kept. ``row_number() <=
+    k`` is planned as a window group limit that is also applied before the
+    shuffle, so a file with millions of failures sends at most k rows per
+    task, never all of them.
     """
     rid = F.element_at(F.array(*[F.lit(r["rule_id"]) for r in good]), F.col("_i") + 1)
     fail_idx = F.filter(
@@ -247,10 +274,12 @@ def version_check(claims: DataFrame, registry: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- partner extracts
 def partner_manifest(extract: DataFrame, key: str = "claim_key", amount: str = "claim_amount") -> DataFrame:
-    """Manifest per partner: row count, decimal total, first / last key.
+    """Manifest per partner: row count, decimal total, first / last key, and a hash of the rows.
 
-    Built from mergeable aggregates only, so a partner holding most of the
-    rows is pre-aggregated map-side and never gathered into one task.
+    The hash (``rows_hash``) is the exclusive or of the rows' 64-bit hashes, so it does not depend
+    on order or partitioning. Built from mergeable aggregates only, so a
+    partner holding most of the rows is pre-aggregated map-side and never
+    gathered into one task.
     """
     return extract.groupBy("vendor_id").agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -258,12 +287,18 @@ def partner_manifest(extract: DataFrame, key: str = "claim_key", amount: str = "
         .cast("double").alias("total_amount"),
         F.min(key).alias("first_claim_key"),
         F.max(key).alias("last_claim_key"),
+        F.bit_xor(F.xxhash64(*extract.columns)).alias("rows_hash"),
     )
 
 
-def write_partner_extract(extract: DataFrame, path: str, order_by: list[str] | None = None) -> None:
-    """Write the extract one folder per partner, rows sorted inside each file."""
-    df = extract.repartition("vendor_id")
+def write_partner_extract(extract: DataFrame, path: str, order_by: list[str] | None = None, salts: int = 32) -> None:
+    """Write the extract one folder per partner, rows sorted inside each file.
+
+    A partner's rows are dealt to ``salts`` tasks by hash, so one holding a
+    third of all rows is not one task; its folder has up to as many files.
+    """
+    salt = F.pmod(F.xxhash64(*extract.columns), F.lit(salts))
+    df = extract.repartition(F.col("vendor_id"), salt)
     if order_by:
         df = df.sortWithinPartitions(*order_by)
     df.write.mode("overwrite").partitionBy("vendor_id").parquet(path)

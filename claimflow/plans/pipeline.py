@@ -77,7 +77,7 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
 
-    def read(self, name: str, schema: str | None = None) -> DataFrame:
+    def read(self, name: str, schema=None) -> DataFrame:
         live = self._live(name)
         if not live:
             if schema is None:
@@ -116,11 +116,13 @@ class TableStore:
         return path
 
     def insert_new(self, name: str, source: DataFrame, keys: list[str], schema: str | None = None,
-                   unique: bool = False) -> None:
+                   unique: bool = False, null_safe: bool = True) -> None:
         """Insert-only merge as an append: the source rows whose keys are not in the table yet.
 
-        Keys match null-safely; the source is reduced to one row per key first
-        unless the caller guarantees unique keys (``unique=True`` saves that shuffle).
+        Keys match null-safely (``null_safe=False``: they are never null, so a
+        plain equality lets the join reuse the source's partitioning); the
+        source is reduced to one row per key first unless the caller
+        guarantees unique keys (``unique=True`` saves that shuffle).
         """
         src = source if unique else M.dedupe_source(source, keys)
         if not self.exists(name):
@@ -130,7 +132,7 @@ class TableStore:
         tk = target.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
         cond = None
         for k in keys:
-            c = src[k].eqNullSafe(tk[f"__k_{k}"])
+            c = src[k].eqNullSafe(tk[f"__k_{k}"]) if null_safe else src[k] == tk[f"__k_{k}"]
             cond = c if cond is None else cond & c
         self.append(name, src.join(tk, cond, "left_anti").select(*target.columns))
 
@@ -138,7 +140,7 @@ class TableStore:
         vs = self._versions(name)
         return int(vs[-1][1:]) if vs else None
 
-    def read_new(self, name: str, since: int | None, schema: str | None = None) -> tuple[DataFrame, int | None]:
+    def read_new(self, name: str, since: int | None, schema=None) -> tuple[DataFrame, int | None]:
         """Rows added after version ``since``: the live deltas newer than it.
 
         When a full rewrite happened after ``since`` (or there is no
@@ -147,7 +149,7 @@ class TableStore:
         """
         live = self._live(name)
         if not live:
-            return (self.read(name, schema) if schema else self.spark.createDataFrame([], "x int")), since
+            return self.read(name, schema), since
         newest = int(live[-1][1:])
         base = int(live[0][1:])
         if since is None or (live[0][0] == "v" and base > since):
@@ -173,34 +175,49 @@ class RunContext:
     run_id: str
     ts: str
     vendor_ids: list[str] | None = None
+    standardize: bool = False
     timings: dict[str, float] = field(default_factory=dict)
     observations: dict[str, Observation] = field(default_factory=dict)
     _marks: dict | None = None
     _dirty: dict = field(default_factory=dict)
 
-    def watermark(self, consumer: str, source: str) -> int | None:
-        """The last ``source`` version ``consumer`` has processed (read once per run)."""
+    def _load_marks(self) -> dict:
         if self._marks is None:
             self._marks = {}
             if self.store.exists("_watermarks"):
                 for r in self.store.read("_watermarks").collect():
-                    self._marks[(r["consumer"], r["source"])] = int(r["version"])
-        return self._marks.get((consumer, source))
+                    self._marks[(r["consumer"], r["source"], r["vendor_id"])] = int(r["version"])
+        return self._marks
+
+    def watermark(self, consumer: str, source: str) -> int | None:
+        """The last ``source`` version ``consumer`` has processed (read once per run).
+
+        A run for some vendors has processed what each of them has: the
+        smallest of their marks, a vendor without one having that of the last
+        run over all vendors.
+        """
+        marks = self._load_marks()
+        whole = marks.get((consumer, source, None))
+        if not self.vendor_ids:
+            return whole
+        each = [max((m for m in (marks.get((consumer, source, v)), whole) if m is not None), default=None)
+                for v in self.vendor_ids]
+        return None if None in each else min(each)
 
     def advance(self, consumer: str, source: str, version: int | None) -> None:
         """Record a new watermark; :meth:`flush` writes them (a crash before it only means re-reading deltas,
         which the key-level anti joins make harmless)."""
-        if version is not None and not self.vendor_ids:  # a vendor-filtered run has not consumed everything
-            self.watermark(consumer, source)
-            self._marks[(consumer, source)] = int(version)
+        if version is not None:
+            for v in self.vendor_ids or [None]:
+                self._load_marks()[(consumer, source, v)] = int(version)
             self._dirty[(consumer, source)] = int(version)
 
     def flush(self) -> None:
         if not self._dirty:
             return
-        rows = [(c, s_, v) for (c, s_), v in self._marks.items()]
+        rows = [(c, s_, v, n) for (c, s_, v), n in self._marks.items()]
         self.store.write("_watermarks", self.spark.createDataFrame(
-            rows, "consumer string, source string, version bigint").coalesce(1))
+            rows, "consumer string, source string, vendor_id string, version bigint").coalesce(1))
         self._dirty = {}
 
     def observe(self, name: str, df: DataFrame) -> DataFrame:
@@ -231,6 +248,7 @@ REJECT_SCHEMA = ("vendor_id string, run_id string, file_path string, modificatio
 SILVER_SCHEMA = ", ".join(
     f"{c} {'timestamp' if c == 'parse_ts' else 'double' if c == 'claim_amount' else 'string'}" for c in C.SILVER_COLUMNS
 )
+SUPERSEDED_SCHEMA = f"{SILVER_SCHEMA}, claim_ordinal int, claims_with_id bigint"
 ERROR_SCHEMA = ", ".join(f"{c} {'timestamp' if c == 'parse_ts' else 'string'}" for c in C.ERROR_COLUMNS)
 QUARANTINE_SCHEMA = ("vendor_id string, file_hash string, file_path string, run_id string, stage string, rule_id string, "
                      "reason string, created_ts timestamp")
@@ -238,12 +256,20 @@ QUARANTINE_SCHEMA = ("vendor_id string, file_hash string, file_path string, run_
 
 # ---------------------------------------------------------------- steps
 def bronze_step(ctx: RunContext, landing: DataFrame) -> None:
-    """Landing rows -> bronze_837_raw (insert-only on file_hash) + bronze_837_quarantine (append)."""
-    ing = B.ingest(landing, ctx.run_id, ctx.ts).persist()
+    """Landing rows -> bronze_837_raw (insert-only on file_hash) + bronze_837_quarantine (insert-only on hash and path).
+
+    A run for some vendors loads their files only (rejects without a vendor folder included).
+    """
+    ing = B.ingest(landing, ctx.run_id, ctx.ts)
+    if ctx.vendor_ids:
+        ing = ing.filter(F.col("vendor_id").isNull() | F.col("vendor_id").isin(ctx.vendor_ids))
+    ing = ing.persist()
     good, bad = B.split_rejects(ing)
+    # one row per hash by construction, and no null hash: no second pass over the text
     ctx.store.insert_new("bronze_837_raw", ctx.observe("bronze_candidates", B.dedupe_by_hash(good)), ["file_hash"],
-                         BRONZE_SCHEMA)
-    ctx.store.append("bronze_837_quarantine", ctx.observe("bronze_rejected", bad))
+                         BRONZE_SCHEMA, unique=True, null_safe=False)
+    ctx.store.insert_new("bronze_837_quarantine", ctx.observe("bronze_rejected", bad), ["file_hash", "file_path"],
+                         REJECT_SCHEMA, unique=True)
     ing.unpersist()
 
 
@@ -263,7 +289,15 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     errors_t = ctx.store.read("silver_837_parse_error", ERROR_SCHEMA)
     todo = B.unprocessed(bronze, claims_t, errors_t, reprocess)
     res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA), persist=True)
-    claims = ctx.observe("silver_claims_parsed", C.to_silver(C.dedupe_claims(res["claims"]), ctx.ts))
+    ranked = C.rank_claims(res["claims"])
+    if ctx.standardize:
+        rules = ctx.store.read("silver_standardization_rules", cfg.STD_RULES_SCHEMA)
+        std = Q.apply_standardization(C.to_silver(ranked, ctx.ts, ["claim_ordinal"]), rules, "silver_837_claim")
+        silver = C.rank_silver(std)  # a rule may make two claim ids equal
+    else:
+        silver = C.to_silver(ranked, ctx.ts, ["claim_ordinal", "claims_with_id", "newer_claims"])
+    claims = ctx.observe("silver_claims_parsed", silver.filter("newer_claims = 0").select(*C.SILVER_COLUMNS))
+    older = silver.filter("newer_claims > 0").select(*C.SILVER_COLUMNS, "claim_ordinal", "claims_with_id")
     keys = ["file_hash", "st_control", "claim_id"]
     if reprocess is None:
         # Only files without claims or errors were parsed, so no key can match: an append.
@@ -272,6 +306,8 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     else:
         upd = [c for c in C.SILVER_COLUMNS if c not in keys]
         ctx.store.write("silver_837_claim", M.merge_frames(claims_t, claims, keys, update=upd))
+    # claims that a later claim of the same id in the transaction replaces: kept aside and counted, never lost
+    ctx.store.insert_new("silver_837_claim_superseded", older, [*keys, "claim_ordinal"], SUPERSEDED_SCHEMA, unique=True)
     errs = ctx.observe("silver_parse_errors", C.errors_table(res["errors"], ctx.ts)).persist()
     ctx.store.insert_new("silver_837_parse_error", errs, ["file_hash", "error_stage", "error_message"], ERROR_SCHEMA,
                          unique=True)
@@ -286,10 +322,12 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
 
 
 def standardize_step(ctx: RunContext) -> None:
-    """SILVER_STD: apply the standardization rules to the silver claim table."""
-    silver = ctx.store.read("silver_837_claim", SILVER_SCHEMA)
-    rules = ctx.store.read("silver_standardization_rules", cfg.STD_RULES_SCHEMA)
-    ctx.store.write("silver_837_claim", Q.apply_standardization(silver, rules, "silver_837_claim"))
+    """SILVER_STD: nothing is left to do here.
+
+    When the step is enabled, the silver step applies the standardization
+    rules to new claims before they are stored, so a rule meets every claim
+    exactly once and stored rows are never rewritten.
+    """
 
 
 def _gold_step(ctx: RunContext, table: str) -> None:
@@ -305,7 +343,8 @@ def _gold_step(ctx: RunContext, table: str) -> None:
         return
     silver = ctx.vendor_filter(silver)
     new = G.NORMALIZERS[table](silver, ctx.run_id, ctx.ts)
-    ctx.store.insert_new(table, new, G.GOLD_KEYS[table])
+    # the keys hold each row's position in its claim, so every child row has a key of its own
+    ctx.store.insert_new(table, new, G.GOLD_KEYS[table], unique=True)
     ctx.advance(table, "silver_837_claim", upto)
 
 
@@ -357,12 +396,15 @@ def ops_step(ctx: RunContext) -> None:
         st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, nothing.drop("failed_files")))
         return
 
-    def new_rows(t: str, schema: str | None = None) -> DataFrame:
-        return st.read_new(t, ctx.watermark("ops", t), schema)[0]
+    gold_schema = {t: G.NORMALIZERS[t](ctx.spark.createDataFrame([], SILVER_SCHEMA), ctx.run_id, ctx.ts).schema
+                   for t in G.NORMALIZERS}
+
+    def new_rows(t: str, schema) -> DataFrame:
+        return ctx.vendor_filter(st.read_new(t, ctx.watermark("ops", t), schema)[0])
 
     bronze_new = new_rows("bronze_837_raw", BRONZE_SCHEMA)
     silver_new = new_rows("silver_837_claim", SILVER_SCHEMA)
-    gold_new = {t: new_rows(t) for t in G.NORMALIZERS}
+    gold_new = {t: new_rows(t, gold_schema[t]) for t in G.NORMALIZERS}
     first_run = ctx.watermark("ops", "silver_837_claim") is None
     if first_run:  # every file is new: no need to compute the touched set
         def only_touched(df: DataFrame) -> DataFrame:
@@ -381,8 +423,8 @@ def ops_step(ctx: RunContext) -> None:
     quarantined = st.read("quarantine_files", QUARANTINE_SCHEMA).select("file_hash").filter(F.col("file_hash").isNotNull())
     fa = M.merge_frames(fa, quarantined.withColumn("status", F.lit(A.STATUS_QUARANTINED)), ["file_hash"],
                         update=["status"], insert=False)
-    silver = only_touched(st.read("silver_837_claim", SILVER_SCHEMA))
-    gold = {t: only_touched(st.read(t)) for t in G.NORMALIZERS}
+    silver = only_touched(ctx.vendor_filter(st.read("silver_837_claim", SILVER_SCHEMA)))
+    gold = {t: only_touched(ctx.vendor_filter(st.read(t, gold_schema[t]))) for t in G.NORMALIZERS}
     recon = A.reconcile_files(A.silver_metrics(silver), A.gold_metrics(*gold.values()),
                               F.lit(ctx.run_id), F.lit(ctx.run_id), ctx.ts)
     fa = A.apply_reconciliation(fa, recon)
@@ -393,9 +435,17 @@ def ops_step(ctx: RunContext) -> None:
     entities = {"SILVER_CLAIM": silver_new, "GOLD_HEADER": gold_new["claim_header"],
                 "GOLD_SERVICE_LINE": gold_new["claim_service_line"], "GOLD_DIAGNOSIS": gold_new["claim_diagnosis"],
                 "GOLD_PROVIDER": gold_new["claim_provider"]}
-    dq = Q.run_dq_rules(entities, st.read("dq_rules_837", cfg.DQ_RULES_SCHEMA), PIPELINE, ctx.run_id, ctx.ts)
-    # one row per (run, rule, vendor, file) by construction
-    st.insert_new("dq_results", dq, ["pipeline_name", "run_id", "rule_id", "file_hash", "vendor_id"], unique=True)
+    rules = st.read("dq_rules_837", cfg.DQ_RULES_SCHEMA)
+
+    def store_dq(probe: bool) -> None:
+        dq = Q.run_dq_rules(entities, rules, PIPELINE, ctx.run_id, ctx.ts, probe=probe)
+        # one row per (run, rule, vendor, file) by construction
+        st.insert_new("dq_results", dq, ["pipeline_name", "run_id", "rule_id", "file_hash", "vendor_id"], unique=True)
+
+    try:
+        store_dq(False)
+    except Exception:  # some rule fails on the data: find out which, record it, run the others
+        store_dq(True)
     # files reconciled by this run carry its run id: no need to recompute the reconciliation
     status = A.run_status(st.read("file_audit").filter(F.col("gold_run_id") == ctx.run_id), end_ts=ctx.ts)
     st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, status.drop("failed_files")))
@@ -426,16 +476,32 @@ STEP_FUNCTIONS = {
 
 
 def seed_config(spark: SparkSession, store: TableStore, landing_root: str = cfg.LANDING_ROOT) -> None:
-    """Write the config seed tables (idempotent: rewritten as a new version each time)."""
-    store.write("vendor_registry", cfg.vendor_registry(spark, landing_root))
-    store.write("vendor_837_profile", cfg.vendor_profiles(spark))
-    store.write("pipeline_steps", cfg.pipeline_steps(spark))
-    store.write("vendor_step_overrides", cfg.step_overrides(spark))
-    store.write("nm1_role_map", cfg.nm1_role_map(spark))
-    store.write("hi_qualifier_map", cfg.hi_qualifier_map(spark))
-    store.write("ref_qualifier_map", cfg.ref_qualifier_map(spark))
-    store.write("silver_standardization_rules", cfg.standardization_rules(spark))
-    store.write("dq_rules_837", cfg.dq_rules(spark))
+    """Seed the config tables; seeding again keeps every row that users have added.
+
+    Vendors, profiles, steps and DQ rules are merged on their keys; the
+    global (NULL vendor) rows of the code maps and standardization rules are
+    replaced; step overrides are only created.
+    """
+
+    def merge(name: str, seed: DataFrame, keys: list[str]) -> None:
+        if store.exists(name):
+            upd = [c for c in seed.columns if c not in (*keys, "created_ts")]
+            seed = M.merge_frames(store.read(name), seed, keys, update=upd)
+        store.write(name, seed)
+
+    def defaults(name: str, seed: DataFrame) -> None:
+        store.write(name, M.replace_rows(store.read(name), seed, F.col("vendor_id").isNull()) if store.exists(name) else seed)
+
+    merge("vendor_registry", cfg.vendor_registry(spark, landing_root), ["vendor_id"])
+    merge("vendor_837_profile", cfg.vendor_profiles(spark), ["vendor_id"])
+    merge("pipeline_steps", cfg.pipeline_steps(spark), ["pipeline_name", "step_name"])
+    if not store.exists("vendor_step_overrides"):
+        store.write("vendor_step_overrides", cfg.step_overrides(spark))
+    defaults("nm1_role_map", cfg.nm1_role_map(spark))
+    defaults("hi_qualifier_map", cfg.hi_qualifier_map(spark))
+    defaults("ref_qualifier_map", cfg.ref_qualifier_map(spark))
+    defaults("silver_standardization_rules", cfg.standardization_rules(spark))
+    merge("dq_rules_837", cfg.dq_rules(spark), ["rule_id", "vendor_id"])
 
 
 def run_pipeline(ctx: RunContext, landing: DataFrame, steps: list[str] | None = None) -> dict[str, float]:
@@ -445,10 +511,9 @@ def run_pipeline(ctx: RunContext, landing: DataFrame, steps: list[str] | None =
         .filter((F.col("pipeline_name") == PIPELINE) & F.col("enabled_flag"))
         .select("step_order", "step_name").orderBy("step_order").collect()
     )
-    for r in step_rows:
-        name = r["step_name"]
-        if steps is not None and name not in steps:
-            continue
+    names = [r["step_name"] for r in step_rows if steps is None or r["step_name"] in steps]
+    ctx.standardize = "SILVER_STD" in names
+    for name in names:
         fn = STEP_FUNCTIONS[name]
         _timed(ctx, name, (lambda: fn(ctx, landing)) if name == "BRONZE" else (lambda: fn(ctx)))
     ctx.flush()
@@ -477,19 +542,41 @@ def orchestrate(ctx: RunContext, listing: DataFrame, landing: DataFrame) -> Data
     enabled = plan.filter("enabled").groupBy("step_order", "step_name").agg(
         F.sort_array(F.collect_set("vendor_id")).alias("vendors")).orderBy("step_order").collect()
     landing_todo = landing.join(todo.withColumnRenamed("file_path", "path").select("path"), "path", "left_semi")
-    outcomes = []
-    for r in enabled:
-        ctx.vendor_ids = list(r["vendors"])
-        fn = STEP_FUNCTIONS[r["step_name"]]
+    std = {v for r in enabled if r["step_name"] == "SILVER_STD" for v in r["vendors"]}
+    failed: dict[str, str] = {}
+
+    def run_step(name: str, vendor_ids: list[str]) -> None:
+        ctx.vendor_ids = vendor_ids
+        if name == "BRONZE":
+            bronze_step(ctx, landing_todo)
+        else:
+            STEP_FUNCTIONS[name](ctx)
+
+    def attempt(name: str, vendor_ids: list[str]) -> None:
+        """Run a step for these vendors; when it fails, again for each alone, to part the failing ones."""
         try:
-            _timed(ctx, r["step_name"], (lambda: fn(ctx, landing_todo)) if r["step_name"] == "BRONZE" else (lambda: fn(ctx)))
-        except Exception as e:  # a failing step marks its vendors FAILED; others continue
-            outcomes += [(v, False, str(e)[:500]) for v in r["vendors"]]
+            run_step(name, vendor_ids)
+        except Exception as e:
+            if len(vendor_ids) == 1:
+                failed[vendor_ids[0]] = f"{name}: {e}"[:500]
+            else:
+                for v in vendor_ids:
+                    attempt(name, [v])
+
+    for r in enabled:
+        going = [v for v in r["vendors"] if v not in failed]  # a vendor stops after its failing step
+        if r["step_name"] == "SILVER":  # vendors with and without standardization take turns
+            groups = [(True, [v for v in going if v in std]), (False, [v for v in going if v not in std])]
+        else:
+            groups = [(False, going)]
+        for ctx.standardize, vendor_ids in groups:
+            if vendor_ids:
+                _timed(ctx, r["step_name"], lambda: attempt(r["step_name"], vendor_ids))
     ctx.vendor_ids = None
     ctx.flush()
-    failed = {v for v, _, _ in outcomes}
-    ok_rows = [(v, True, None) for v in sorted({v for r in enabled for v in r["vendors"]} - failed)]
-    res = ctx.spark.createDataFrame(outcomes + ok_rows, "vendor_id string, ok boolean, notes string")
+    ran = sorted({v for r in enabled for v in r["vendors"]})
+    rows = [(v, v not in failed, failed.get(v)) for v in ran]
+    res = ctx.spark.createDataFrame(rows, "vendor_id string, ok boolean, notes string")
     state = st.read("vendor_state", cfg.VENDOR_STATE_SCHEMA)
     new_state = O.update_vendor_state(state, O.vendor_outcomes(res, ctx.run_id, ctx.ts))
     st.write("vendor_state", new_state.select(*state.columns))

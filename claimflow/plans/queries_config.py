@@ -200,7 +200,7 @@ def partner_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimflow.operators.quality import partner_manifest
     st = Stages(spark, sf_dir)
     hdr = st.gold("claim_header").filter(F.col("claim_amount") > 1000)
-    return partner_manifest(hdr)
+    return partner_manifest(hdr).drop("rows_hash")  # a hash of Spark's own, unknown to SQL
 
 
 # ====================================================================== orchestration
@@ -326,7 +326,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     # copies of one content arrive in the same file (same batch); across batches the first arrival would win
-    render_landing(spark, sf_dir).repartition(8, F.sha2(F.col("content"), 256)).write.parquet(f"{base}/landing")
+    render_landing(spark, sf_dir).repartition(F.sha2(F.col("content"), 256)).write.parquet(f"{base}/landing")
     store = TableStore(spark, f"{base}/warehouse")
     q = start_bronze_stream(spark, None, store, f"{base}/checkpoint", ingest_ts=TS,
                             source=landing_rows_stream(spark, f"{base}/landing", files_per_batch=1))

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 LANDING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def scan_landing(spark: SparkSession, root: str | Sequence[str], glob: str | None = "*.x12") -> DataFrame:
-    """All files under ``root`` (recursively), or exactly the listed paths when ``root`` is a list."""
+def scan_landing(spark: SparkSession, root: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """All files under ``root`` (recursively; ``glob`` narrows them), or exactly the listed paths when ``root`` is a list."""
     r = spark.read.format("binaryFile").schema(LANDING_SCHEMA)
     if glob:
         r = r.option("pathGlobFilter", glob)

@@ -25,7 +25,24 @@ def test_dq_counts_scope_nulls_and_rule_errors(spark):
                    ("N1", "f3", 50, "ERROR"), ("N2", "f2", 1, "WARN"), ("NB", None, None, "RULE_ERROR"),
                    ("SUB", None, None, "RULE_ERROR")]
     f3 = out.filter("file_hash = 'f3' AND rule_id = 'N1'").first().sample_values
-    assert len(f3) <= Q.SAMPLE_CHARS and f3.count('"amt"') == Q.SAMPLE_ROWS  # bounded sample
+    whole = "[" + ",".join(['{"vendor_id":"vA","file_hash":"f3","amt":-3.0}'] * 50) + "]"
+    assert f3 == whole[:Q.SAMPLE_CHARS]  # cut at the characters, not at a number of rows
+
+
+def test_dq_rules_that_are_hard_to_run(spark):
+    df = spark.createDataFrame([("vA", "f1", "SELECT", 5.0), (None, None, "x", -1.0), ("vA", "f1", "7", 2.0)],
+                               "vendor_id string, file_hash string, nm string, amt double")
+    rules = _rules(spark, [("O'B", "apostrophe", "E", "ERROR", None, "amt < 0"), ("SEL", "literal", "E", "WARN", None, "nm = 'SELECT'"),
+                           ("AGG", "aggregate", "E", "ERROR", None, "sum(amt) > 1"),
+                           ("WIN", "window", "E", "ERROR", None, "row_number() over (order by amt) > 1"),
+                           ("LAM", "lambda", "E", "WARN", None, "exists(array(amt), a -> a > 4)"),
+                           ("SUB", "subquery", "E", "ERROR", None, "exists (select 1)"),
+                           ("CAST", "cast", "E", "ERROR", None, "cast(nm as int) > 1")])
+    out = Q.run_dq_rules({"E": df}, rules, "p", "r", "2024-01-01 00:00:00", probe=True)
+    got = {r.rule_id: (r.file_hash, r.failed_count, r.severity, r.sample_values) for r in out.collect()}
+    assert {k for k, v in got.items() if v[2] == "RULE_ERROR"} == {"AGG", "WIN", "SUB", "CAST"}
+    assert got["SEL"][:2] == ("f1", 1) and got["LAM"][:2] == ("f1", 1)
+    assert got["O'B"][:2] == (None, 1) and '"nm":"x"' in got["O'B"][3]  # null vendor and file keep their sample
 
 
 def test_standardization_scopes_and_defaults(spark):
@@ -115,3 +132,7 @@ def test_partner_extract_written_per_partner_with_manifest(spark):
     m = {r.vendor_id: (r.row_count, r.total_amount, r.first_claim_key, r.last_claim_key)
          for r in Q.partner_manifest(ex).collect()}
     assert m == {"vA": (2, 15.5, "k1", "k2"), "vB": (1, 1.0, "k3", "k3")}
+    hashes = {r.vendor_id: r.rows_hash for r in Q.partner_manifest(ex).collect()}
+    assert hashes == {r.vendor_id: r.rows_hash for r in Q.partner_manifest(back.select(*ex.columns)).collect()}
+    changed = ex.withColumn("claim_amount", F.col("claim_amount") + 1)
+    assert hashes["vA"] != {r.vendor_id: r.rows_hash for r in Q.partner_manifest(changed).collect()}["vA"]

@@ -41,6 +41,7 @@ def test_pipeline_end_to_end_and_idempotent(spark):
 
     # second run over the same landing files: nothing new anywhere
     P.run_pipeline(P.RunContext(spark, store, "r2", "2024-06-02 00:00:00"), landing)
+    assert store.read("bronze_837_quarantine").count() == 3  # rejects are not appended again
     counts2 = {t: store.read(t).count() for t in counts1}
     assert counts2 == counts1
     assert store.read("pipeline_run").count() == 2
@@ -53,7 +54,13 @@ def test_orchestrated_run_records_vendor_state(spark):
     assert plan.filter("enabled").select("step_name").distinct().count() == 9
     vs = {r.vendor_id: r.last_status for r in store.read("vendor_state").collect()}
     assert vs == {"vendorA": "SUCCESS", "vendorB": "SUCCESS", "vendorC": "SUCCESS"}
-    # a second discovery finds only files that are not GOLD_BUILT and not quarantined
+    # an orchestrated run leaves its watermarks: the same listing again reads nothing new and changes no table
+    marks = {(r.consumer, r.vendor_id) for r in store.read("_watermarks").collect()}
+    assert {("silver", "vendorA"), ("claim_header", "vendorB"), ("ops", "vendorC")} <= marks
+    before = {t: store.latest_version(t) for t in ["bronze_837_raw", "silver_837_claim", "claim_header", "dq_results"]}
+    P.orchestrate(P.RunContext(spark, store, "o2", "2024-06-02 00:00:00"), landing.select("path", "length"), landing)
+    assert {t: store.latest_version(t) for t in before} == before
+    # a further discovery finds only files that are not GOLD_BUILT and not quarantined
     from claimflow.operators import orchestration as O
     again = O.discover_files(landing.select("path", "length"), store.read("vendor_registry"),
                              store.read("file_audit"), store.read("quarantine_files"))
@@ -146,21 +153,6 @@ def test_incremental_runs_equal_one_shot(spark):
     assert dq_inc == dq_one  # every row is checked exactly once across the two runs
 
 
-def test_standardize_step_rewrites_silver(spark):
-    from claimflow.operators import claims as C
-
-    root, store = _store(spark)
-    rows = [("vendorB", "h1", "/landing/x12/837/vendorB/a.x12", "r", None, None, None, "1", "005010x222a1",
-             " C1 ", None) + (None,) * 14]
-    cols = C.SILVER_COLUMNS
-    schema = P.SILVER_SCHEMA
-    df = spark.createDataFrame([tuple(r[:len(cols)]) for r in rows], schema)
-    store.write("silver_837_claim", df)
-    P.standardize_step(P.RunContext(spark, store, "s1", "2024-06-01 00:00:00"))
-    r = store.read("silver_837_claim").first()
-    assert (r.claim_id, r.transaction_version, r.claim_amount) == ("C1", "005010X222A1", 0.0)
-
-
 def test_vacuum_keeps_live_versions_only(spark):
     root, store = _store(spark)
     df1 = spark.createDataFrame([(1, "a")], "k int, v string")
