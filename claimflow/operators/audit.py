@@ -251,8 +251,3 @@ def reconcile_transactions(silver: DataFrame, header: DataFrame, lines: DataFram
         (F.abs(F.col("parsed_claim_amt") - F.col("header_claim_amt")) < F.lit(AMOUNT_TOLERANCE)).alias("amount_match"),
         now.alias("load_ts"),
     )
-
-
-def done_files(file_audit: DataFrame) -> DataFrame:
-    """(vendor_id, file_path) of files already GOLD_BUILT — the orchestrator's skip set."""
-    return file_audit.filter(F.col("status") == STATUS_GOLD).select("vendor_id", "file_path").dropDuplicates()

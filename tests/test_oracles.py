@@ -27,8 +27,11 @@ def _norm(cols, rows):
 
 
 def test_registry_is_complete():
+    from claimflow.plans import queries as own
+
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q) and len(q) >= 45
+    assert set(o) <= set(q) and set(own.queries()) <= set(q) and len(q) >= 45
+    assert set(own.queries()) == set(own.oracle_sql())  # every query of the claims engine has its oracle
 
 
 def test_entry_smoke(spark):
