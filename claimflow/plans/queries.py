@@ -428,3 +428,4 @@ def oracle_sql() -> dict[str, str]:
 
 # The remaining families register themselves on import.
 from claimflow.plans import queries_ops as _ops  # noqa: E402,F401
+from claimflow.plans import queries_stored as _stored  # noqa: E402,F401
