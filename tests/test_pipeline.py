@@ -109,7 +109,9 @@ def test_batch_landing_scan_and_content_free_listing(spark):
     with open(f"{root}/land/landing/x12/837/vendorA/readme.txt", "w") as fh:
         fh.write("not a claim file")
     scanned = scan_landing(spark, f"{root}/land")
-    got = {(r.file_hash, r.vendor_id) for r in B.ingest(scanned).collect()}
+    good, bad = B.split_rejects(B.ingest(scanned))
+    assert [r.file_path.rsplit("/", 1)[1] for r in bad.collect()] == ["readme.txt"]  # every file is read; this one is rejected
+    got = {(r.file_hash, r.vendor_id) for r in good.collect()}
     want = {(__import__("hashlib").sha256(bytes(r.content)).hexdigest(), r.path.split("/")[4]) for r in rows}
     assert got == want
     # an explicit path list reads exactly those files
