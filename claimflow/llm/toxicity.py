@@ -38,7 +38,7 @@ GRAMS = (4, 6)
 HEAD, TAIL = 24, 16
 #: Distinct words whose inputs a task remembers, and windows of one forward pass.
 CACHE_WORDS, CHUNK = 200_000, 2048
-STEPS, BATCH, RATE = 700, 128, 0.01
+STEPS, BATCH, RATE = 320, 256, 0.015
 #: Floor of the optimiser's scale for embeddings: what few windows say moves them little.
 EMBED_EPS = 1e-3
 #: Training documents that must hold a word or an n-gram before it has an embedding (rarer ones say nothing).
@@ -63,14 +63,14 @@ def starts_of(n: int) -> range:
     return range(0, max(n - (WINDOW - STRIDE), 1), STRIDE) if n else range(0)
 
 
-def features(words: list[bytes], longest: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word bucket of each word, its n-gram buckets (padded to those of ``longest`` bytes) and which of them are real."""
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word bucket of each word, its n-gram buckets (padded) and which of them are real."""
     width = HEAD + TAIL + 2
     flat = b"".join((b"^" + w + b"$").ljust(width, b"\0") for w in words)
     m = np.frombuffer(flat, np.uint8).reshape(len(words), width).astype(np.uint32)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 2
     bucket = np.fromiter((xxhash.xxh32_intdigest(w) % WORD_BUCKETS for w in words), np.int64, len(words))
-    longest = max(longest, int(size.max(initial=max(GRAMS))))
+    longest = int(size.max(initial=max(GRAMS)))
     ids, real = [], []
     for n in GRAMS:
         places = longest - n + 1
@@ -214,12 +214,22 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
     y = np.array([f[1] for f in found], np.float32)
     if not len(y) or y.min() == y.max():  # nothing to learn from: every text gets the same low score
         return Model(p, np.array([-6.0, 0.0, 0.0, 0.0, 0.0]))
-    longest = max(max(map(len, names)) + 2, max(GRAMS))
-    places = sum(longest - n + 1 for n in GRAMS)
-    bucket, gram, real = (np.empty((len(names), *k), t) for k, t in (((), np.int32), ((places,), np.uint16), ((places,), bool)))
+    bucket = np.empty(len(names), np.int32)
+    flat, per_word = [], []  # the words' n-grams one after the other, and their numbers
     for i in range(0, len(names), 8192):
-        bucket[i : i + 8192], gram[i : i + 8192], real[i : i + 8192] = features(names[i : i + 8192], longest)
-    del place
+        bucket[i : i + 8192], gram, real = features(names[i : i + 8192])
+        flat.append(gram[real])
+        per_word.append(real.sum(1))
+    gram, per_word = np.concatenate(flat), np.concatenate(per_word)
+    begin = np.cumsum(per_word) - per_word
+    del place, flat
+
+    def grams_of(used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams of these words one after the other, and where each word's begin."""
+        n = per_word[used]
+        at = np.cumsum(n) - n
+        return gram[np.repeat(begin[used] - at, n) + np.arange(n.sum())], at
+
     owner = np.array([f[0] for f in found])
     ids = np.zeros((len(found), WINDOW), np.int32)
     mask = np.zeros((len(found), WINDOW), np.float32)
@@ -230,7 +240,7 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
         docs = np.zeros(buckets, np.int64)
         for rows in np.split(np.arange(len(found)), np.flatnonzero(np.diff(owner)) + 1):
             used = np.unique(ids[rows][mask[rows] > 0])
-            docs[np.unique(bucket[used] if key == "word" else gram[used][real[used]])] += 1
+            docs[np.unique(bucket[used] if key == "word" else grams_of(used)[0])] += 1
         p[key][docs < least] = 0
     live = {k: (p[k] != 0) for k in ("word", "gram")}
     fold = owner % 4 == 0  # a quarter of the documents fits the document's function
@@ -247,8 +257,9 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
         m[: BATCH // 2] *= np.arange(WINDOW) < cut[:, None]  # clean texts of any length are clean
         used, where = np.unique(ids[rows], return_inverse=True)
         where = where.reshape(BATCH, WINDOW)
-        gw = (real[used] / real[used].sum(1, keepdims=True)).astype(np.float32)[:, :, None]
-        x = np.concatenate([p["word"][bucket[used]], (p["gram"][gram[used]] * gw).sum(1)], 1)
+        own, at = grams_of(used)
+        share = (1 / per_word[used]).astype(np.float32)[:, None]
+        x = np.concatenate([p["word"][bucket[used]], np.add.reduceat(p["gram"][own], at, axis=0) * share], 1)
         table = x @ p["wx"] + p["bx"]
         logit, kept = _forward(p, table[where], m)
         d = ((sigmoid(logit) - y[rows]) / BATCH).astype(np.float32)
@@ -258,10 +269,8 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
         dt = np.add.reduceat(dx.reshape(-1, 6 * HIDDEN)[order], first, axis=0)
         g["wx"], g["bx"] = x.T @ dt, dt.sum(0)
         dwords = dt @ p["wx"].T
-        g["word"], g["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
-        np.add.at(g["word"], bucket[used], dwords[:, :WORD_DIM])
-        at, col = np.nonzero(real[used])
-        np.add.at(g["gram"], gram[used][at, col], dwords[at, WORD_DIM:] * gw[at, col])
+        g["word"] = _summed(bucket[used], dwords[:, :WORD_DIM], WORD_BUCKETS)
+        g["gram"] = _summed(own, np.repeat(dwords[:, WORD_DIM:] * share, per_word[used], axis=0), GRAM_BUCKETS)
         for k in live:
             g[k] *= live[k]
         norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
@@ -288,6 +297,11 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
     return model
 
 
+def _summed(where: np.ndarray, values: np.ndarray, buckets: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by bucket."""
+    return np.stack([np.bincount(where, c, buckets) for c in values.T], 1).astype(np.float32)
+
+
 def _best_cut(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> float:
     """The log odds above which the weighted F1 of the toxic class is highest."""
     order = np.argsort(-z, kind="stable")
