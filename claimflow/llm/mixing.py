@@ -251,14 +251,15 @@ def mix(
     Tokens are runs without ASCII white space. Texts without tokens (null,
     empty) keep a rate like any other and add nothing to the totals. Repeated
     rows are documents of their own with equal rates and copies. An empty
-    table gives an empty result.
+    table gives an empty result. The texts are read once: posteriors are
+    stored with the ``carry`` columns, and the steps read only the numbers.
     """
     domains = list(targets)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labelled, domains, id_col, text_col))
-    narrow = stored(posteriors(docs, model, [id_col], id_col, text_col).select("n_tokens", "p"), "mixing-posteriors")
-    steps = fit_rates(narrow, [targets[d] for d in domains], budget)
-    found = posteriors(docs, model, carry, id_col, text_col).withColumn("rate", rate_of(steps, len(domains)))
-    return found.withColumn("copies", F.floor(F.col("rate") + F.col("u")).cast("int")).drop("u")
+    known = stored(posteriors(docs, model, carry, id_col, text_col), "mixing-posteriors")
+    steps = fit_rates(known.select("n_tokens", "p"), [targets[d] for d in domains], budget)
+    rated = known.withColumn("rate", rate_of(steps, len(domains)))
+    return rated.withColumn("copies", F.floor(F.col("rate") + F.col("u")).cast("int")).drop("u")
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
