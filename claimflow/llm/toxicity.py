@@ -34,8 +34,8 @@ SAMPLE_DOCS, SAMPLE_WINDOWS = 3000, 6
 #: Hash buckets of words and of character n-grams; sizes of embeddings and states.
 WORD_BUCKETS, GRAM_BUCKETS, WORD_DIM, GRAM_DIM, HIDDEN = 1 << 15, 1 << 15, 8, 8, 8
 GRAMS = (4, 6)
-#: Bytes of a word that its features see: a longer one is its beginning and end.
-HEAD, TAIL = 24, 16
+#: Bytes of a word that its features hold; a longer run is read as pieces of so many bytes.
+WIDTH = 40
 #: Distinct words whose inputs a task remembers, and windows of one forward pass.
 CACHE_WORDS, CHUNK = 200_000, 2048
 STEPS, BATCH, RATE = 320, 256, 0.015
@@ -53,9 +53,16 @@ _WORD_BYTES = bytes(
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
-    """Lower-cased runs of digits, letters and non-ASCII bytes; very long ones as head and tail."""
+    """Lower-cased runs of digits, letters and non-ASCII bytes; runs over WIDTH bytes as overlapping pieces.
+
+    Scripts without spaces make such runs. Neighbouring pieces share one byte
+    less than the longest n-gram has, so every n-gram of the run is in one.
+    """
     words = (raw or b"").translate(_WORD_BYTES).split()
-    return [w if len(w) <= HEAD + TAIL else w[:HEAD] + w[-TAIL:] for w in words]
+    if max(map(len, words), default=0) <= WIDTH:
+        return words
+    shared = max(GRAMS) - 1
+    return [w[s : s + WIDTH] for w in words for s in range(0, max(len(w) - shared, 1), WIDTH - shared)]
 
 
 def starts_of(n: int) -> range:
@@ -65,7 +72,7 @@ def starts_of(n: int) -> range:
 
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word bucket of each word, its n-gram buckets (padded) and which of them are real."""
-    width = HEAD + TAIL + 2
+    width = WIDTH + 2
     flat = b"".join((b"^" + w + b"$").ljust(width, b"\0") for w in words)
     m = np.frombuffer(flat, np.uint8).reshape(len(words), width).astype(np.uint32)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 2

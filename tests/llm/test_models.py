@@ -55,6 +55,19 @@ def test_windows_overlap_and_cover():
         assert all(b - a == toxicity.STRIDE for a, b in zip(starts, starts[1:]))
 
 
+def test_long_runs_are_read_whole():
+    rng = random.Random(4)
+    for text in ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n)) for n in (13, 14, 25, 300)] + ["x" * 40, "ab—cd\u00a0ef，" * 30]:
+        raw = text.encode()
+        words = toxicity.words_of(raw)
+        assert max(map(len, words)) <= toxicity.WIDTH
+        for n in (1, *toxicity.GRAMS):
+            assert {raw[i : i + n] for i in range(len(raw) - n + 1)} == {w[i : i + n] for w in words for i in range(len(w) - n + 1)}
+        toxicity.features(words)
+    long = "漢字仮名交文" * 400
+    assert len(toxicity.starts_of(len(toxicity.words_of(long.encode())))) > 1
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(2)
     h = toxicity.HIDDEN
