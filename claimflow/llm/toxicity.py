@@ -10,13 +10,16 @@ and of their number; it is shifted so that the threshold is the cut of the
 highest F1 on those rows.
 
 The network is trained in numpy, in one task, on a bounded sample of labelled
-rows: at most ``SAMPLE_DOCS`` documents a class, chosen by hash, and
-``SAMPLE_WINDOWS`` windows of each. Scoring reads every text whole.
+rows: at most ``SAMPLE_DOCS`` documents a class, chosen by hash. Their texts
+are read whole: training draws from all their windows, and the document's
+function and the threshold's cut are fitted on the mean over all windows and
+their full number, the quantities that scoring applies them to.
 """
 
 from __future__ import annotations
 
 import pickle
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -29,7 +32,8 @@ from pyspark.sql import types as T
 
 #: Words of a window, and words from one window's start to the next.
 WINDOW, STRIDE = 64, 48
-#: Labelled documents of a class, and windows of a document, that training reads at most.
+#: Labelled documents of a class that training reads at most; windows that a document counts for at most when
+#: training draws (each of its windows is as likely as the others).
 SAMPLE_DOCS, SAMPLE_WINDOWS = 3000, 6
 #: Hash buckets of words and of character n-grams; sizes of embeddings and states.
 WORD_BUCKETS, GRAM_BUCKETS, WORD_DIM, GRAM_DIM, HIDDEN = 1 << 15, 1 << 15, 8, 8, 8
@@ -210,15 +214,23 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
     }
     model = Model(p, np.array([-4.0, 8.0, 0.0, 0.0, 0.0]))
     place: dict[bytes, int] = {}
-    found = []
+    # the windows' words one after the other: whole texts, so nothing is kept a window but its owner, label and size
+    flat, owner, y, size = array("i"), array("q"), array("b"), array("i")
     for d, label, words in windows:
         if words:
-            found.append((d, label, np.fromiter((place.setdefault(w, len(place)) for w in words), np.int32, len(words))))
+            flat.extend(place.setdefault(w, len(place)) for w in words)
+            owner.append(d)
+            y.append(label)
+            size.append(len(words))
     names = sorted(place)
     rank = np.empty(len(names), np.int32)
-    rank[[place[w] for w in names]] = np.arange(len(names))
-    found = sorted(((d, label, rank[w]) for d, label, w in found), key=lambda f: (f[0], f[2].tobytes()))
-    y = np.array([f[1] for f in found], np.float32)
+    rank[[place[w] for w in names]] = np.arange(len(names), dtype=np.int32)
+    text = rank[np.frombuffer(flat, np.int32)]
+    owner, y, size = np.array(owner, np.int64), np.array(y, np.float32), np.array(size, np.int64)
+    start = np.cumsum(size) - size
+    digest = np.fromiter((xxhash.xxh64_intdigest(text[s : s + n]) for s, n in zip(start, size)), np.uint64, len(size))
+    order = np.lexsort((digest, owner))  # whatever the order of arrival
+    owner, y, size, start = owner[order], y[order], size[order], start[order]
     if not len(y) or y.min() == y.max():  # nothing to learn from: every text gets the same low score
         return Model(p, np.array([-6.0, 0.0, 0.0, 0.0, 0.0]))
     bucket = np.empty(len(names), np.int32)
@@ -237,16 +249,16 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
         at = np.cumsum(n) - n
         return gram[np.repeat(begin[used] - at, n) + np.arange(n.sum())], at
 
-    owner = np.array([f[0] for f in found])
-    ids = np.zeros((len(found), WINDOW), np.int32)
-    mask = np.zeros((len(found), WINDOW), np.float32)
-    for i, (_, _, w) in enumerate(found):
-        ids[i, : len(w)] = w
-        mask[i, : len(w)] = 1
+    def words_in(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of these windows, padded, and which are real."""
+        real = np.arange(WINDOW) < size[rows, None]
+        return text[np.where(real, start[rows, None] + np.arange(WINDOW), 0)] * real, real.astype(np.float32)
+
     for key, buckets, least in (("word", WORD_BUCKETS, LEAST_WORD_DOCS), ("gram", GRAM_BUCKETS, LEAST_GRAM_DOCS)):
         docs = np.zeros(buckets, np.int64)
-        for rows in np.split(np.arange(len(found)), np.flatnonzero(np.diff(owner)) + 1):
-            used = np.unique(ids[rows][mask[rows] > 0])
+        for rows in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(owner)) + 1):
+            ids, real = words_in(rows)
+            used = np.unique(ids[real > 0])
             docs[np.unique(bucket[used] if key == "word" else grams_of(used)[0])] += 1
         p[key][docs < least] = 0
     live = {k: (p[k] != 0) for k in ("word", "gram")}
@@ -255,14 +267,18 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
     if not all(len(g) for g in groups) or not fold.any():
         fold[:] = False
         groups = [np.flatnonzero(y == c) for c in (0, 1)]
+    _, doc, n = np.unique(owner, return_inverse=True, return_counts=True)
+    weight = np.minimum(1, SAMPLE_WINDOWS / n)[doc]
+    draws = [np.cumsum(weight[g]) / weight[g].sum() for g in groups]
     mean = {k: np.zeros_like(v) for k, v in p.items()}
     square = {k: np.zeros_like(v) for k, v in p.items()}
     for step in range(1, STEPS + 1):
-        rows = np.concatenate([rng.choice(g, BATCH // 2) for g in groups])
-        m = mask[rows]
+        at = [np.minimum(np.searchsorted(c, rng.random(BATCH // 2), "right"), len(c) - 1) for c in draws]
+        rows = np.concatenate([g[i] for g, i in zip(groups, at)])
+        ids, m = words_in(rows)
         cut = np.where(rng.random(BATCH // 2) < 0.2, rng.integers(1, WINDOW, BATCH // 2), WINDOW)
         m[: BATCH // 2] *= np.arange(WINDOW) < cut[:, None]  # clean texts of any length are clean
-        used, where = np.unique(ids[rows], return_inverse=True)
+        used, where = np.unique(ids, return_inverse=True)
         where = where.reshape(BATCH, WINDOW)
         own, at = grams_of(used)
         share = (1 / per_word[used]).astype(np.float32)[:, None]
@@ -293,8 +309,9 @@ def train(windows: Iterable[tuple[int, int, list[bytes]]], share_toxic: float, s
     prob = np.empty(len(rest))
     for i in range(0, len(rest), CHUNK):
         rows = rest[i : i + CHUNK]
-        used, where = np.unique(ids[rows], return_inverse=True)
-        prob[i : i + CHUNK] = model.windows(model.inputs([names[j] for j in used]), where.reshape(-1, WINDOW), mask[rows])
+        ids, m = words_in(rows)
+        used, where = np.unique(ids, return_inverse=True)
+        prob[i : i + CHUNK] = model.windows(model.inputs([names[j] for j in used]), where.reshape(-1, WINDOW), m)
     _, doc, n = np.unique(owner[rest], return_inverse=True, return_counts=True)
     label = np.bincount(doc, y[rest]) / n
     weight = np.where(label > 0.5, share_toxic / max(label.mean(), 1e-9), (1 - share_toxic) / max(1 - label.mean(), 1e-9))
@@ -335,16 +352,15 @@ def held_out(id_col: Column) -> Column:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Up to SAMPLE_WINDOWS windows of each labelled text, those of the smallest hashes."""
+    """All windows of each labelled text."""
     for batch in batches:
         doc, label, out = [], [], []
         for d, y, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "label", "text"))):
             words = words_of(raw)
-            some = [b" ".join(words[s : s + WINDOW]) for s in starts_of(len(words))]
-            for w in sorted(some, key=xxhash.xxh64_intdigest)[:SAMPLE_WINDOWS]:
+            for s in starts_of(len(words)):
                 doc.append(d)
                 label.append(y)
-                out.append(w)
+                out.append(b" ".join(words[s : s + WINDOW]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(doc, pa.int64()), pa.array(label, pa.int32()), pa.array(out, pa.binary())], ["doc", "label", "words"]
         )

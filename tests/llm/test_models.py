@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
@@ -68,6 +69,23 @@ def test_long_runs_are_read_whole():
     assert len(toxicity.starts_of(len(toxicity.words_of(long.encode())))) > 1
 
 
+def test_training_and_threshold_read_whole_texts(monkeypatch):
+    rows = make_texts(60, 8) + [(1000 + i, " ".join(["abc", "def", "gah", "zorkish" if i % 2 else "beh"] * 700), i % 2) for i in range(12)]
+    columns = [pa.array(c, kind) for c, kind in zip(zip(*[(i, y, t.encode()) for i, t, y in rows]), (pa.int64(), pa.int32(), pa.binary()))]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc", "label", "text"])
+    found = [r for b in toxicity._windows([batch]) for r in zip(*(b.column(c).to_pylist() for c in ("doc", "label", "words")))]
+    sizes = {i: len(toxicity.starts_of(len(toxicity.words_of(t.encode())))) for i, t, _ in rows}
+    assert {i: sum(d == i for d, _, _ in found) for i in sizes} == sizes and max(sizes.values()) > 50
+    seen, plain = [], toxicity._doc_features
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    monkeypatch.setattr(toxicity, "_doc_features", lambda mean, count: seen.append(sorted(count)) or plain(mean, count))
+    windows = [(d, y, w.split()) for d, y, w in found]
+    fitted = toxicity.train(windows, 0.3)
+    assert seen[0] == sorted(n for i, n in sizes.items() if i % 4 == 0)
+    again = toxicity.train(windows[::-1], 0.3)  # in any order of arrival
+    assert all(np.array_equal(v, again.p[k]) for k, v in fitted.p.items()) and np.array_equal(fitted.doc, again.doc)
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(2)
     h = toxicity.HIDDEN
