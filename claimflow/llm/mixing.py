@@ -99,7 +99,7 @@ class Classifier:
 
 
 def train(rows: list[tuple[int, str, bytes]], domains: list[str], prior: dict[str, float], seed: int = 9) -> Classifier:
-    """Fit on (order, domain, features) rows, classes weighted alike; then shift to the table's class shares.
+    """Fit on (order, domain, features) rows, classes weighted alike; then shift to the class shares ``prior``.
 
     A domain without rows keeps a posterior near 0; without any rows all
     domains are alike.
@@ -138,11 +138,14 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text") -> Classifier:
     """Train on at most SAMPLE_DOCS labelled documents a domain, chosen by hash.
 
+    Only labels of ids in ``docs`` count, also for the class shares: a stage
+    before may have left few of a domain.
     ``labelled`` has the id and a ``domain``; rows of null or unlisted domains
     teach nothing; of several domains of an id the first in order counts.
     """
     known = labelled.select(F.col(id_col).alias("i"), "domain").where(F.col("i").isNotNull() & F.col("domain").isin(domains))
     known = known.groupBy("i").agg(F.min("domain").alias("domain")).withColumn("o", F.xxhash64("i"))
+    known = stored(known.join(docs.select(F.col(id_col).alias("i")), "i", "left_semi"), "mixing-labels")
     shares = {r.domain: r["count"] for r in known.groupBy("domain").count().toLocalIterator()}
     total = sum(shares.values())
     sample = None

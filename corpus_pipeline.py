@@ -22,6 +22,8 @@ from claimflow.llm import decontaminate, minhash, mixing, sharding, toxicity
 from claimflow.llm.common import stored, table
 
 SHARDS = 8
+#: Targets of the mixing stage: those of the domains that the toxicity stage leaves, in the same proportion.
+MIX_TARGETS = {d: mixing.TARGETS[d] for d in ("high", "low")}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +44,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents, each as often as the rates for the domains' target shares say."""
+    """The documents, each as often as the rates for the target shares of high and low quality say.
+
+    Toxic documents are the first stage's to drop; the few it missed are no
+    domain to aim for, and their labels teach nothing here.
+    """
     domain = mixing.label_domain(F.col("quality"), F.col("toxic")).alias("domain")
     labelled = table(spark, sf_dir, "labels").select("doc_id", domain)
-    return mixing.mixed(docs, labelled, mixing.TARGETS)
+    return mixing.mixed(docs, labelled, MIX_TARGETS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -186,9 +186,42 @@ def test_mix_of_a_table(spark):
     assert mixing.mix(docs.limit(0), labelled, {"good": 0.8, "bad": 0.2}, ["doc_id"]).count() == 0
 
 
+def test_shares_are_those_of_the_documents_at_hand(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "good words" if i % 4 else "bad junk") for i in range(40)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "good" if i % 4 else "bad") for i in range(40)] + [(i, "bad") for i in range(100, 400)], "doc_id long, domain string")
+    seen = []
+    monkeypatch.setattr(mixing, "train", lambda rows, domains, prior: seen.append((len(rows), prior)))
+    mixing.fit(docs, labelled, ["good", "bad"])
+    assert seen == [(40, {"good": 0.75, "bad": 0.25})]
+
+
 # -- the pipeline ---------------------------------------------------------------------------------
 
 
+def test_mixing_stage_meets_targets_of_the_domains_left(spark, monkeypatch):
+    asked, plain = [], mixing.mix
+
+    def mix(docs, labelled, targets, *rest):
+        found = corpus_pipeline.stored(plain(docs, labelled, targets, *rest), "mix")
+        asked.append((targets, found))
+        return found
+
+    monkeypatch.setattr(mixing, "mix", mix)
+    labels = table(spark, SF001, "labels")
+    toxic = [r.doc_id for r in labels.where("toxic = 1").select("doc_id").collect()]
+    missed = toxic[0]  # the stage before has missed one
+    docs = table(spark, SF001, "documents").where(~F.col("doc_id").isin(toxic[1:]))
+    out = corpus_pipeline.mix_domains(spark, docs, SF001)
+    (targets, found), = asked
+    assert set(targets) == {"high", "low"} and missed in toxic
+    rows = found.select("n_tokens", "p", "rate", "copies").collect()
+    total = sum(r.n_tokens for r in rows)
+    for i, d in enumerate(targets):
+        want = targets[d] / sum(targets.values())
+        assert abs(sum(r.rate * r.n_tokens * r.p[i] for r in rows) / total - want) < 1e-2
+    assert out.count() == sum(r.copies for r in rows) > 0
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = table(spark, SF001, "documents")
     seen = {"documents": docs}
