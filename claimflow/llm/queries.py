@@ -12,8 +12,9 @@ from claimflow.llm.common import table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pre-tokens and unigram tokens of every document."""
-    found = tokens.token_counts(table(spark, sf_dir, "documents"), ["doc_id", "n_chars"])
+    """Pre-tokens and unigram tokens of every document, the pieces' probabilities learnt from all of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = tokens.token_counts(docs, ["doc_id", "n_chars"], scores=tokens.unigram_pieces(docs))
     return found.select("row.doc_id", "row.n_chars", "n_pretokens", "n_tokens")
 
 

@@ -6,14 +6,22 @@ tokens of that cut; both follow from the nodes above it, so a prefix shared by
 many pre-tokens is scored once. A pre-token's count is that of its last node
 (its terminal). A text's count is the sum over its pre-tokens.
 
-Each task grows its own trie, so nothing is shuffled; a trie of ``TRIE_NODES``
+Each task grows its own trie, so no text is shuffled; a trie of ``TRIE_NODES``
 nodes is dropped and begun anew, which costs time and changes no count.
+
+The installed vocabulary is a byte-pair model, whose scores are merge ranks and
+no log probabilities. ``unigram_pieces`` gives its pieces unigram scores: the
+smoothed log shares of the pieces in the model's own cut of the whole corpus.
+White space parts pre-tokens and is no token itself.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +31,10 @@ from pyspark.sql import types as T
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Nodes of a task's trie at most; longer pre-tokens than LONG characters are scored without it.
 TRIE_NODES, LONG = 400_000, 200
+#: Distinct pre-tokens that a task of the piece counts holds before it cuts them.
+HELD_WORDS = 200_000
+#: Added to the count of every piece.
+SMOOTHING = 0.5
 #: Marks the beginning of a pre-token.
 MARK = "▁"
 #: How much worse than the worst piece an unknown character scores.
@@ -30,7 +42,7 @@ UNKNOWN_PENALTY = 10.0
 
 
 def load_pieces(path: str) -> dict[str, float]:
-    """The ordinary pieces of a sentencepiece model and their scores."""
+    """The ordinary pieces of a sentencepiece model and their scores (of a byte-pair model: minus the merge rank)."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -38,6 +50,54 @@ def load_pieces(path: str) -> dict[str, float]:
     return {sp.id_to_piece(i): sp.get_score(i) for i in ids}
 
 
+def _piece_counts(model):
+    """How often each piece is in the model's cuts of a task's pre-tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_proto=model.value)
+        total = np.zeros(sp.get_piece_size(), np.int64)
+        held: Counter[bytes] = Counter()
+
+        def cut() -> None:
+            found = sp.encode([w.decode("utf-8", "replace") for w in held])
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter((i for f in found for i in f), np.int64, int(sizes.sum()))
+            np.add.at(total, ids, np.repeat(np.fromiter(held.values(), np.int64, len(held)), sizes))
+            held.clear()
+
+        for batch in batches:
+            for raw in batch.column("text").to_pylist():
+                held.update((raw or b"").split())
+                if len(held) > HELD_WORDS:
+                    cut()
+        if held:
+            cut()
+        ids = np.flatnonzero(total)
+        pieces = [sp.id_to_piece(int(i)) for i in ids]
+        yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string()), pa.array(total[ids], pa.int64())], ["piece", "n"])
+
+    return run
+
+
+def unigram_pieces(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY) -> dict[str, float]:
+    """The vocabulary's ordinary pieces with log probabilities from the whole corpus.
+
+    One pass; the driver gets a row a piece, tens of thousands whatever the data.
+    """
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
+    model = docs.sparkSession.sparkContext.broadcast(sp.serialized_model_proto())
+    texts = docs.select(F.col(text_col).cast("binary").alias("text"))
+    counts = texts.mapInArrow(_piece_counts(model), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    seen = {r.piece: r.n for r in counts.toLocalIterator()}
+    pieces = [*load_pieces(vocabulary)]
+    total = sum(seen.get(p, 0) for p in pieces) + SMOOTHING * len(pieces)
+    return {p: math.log((seen.get(p, 0) + SMOOTHING) / total) for p in pieces}
+
+
 class TrieCounter:
     """Token counts of pre-tokens under a unigram vocabulary.
 
@@ -121,14 +181,16 @@ def _counting(pieces):
     return run
 
 
-def token_counts(docs: DataFrame, carry: list[str], text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+def token_counts(
+    docs: DataFrame, carry: list[str], text_col: str = "text", vocabulary: str = VOCABULARY, scores: dict[str, float] | None = None
+) -> DataFrame:
     """One row per input row: ``row`` (a struct of the ``carry`` columns), ``n_pretokens``, ``n_tokens``.
 
-    Null, empty and blank texts have no tokens. The vocabulary, tens of
-    thousands of pieces whatever the data, is read on the driver and
-    broadcast.
+    Null, empty and blank texts have no tokens. The pieces, tens of thousands
+    whatever the data, are broadcast: ``scores`` (see ``unigram_pieces``) or
+    else those of the vocabulary file as they are.
     """
-    pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(vocabulary))
+    pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(vocabulary) if scores is None else scores)
     rows = docs.select(F.struct(*carry).alias("row"), F.col(text_col).cast("binary").alias("text"))
     counts = [T.StructField("n_pretokens", T.LongType()), T.StructField("n_tokens", T.LongType())]
     return rows.mapInArrow(_counting(pieces), T.StructType([rows.schema["row"], *counts]))

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import pyarrow.fs
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -63,6 +64,23 @@ def test_token_counts_of_a_table(spark):
     assert tokens.token_counts(docs.limit(0), ["doc_id"]).count() == 0
 
 
+def test_unigram_scores_are_log_probabilities_of_the_corpus(spark, monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(tokens, "HELD_WORDS", 3)
+    texts = ["the government gives information about the world", "information on world government\nand zxqv 漢", None, "", "the information"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    scores = tokens.unigram_pieces(docs)
+    assert len(scores) > 30000 and abs(sum(np.exp(list(scores.values()))) - 1) < 1e-9
+    assert scores["▁the"] == scores["▁information"] > scores["▁about"] > scores["▁never"]
+    got = {r.row.doc_id: r.n_tokens for r in tokens.token_counts(docs, ["doc_id"], scores=scores).collect()}
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokens.VOCABULARY)
+    assert got[4] == 2 and got[0] == 7  # every word a piece: one token each
+    for i, t in enumerate(texts):
+        own = sum(len(sp.encode(w)) for w in (t or "").split())
+        assert abs(got[i] - own) <= 1
+
+
 # -- decontamination ------------------------------------------------------------------------------
 
 
