@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import decontaminate, exact_dedup, lines, minhash, mixing, secrets, sharding, tokens, toxicity, warc
+from claimflow.llm import (
+    decontaminate,
+    exact_dedup,
+    filter_audit,
+    html_text,
+    lines,
+    minhash,
+    mixing,
+    resampling,
+    secrets,
+    sharding,
+    tokens,
+    toxicity,
+    warc,
+)
 from claimflow.llm.common import table
 
 
@@ -187,6 +201,105 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights, scores and draws of all documents towards the words of the benchmark."""
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = resampling.resample(docs, target, percent=10, least_words=20, longest=1, buckets=10_000, seed=2024)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP11_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS f FROM d),
+bw AS (SELECT unnest(w) AS f FROM b),
+hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM dw UNION SELECT f FROM bw)),
+coded AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(h), 2), lambda i: CAST('0x' || substr(h, CAST(i + 1 AS INT), 2) AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS k FROM hexed, crc),
+db AS (SELECT doc_id, k FROM dw JOIN coded USING (f)),
+s AS (SELECT k, count(*) AS n FROM db GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM bw JOIN coded USING (f) GROUP BY k),
+whole AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) + 10000 AS s, (SELECT coalesce(sum(n), 0) FROM t) + 10000 AS t),
+gain AS (
+  SELECT k, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1) * CAST(whole.s AS DOUBLE) / ((coalesce(s.n, 0) + 1) * CAST(whole.t AS DOUBLE)))) AS BIGINT) AS g
+  FROM s FULL JOIN t USING (k), whole),
+w AS (SELECT doc_id, CAST(floor(CAST(sum(g) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM db JOIN gain USING (k) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_features, coalesce(w.weight, 0) AS weight,
+    coalesce(w.weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (doc_id)),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT scored.*, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
+#: The given pages hold one article of a heading and paragraphs, with b, br and a few character references inside;
+#: for such pages the article is plain SQL. Other forms are compared with known articles in the tests.
+OP12_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS h FROM pages),
+cut AS (SELECT page_id, url, string_split_regex(regexp_replace(replace(replace(h, '<b>', ''), '</b>', ''), '<br>', ' ', 'g'), '</?(?:h1|p)>') AS raw FROM a),
+b AS (
+  SELECT page_id, url, list_transform(raw, lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(replace(x, '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS b FROM cut),
+j AS (SELECT page_id, url, coalesce(array_to_string(list_filter(b, lambda x: x <> ''), chr(10) || chr(10)), '') AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM j
+"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in all 120 orders, by language."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM f a, f b, f c, f d, f e
+  WHERE a.x <> b.x AND c.x NOT IN (a.x, b.x) AND d.x NOT IN (a.x, b.x, c.x) AND e.x NOT IN (a.x, b.x, c.x, d.x)),
+t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT t.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM t LEFT JOIN l USING (doc_id)),
+n AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+r AS (
+  SELECT part, o, step, substr(o, CAST(step AS INT), 1) AS x,
+    sum(n) FILTER (contains(fails, substr(o, CAST(step AS INT), 1)) AND NOT regexp_matches(fails, '[' || left(o, CAST(step AS INT) - 1) || '0]')) AS removed,
+    sum(good) FILTER (contains(fails, substr(o, CAST(step AS INT), 1)) AND NOT regexp_matches(fails, '[' || left(o, CAST(step AS INT) - 1) || '0]')) AS good_lost,
+    sum(toxic) FILTER (contains(fails, substr(o, CAST(step AS INT), 1)) AND NOT regexp_matches(fails, '[' || left(o, CAST(step AS INT) - 1) || '0]')) AS toxic_lost,
+    sum(n) FILTER (NOT regexp_matches(fails, '[' || left(o, CAST(step AS INT)) || '0]')) AS kept,
+    sum(n) FILTER (contains(fails, substr(o, CAST(step AS INT), 1))) AS failing,
+    sum(n) FILTER (fails = substr(o, CAST(step AS INT), 1)) AS alone
+  FROM n, steps GROUP BY part, o, step)
+SELECT part, o AS filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(failing, 0) - coalesce(removed, 0) AS BIGINT) AS redundant, CAST(coalesce(alone, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -199,8 +312,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_mixing": op9_mixing,
         "op10_secret_scan": op10_secret_scan,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_html_extraction": op12_html_extraction,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_warc": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_minhash_near_dedup": OP8_SQL}
+    return {
+        "op2_decontamination": OP2_SQL,
+        "op4_line_dedup": OP4_SQL,
+        "op5_warc": OP5_SQL,
+        "op7_exact_dedup": OP7_SQL,
+        "op8_minhash_near_dedup": OP8_SQL,
+        "op11_importance_resampling": OP11_SQL,
+        "op12_html_extraction": OP12_SQL,
+        "op13_filter_audit": OP13_SQL,
+    }
