@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from claimflow.plans import pipeline as P  # noqa: E402
 from claimflow.session import local_session  # noqa: E402
-from claimflow.sources.fixtures import render_landing  # noqa: E402
+from claimflow.sources.fixtures import fixture_profiles, render_landing  # noqa: E402
 
 
 def main() -> None:
@@ -36,8 +36,9 @@ def main() -> None:
     render_s = round(time.time() - t0, 3)
     landing = spark.read.parquet(f"{scratch}/landing")
 
-    store = P.TableStore(spark, f"{scratch}/warehouse")
+    store = P.ClaimTables(spark, f"{scratch}/warehouse")
     P.seed_config(spark, store)
+    store.write("vendor_837_profile", fixture_profiles(spark))
     ctx = P.RunContext(spark, store, run_id="bench-run-1", ts="2024-06-01 00:00:00")
     first = P.run_pipeline(ctx, landing)
     for k, v in first.items():

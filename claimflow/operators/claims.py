@@ -36,6 +36,7 @@ PROVIDER_TYPE = "array<struct<" + ",".join(f"{f}:string" for f in PROVIDER_FIELD
 PARTY_FIELDS = ["member_id", "first_name", "last_name", "dob", "gender", "addr1", "city", "state", "zip"]
 PARTY_TYPE = "struct<" + ",".join(f"{f}:string" for f in PARTY_FIELDS) + ">"
 PAYER_TYPE = "array<struct<payer_name:string,payer_id:string>>"
+REFERENCE_TYPE = "array<struct<ref_qualifier:string,ref_value:string>>"
 
 SILVER_COLUMNS = [
     "vendor_id", "file_hash", "file_path", "run_id", "parse_ts", "isa_control", "gs_control", "st_control",
@@ -51,9 +52,9 @@ def _truthy(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
-def _role(code: Column) -> Column:
+def _default_role(code: Column) -> Column:
     role_map = F.create_map(*[F.lit(x) for kv in ROLE_MAP.items() for x in kv])
-    return F.coalesce(F.try_element_at(role_map, code), code)
+    return F.try_element_at(role_map, code)
 
 
 def _id_or_last(e: Column) -> Column:
@@ -61,13 +62,16 @@ def _id_or_last(e: Column) -> Column:
     return F.when(F.size(e) > 9, el(e, 9)).otherwise(F.element_at(e, -1))
 
 
-def nm1_info(e: Column) -> Column:
-    """NM1 segment -> provider struct (address fields NULL)."""
+def nm1_info(e: Column, mapped_role: Column) -> Column:
+    """NM1 segment -> provider struct (address fields NULL).
+
+    The role is the configured one (``mapped_role``), else the default of the code, else the code.
+    """
     code = el(e, 1)
     idq = el(e, 8)
     ident = _id_or_last(e)
     return F.struct(
-        _role(code).alias("role"),
+        F.coalesce(mapped_role, _default_role(code), code).alias("role"),
         code.alias("nm1_code"),
         el(e, 2).alias("entity_type"),
         el(e, 3).alias("last_name_or_org"),
@@ -149,7 +153,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
     # step 1: split composites once per row (kept as columns, not repeated inside CASE branches)
     pre = seg.filter(F.col("in_claim")).select(
         "file_hash", "k", "g", "pos", "clm_flag", "segment_delim", "component_delim", "comp_re", "blk_off", "el", "tag",
-        "lx", "text", "span_st",
+        "lx", "text", "span_st", "mapped_role",
         F.when(is_sv & _truthy(el(e, 1)), F.split(el(e, 1), comp_re, -1)).alias("_c1"),
         F.when((tag == "SV2") & _truthy(el(e, 2)), F.split(el(e, 2), comp_re, -1)).alias("_c2"),
         ((tag == "SV2") & F.coalesce(F.instr(el(e, 1), comp_d) > 0, F.lit(False))).alias("_sv2ref"),
@@ -164,12 +168,16 @@ def claim_rows(seg: DataFrame) -> DataFrame:
         F.when(is_dtp & (el(e, 1) == "472"), el(e, 3)).alias("_d472"),
         F.when(is_sv, service_line(e, F.col("_c1"), F.col("_c2"), F.col("_sv2ref"), F.col("lx"))).alias("_line"),
         F.when(tag == "HI", diagnoses_of(e, F.col("_comp_re"))).alias("_dxs"),
-        F.when(is_nm1, nm1_info(e)).alias("_nm1"),
+        F.when(is_nm1, nm1_info(e, F.col("mapped_role"))).alias("_nm1"),
+        F.when(tag == "REF", F.struct(el(e, 1).alias("ref_qualifier"), el(e, 2).alias("ref_value"))).alias("_ref"),
         F.when(is_nm1 & (F.size(e) > 2) & (el(e, 1) == "PR"),
                F.struct(el(e, 3).alias("payer_name"), _id_or_last(e).alias("payer_id"))).alias("_payer"),
         F.when(F.col("blk_off") < CLAIM_TEXT_CHARS, F.col("text")).alias("_txt"),
     )
-    is_prov = F.col("_nm1.role").isin(*CLAIM_PROVIDER_ROLES)
+    # a configured role renames what the code stands for; it can add a code to the claim's providers, not take one away
+    default = _default_role(F.col("_nm1.nm1_code"))
+    is_prov = F.col("_nm1.role").isin(*CLAIM_PROVIDER_ROLES) | F.coalesce(default.isin(*CLAIM_PROVIDER_ROLES), F.lit(False))
+    renders = (F.col("_nm1.role") == "RENDERING") | F.coalesce(default == "RENDERING", F.lit(False))
 
     def keyed(c: str, cond: Column | None = None) -> Column:
         v = F.col(c)
@@ -189,8 +197,9 @@ def claim_rows(seg: DataFrame) -> DataFrame:
         keyed("_line").alias("_lines"),
         keyed("_dxs").alias("_dx"),
         keyed("_nm1", F.coalesce(is_prov, F.lit(False))).alias("_prov"),
-        F.max_by(F.col("_nm1.npi"), F.when(is_prov & (F.col("_nm1.role") == "RENDERING") & _truthy(F.col("_nm1.npi")), pos)).alias("rendering_npi"),
+        F.max_by(F.col("_nm1.npi"), F.when(renders & _truthy(F.col("_nm1.npi")), pos)).alias("rendering_npi"),
         keyed("_payer").alias("_payers"),
+        keyed("_ref").alias("_refs"),
         keyed("_txt").alias("_text"),
         F.count(F.lit(1)).alias("n_block_segments"),
     ]
@@ -201,6 +210,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
     dx = F.flatten(_sorted_values(F.col("_dx")))
     prov = _sorted_values(F.col("_prov"))
     payers = _sorted_values(F.col("_payers"))
+    refs = _sorted_values(F.col("_refs"))
     from_434 = F.col("from_434")
     return claims.select(
         "file_hash", "g", "k", "n_block_segments",
@@ -216,6 +226,7 @@ def claim_rows(seg: DataFrame) -> DataFrame:
         prov.alias("claim_providers"),
         "rendering_npi",
         F.when(F.size(payers) > 0, payers).alias("other_payers"),
+        F.when(F.size(refs) > 0, refs).alias("references"),
         F.substring(
             F.call_function("array_join", _sorted_values(F.col("_text")), F.col("_seg_d")), 1, CLAIM_TEXT_CHARS
         ).alias("claim_block_text"),
@@ -239,7 +250,7 @@ def file_parties(seg: DataFrame) -> DataFrame:
         F.min_by(el(e, 13), F.when(tag == "ISA", pos)).alias("isa_control"),
         F.min_by(el(e, 6), F.when(tag == "GS", pos)).alias("gs_control"),
         F.max(F.col("is_st837")).alias("found_837"),
-        F.max_by(nm1_info(e), F.when(marker == "85", pos)).alias("_bill"),
+        F.max_by(nm1_info(e, F.col("mapped_role")), F.when(marker == "85", pos)).alias("_bill"),
         F.max_by(el(e, 1), bill_cond("N3")).alias("_bill_n3"),
         F.max_by(F.struct(el(e, 1).alias("city"), el(e, 2).alias("state"), el(e, 3).alias("zip")), bill_cond("N4")).alias("_bill_n4"),
     ]
@@ -308,7 +319,7 @@ def preceding_parties(seg: DataFrame) -> DataFrame:
         return F.last(F.when(cond, value), True).over(w)
 
     cols = {
-        "_bill": last(marker == "85", F.struct(F.col("pos").alias("at"), nm1_info(e).alias("v"))),
+        "_bill": last(marker == "85", F.struct(F.col("pos").alias("at"), nm1_info(e, F.col("mapped_role")).alias("v"))),
         "_bill_n3": last((tag == "N3") & (kind == "85"), F.struct(F.col("party_pos").alias("at"), el(e, 1).alias("v"))),
         "_bill_n4": last((tag == "N4") & (kind == "85"), F.struct(F.col("party_pos").alias("at"), el(e, 1).alias("city"),
                                                                    el(e, 2).alias("state"), el(e, 3).alias("zip"))),
@@ -351,7 +362,8 @@ def preceding_parties(seg: DataFrame) -> DataFrame:
 
 
 def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: int | None = None,
-          persist: bool = False, party_scope: str = "file", repartition: bool = True) -> dict[str, DataFrame]:
+          persist: bool = False, party_scope: str = "file", repartition: bool = True, params: DataFrame | None = None,
+          role_map: DataFrame | None = None, block_segments: int | None = None) -> dict[str, DataFrame]:
     """Bronze rows -> ``{"claims", "errors", "segments", "transactions", "parties", "files"}``.
 
     ``claims`` is one row per claim with typed nested columns (use
@@ -359,14 +371,16 @@ def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: i
     (file, stage, message). Pass ``repartition=False`` for input already
     hash-partitioned by ``file_hash``. ``party_scope="preceding"`` gives each claim the
     parties in force at its CLM segment instead of the file's last ones.
+    ``params`` (``vendor_id, params``) override profile fields, ``role_map`` is
+    the configured NM1 role map, ``block_segments`` scans files on two levels.
 
     The segment table feeds three aggregations (claims, spans, parties) and
     the errors; with ``persist=True`` it is computed once and kept
     (memory, spilling to local disk; lost blocks are recomputed from the
     input) — the caller unpersists ``result["segments"]`` when done.
     """
-    gated = S.resolve_delimiters(files, profiles)
-    seg = S.segment_table(gated, num_partitions, repartition)
+    gated = S.resolve_delimiters(files, profiles, params)
+    seg = S.segment_table(gated, num_partitions, repartition, role_map, block_segments)
     if persist:
         seg = seg.persist(StorageLevel.MEMORY_AND_DISK)
     txn = S.transactions(seg)
@@ -397,7 +411,7 @@ def parse(files: DataFrame, profiles: DataFrame | None = None, num_partitions: i
         "vendor_id", "file_hash", "file_path", "run_id", "isa_control", "gs_control", "st_control",
         "transaction_version", "claim_id", "claim_amount", "place_of_service", "subscriber_id", "patient_id",
         "billing_npi", "rendering_npi", "claim_from_dt", "claim_to_dt", "service_lines", "claim_block_text",
-        "diagnoses", "providers", "subscriber", "patient", "other_payers", "k", "g", "n_block_segments",
+        "diagnoses", "providers", "subscriber", "patient", "other_payers", "references", "k", "g", "n_block_segments",
     )
 
     errors = parse_errors(gated, parties, txn, meta)
@@ -477,7 +491,7 @@ def to_silver(claims: DataFrame, parse_ts: str | None = None, extra: list[str] |
         _json("subscriber").alias("subscriber_json"),
         _json("patient").alias("patient_json"),
         _json("other_payers").alias("other_payer_json"),
-        *(extra or []),
+        *[_json("references").alias(c) if c == "references_json" else c for c in extra or []],
     )
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from claimflow.functions.keys import hash_key
 from claimflow.functions.text import yyyymmdd_to_date
-from claimflow.operators.claims import DX_TYPE, LINE_TYPE, PARTY_TYPE, PAYER_TYPE, PROVIDER_TYPE
+from claimflow.operators.claims import DX_TYPE, LINE_TYPE, PARTY_TYPE, PAYER_TYPE, PROVIDER_TYPE, REFERENCE_TYPE
+from claimflow.operators.quality import map_ref
 
 BASE = ["vendor_id", "file_hash", "file_path", "run_id", "parse_ts", "load_ts", "isa_control", "gs_control",
         "st_control", "transaction_version", "claim_id"]
@@ -142,6 +143,17 @@ def claim_other_payer(claims: DataFrame, run_id: str | None = None, load_ts: str
     return out.withColumn("other_payer_key", hash_key("claim_key", "payer_seq", "payer_id", "payer_name", raw=1))
 
 
+def claim_reference(claims: DataFrame, ref_map: DataFrame) -> DataFrame:
+    """REF segments of the claims, numbered from 1, with the type of the REF qualifier map."""
+    refs = _nested(claims, "references", "references_json", REFERENCE_TYPE)
+    x = claims.select("vendor_id", "file_hash", "file_path", "st_control", "claim_id", F.posexplode(refs).alias("_pos", "r"))
+    rows = x.select(
+        "vendor_id", "file_hash", "file_path", "st_control", "claim_id", (F.col("_pos") + 1).cast("int").alias("ref_seq"),
+        "r.ref_qualifier", "r.ref_value",
+    )
+    return map_ref(rows, ref_map)
+
+
 # Merge keys of each gold table (null-safe). Child rows have their position in the key, so that rows with
 # equal codes (lines without LX, revenue-only lines, one provider in two roles or twice) are all kept.
 GOLD_KEYS = {

@@ -11,18 +11,18 @@ from __future__ import annotations
 import json
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, StringType
 
 from claimflow.sources.config import active, broadcast_if_small, scoped_lookup
 
 SAMPLE_CHARS = 2000
-# A row's JSON and the comma after it have three characters at least, so no later row reaches the first SAMPLE_CHARS.
-SAMPLE_ROWS = SAMPLE_CHARS // 3 + 1
-DQ_COLUMNS = ["pipeline_name", "run_id", "vendor_id", "file_hash", "rule_id", "entity", "severity",
-              "failed_count", "sample_values", "load_ts"]
+HASH_CHARS = 64  # of a sha256 in hexadecimal, which every stored row holds as its file_hash
+DQ_SCHEMA = ("pipeline_name string, run_id string, vendor_id string, file_hash string, rule_id string, entity string, "
+             "severity string, failed_count bigint, sample_values string, load_ts timestamp")
 ENTITIES = ["SILVER_CLAIM", "GOLD_HEADER", "GOLD_SERVICE_LINE", "GOLD_DIAGNOSIS", "GOLD_PROVIDER"]
 # A subquery opens with a bracket and one of these words; text inside quotes doesn't count.
 _QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|`[^`]*`", re.DOTALL)
@@ -58,6 +58,8 @@ def run_dq_rules(
     load_ts: str | None = None,
     with_samples: bool = True,
     probe: bool = False,
+    sample_order: list[str] | None = None,
+    least_row_chars: int = 3,
 ) -> DataFrame:
     """``dq_results`` rows: one per (rule, vendor, file) with at least one failing row.
 
@@ -66,7 +68,9 @@ def run_dq_rules(
     analyse gives one ``RULE_ERROR`` row with the reason as sample. With
     ``probe`` every rule is first run over its entity alone (a job each); one
     that fails on the data, such as a cast of unfit text, gives a
-    ``RULE_ERROR`` row too and the others are counted as usual.
+    ``RULE_ERROR`` row too and the others are counted as usual. Samples list
+    failing rows by ``sample_order``, or by a hash of the row;
+    ``least_row_chars`` says how long the JSON of any row is at least.
     """
     spark = rules.sparkSession
     defs = active(rules).select("rule_id", "entity", "severity", "vendor_id", "sql_predicate").orderBy("rule_id").collect()
@@ -103,7 +107,7 @@ def run_dq_rules(
             "vendor_id", "file_hash", "_r.*").filter(F.col("failed_count") > 0)
         long = long.withColumn("entity", F.lit(entity))
         if with_samples:
-            smp = _samples(scored, good, frame.columns)
+            smp = _samples(scored, good, frame.columns, sample_order, least_row_chars)
             same = [long[k].eqNullSafe(smp[k]) for k in ("vendor_id", "file_hash", "rule_id")]
             long = long.join(smp, same[0] & same[1] & same[2], "left").select(
                 *[long[c] for c in long.columns], smp["sample_values"])
@@ -124,9 +128,7 @@ def run_dq_rules(
         ).withColumn("load_ts", ts)
         out = err if out is None else out.unionByName(err)
     if out is None:
-        out = spark.createDataFrame([], "pipeline_name string, run_id string, vendor_id string, file_hash string, "
-                                        "rule_id string, entity string, severity string, failed_count bigint, "
-                                        "sample_values string, load_ts timestamp")
+        out = spark.createDataFrame([], DQ_SCHEMA)
     return out
 
 
@@ -138,44 +140,60 @@ def _failing(rule) -> Column:
     return cond
 
 
+def is_data_error(e: BaseException) -> bool:
+    """Whether rows caused the error (SQLSTATE class 22: casts, arithmetic, dates), and not the cluster or the plan."""
+    while e is not None:
+        state = e.getSqlState() if isinstance(e, PySparkException) else None
+        if state and state.startswith("22"):
+            return True
+        e = e.__cause__
+    return False
+
+
 def _fails(frame: DataFrame, rule) -> str | None:
     """The reason why the rule can't be evaluated over the rows, if it can't (runs a job)."""
     try:
         frame.agg(F.count_if(_failing(rule))).collect()
-    except Exception as e:
+    except PySparkException as e:
+        if not is_data_error(e):
+            raise
         return f"rule failed on the data: {str(e).splitlines()[0][:200]}"
     return None
 
 
-def _samples(scored: DataFrame, good: list, cols: list[str]) -> DataFrame:
+def _samples(scored: DataFrame, good: list, cols: list[str], order: list[str] | None = None, least: int = 3) -> DataFrame:
     """Failing rows per (vendor, file, rule) as JSON, cut to SAMPLE_CHARS, the only cut that shows.
 
-    Rows past SAMPLE_ROWS can't reach the text that is kept. ``row_number() <=
-    k`` is planned as a window group limit that is also applied before the
-    shuffle, so a file with millions of failures sends at most k rows per
-    task, never all of them.
+    A row takes part when the rows before it have not filled the budget of
+    SAMPLE_CHARS. Long values are cut to the budget first, as what lies behind
+    can't show. Before the shuffle a bound on the rows a group can need stands
+    in for their lengths: when no row is shorter than ``least`` characters (64
+    where it holds a sha256 in hexadecimal), ``SAMPLE_CHARS / least`` rows fill
+    the budget whatever they hold. ``row_number() <= k`` is planned as a group
+    limit on both sides of the shuffle. After it the running length cuts the
+    rows that are beyond the budget.
     """
     rid = F.element_at(F.array(*[F.lit(r["rule_id"]) for r in good]), F.col("_i") + 1)
     fail_idx = F.filter(
         F.array(*[F.when(F.col(f"_f{i}"), F.lit(i)) for i in range(len(good))]), lambda x: x.isNotNull()
     )
-    row = F.struct(*[F.col(c) for c in cols])
+    texts = {f.name for f in scored.schema.fields if isinstance(f.dataType, StringType)}
+    row = F.struct(*[F.substring(c, 1, SAMPLE_CHARS).alias(c) if c in texts else F.col(c) for c in cols])
+    by = F.struct(*order) if order else F.xxhash64(*[F.col(c) for c in cols])
     # only failing rows are hashed and kept as structs
     failing = scored.withColumn("_fi", fail_idx).filter(F.size("_fi") > 0)
-    rows = failing.select("vendor_id", "file_hash", row.alias("_row"), F.xxhash64(*[F.col(c) for c in cols]).alias("_o"),
-                          F.explode("_fi").alias("_i"))
+    rows = failing.select("vendor_id", "file_hash", row.alias("_row"), by.alias("_o"), F.explode("_fi").alias("_i"))
     rows = rows.withColumn("rule_id", rid)
-    # rank by a cheap row hash (deterministic); only the kept rows are turned into JSON
-    w = Window.partitionBy("vendor_id", "file_hash", "rule_id").orderBy("_o")
-    top = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= SAMPLE_ROWS)
-    top = top.select("vendor_id", "file_hash", "rule_id", "_rn", F.to_json(F.col("_row")).alias("_j"))
-    return top.groupBy("vendor_id", "file_hash", "rule_id").agg(
-        F.substring(
-            F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_j"))),
-                                                          lambda x: x["_j"]), ","), F.lit("]")),
-            1, SAMPLE_CHARS,
-        ).alias("sample_values")
-    )
+    keys = ["vendor_id", "file_hash", "rule_id"]
+    ranked = Window.partitionBy(*keys).orderBy("_o")
+    top = rows.withColumn("_rn", F.row_number().over(ranked)).filter(F.col("_rn") <= SAMPLE_CHARS // least + 1)
+    top = top.select(*keys, "_rn", F.substring(F.to_json(F.col("_row")), 1, SAMPLE_CHARS).alias("_j"))
+    before = Window.partitionBy(*keys).orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
+    used = F.coalesce(F.sum(F.char_length("_j") + 1).over(before), F.lit(0))
+    top = top.withColumn("_used", used).filter(F.col("_used") < SAMPLE_CHARS)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_j"))), lambda x: x["_j"]), ",")
+    text = F.substring(F.concat(F.lit("["), joined, F.lit("]")), 1, SAMPLE_CHARS)
+    return top.groupBy(*keys).agg(text.alias("sample_values"))
 
 
 # ---------------------------------------------------------------- standardization
@@ -235,14 +253,9 @@ def map_hi(diagnoses: DataFrame, hi_map: DataFrame) -> DataFrame:
     return scoped_lookup(diagnoses, hi_map, "diag_qualifier", "hi_qualifier", ["diag_type"])
 
 
-def claim_references(seg: DataFrame, claims: DataFrame, ref_map: DataFrame) -> DataFrame:
-    """REF segments inside claim blocks, classified by the REF qualifier map."""
-    refs = seg.filter(F.col("in_claim") & (F.col("tag") == "REF")).select(
-        "file_hash", "k", "pos", F.get(F.col("el"), F.lit(1)).alias("ref_qualifier"),
-        F.get(F.col("el"), F.lit(2)).alias("ref_value"),
-    )
-    c = claims.select("file_hash", "k", "vendor_id", "file_path", "st_control", "claim_id")
-    return scoped_lookup(refs.join(c, ["file_hash", "k"], "inner"), ref_map, "ref_qualifier", "ref_qualifier", ["ref_type"])
+def map_ref(references: DataFrame, ref_map: DataFrame) -> DataFrame:
+    """Claim references + ``ref_type`` from the REF qualifier map."""
+    return scoped_lookup(references, ref_map, "ref_qualifier", "ref_qualifier", ["ref_type"])
 
 
 # ---------------------------------------------------------------- quarantine
@@ -263,6 +276,33 @@ def auto_quarantine(dq_results: DataFrame, file_paths: DataFrame, run_id: str |
     )
 
 
+#: Stages of quarantine rows that keep a file out of gold and extracts until it is released.
+GATE_STAGES = ["DQ", "VERSION"]
+
+
+def gated_files(quarantine: DataFrame) -> DataFrame:
+    """``file_hash`` of the files that the gate holds back."""
+    held = F.col("stage").isin(GATE_STAGES) & F.col("file_hash").isNotNull()
+    return quarantine.filter(held).select("file_hash")
+
+
+def pass_gate(rows: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """The rows of files that the gate does not hold back (JN1: left anti join)."""
+    return rows.join(gated_files(quarantine), "file_hash", "left_anti")
+
+
+def version_quarantine(claims: DataFrame, registry: DataFrame, run_id: str | None = None, ts: str | None = None) -> DataFrame:
+    """Files with a transaction of an unexpected version -> quarantine rows (stage VERSION), one a file."""
+    now = F.lit(ts).cast("timestamp") if ts else F.current_timestamp()
+    wrong = version_check(claims, registry).filter(F.col("expected_version").isNotNull()).groupBy("vendor_id", "file_hash").agg(
+        F.min("file_path").alias("file_path"), F.min("transaction_version").alias("v"), F.max("expected_version").alias("e"))
+    reason = F.concat(F.lit("Version "), F.coalesce("v", F.lit("missing")), F.lit(", expected "), F.col("e"))
+    return wrong.select(
+        "vendor_id", "file_hash", "file_path", F.lit(run_id).cast("string").alias("run_id"), F.lit("VERSION").alias("stage"),
+        F.lit("VERSION").alias("rule_id"), reason.alias("reason"), now.alias("created_ts"),
+    )
+
+
 def version_check(claims: DataFrame, registry: DataFrame) -> DataFrame:
     """Transactions whose version differs from the vendor's expected version."""
     t = claims.select("vendor_id", "file_hash", "file_path", "st_control", "transaction_version").dropDuplicates(
@@ -276,29 +316,32 @@ def version_check(claims: DataFrame, registry: DataFrame) -> DataFrame:
 def partner_manifest(extract: DataFrame, key: str = "claim_key", amount: str = "claim_amount") -> DataFrame:
     """Manifest per partner: row count, decimal total, first / last key, and a hash of the rows.
 
-    The hash (``rows_hash``) is the exclusive or of the rows' 64-bit hashes, so it does not depend
-    on order or partitioning. Built from mergeable aggregates only, so a
-    partner holding most of the rows is pre-aggregated map-side and never
-    gathered into one task.
+    ``rows_hash`` holds the sums of two 64-bit hashes of the rows: it depends
+    neither on order nor on partitioning, and equal rows add up, where an
+    exclusive or would cancel pairs of them. Built from mergeable aggregates
+    only, so a partner holding most of the rows is pre-aggregated map-side and
+    never gathered into one task.
     """
+    h = [F.sum(F.xxhash64(F.lit(seed), *extract.columns).cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
     return extract.groupBy("vendor_id").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.coalesce(F.sum(F.coalesce(F.col(amount), F.lit(0)).try_cast("decimal(38,2)")), F.lit(0).cast("decimal(38,2)"))
         .cast("double").alias("total_amount"),
         F.min(key).alias("first_claim_key"),
         F.max(key).alias("last_claim_key"),
-        F.bit_xor(F.xxhash64(*extract.columns)).alias("rows_hash"),
+        F.concat_ws(":", *h).alias("rows_hash"),
     )
 
 
-def write_partner_extract(extract: DataFrame, path: str, order_by: list[str] | None = None, salts: int = 32) -> None:
-    """Write the extract one folder per partner, rows sorted inside each file.
+def write_partner_extract(extract: DataFrame, path: str, order_by: list[str] | None = None, files: int = 32) -> None:
+    """Write the extract one folder per partner, its rows in order over the folder's files.
 
-    A partner's rows are dealt to ``salts`` tasks by hash, so one holding a
-    third of all rows is not one task; its folder has up to as many files.
+    The rows are range-partitioned on partner and ``order_by`` (``claim_key``
+    by default) into about ``files`` parts, so a partner with a third of all
+    rows has a third of the tasks, and the names of its files follow the order
+    of the rows in them. Partners are few rows of configuration; a partner
+    without rows has no folder.
     """
-    salt = F.pmod(F.xxhash64(*extract.columns), F.lit(salts))
-    df = extract.repartition(F.col("vendor_id"), salt)
-    if order_by:
-        df = df.sortWithinPartitions(*order_by)
-    df.write.mode("overwrite").partitionBy("vendor_id").parquet(path)
+    order = order_by or ["claim_key"]
+    ranged = extract.repartitionByRange(files, "vendor_id", *order).sortWithinPartitions("vendor_id", *order)
+    ranged.write.mode("overwrite").partitionBy("vendor_id").parquet(path)

@@ -19,16 +19,24 @@ All windows share the partitioning and ordering, so Spark sorts the segment
 rows once. Files are hash-partitioned by ``file_hash`` *before* the explode
 (one shuffle of whole files, not of segments); windows and the per-claim /
 per-span / per-file aggregations downstream reuse that partitioning.
+
+A file too large for one task is scanned on two levels: the same windows run
+over blocks of its positions, the blocks' totals (sums, last positions, last
+values) are combined in order, and each block starts from what the blocks
+before it amount to. The totals are associative, so the result is that of one
+scan whatever the blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from claimflow.functions.text import delimiter_regex, el, py_strip
-from claimflow.sources.config import DEFAULT_PROFILE, broadcast_if_small, latest_profiles
+from claimflow.sources.config import DEFAULT_PROFILE, broadcast_if_small, effective_profiles, scoped_lookup
 
 # ISA is fixed-width; 0-based offsets of the element delimiter,
 # repetition separator (ISA11), component separator (ISA16) and the segment
@@ -45,6 +53,7 @@ ERR_SPLIT = ("split_segments", "No segments after splitting")
 ERR_NO_CLM = ("no_clm", "Found ST*837 but no CLM segments")
 ERR_NO_ST837 = ("no_st_837", "No ST*837 transaction found in file")
 
+FILE_COLUMNS = ["file_hash", "vendor_id", "segment_delim", "component_delim", "comp_re"]
 DELIM_COLUMNS = ["segment_delim", "element_delim", "component_delim", "repetition_delim"]
 
 
@@ -75,7 +84,7 @@ def detect_isa_delimiters(content: Column) -> Column:
     )
 
 
-def resolve_delimiters(files: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
+def resolve_delimiters(files: DataFrame, profiles: DataFrame | None = None, params: DataFrame | None = None) -> DataFrame:
     """Add the delimiters each file is parsed with, ``delim_source`` and ``gate_error``.
 
     ISA detection first (when the vendor profile allows it); when detection
@@ -83,9 +92,12 @@ def resolve_delimiters(files: DataFrame, profiles: DataFrame | None = None) -> D
     its own delimiters. ``use_isa_delimiters = false`` always takes the
     profile's. Vendors without a profile get the default profile (strict).
     ``gate_error`` is the error stage for files that cannot be parsed.
+    ``params`` (``vendor_id, params``) are step parameters that override
+    fields of the profile.
     """
     if profiles is not None:
-        prof = broadcast_if_small(latest_profiles(profiles).withColumnRenamed("vendor_id", "_pv"))
+        prof = effective_profiles(profiles, params).withColumnRenamed("vendor_id", "_pv")
+        prof = broadcast_if_small(prof, files=params is None)
         files = files.join(prof, files["vendor_id"] == prof["_pv"], "left").drop("_pv")
     else:
         for c in ["use_isa_delimiters", "strict_mode", *DELIM_COLUMNS]:
@@ -118,7 +130,7 @@ def resolve_delimiters(files: DataFrame, profiles: DataFrame | None = None) -> D
 def explode_segments(files: DataFrame, num_partitions: int | None = None, repartition: bool = True) -> DataFrame:
     """Files (with delimiters, ``gate_error`` NULL) -> one row per non-empty segment.
 
-    Columns: ``file_hash, segment_delim, component_delim, comp_re, pos, text, el, tag``.
+    Columns: ``file_hash, vendor_id, segment_delim, component_delim, comp_re, pos, text, el, tag``.
     ``tag`` is ``el[0]`` only when the segment has an element after it (a
     segment *is* ``ID`` only when it starts with ``ID`` + element delimiter).
     The delimiter regexes are built once per file, before the explode.
@@ -126,7 +138,7 @@ def explode_segments(files: DataFrame, num_partitions: int | None = None, repart
     ``file_hash`` (the windows then need no exchange at all).
     """
     f = files.filter(F.col("gate_error").isNull()).select(
-        "file_hash", "content_str", "segment_delim", "component_delim",
+        "file_hash", "vendor_id", "content_str", "segment_delim", "component_delim",
         delimiter_regex(F.col("segment_delim")).alias("seg_re"),
         delimiter_regex(F.col("element_delim")).alias("el_re"),
         delimiter_regex(F.col("component_delim")).alias("comp_re"),
@@ -134,64 +146,162 @@ def explode_segments(files: DataFrame, num_partitions: int | None = None, repart
     if repartition:
         f = f.repartition(num_partitions, "file_hash") if num_partitions else f.repartition("file_hash")
     pieces = f.select(
-        "file_hash", "segment_delim", "component_delim", "comp_re", "el_re",
+        *FILE_COLUMNS, "el_re",
         F.posexplode(F.split(F.col("content_str"), F.col("seg_re"), -1)).alias("pos", "raw"),
     )
-    segs = pieces.select(
-        "file_hash", "segment_delim", "component_delim", "comp_re", "el_re", "pos", py_strip(F.col("raw")).alias("text")
-    ).filter(F.col("text") != "")
+    return split_elements(pieces)
+
+
+def split_elements(pieces: DataFrame) -> DataFrame:
+    """Raw segment texts (``raw``, ``el_re``) -> non-empty segments with their elements and tag."""
+    keep = [c for c in pieces.columns if c not in ("raw", "el_re")]
+    segs = pieces.select(*keep, "el_re", py_strip(F.col("raw")).alias("text")).filter(F.col("text") != "")
     segs = segs.withColumn("el", F.split(F.col("text"), F.col("el_re"), -1)).drop("el_re")
     return segs.withColumn("tag", F.when(F.size("el") > 1, el("el", 0)))
 
 
-def annotate(segs: DataFrame) -> DataFrame:
-    """Add the scan state (``g, in_txn, k, in_claim, lx, party_*, blk_off``) with running windows.
-
-    Two window operators over the same ``(file_hash ORDER BY pos)`` sort:
-    the first carries what depends only on the segment itself (SE count,
-    last ST*837 / SE / LX / party marker, running text length), the second
-    what depends on the transaction state (claim ordinal, last claim start).
-    A row is inside a transaction when the last ST*837 at or before it comes
-    after the last SE strictly before it; inside a claim when, in addition,
-    the last in-transaction CLM does.
+def read_blocks(spark: SparkSession, files: DataFrame, segment_delim: str) -> DataFrame:
+    """Segments of large landing files, read in parallel: no task reads a whole file.
+
+    ``files`` has ``path, file_hash, vendor_id, element_delim, component_delim``
+    for files that share the one-character ``segment_delim`` (a literal of the
+    reader). The text source splits a file into byte ranges at that delimiter; a
+    range is a block (``blk``), and a segment's ``pos`` is the range's start plus
+    its number in the range, which grows through the file because every
+    segment has a byte at least. Few files: their paths are listed on the driver.
     """
-    w = Window.partitionBy("file_hash").orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("file_hash")
+    paths = [r["path"] for r in files.select("path").collect()]
+    raw = spark.read.option("lineSep", segment_delim).text(paths).select(
+        F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/").alias("path"),
+        F.col("_metadata.file_block_start").alias("blk"), F.monotonically_increasing_id().alias("_i"), F.col("value").alias("raw"),
+    )
+    own = files.select(
+        F.regexp_replace("path", "^file:/*", "/").alias("path"), "file_hash", "vendor_id", F.lit(segment_delim).alias("segment_delim"),
+        "component_delim", delimiter_regex(F.col("element_delim")).alias("el_re"), delimiter_regex(F.col("component_delim")).alias("comp_re"),
+    )
+    rows = raw.join(broadcast_if_small(own), "path")
+    number = F.row_number().over(Window.partitionBy("file_hash", "blk").orderBy("_i")) - 1
+    return split_elements(rows.select(*FILE_COLUMNS, "el_re", "blk", (F.col("blk") + number).alias("pos"), "raw"))
+
+
+def map_provider_codes(segs: DataFrame, role_map: DataFrame | None) -> DataFrame:
+    """Add ``mapped_role``: the configured role of an NM1 segment's entity code, if there is one.
+
+    A vendor's row wins over the global one, the lowest precedence within
+    either; two broadcast joins that match NM1 rows only.
+    """
+    if role_map is None:
+        return segs.withColumn("mapped_role", F.lit(None).cast("string"))
+    code = F.when(F.col("tag") == "NM1", el("el", 1))
+    m = role_map.withColumnRenamed("role_name", "mapped_role")
+    found = scoped_lookup(segs.withColumn("_code", code), m, "_code", "nm101_entity_id", ["mapped_role"], precedence="precedence")
+    return found.drop("_code")
+
+
+@dataclass(frozen=True)
+class Running:
+    """A running value over a file's segments: sum, largest or last non-null ``value`` up to a row (``before``: without it)."""
+
+    name: str
+    kind: str
+    value: Column
+    before: bool = False
+
+    def over(self, part: list[str]) -> Column:
+        last = -1 if self.before else Window.currentRow
+        w = Window.partitionBy(*part).orderBy("pos").rowsBetween(Window.unboundedPreceding, last)
+        if self.kind == "last":
+            return F.last(self.value, True).over(w)
+        return (F.sum if self.kind == "sum" else F.max)(self.value).over(w)
+
+    def total(self) -> Column:
+        """The value of a whole block."""
+        if self.kind == "last":
+            return F.max_by(self.value, F.when(self.value.isNotNull(), F.col("pos")))
+        return (F.sum if self.kind == "sum" else F.max)(self.value)
 
+    def prefix(self, totals: str) -> Column:
+        """The combined totals of the blocks before."""
+        w = Window.partitionBy("file_hash").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+        if self.kind == "last":
+            return F.last(totals, True).over(w)
+        return (F.sum if self.kind == "sum" else F.max)(totals).over(w)
+
+    def joined(self, carried: str, local: str) -> Column:
+        """What the blocks before amount to, continued by the block's own running value."""
+        if self.kind == "last":
+            return F.coalesce(local, carried)
+        if self.kind == "max":
+            return F.greatest(local, carried)
+        return F.coalesce(F.col(local), F.lit(0)) + F.coalesce(F.col(carried), F.lit(0))
+
+
+def running(segs: DataFrame, values: list[Running]) -> DataFrame:
+    """Add the running values: one window over the file, or two levels when the segments have a block (``blk``).
+
+    On two levels the windows are partitioned by file and block. One row a
+    block carries the totals; an exclusive prefix over those rows gives what
+    each block starts from, joined back on file and block.
+    """
+    if "blk" not in segs.columns:
+        return segs.select("*", *[v.over(["file_hash"]).alias(v.name) for v in values])
+    key = ["file_hash", "blk"]
+    totals = segs.groupBy(*key).agg(*[v.total().alias(v.name) for v in values])
+    carried = totals.select(*key, *[v.prefix(v.name).alias(f"_from_{v.name}") for v in values])
+    local = segs.select("*", *[v.over(key).alias(f"_own_{v.name}") for v in values])
+    joined = local.join(carried, key)
+    out = joined.withColumns({v.name: v.joined(f"_from_{v.name}", f"_own_{v.name}") for v in values})
+    return out.drop(*[f"{p}{v.name}" for v in values for p in ("_from_", "_own_")])
+
+
+def annotate(segs: DataFrame) -> DataFrame:
+    """Add the scan state (``g, in_txn, k, in_claim, lx, party_*, blk_off``) as running values.
+
+    Two groups over the same ``(file_hash ORDER BY pos)`` order: the first
+    carries what depends only on the segment itself (SE count, last ST*837 /
+    SE / LX / party marker, running text length), the second what depends on
+    the transaction state (claim ordinal, last claim start). A row is inside a
+    transaction when the last ST*837 at or before it comes after the last SE
+    strictly before it; inside a claim when, in addition, the last
+    in-transaction CLM does. Segments with a ``blk`` column are scanned on two
+    levels (:func:`running`).
+    """
     tag = F.col("tag")
     pos = F.col("pos")
-    is_se = (tag == "SE").cast("int")
+    is_se = F.coalesce(tag == "SE", F.lit(False)).cast("int")
     is_st837 = F.coalesce((tag == "ST") & (el("el", 1) == "837"), F.lit(False))
     marker = F.when((tag == "NM1") & (F.size("el") > 2) & el("el", 1).isin("85", "IL", "QC"), el("el", 1))
-    seg_len = F.length("text") + F.length("segment_delim")
-
-    s = segs.withColumn("is_st837", is_st837).withColumn("marker", marker).select(
-        "*",
-        (F.sum(is_se).over(run) - is_se).alias("g"),
-        F.max(F.when(F.col("is_st837"), pos)).over(run).alias("_last_st"),
-        F.max(F.when(tag == "SE", pos)).over(before).alias("_last_se"),
-        F.max(F.when(F.col("is_st837"), pos)).over(before).alias("_last_st_before"),
-        F.sum(seg_len).over(run).alias("_cum"),
-        F.last(F.when(tag == "LX", F.struct(pos.alias("at"), el("el", 1).alias("v"))), True).over(run).alias("_lx"),
-        F.last(F.when(F.col("marker").isNotNull(), F.struct(F.col("marker").alias("kind"), pos.alias("at"))), True)
-        .over(run).alias("_party"),
-        F.max(F.when(F.col("marker") == "85", pos)).over(whole).alias("last85_pos"),
-    )
+    seg_len = (F.length("text") + F.length("segment_delim")).cast("long")
+
+    s = segs.withColumn("is_st837", is_st837).withColumn("marker", marker)
+    at_st, at_se = F.when(F.col("is_st837"), pos), F.when(tag == "SE", pos)
+    s = running(s, [
+        Running("_n_se", "sum", is_se),
+        Running("_last_st", "max", at_st),
+        Running("_last_se", "max", at_se, before=True),
+        Running("_last_st_before", "max", at_st, before=True),
+        Running("_cum", "sum", seg_len),
+        Running("_lx", "last", F.when(tag == "LX", F.struct(pos.alias("at"), el("el", 1).alias("v")))),
+        Running("_party", "last", F.when(F.col("marker").isNotNull(), F.struct(F.col("marker").alias("kind"), pos.alias("at")))),
+    ])
+    s = s.withColumn("g", F.col("_n_se") - is_se)
+    at_85 = F.when(F.col("marker") == "85", pos)
+    if "blk" in segs.columns:
+        last = s.groupBy("file_hash").agg(F.max(at_85).alias("last85_pos"))  # combined a block at a time before the shuffle
+        s = s.join(last, "file_hash")
+    else:
+        s = s.withColumn("last85_pos", F.max(at_85).over(Window.partitionBy("file_hash")))
     after_se = F.coalesce(F.col("_last_se"), F.lit(-1))
     s = s.withColumn("in_txn", F.coalesce(F.col("_last_st") > after_se, F.lit(False)))
     s = s.withColumn("clm_flag", F.coalesce(tag == "CLM", F.lit(False)) & F.col("in_txn"))
     # the ST*837 that opens a span arrives while no transaction is open
     opener = F.col("is_st837") & ~F.coalesce(F.col("_last_st_before") > after_se, F.lit(False))
-    s = s.select(
-        "*",
-        F.last(F.when(opener, F.struct(el("el", 2).alias("st_control"), el("el", 3).alias("transaction_version"))), True)
-        .over(run).alias("_span"),
-        F.sum(F.col("clm_flag").cast("int")).over(run).alias("k"),
-        F.max(F.when(F.col("clm_flag"), pos)).over(run).alias("_last_clm"),
-        F.last(F.when(F.col("clm_flag"), F.col("_cum") - seg_len), True).over(run).alias("_start"),
-    )
+    s = running(s, [
+        Running("_span", "last", F.when(opener, F.struct(el("el", 2).alias("st_control"), el("el", 3).alias("transaction_version")))),
+        Running("k", "sum", F.col("clm_flag").cast("int")),
+        Running("_last_clm", "max", F.when(F.col("clm_flag"), pos)),
+        Running("_start", "last", F.when(F.col("clm_flag"), F.col("_cum") - seg_len)),
+    ])
     in_claim = F.col("in_txn") & F.coalesce(F.col("_last_clm") > after_se, F.lit(False))
     return (
         s.withColumn("in_claim", in_claim)
@@ -200,13 +310,21 @@ def annotate(segs: DataFrame) -> DataFrame:
         .withColumn("party_kind", F.col("_party.kind"))
         .withColumn("party_pos", F.col("_party.at"))
         .withColumn("span_st", F.when(F.col("in_txn"), F.col("_span")))
-        .drop("_lx", "_cum", "_start", "_party", "_last_st", "_last_se", "_last_clm", "_last_st_before", "_span")
+        .drop("_n_se", "_lx", "_cum", "_start", "_party", "_last_st", "_last_se", "_last_clm", "_last_st_before", "_span", "blk")
     )
 
 
-def segment_table(files: DataFrame, num_partitions: int | None = None, repartition: bool = True) -> DataFrame:
-    """Exploded and annotated segments of every parseable file."""
-    return annotate(explode_segments(files, num_partitions, repartition))
+def segment_table(files: DataFrame, num_partitions: int | None = None, repartition: bool = True,
+                  role_map: DataFrame | None = None, block_segments: int | None = None) -> DataFrame:
+    """Exploded and annotated segments of every parseable file.
+
+    ``block_segments`` scans files on two levels, in blocks of that many
+    positions (for files whose segments are too many for one task).
+    """
+    segs = map_provider_codes(explode_segments(files, num_partitions, repartition), role_map)
+    if block_segments:
+        segs = segs.withColumn("blk", F.floor(F.col("pos") / block_segments).cast("long")).repartition("file_hash", "blk")
+    return annotate(segs)
 
 
 def envelope_and_parties_raw(seg: DataFrame) -> DataFrame:

@@ -1,12 +1,11 @@
 """The medallion pipeline: steps that read tables, run operators and write tables.
 
-Tables live under a warehouse root (any Hadoop-compatible file system).
-Every write goes to a **new version directory** and becomes visible only
-when Spark's commit has written ``_SUCCESS``; readers take the newest
-committed version. A merge therefore never overwrites the table it reads,
-a failed or killed job leaves the previous version intact, and lost
-executors only cost task retries. Writing a step's output is also what cuts
-the lineage between steps.
+Tables are catalog tables (:mod:`claimflow.plans.tables`). A step reads the
+loads that its sources have gained since its mark, adds its rows as a load of
+its own and counts it in; a step that fails leaves no counted load and is run
+again from the same mark. A file that is parsed again has its rows replaced in
+every table: silver deletes and inserts them, and records the file as replaced,
+which the gold steps and the sums over files follow.
 
 Steps are plain functions (the pipeline_steps table names them); vendors are
 rows, so a step runs once for all vendors that have work.
@@ -15,10 +14,10 @@ rows, so a step runs once for all vendors that have work.
 from __future__ import annotations
 
 import time
-import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.operators import audit as A
@@ -28,209 +27,114 @@ from claimflow.operators import gold as G
 from claimflow.operators import merge as M
 from claimflow.operators import orchestration as O
 from claimflow.operators import quality as Q
+from claimflow.plans.tables import ClaimTables
 from claimflow.sources import config as cfg
-from claimflow.sources.config import broadcast_if_small
 
 PIPELINE = cfg.PIPELINE_NAME
+SILVER = "silver_837_claim"
 
 
-class TableStore:
-    """Versioned parquet tables under ``root``.
+@dataclass
+class RunContext:
+    """What a run needs: tables, run id and time, and the vendors it is for (None: all).
 
-    ``<root>/<name>/v<n>/`` is a full version (a rewrite), ``d<n>/`` an
-    appended delta. A reader takes the newest committed full version plus the
-    committed deltas after it. Versions are numbered from the clock, and only
-    directories with Spark's ``_SUCCESS`` marker count, so a killed job is
-    simply invisible.
+    ``params`` (``vendor_id, step_name, params``) are the effective step
+    parameters. Marks say up to which load a consumer has read a source: one
+    for all vendors, and one for each vendor that is elsewhere.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _fs(self, path: str):
-        return self._Path(path).getFileSystem(self._conf)
-
-    def _versions(self, name: str) -> list[str]:
-        base = f"{self.root}/{name}"
-        fs = self._fs(base)
-        p = self._Path(base)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if st.isDirectory() and n[:1] in ("v", "d") and n[1:].isdigit() \
-                    and fs.exists(self._Path(f"{base}/{n}/_SUCCESS")):
-                out.append(n)
-        return sorted(out, key=lambda v: int(v[1:]))
-
-    def _live(self, name: str) -> list[str]:
-        vs = self._versions(name)
-        fulls = [i for i, v in enumerate(vs) if v[0] == "v"]
-        start = fulls[-1] if fulls else 0
-        return vs[start:]
-
-    def exists(self, name: str) -> bool:
-        return bool(self._versions(name))
-
-    def read(self, name: str, schema=None) -> DataFrame:
-        live = self._live(name)
-        if not live:
-            if schema is None:
-                raise FileNotFoundError(name)
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(*[f"{self.root}/{name}/{v}" for v in live])
-
-    def _next(self, name: str) -> int:
-        last = self._versions(name)
-        return max(int(time.time() * 1000), int(last[-1][1:]) + 1 if last else 0)
-
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Replace the table with ``df`` (a new full version)."""
-        return self._save(f"{self.root}/{name}/v{self._next(name)}", df, partition_by)
-
-    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str | None:
-        """Add ``df`` as a delta version (existing files are never touched).
-
-        The rows are counted while they are written (an observation, no extra
-        job); an empty delta is removed again, so consumers see no new version.
-        """
-        path = f"{self.root}/{name}/d{self._next(name)}"
-        obs = Observation(f"append-{uuid.uuid4().hex}")
-        self._save(path, df.observe(obs, F.count(F.lit(1)).alias("n")), partition_by)
-        if obs.get.get("n", 0) == 0:
-            self._fs(path).delete(self._Path(path), True)
-            return None
-        return path
-
-    @staticmethod
-    def _save(path: str, df: DataFrame, partition_by: list[str] | None) -> str:
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return path
-
-    def insert_new(self, name: str, source: DataFrame, keys: list[str], schema: str | None = None,
-                   unique: bool = False, null_safe: bool = True) -> None:
-        """Insert-only merge as an append: the source rows whose keys are not in the table yet.
-
-        Keys match null-safely (``null_safe=False``: they are never null, so a
-        plain equality lets the join reuse the source's partitioning); the
-        source is reduced to one row per key first unless the caller
-        guarantees unique keys (``unique=True`` saves that shuffle).
-        """
-        src = source if unique else M.dedupe_source(source, keys)
-        if not self.exists(name):
-            self.write(name, src)
-            return
-        target = self.read(name, schema)
-        tk = target.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
-        cond = None
-        for k in keys:
-            c = src[k].eqNullSafe(tk[f"__k_{k}"]) if null_safe else src[k] == tk[f"__k_{k}"]
-            cond = c if cond is None else cond & c
-        self.append(name, src.join(tk, cond, "left_anti").select(*target.columns))
-
-    def latest_version(self, name: str) -> int | None:
-        vs = self._versions(name)
-        return int(vs[-1][1:]) if vs else None
-
-    def read_new(self, name: str, since: int | None, schema=None) -> tuple[DataFrame, int | None]:
-        """Rows added after version ``since``: the live deltas newer than it.
-
-        When a full rewrite happened after ``since`` (or there is no
-        watermark yet) the whole live table is returned. Also returns the
-        newest version number read, to store as the next watermark.
-        """
-        live = self._live(name)
-        if not live:
-            return self.read(name, schema), since
-        newest = int(live[-1][1:])
-        base = int(live[0][1:])
-        if since is None or (live[0][0] == "v" and base > since):
-            return self.read(name, schema), newest
-        fresh = [v for v in live if int(v[1:]) > since]
-        if not fresh:
-            return self.spark.createDataFrame([], self.read(name).schema), since
-        return self.spark.read.parquet(*[f"{self.root}/{name}/{v}" for v in fresh]), newest
-
-    def drop_old_versions(self, name: str) -> None:
-        """Delete versions older than the live ones (after readers have moved on)."""
-        live = set(self._live(name))
-        for v in self._versions(name):
-            if v not in live:
-                p = f"{self.root}/{name}/{v}"
-                self._fs(p).delete(self._Path(p), True)
-
-
-@dataclass
-class RunContext:
     spark: SparkSession
-    store: TableStore
+    store: ClaimTables
     run_id: str
     ts: str
     vendor_ids: list[str] | None = None
     standardize: bool = False
+    params: DataFrame | None = None
+    extract_root: str | None = None
     timings: dict[str, float] = field(default_factory=dict)
     observations: dict[str, Observation] = field(default_factory=dict)
-    _marks: dict | None = None
-    _dirty: dict = field(default_factory=dict)
+    _marks: dict[tuple[str, str], dict[str | None, int]] | None = None
+    _dirty: bool = False
 
-    def _load_marks(self) -> dict:
+    def _mark(self, consumer: str, source: str) -> dict[str | None, int]:
         if self._marks is None:
             self._marks = {}
-            if self.store.exists("_watermarks"):
-                for r in self.store.read("_watermarks").collect():
-                    self._marks[(r["consumer"], r["source"], r["vendor_id"])] = int(r["version"])
-        return self._marks
-
-    def watermark(self, consumer: str, source: str) -> int | None:
-        """The last ``source`` version ``consumer`` has processed (read once per run).
-
-        A run for some vendors has processed what each of them has: the
-        smallest of their marks, a vendor without one having that of the last
-        run over all vendors.
-        """
-        marks = self._load_marks()
-        whole = marks.get((consumer, source, None))
-        if not self.vendor_ids:
-            return whole
-        each = [max((m for m in (marks.get((consumer, source, v)), whole) if m is not None), default=None)
-                for v in self.vendor_ids]
-        return None if None in each else min(each)
-
-    def advance(self, consumer: str, source: str, version: int | None) -> None:
-        """Record a new watermark; :meth:`flush` writes them (a crash before it only means re-reading deltas,
-        which the key-level anti joins make harmless)."""
-        if version is not None:
-            for v in self.vendor_ids or [None]:
-                self._load_marks()[(consumer, source, v)] = int(version)
-            self._dirty[(consumer, source)] = int(version)
-
-    def flush(self) -> None:
-        if not self._dirty:
+            for r in self.store.read("consumer_mark").collect():
+                self._marks.setdefault((r["consumer"], r["source"]), {})[r["vendor_id"]] = r["batch_done"]
+        return self._marks.setdefault((consumer, source), {None: 0})
+
+    def _pending(self, consumer: str, source: str) -> tuple[int, Column]:
+        """The lowest mark of the run's vendors, and the rows after their marks."""
+        marks = self._mark(consumer, source)
+        vendor, batch = F.col("vendor_id"), F.col("batch")
+        rest, own = marks.get(None, 0), {v: m for v, m in marks.items() if v is not None}
+        if self.vendor_ids is not None:
+            by_mark: dict[int, list[str]] = {}
+            for v in self.vendor_ids:
+                by_mark.setdefault(own.get(v, rest), []).append(v)
+            cond = F.lit(False)
+            for m, vs in by_mark.items():
+                cond = cond | (vendor.isin(vs) & (batch > m))
+            return min(by_mark, default=rest), cond
+        others = ~F.coalesce(vendor.isin(list(own)), F.lit(False)) if own else F.lit(True)
+        cond = others & (batch > rest)
+        for v, m in own.items():
+            cond = cond | ((vendor == v) & (batch > m))
+        return min([rest, *own.values()]), cond
+
+    def delta(self, consumer: str, source: str) -> DataFrame | None:
+        """The run's vendors' rows of the loads after the consumer's mark; None when there is no such load (no job)."""
+        low, cond = self._pending(consumer, source)
+        loads = self.store.newer(source, low)
+        if self.vendor_ids is not None:
+            loads = [x for x in loads if x[1] is None or set(x[1]) & set(self.vendor_ids)]
+        if not loads:
+            return None
+        # the partition filters come first: loads before the lowest mark are never listed
+        return self.store.table(source).where((F.col("batch") > low) & (F.col("batch") <= self.store.committed)).where(cond)
+
+    def advance(self, consumer: str, source: str, upto: int) -> None:
+        """The run's vendors have read ``source`` up to ``upto``; so has whoever has no rows in the loads up to there."""
+        marks = self._mark(consumer, source)
+        self._dirty = True
+        if self.vendor_ids is None:
+            marks.clear()
+            marks[None] = upto
             return
-        rows = [(c, s_, v, n) for (c, s_, v), n in self._marks.items()]
-        self.store.write("_watermarks", self.spark.createDataFrame(
-            rows, "consumer string, source string, vendor_id string, version bigint").coalesce(1))
-        self._dirty = {}
+        marks.setdefault(None, 0)
+        marks.update({v: upto for v in self.vendor_ids})
+        for v, m in list(marks.items()):
+            between = [vs for n, vs in self.store.newer(source, m) if n <= upto]
+            mine = (lambda vs: v in vs) if v is not None else (lambda vs: bool(set(vs) - set(marks)))
+            if not any(vs is None or mine(vs) for vs in between):
+                marks[v] = max(m, upto)
+        rest = marks[None]
+        for v in [v for v, m in marks.items() if v is not None and m == rest]:
+            del marks[v]
 
-    def observe(self, name: str, df: DataFrame) -> DataFrame:
+    def flush(self) -> None:
+        """Write the marks; a crash before only means that loads are read again."""
+        if self._dirty:
+            rows = [(c, s, v, n) for (c, s), marks in self._marks.items() for v, n in marks.items()]
+            schema = "consumer string, source string, vendor_id string, batch_done bigint"
+            self.store.write("consumer_mark", self.spark.createDataFrame(rows, schema).coalesce(1))
+            self._dirty = False
+
+    def step_params(self, step: str) -> DataFrame | None:
+        """``vendor_id, params`` of a step."""
+        return None if self.params is None else self.params.filter(F.col("step_name") == step).select("vendor_id", "params")
+
+    def observe(self, name: str, df: DataFrame, rows: Column | None = None) -> DataFrame:
         """Count ``df``'s rows as a side effect of whatever job consumes it (no extra pass)."""
         obs = Observation(name)
         self.observations[name] = obs
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        return df.observe(obs, (F.count(F.lit(1)) if rows is None else F.count_if(rows)).alias("rows"))
 
     def metrics(self) -> dict[str, int]:
         return {k: v.get.get("rows", 0) for k, v in self.observations.items()}
 
     def vendor_filter(self, df: DataFrame) -> DataFrame:
-        return df if not self.vendor_ids else df.filter(F.col("vendor_id").isin(self.vendor_ids))
+        return df if self.vendor_ids is None else df.filter(F.col("vendor_id").isin(self.vendor_ids))
 
 
 def _timed(ctx: RunContext, name: str, fn):
@@ -240,85 +144,112 @@ def _timed(ctx: RunContext, name: str, fn):
     return out
 
 
-# Table schemas for first runs (empty targets).
-BRONZE_SCHEMA = ("vendor_id string, run_id string, file_path string, modification_time timestamp, "
-                 "file_size_bytes bigint, file_hash string, content_str string, is_x12_like boolean, ingest_ts timestamp")
-REJECT_SCHEMA = ("vendor_id string, run_id string, file_path string, modification_time timestamp, "
-                 "file_size_bytes bigint, file_hash string, content_str string, reject_reason string, ingest_ts timestamp")
-SILVER_SCHEMA = ", ".join(
-    f"{c} {'timestamp' if c == 'parse_ts' else 'double' if c == 'claim_amount' else 'string'}" for c in C.SILVER_COLUMNS
-)
-SUPERSEDED_SCHEMA = f"{SILVER_SCHEMA}, claim_ordinal int, claims_with_id bigint"
-ERROR_SCHEMA = ", ".join(f"{c} {'timestamp' if c == 'parse_ts' else 'string'}" for c in C.ERROR_COLUMNS)
-QUARANTINE_SCHEMA = ("vendor_id string, file_hash string, file_path string, run_id string, stage string, rule_id string, "
-                     "reason string, created_ts timestamp")
-
-
 # ---------------------------------------------------------------- steps
 def bronze_step(ctx: RunContext, landing: DataFrame) -> None:
     """Landing rows -> bronze_837_raw (insert-only on file_hash) + bronze_837_quarantine (insert-only on hash and path).
 
     A run for some vendors loads their files only (rejects without a vendor folder included).
     """
+    st = ctx.store
     ing = B.ingest(landing, ctx.run_id, ctx.ts)
-    if ctx.vendor_ids:
+    if ctx.vendor_ids is not None:
         ing = ing.filter(F.col("vendor_id").isNull() | F.col("vendor_id").isin(ctx.vendor_ids))
     ing = ing.persist()
     good, bad = B.split_rejects(ing)
+    tables = ["bronze_837_raw", "bronze_837_quarantine"]
+    n = st.begin(tables)
     # one row per hash by construction, and no null hash: no second pass over the text
-    ctx.store.insert_new("bronze_837_raw", ctx.observe("bronze_candidates", B.dedupe_by_hash(good)), ["file_hash"],
-                         BRONZE_SCHEMA, unique=True, null_safe=False)
-    ctx.store.insert_new("bronze_837_quarantine", ctx.observe("bronze_rejected", bad), ["file_hash", "file_path"],
-                         REJECT_SCHEMA, unique=True)
+    new = ctx.observe("bronze_candidates", B.dedupe_by_hash(good)).withColumn("bucket", st.bucket())
+    known = st.table("bronze_837_raw").select("bucket", "file_hash")
+    rows = [st.append("bronze_837_raw", new.join(known, ["bucket", "file_hash"], "left_anti"), n)]
+    bad = ctx.observe("bronze_rejected", bad)
+    seen = st.table("bronze_837_quarantine").select(F.col("file_hash").alias("_h"), F.col("file_path").alias("_p"))
+    same = bad["file_hash"].eqNullSafe(seen["_h"]) & (bad["file_path"] == seen["_p"])
+    rows.append(st.append("bronze_837_quarantine", bad.join(seen, same, "left_anti"), n))
     ing.unpersist()
+    _commit(ctx, n, tables, rows)
+
+
+def _commit(ctx: RunContext, number: int, tables: list[str], rows: list[int]) -> None:
+    """Count in the tables that the load has written to."""
+    written = [t for t, n in zip(tables, rows) if n]
+    if written:
+        ctx.store.commit(number, written, ctx.run_id, ctx.vendor_ids)
+
+
+SILVER_TABLES = ["file_loads", SILVER, "silver_837_parse_error", "replaced_files", "quarantine_files"]
 
 
 def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
-    """Unparsed bronze files -> silver claims (upsert), parse errors (insert-only), SILVER quarantine (upsert).
+    """Unparsed bronze files -> silver claims, parse errors and SILVER quarantine.
 
-    Only bronze deltas newer than the silver watermark are read, so a run
-    touches the content of new files only; the anti join on ``file_hash``
-    against claims and errors stays as the idempotency guard.
+    Only bronze loads newer than the silver mark are read, so a run touches the
+    content of new files only; the anti join with the files parsed before stays
+    as the idempotency guard. ``reprocess`` (``file_hash``) parses those files
+    again instead: whatever their earlier parse left in silver is deleted, and
+    the file is recorded as replaced for the tables built from silver.
     """
-    since = ctx.watermark("silver", "bronze_837_raw") if reprocess is None else None
-    bronze, upto = ctx.store.read_new("bronze_837_raw", since, BRONZE_SCHEMA)
-    if since is not None and upto == since:
-        return  # no bronze delta since the last silver run (known from the version listing, no job)
-    bronze = ctx.vendor_filter(bronze)
-    claims_t = ctx.store.read("silver_837_claim", SILVER_SCHEMA)
-    errors_t = ctx.store.read("silver_837_parse_error", ERROR_SCHEMA)
-    todo = B.unprocessed(bronze, claims_t, errors_t, reprocess)
-    res = C.parse(todo, ctx.store.read("vendor_837_profile", cfg.PROFILE_SCHEMA), persist=True)
+    st = ctx.store
+    upto = st.committed
+    if reprocess is None:
+        bronze = ctx.delta("silver", "bronze_837_raw")
+        if bronze is None:
+            return  # no bronze load since the last silver run
+        done = st.table("file_loads").select("file_hash")
+        files = B.unprocessed(bronze.select("vendor_id", "file_hash"), done, done.limit(0))
+        files = files.withColumn("replaced", F.lit(False))
+    else:
+        bronze = st.of_files("bronze_837_raw", reprocess)
+        earlier = st.of_files("file_loads", reprocess).select("file_hash").distinct().withColumn("_e", F.lit(True))
+        files = bronze.select("vendor_id", "file_hash").join(earlier, "file_hash", "left")
+        files = files.withColumn("replaced", F.coalesce("_e", F.lit(False)))
+    n = st.begin(SILVER_TABLES)
+    if st.append("file_loads", files.withColumn("run_id", F.lit(ctx.run_id)), n) == 0:
+        if reprocess is None:
+            ctx.advance("silver", "bronze_837_raw", upto)
+        return
+    loads = st.batch("file_loads", n)
+    again = loads.filter("replaced")
+    n_replaced = 0
+    if reprocess is not None:
+        for t in (SILVER, "silver_837_parse_error"):
+            st.delete_files(t, again)
+        st.delete_files("quarantine_files", again.withColumn("stage", F.lit("SILVER")), ("file_hash", "stage"))
+        n_replaced = st.append("replaced_files", again.withColumn("table_name", F.lit(SILVER)), n)
+    todo = bronze.join(loads.select("file_hash"), "file_hash", "left_semi")
+    res = C.parse(todo, st.read("vendor_837_profile"), persist=True, params=ctx.step_params("SILVER"),
+                  role_map=st.read("nm1_role_map"))
     ranked = C.rank_claims(res["claims"])
     if ctx.standardize:
-        rules = ctx.store.read("silver_standardization_rules", cfg.STD_RULES_SCHEMA)
-        std = Q.apply_standardization(C.to_silver(ranked, ctx.ts, ["claim_ordinal"]), rules, "silver_837_claim")
-        silver = C.rank_silver(std)  # a rule may make two claim ids equal
-    else:
-        silver = C.to_silver(ranked, ctx.ts, ["claim_ordinal", "claims_with_id", "newer_claims"])
-    claims = ctx.observe("silver_claims_parsed", silver.filter("newer_claims = 0").select(*C.SILVER_COLUMNS))
-    older = silver.filter("newer_claims > 0").select(*C.SILVER_COLUMNS, "claim_ordinal", "claims_with_id")
-    keys = ["file_hash", "st_control", "claim_id"]
-    if reprocess is None:
-        # Only files without claims or errors were parsed, so no key can match: an append.
-        # dedupe_claims already made (file_hash, st_control, claim_id) unique
-        ctx.store.insert_new("silver_837_claim", claims, keys, SILVER_SCHEMA, unique=True)
+        std = C.to_silver(ranked, ctx.ts, ["references_json", "claim_ordinal"])
+        silver = C.rank_silver(Q.apply_standardization(std, st.read("silver_standardization_rules"), SILVER))  # a rule may make ids equal
     else:
-        upd = [c for c in C.SILVER_COLUMNS if c not in keys]
-        ctx.store.write("silver_837_claim", M.merge_frames(claims_t, claims, keys, update=upd))
-    # claims that a later claim of the same id in the transaction replaces: kept aside and counted, never lost
-    ctx.store.insert_new("silver_837_claim_superseded", older, [*keys, "claim_ordinal"], SUPERSEDED_SCHEMA, unique=True)
+        silver = C.to_silver(ranked, ctx.ts, ["references_json", "claim_ordinal", "claims_with_id", "newer_claims"])
+    # one write: claims that a later claim of the same id in the transaction replaces go to partitions of their own
+    latest = F.col("newer_claims") == 0
+    n_claims = st.append(SILVER, ctx.observe("silver_claims_parsed", silver, latest), n, superseded=~latest)
     errs = ctx.observe("silver_parse_errors", C.errors_table(res["errors"], ctx.ts)).persist()
-    ctx.store.insert_new("silver_837_parse_error", errs, ["file_hash", "error_stage", "error_message"], ERROR_SCHEMA,
-                         unique=True)
-    q_t = ctx.store.read("quarantine_files", QUARANTINE_SCHEMA)
-    q = C.quarantine_rows(errs, ctx.run_id, ctx.ts)
-    ctx.store.write("quarantine_files", M.merge_frames(
-        q_t, q, ["vendor_id", "file_hash", "stage", "rule_id"], update=["file_path", "run_id", "reason", "created_ts"]))
+    n_errors = st.append("silver_837_parse_error", errs, n)
+    held = C.quarantine_rows(errs, ctx.run_id, ctx.ts)
+    n_held = 0 if n_errors == 0 or held.isEmpty() else 1
+    if n_held:
+        _quarantine(ctx, held, n)
     for k in ("segments", "transactions", "parties"):
         res[k].unpersist()
     errs.unpersist()
-    ctx.advance("silver", "bronze_837_raw", upto)
+    _commit(ctx, n, SILVER_TABLES, [1, n_claims, n_errors, n_replaced, n_held])
+    if reprocess is None:
+        ctx.advance("silver", "bronze_837_raw", upto)
+
+
+def _quarantine(ctx: RunContext, rows: DataFrame, number: int) -> None:
+    """Upsert quarantine rows on (vendor, file, stage, rule), into the partitions that hold their files.
+
+    ``rows`` is read more than once; the caller keeps it cheap.
+    """
+    keys = ["vendor_id", "file_hash", "stage", "rule_id"]
+    update = ["file_path", "run_id", "reason", "created_ts"]
+    ctx.store.update_files("quarantine_files", rows, lambda old: M.merge_frames(old, rows, keys, update=update), number)
 
 
 def standardize_step(ctx: RunContext) -> None:
@@ -331,25 +262,39 @@ def standardize_step(ctx: RunContext) -> None:
 
 
 def _gold_step(ctx: RunContext, table: str) -> None:
-    """Normalize the silver rows added since this table's watermark, then insert-only merge on its keys.
+    """Normalize the silver rows added since this table's mark; files parsed again lose their earlier rows first.
 
-    A re-run reads no old silver rows; after a silver rewrite (reprocess)
-    the whole table is read again and the key-level merge keeps the gold
-    table idempotent.
+    A file's rows come whole from one silver load, so no key of the table needs
+    to be looked up: what is new is added, what is replaced is deleted by file.
+    Files that the quarantine gate holds are left out.
     """
-    since = ctx.watermark(table, "silver_837_claim")
-    silver, upto = ctx.store.read_new("silver_837_claim", since, SILVER_SCHEMA)
-    if since is not None and upto == since:
+    st = ctx.store
+    upto = st.committed
+    again, silver = ctx.delta(table, "replaced_files"), ctx.delta(table, SILVER)
+    if again is None and silver is None:
         return
-    silver = ctx.vendor_filter(silver)
-    new = G.NORMALIZERS[table](silver, ctx.run_id, ctx.ts)
-    # the keys hold each row's position in its claim, so every child row has a key of its own
-    ctx.store.insert_new(table, new, G.GOLD_KEYS[table], unique=True)
-    ctx.advance(table, "silver_837_claim", upto)
+    n = st.begin([table, "replaced_files"])
+    rows = [0, 0]
+    if again is not None:
+        again = again.filter(F.col("table_name") == SILVER).select("vendor_id", "file_hash").distinct()
+        if st.delete_files(table, again):
+            rows[1] = st.append("replaced_files", again.withColumn("table_name", F.lit(table)), n)
+    if silver is not None:
+        passed = Q.pass_gate(silver, st.read("quarantine_files"))
+        if table == "claim_reference":
+            new = G.claim_reference(passed, st.read("ref_qualifier_map"))
+        else:
+            # the keys hold each row's position in its claim, so every child row has a key of its own
+            new = G.NORMALIZERS[table](passed, ctx.run_id, ctx.ts)
+        rows[0] = st.append(table, new, n)
+    _commit(ctx, n, [table, "replaced_files"], rows)
+    for source in ("replaced_files", SILVER):
+        ctx.advance(table, source, upto)
 
 
 def gold_header_step(ctx: RunContext) -> None:
     _gold_step(ctx, "claim_header")
+    _gold_step(ctx, "claim_reference")
 
 
 def gold_lines_step(ctx: RunContext) -> None:
@@ -373,98 +318,155 @@ def gold_other_payer_step(ctx: RunContext) -> None:
     _gold_step(ctx, "claim_other_payer")
 
 
-OPS_SOURCES = ["bronze_837_raw", "silver_837_claim", "quarantine_files", *G.NORMALIZERS]
+COUNTED = [SILVER, *G.NORMALIZERS]
+OPS_SOURCES = ["bronze_837_raw", "replaced_files", "quarantine_files", *COUNTED]
 
 
 def ops_step(ctx: RunContext) -> None:
     """Run row, file audit, silver/gold reconciliation, per-ST recon, DQ results, run status.
 
-    Incremental: files are immutable (keyed by content hash), so only files
-    that gained silver or gold rows since the last ops run are reconciled
-    again — their metrics are recomputed from the full tables, filtered to
-    those files (a column-pruned scan; gold may lag silver) — and the DQ rules
-    run over the rows added since then. When no source table has a newer
-    version, the audit, recon and DQ results cannot change and only the run
-    row is recorded.
+    Incremental: the rows added since the last ops run are reduced to partial
+    sums per table, file and transaction, which are stored beside the earlier
+    ones; those of replaced rows are deleted. Files that gained or lost rows
+    are reconciled from their partial sums, so no silver or gold row is read
+    twice. DQ rules run over the added rows. When no source has a newer load,
+    only the run row is recorded.
     """
     st = ctx.store
-    runs = st.read("pipeline_run", A.RUN_SCHEMA)
-    runs = A.start_run(runs, A.run_row(ctx.spark, PIPELINE, ctx.run_id, "claimflow", None))
-    latest = {t: st.latest_version(t) for t in OPS_SOURCES}
-    if st.exists("file_audit") and all(ctx.watermark("ops", t) == v for t, v in latest.items()):
+    runs = A.start_run(st.read("pipeline_run"), A.run_row(ctx.spark, PIPELINE, ctx.run_id, "claimflow", None))
+    fresh = {t: ctx.delta("ops", t) for t in OPS_SOURCES}
+    if all(df is None for df in fresh.values()):
         nothing = A.run_status(st.read("file_audit").limit(0), end_ts=ctx.ts)
         st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, nothing.drop("failed_files")))
         return
+    upto = st.committed
+    tables = ["file_partial", "file_audit", "recon_summary", "dq_results"]
+    n = st.begin(tables)
+    replaced = None
+    if fresh["replaced_files"] is not None:
+        replaced = fresh["replaced_files"].select(F.col("table_name").alias("source"), "file_hash").distinct()
+        st.delete_files("file_partial", replaced, ("file_hash", "source"))
+    added = {t: fresh[t] for t in COUNTED if fresh[t] is not None}
+    rows = dict.fromkeys(tables, 0)
+    if added:
+        rows["file_partial"] = st.append("file_partial", A.partial_sums(added), n)
+    touched = st.batch("file_partial", n).select("file_hash")
+    if replaced is not None:
+        touched = touched.union(replaced.select("file_hash"))
+    touched = touched.distinct()
+    sums = st.of_files("file_partial", touched)
+
+    recon = A.reconcile_files(sums, ctx.ts, _tolerance(ctx))
+    base = fresh["bronze_837_raw"]
+    held = fresh["quarantine_files"]
+    if replaced is not None:  # whether a replaced file is held is read anew
+        kept = st.of_files("quarantine_files", replaced)
+        held = kept if held is None else held.unionByName(kept)
+    held = None if held is None else held.select("file_hash").filter("file_hash IS NOT NULL").distinct()
+    changed = touched
+    for df in (base, held):
+        changed = changed if df is None else changed.union(df.select("file_hash"))
+
+    def audit(old: DataFrame) -> DataFrame:
+        return A.merge_file_audit(old, None if base is None else A.file_audit_base(base, ctx.ts), recon, held, replaced)
+
+    rows["file_audit"] = 1
+    st.update_files("file_audit", changed.distinct(), audit, n)
+    st.delete_files("recon_summary", touched)
+    rows["recon_summary"] = st.append("recon_summary", A.reconcile_transactions(sums, ctx.ts), n)
+
+    names = {"SILVER_CLAIM": SILVER, "GOLD_HEADER": "claim_header", "GOLD_SERVICE_LINE": "claim_service_line",
+             "GOLD_DIAGNOSIS": "claim_diagnosis", "GOLD_PROVIDER": "claim_provider"}
+    entities = {e: added[t].select(*st.read(t).columns) for e, t in names.items() if t in added}
+
+    def store_dq(probe: bool) -> int:
+        dq = Q.run_dq_rules(entities, st.read("dq_rules_837"), PIPELINE, ctx.run_id, ctx.ts, probe=probe,
+                             least_row_chars=Q.HASH_CHARS)
+        return st.append("dq_results", dq, n)  # one row per (run, rule, vendor, file) by construction
 
-    gold_schema = {t: G.NORMALIZERS[t](ctx.spark.createDataFrame([], SILVER_SCHEMA), ctx.run_id, ctx.ts).schema
-                   for t in G.NORMALIZERS}
+    try:
+        rows["dq_results"] = store_dq(False)
+    except PySparkException as e:
+        if not Q.is_data_error(e):
+            raise
+        st.begin(["dq_results"])
+        rows["dq_results"] = store_dq(True)  # find out which rule fails on the data, record it, run the others
+    status = A.run_status(st.of_files("file_audit", touched), end_ts=ctx.ts)
+    st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, status.drop("failed_files")))
+    _commit(ctx, n, tables, list(rows.values()))
+    for t in OPS_SOURCES:
+        ctx.advance("ops", t, upto)
 
-    def new_rows(t: str, schema) -> DataFrame:
-        return ctx.vendor_filter(st.read_new(t, ctx.watermark("ops", t), schema)[0])
 
-    bronze_new = new_rows("bronze_837_raw", BRONZE_SCHEMA)
-    silver_new = new_rows("silver_837_claim", SILVER_SCHEMA)
-    gold_new = {t: new_rows(t, gold_schema[t]) for t in G.NORMALIZERS}
-    first_run = ctx.watermark("ops", "silver_837_claim") is None
-    if first_run:  # every file is new: no need to compute the touched set
-        def only_touched(df: DataFrame) -> DataFrame:
-            return df
-    else:
-        touched = silver_new.select("file_hash")
-        for g in gold_new.values():
-            touched = touched.unionByName(g.select("file_hash"))
-        touched = broadcast_if_small(touched.distinct())
-
-        def only_touched(df: DataFrame) -> DataFrame:
-            return df.join(touched, "file_hash", "left_semi")
-
-    fa = st.read("file_audit") if st.exists("file_audit") else A.empty_file_audit(ctx.spark)
-    fa = A.upsert_file_audit(fa, A.file_audit_base(bronze_new, ctx.ts))
-    quarantined = st.read("quarantine_files", QUARANTINE_SCHEMA).select("file_hash").filter(F.col("file_hash").isNotNull())
-    fa = M.merge_frames(fa, quarantined.withColumn("status", F.lit(A.STATUS_QUARANTINED)), ["file_hash"],
-                        update=["status"], insert=False)
-    silver = only_touched(ctx.vendor_filter(st.read("silver_837_claim", SILVER_SCHEMA)))
-    gold = {t: only_touched(ctx.vendor_filter(st.read(t, gold_schema[t]))) for t in G.NORMALIZERS}
-    recon = A.reconcile_files(A.silver_metrics(silver), A.gold_metrics(*gold.values()),
-                              F.lit(ctx.run_id), F.lit(ctx.run_id), ctx.ts)
-    fa = A.apply_reconciliation(fa, recon)
-    st.write("file_audit", fa)
-    rs_t = st.read("recon_summary") if st.exists("recon_summary") else None
-    rs = A.reconcile_transactions(silver, gold["claim_header"], gold["claim_service_line"], ctx.ts)
-    st.write("recon_summary", rs if rs_t is None else M.merge_frames(rs_t, rs, ["file_hash", "st_control"], update=["*"]))
-    entities = {"SILVER_CLAIM": silver_new, "GOLD_HEADER": gold_new["claim_header"],
-                "GOLD_SERVICE_LINE": gold_new["claim_service_line"], "GOLD_DIAGNOSIS": gold_new["claim_diagnosis"],
-                "GOLD_PROVIDER": gold_new["claim_provider"]}
-    rules = st.read("dq_rules_837", cfg.DQ_RULES_SCHEMA)
-
-    def store_dq(probe: bool) -> None:
-        dq = Q.run_dq_rules(entities, rules, PIPELINE, ctx.run_id, ctx.ts, probe=probe)
-        # one row per (run, rule, vendor, file) by construction
-        st.insert_new("dq_results", dq, ["pipeline_name", "run_id", "rule_id", "file_hash", "vendor_id"], unique=True)
+def _tolerance(ctx: RunContext) -> DataFrame | None:
+    """Vendors whose OPS_AUDIT parameters set ``amount_tolerance``."""
+    params = ctx.step_params("OPS_AUDIT")
+    if params is None:
+        return None
+    value = F.try_element_at("params", F.lit("amount_tolerance")).try_cast("double")
+    return params.select("vendor_id", value.alias("amount_tolerance")).filter("amount_tolerance IS NOT NULL")
 
-    try:
-        store_dq(False)
-    except Exception:  # some rule fails on the data: find out which, record it, run the others
-        store_dq(True)
-    # files reconciled by this run carry its run id: no need to recompute the reconciliation
-    status = A.run_status(st.read("file_audit").filter(F.col("gold_run_id") == ctx.run_id), end_ts=ctx.ts)
-    st.write("pipeline_run", A.finish_run(runs, PIPELINE, ctx.run_id, status.drop("failed_files")))
-    for t, v in latest.items():
-        ctx.advance("ops", t, v)
 
+# ---------------------------------------------------------------- quarantine gate and extracts
+def gate_step(ctx: RunContext) -> None:
+    """Quarantine the files that the last DQ run or the version check found, and take their rows out of gold.
 
-REWRITTEN_TABLES = ["file_audit", "pipeline_run", "quarantine_files", "recon_summary", "vendor_state", "_watermarks"]
+    The gate holds their later rows back too, until :func:`release_files`.
+    """
+    st = ctx.store
+    upto = st.committed
+    dq, silver = ctx.delta("gate", "dq_results"), ctx.delta("gate", SILVER)
+    found = []
+    if dq is not None:
+        paths = st.of_files("bronze_837_raw", dq.filter("file_hash IS NOT NULL")).select("file_hash", "file_path")
+        found.append(Q.auto_quarantine(dq, paths, ctx.run_id, ctx.ts))
+    if silver is not None:
+        found.append(Q.version_quarantine(silver, st.read("vendor_registry"), ctx.run_id, ctx.ts))
+    if not found:
+        return
+    held = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    n = st.begin(["quarantine_files", "replaced_files", "file_audit"])
+    held = held.persist()
+    n_replaced = 0
+    n_held = held.count()
+    if n_held:
+        _quarantine(ctx, held, n)
+        files = held.select("vendor_id", "file_hash").distinct()
+        gone = None
+        for t in [*G.NORMALIZERS, "claim_reference"]:
+            if st.delete_files(t, files):
+                rows = files.withColumn("table_name", F.lit(t))
+                gone = rows if gone is None else gone.unionByName(rows)
+        if gone is not None:
+            n_replaced = st.append("replaced_files", gone, n)
+        st.update_files("file_audit", files, lambda old: A.merge_file_audit(old, quarantined=files), n)
+    held.unpersist()
+    _commit(ctx, n, ["quarantine_files", "replaced_files"], [n_held, n_replaced])
+    for source in ("dq_results", SILVER):
+        ctx.advance("gate", source, upto)
+
+
+def release_files(ctx: RunContext, files: DataFrame) -> None:
+    """Release held files (``file_hash``): their gate rows go, and the files are parsed again into silver.
+
+    The next gold steps build their rows, as for any file that was parsed again.
+    """
+    stages = F.explode(F.array(*[F.lit(s) for s in Q.GATE_STAGES]))
+    ctx.store.delete_files("quarantine_files", files.select("file_hash").withColumn("stage", stages), ("file_hash", "stage"))
+    silver_step(ctx, reprocess=files)
 
 
-def vacuum(store: TableStore, tables: list[str] | None = None) -> None:
-    """Delete superseded versions (older than the newest full version) of the given tables.
+def extract_step(ctx: RunContext) -> None:
+    """Partner extracts of the gold headers that pass the gate, ordered by claim key, and their manifest.
 
-    Run it between pipeline runs: a version is only removed once a newer full
-    version exists, and readers of an older snapshot must be finished.
+    Written under ``ctx.extract_root`` (default: beside the tables), a folder a run.
     """
-    for t in tables or REWRITTEN_TABLES:
-        if store.exists(t):
-            store.drop_old_versions(t)
+    st = ctx.store
+    root = f"{(ctx.extract_root or st.root + '/partner_extracts').rstrip('/')}/{ctx.run_id}"
+    rows = ctx.vendor_filter(Q.pass_gate(st.read("claim_header"), st.read("quarantine_files")))
+    Q.write_partner_extract(rows, f"{root}/claims")
+    written = ctx.spark.read.schema(rows.schema).parquet(f"{root}/claims")
+    Q.partner_manifest(written).write.mode("overwrite").parquet(f"{root}/manifest")
 
 
 STEP_FUNCTIONS = {
@@ -472,10 +474,11 @@ STEP_FUNCTIONS = {
     "GOLD_HEADER": gold_header_step, "GOLD_LINES": gold_lines_step, "GOLD_DX": gold_dx_step,
     "GOLD_PROVIDER": gold_provider_step, "GOLD_SUB_PAT": gold_sub_pat_step,
     "GOLD_OTHER_PAYER": gold_other_payer_step, "OPS_AUDIT": ops_step,
+    "QUARANTINE_GATE": gate_step, "PARTNER_EXTRACT": extract_step,
 }
 
 
-def seed_config(spark: SparkSession, store: TableStore, landing_root: str = cfg.LANDING_ROOT) -> None:
+def seed_config(spark: SparkSession, store: ClaimTables, landing_root: str = cfg.LANDING_ROOT) -> None:
     """Seed the config tables; seeding again keeps every row that users have added.
 
     Vendors, profiles, steps and DQ rules are merged on their keys; the
@@ -484,19 +487,16 @@ def seed_config(spark: SparkSession, store: TableStore, landing_root: str = cfg.
     """
 
     def merge(name: str, seed: DataFrame, keys: list[str]) -> None:
-        if store.exists(name):
-            upd = [c for c in seed.columns if c not in (*keys, "created_ts")]
-            seed = M.merge_frames(store.read(name), seed, keys, update=upd)
-        store.write(name, seed)
+        upd = [c for c in seed.columns if c not in (*keys, "created_ts")]
+        store.write(name, M.merge_frames(store.read(name), seed, keys, update=upd))
 
     def defaults(name: str, seed: DataFrame) -> None:
-        store.write(name, M.replace_rows(store.read(name), seed, F.col("vendor_id").isNull()) if store.exists(name) else seed)
+        store.write(name, M.replace_rows(store.read(name), seed, F.col("vendor_id").isNull()))
 
     merge("vendor_registry", cfg.vendor_registry(spark, landing_root), ["vendor_id"])
     merge("vendor_837_profile", cfg.vendor_profiles(spark), ["vendor_id"])
     merge("pipeline_steps", cfg.pipeline_steps(spark), ["pipeline_name", "step_name"])
-    if not store.exists("vendor_step_overrides"):
-        store.write("vendor_step_overrides", cfg.step_overrides(spark))
+    store.declare("vendor_step_overrides")
     defaults("nm1_role_map", cfg.nm1_role_map(spark))
     defaults("hi_qualifier_map", cfg.hi_qualifier_map(spark))
     defaults("ref_qualifier_map", cfg.ref_qualifier_map(spark))
@@ -507,7 +507,7 @@ def seed_config(spark: SparkSession, store: TableStore, landing_root: str = cfg.
 def run_pipeline(ctx: RunContext, landing: DataFrame, steps: list[str] | None = None) -> dict[str, float]:
     """Run the enabled steps in order (from ``pipeline_steps``); returns step timings in seconds."""
     step_rows = (
-        ctx.store.read("pipeline_steps", cfg.STEPS_SCHEMA)
+        ctx.store.read("pipeline_steps")
         .filter((F.col("pipeline_name") == PIPELINE) & F.col("enabled_flag"))
         .select("step_order", "step_name").orderBy("step_order").collect()
     )
@@ -527,17 +527,17 @@ def orchestrate(ctx: RunContext, listing: DataFrame, landing: DataFrame) -> Data
     Returns the effective step plan that was executed.
     """
     st = ctx.store
-    registry = st.read("vendor_registry", cfg.VENDOR_REGISTRY_SCHEMA)
-    fa = st.read("file_audit") if st.exists("file_audit") else None
-    q = st.read("quarantine_files", QUARANTINE_SCHEMA)
-    found = O.discover_files(listing, registry, fa, q).persist()
+    registry = st.read("vendor_registry")
+    found = O.discover_files(listing, registry, st.read("file_audit"), st.read("quarantine_files")).persist()
     over = O.oversize_quarantine(found, ctx.run_id, ctx.ts)
-    st.write("quarantine_files", M.merge_frames(q, over, ["vendor_id", "file_path", "stage", "rule_id"], update=["reason"]))
+    n = st.begin(["quarantine_files"])
+    known = st.read("quarantine_files").filter("rule_id = 'OVERSIZE'").select("vendor_id", "file_path")
+    _commit(ctx, n, ["quarantine_files"], [st.append("quarantine_files", over.join(known, ["vendor_id", "file_path"], "left_anti"), n)])
     todo = found.filter(F.col("action") == "PROCESS").select("vendor_id", "file_path")
     vendors = O.active_vendors(registry).join(todo.select("vendor_id").distinct(), "vendor_id", "left_semi")
-    plan = O.effective_steps(vendors, st.read("pipeline_steps", cfg.STEPS_SCHEMA),
-                             st.read("vendor_step_overrides", cfg.OVERRIDES_SCHEMA), PIPELINE, ctx.run_id,
+    plan = O.effective_steps(vendors, st.read("pipeline_steps"), st.read("vendor_step_overrides"), PIPELINE, ctx.run_id,
                              "orchestrator", todo).persist()
+    ctx.params = plan.select("vendor_id", "step_name", "params")  # a row a vendor and step
     # A step runs once for every vendor that has it enabled (vendors are rows, not loop iterations).
     enabled = plan.filter("enabled").groupBy("step_order", "step_name").agg(
         F.sort_array(F.collect_set("vendor_id")).alias("vendors")).orderBy("step_order").collect()
@@ -577,7 +577,7 @@ def orchestrate(ctx: RunContext, listing: DataFrame, landing: DataFrame) -> Data
     ran = sorted({v for r in enabled for v in r["vendors"]})
     rows = [(v, v not in failed, failed.get(v)) for v in ran]
     res = ctx.spark.createDataFrame(rows, "vendor_id string, ok boolean, notes string")
-    state = st.read("vendor_state", cfg.VENDOR_STATE_SCHEMA)
+    state = st.read("vendor_state")
     new_state = O.update_vendor_state(state, O.vendor_outcomes(res, ctx.run_id, ctx.ts))
     st.write("vendor_state", new_state.select(*state.columns))
     found.unpersist()

@@ -22,7 +22,7 @@ from claimflow.operators import segments as S
 from claimflow.plans.oracle_sql import BASE_CTES, PARSE_CTES, TEXT_CTES, with_ctes
 from claimflow.sources import config as cfg
 from claimflow.session import materialize
-from claimflow.sources.fixtures import render_landing
+from claimflow.sources.fixtures import fixture_profiles, render_landing
 
 RUN_ID = "run-0001"
 TS = "2024-06-01 00:00:00"
@@ -70,7 +70,7 @@ class Stages:
     @cached_property
     def parsed(self) -> dict[str, DataFrame]:
         # bronze comes out of the hash dedupe, already partitioned by file_hash
-        return C.parse(self.bronze, cfg.vendor_profiles(self.spark), repartition=False)
+        return C.parse(self.bronze, fixture_profiles(self.spark), repartition=False)
 
     @cached_property
     def claims(self) -> DataFrame:
@@ -143,7 +143,7 @@ def unprocessed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze files with neither claims nor errors from the earlier run (files modified before the cutoff)."""
     st = Stages(spark, sf_dir)
     earlier = st.bronze.filter(F.col("modification_time") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp"))
-    prev = C.parse(earlier, cfg.vendor_profiles(spark))
+    prev = C.parse(earlier, fixture_profiles(spark))
     return B.unprocessed(st.bronze, prev["claims"], prev["errors"]).select("vendor_id", "file_path")
 
 
@@ -159,7 +159,7 @@ FROM pfiles""")
 def delimiters_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimiters per file from the ISA, else the vendor profile, else quarantine."""
     st = Stages(spark, sf_dir)
-    g = S.resolve_delimiters(st.bronze, cfg.vendor_profiles(spark))
+    g = S.resolve_delimiters(st.bronze, fixture_profiles(spark))
     return g.select("vendor_id", "file_path", "delim_source", *S.DELIM_COLUMNS, "gate_error")
 
 
@@ -412,7 +412,7 @@ QUERIES["patients"].__doc__ = "X9/G6: patient (NM1*QC overlay, else the subscrib
 def party_scope_preceding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 option: parties in force at each CLM (``party_scope="preceding"``) -> gold patients."""
     st = Stages(spark, sf_dir)
-    pre = C.dedupe_claims(C.parse(st.bronze, cfg.vendor_profiles(spark), party_scope="preceding")["claims"])
+    pre = C.dedupe_claims(C.parse(st.bronze, fixture_profiles(spark), party_scope="preceding")["claims"])
     p = G.claim_patient(pre, RUN_ID, TS)
     return p.select("file_path", "claim_id", "member_id", "first_name", "last_name", _d("dob"), "gender",
                     "addr1", "city", "state", "zip")

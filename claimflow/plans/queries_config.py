@@ -13,6 +13,7 @@ from claimflow.operators import quality as Q
 from claimflow.plans.oracle_sql import BASE_CTES, PARSE_CTES, TEXT_CTES, with_ctes
 from claimflow.plans.queries import EARLIER_RUN_CUTOFF, RUN_ID, TS, Stages, _paths, register
 from claimflow.sources import config as cfg
+from claimflow.sources.fixtures import fixture_profiles
 from claimflow.sources.star import read_table
 
 _ALL = with_ctes(BASE_CTES, TEXT_CTES, PARSE_CTES)
@@ -209,17 +210,15 @@ def _earlier_audit(st: Stages) -> DataFrame:
     ts_ok = st.bronze.filter(F.col("modification_time") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp"))
     earlier_claims = st.shared_claims.join(ts_ok.select("file_hash"), "file_hash", "left_semi")
     from claimflow.operators import claims as C
-    recon = A.reconcile_files(A.silver_metrics(C.to_silver(earlier_claims, TS)),
-                              A.gold_metrics(*[G.NORMALIZERS[t](earlier_claims, RUN_ID, TS) for t in G.NORMALIZERS]),
-                              ts=TS)
-    fa = A.upsert_file_audit(A.empty_file_audit(st.spark), A.file_audit_base(ts_ok, TS))
-    return A.apply_reconciliation(fa, recon)
+    gold = {t: normalize(earlier_claims, RUN_ID, TS) for t, normalize in G.NORMALIZERS.items()}
+    recon = A.reconcile_files(A.partial_sums({A.SILVER: C.to_silver(earlier_claims, TS), **gold}), ts=TS)
+    return A.merge_file_audit(A.empty_file_audit(st.spark), A.file_audit_base(ts_ok, TS), recon)
 
 
 def _earlier_quarantine(st: Stages) -> DataFrame:
     from claimflow.operators import claims as C
     ts_ok = st.bronze.filter(F.col("modification_time") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp"))
-    return C.quarantine_rows(C.parse(ts_ok, cfg.vendor_profiles(st.spark))["errors"], RUN_ID, TS)
+    return C.quarantine_rows(C.parse(ts_ok, fixture_profiles(st.spark))["errors"], RUN_ID, TS)
 
 
 _DISCOVER_SQL = _ALL + f"""

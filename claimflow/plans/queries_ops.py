@@ -121,6 +121,10 @@ def _gold_all(st: Stages, claims: DataFrame | None = None) -> list[DataFrame]:
     return [G.NORMALIZERS[t](c, RUN_ID, TS) for t in _GOLD_TABLES]
 
 
+def _partials(silver: DataFrame, gold: list[DataFrame]) -> DataFrame:
+    return A.partial_sums({A.SILVER: silver, **dict(zip(_GOLD_TABLES, gold))})
+
+
 _METRIC_CTES = """
 , sil AS (
   SELECT vendor_id, file_path, count(*) AS silver_claim_count,
@@ -176,9 +180,7 @@ def _recon(st: Stages) -> DataFrame:
     # Gold lags silver: it was built by the earlier run, from files modified before the cutoff.
     ts_ok = st.bronze.filter(F.col("modification_time") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp")).select("file_hash")
     earlier = st.shared_claims.join(ts_ok, "file_hash", "left_semi")
-    sm = A.silver_metrics(st.shared_silver)
-    gm = A.gold_metrics(*_gold_all(st, earlier))
-    return A.reconcile_files(sm, gm, ts=TS)
+    return A.reconcile_files(_partials(st.shared_silver, _gold_all(st, earlier)), ts=TS)
 
 
 @register("recon_files", with_ctes(BASE_CTES, TEXT_CTES, PARSE_CTES) + _METRIC_CTES + _RECON_SQL)
@@ -201,11 +203,8 @@ LEFT JOIN (SELECT file_path FROM errors_exp WHERE error_stage = 'quarantine_deli
 def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OPS2/OPS4: file_audit after base upsert, quarantine marks and a reconciliation update (QUARANTINED sticks)."""
     st = Stages(spark, sf_dir)
-    fa = A.upsert_file_audit(A.empty_file_audit(spark), A.file_audit_base(st.bronze, TS))
     quarantined = st.parsed["errors"].filter(F.col("error_stage") == "quarantine_delimiters").select("file_hash")
-    fa = M.merge_frames(fa, quarantined.withColumn("status", F.lit(A.STATUS_QUARANTINED)), ["file_hash"],
-                        update=["status"], insert=False)
-    fa = A.apply_reconciliation(fa, _recon(st))
+    fa = A.merge_file_audit(A.empty_file_audit(spark), A.file_audit_base(st.bronze, TS), _recon(st), quarantined)
     return fa.select("vendor_id", "file_path", "file_size_bytes", "status", "silver_claim_count", "gold_header_count",
                      "recon_header_match", "recon_notes")
 
@@ -221,8 +220,7 @@ FROM all_claims GROUP BY vendor_id, file_path, st_control, transaction_version""
 def recon_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OPS5: per (file, ST, version) parsed vs gold headers, amounts, and whether gold has lines."""
     st = Stages(spark, sf_dir)
-    gold = _gold_all(st)
-    r = A.reconcile_transactions(st.shared_silver, gold[0], gold[1], TS)
+    r = A.reconcile_transactions(_partials(st.shared_silver, _gold_all(st)), TS)
     return _paths(r, st.bronze).select(
         "vendor_id", "file_path", "st_control", "transaction_version", "expected_claims", "parsed_claims",
         "gold_headers", "gold_lines", "parsed_claim_amt", "header_claim_amt", "header_match", "lines_match",

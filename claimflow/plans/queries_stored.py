@@ -19,9 +19,9 @@ from claimflow.plans.queries import EARLIER_RUN_CUTOFF, ORACLES, TS, Stages, reg
 from claimflow.session import ensure_checkpoint_dir
 
 
-def _two_loads(spark: SparkSession, sf_dir: str) -> P.TableStore:
+def _two_loads(spark: SparkSession, sf_dir: str) -> P.ClaimTables:
     """A warehouse in the shared folder after two runs of the pipeline."""
-    store = P.TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}")
+    store = P.ClaimTables(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}")
     P.seed_config(spark, store)
     landing = Stages(spark, sf_dir).landing
     half = landing.filter(F.crc32("content") % 2 == 0)  # copies of one content arrive together

@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CLAIMFLOW_DRIVER_MEMORY", "16g"))
         .config("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "64")  # partitioned writes without a sort of the rows
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

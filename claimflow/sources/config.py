@@ -66,10 +66,9 @@ FILE_NAME_REGEX = r".*\.x12$"
 MAX_FILE_SIZE_MB = 200
 
 # Parsing profiles: (vendor_id, type, use_isa, segment, element, component, repetition, strict, version).
-# vendorB's profile is a fixture change: not strict, with its own delimiters.
 PROFILE_SEED = [
     ("vendorA", "837P", True, "~", "*", ":", "^", True, "005010X222A1"),
-    ("vendorB", "837P", True, "~", "|", ">", "^", False, "005010X222A1"),
+    ("vendorB", "837P", True, "~", "*", ":", "^", True, "005010X222A1"),
     ("vendorC", "837I", True, "~", "*", ":", "^", True, "005010X223A2"),
 ]
 DEFAULT_PROFILE = {"use_isa_delimiters": True, "segment_delim": "~", "element_delim": "*",
@@ -87,6 +86,8 @@ STEPS_SEED = [
     (70, "GOLD_SUB_PAT", "claimflow.plans.pipeline:gold_sub_pat_step", 3600, True),
     (80, "GOLD_OTHER_PAYER", "claimflow.plans.pipeline:gold_other_payer_step", 3600, True),
     (90, "OPS_AUDIT", "claimflow.plans.pipeline:ops_step", 3600, True),
+    (95, "QUARANTINE_GATE", "claimflow.plans.pipeline:gate_step", 3600, False),
+    (97, "PARTNER_EXTRACT", "claimflow.plans.pipeline:extract_step", 3600, False),
 ]
 DEFAULT_TIMEOUT_SECONDS = 3600
 
@@ -177,6 +178,7 @@ def latest_profiles(profiles: DataFrame) -> DataFrame:
         .groupBy("vendor_id")
         .agg(F.max_by(F.struct(*cols), F.col("updated_ts")).alias("p"))
     )
+
     def pick(c: str):
         v = F.col(f"p.{c}")
         if c not in ("use_isa_delimiters", "strict_mode"):
@@ -186,17 +188,47 @@ def latest_profiles(profiles: DataFrame) -> DataFrame:
     return latest.select("vendor_id", *[pick(c) for c in cols])
 
 
-# Config sides are broadcast only behind this row-count check; larger ones take a shuffle join.
+def effective_profiles(profiles: DataFrame, params: DataFrame | None = None) -> DataFrame:
+    """The latest profiles with the fields that a vendor's step parameters name put over them.
+
+    ``params`` has ``vendor_id, params`` (map of text). A vendor with
+    parameters but no profile starts from the defaults. Text that is no
+    boolean leaves a boolean field as it is.
+    """
+    base = latest_profiles(profiles)
+    if params is None:
+        return base
+    own = params.select(F.col("vendor_id").alias("_pv"), "params")
+    j = base.join(own, base["vendor_id"] == own["_pv"], "full_outer")
+
+    def field(name: str):
+        value = F.try_element_at("params", F.lit(name))
+        default = F.lit(DEFAULT_PROFILE[name])
+        if name in ("use_isa_delimiters", "strict_mode"):
+            value = value.try_cast("boolean")
+        else:
+            value = F.nullif(value, F.lit(""))
+        return F.coalesce(value, F.col(name), default).alias(name)
+
+    return j.select(F.coalesce("vendor_id", "_pv").alias("vendor_id"), *[field(c) for c in base.columns[1:]])
+
+
+# In-memory config sides are broadcast only behind this row-count check; larger ones take a shuffle join.
 MAX_BROADCAST_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for a config frame whose size was checked (one small count job).
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, files: bool = True) -> DataFrame:
+    """Hint a broadcast for a config frame whose size was checked.
 
     Planning the broadcast up front (rather than leaving it to AQE at
     runtime) keeps the data side from being shuffled on the config key —
-    e.g. file content by vendor — before the join is re-planned.
+    e.g. file content by vendor — before the join is re-planned. A frame read
+    from files alone needs no hint: Spark knows the files' bytes and compares
+    them with its own threshold, without a job. ``files=False`` counts in any
+    case (a frame whose plan joins, so that its estimate says little).
     """
+    if files and df.inputFiles():
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -18,10 +18,13 @@ Layout (fixed by the fixture definition):
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from claimflow.sources import config as cfg
 from claimflow.sources.star import read_table
 
 # Fixed values of the fixture definition.
@@ -36,6 +39,13 @@ KIND_NOT_X12, KIND_SHORT_ISA, KIND_ST835, KIND_NO_CLAIMS, KIND_DUPLICATE = 7, 13
 LANDING_ROOT = "/landing/x12/837"
 
 
+def fixture_profiles(spark: SparkSession) -> DataFrame:
+    """The seeded vendor profiles, but vendorB's: not strict, with the delimiters of its files."""
+    b = F.col("vendor_id") == "vendorB"
+    own = {"element_delim": "|", "component_delim": ">", "strict_mode": False}
+    return cfg.vendor_profiles(spark).withColumns({c: F.when(b, F.lit(v)).otherwise(F.col(c)) for c, v in own.items()})
+
+
 def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
@@ -251,3 +261,25 @@ def render_landing(
         F.octet_length("content").cast("long").alias("length"),
         "content",
     )
+
+
+def write_landing(landing: DataFrame, root: str) -> None:
+    """Write every landing row as a real file ``root`` + ``path`` (in tasks; ``root`` has to be shared storage)."""
+
+    def put(rows) -> None:
+        import pyarrow.fs
+
+        local = root.startswith("/")
+        uri = root if local else re.sub("^file:/*", "file:///", root)
+        fs, base = (pyarrow.fs.LocalFileSystem(), root) if local else pyarrow.fs.FileSystem.from_uri(uri)
+        made = set()
+        for r in rows:
+            path = base.rstrip("/") + r["path"]
+            folder = path.rsplit("/", 1)[0]
+            if folder not in made:
+                fs.create_dir(folder, recursive=True)
+                made.add(folder)
+            with fs.open_output_stream(path) as out:
+                out.write(bytes(r["content"]))
+
+    landing.select("path", "content").foreachPartition(put)

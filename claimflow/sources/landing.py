@@ -11,20 +11,46 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LANDING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def scan_landing(spark: SparkSession, root: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """All files under ``root`` (recursively; ``glob`` narrows them), or exactly the listed paths when ``root`` is a list."""
+def scan_landing(spark: SparkSession, root: str | Sequence[str], glob: str | None = None, max_bytes: int | None = None,
+                 newer_than: str | None = None) -> DataFrame:
+    """All files under ``root`` (recursively; ``glob`` narrows them), or exactly the listed paths when ``root`` is a list.
+
+    ``max_bytes`` and ``newer_than`` (a timestamp) are filters on the file's
+    status that the source takes itself (``PushedFilters``): files that are
+    larger or not newer are listed, never opened.
+    """
     r = spark.read.format("binaryFile").schema(LANDING_SCHEMA)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    if isinstance(root, str):
-        return r.option("recursiveFileLookup", "true").load(root)
-    return r.load(list(root))
+    files = r.option("recursiveFileLookup", "true").load(root) if isinstance(root, str) else r.load(list(root))
+    if max_bytes is not None:
+        files = files.filter(F.col("length") <= max_bytes)
+    if newer_than is not None:
+        files = files.filter(F.col("modificationTime") > F.lit(newer_than).cast("timestamp"))
+    return files
 
 
-def list_landing(spark: SparkSession, root: str | Sequence[str], glob: str | None = None) -> DataFrame:
+def list_landing(spark: SparkSession, root: str | Sequence[str], glob: str | None = None, newer_than: str | None = None) -> DataFrame:
     """``path, length, modificationTime`` of the files; the file bytes are never read."""
-    return scan_landing(spark, root, glob).select("path", "length", "modificationTime")
+    return scan_landing(spark, root, glob, newer_than=newer_than).select("path", "length", "modificationTime")
+
+
+def read_discovered(spark: SparkSession, root: str, found: DataFrame, registry: DataFrame) -> DataFrame:
+    """The landing rows of the files to process (``found`` of ``discover_files``).
+
+    The largest limit of any vendor that has limits everywhere is pushed into
+    the scan, so oversize files are never opened; the files themselves are
+    matched by path, on rows that hold no content yet.
+    """
+    limits = registry.filter(F.col("active_flag")).agg(
+        F.max("max_file_size_mb").alias("most"),
+        F.bool_or((F.coalesce("max_file_size_mb", F.lit(0)) == 0) | ~F.coalesce("quarantine_on_oversize", F.lit(False))).alias("free"),
+    ).first()
+    most = None if limits["free"] or limits["most"] is None else limits["most"] * 1024 * 1024
+    todo = found.filter(F.col("action") == "PROCESS").select(F.col("file_path").alias("path"))
+    return scan_landing(spark, root, max_bytes=most).join(todo, "path", "left_semi")

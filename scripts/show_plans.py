@@ -21,7 +21,7 @@ from claimflow.operators import bronze as B  # noqa: E402
 from claimflow.operators import claims as C  # noqa: E402
 from claimflow.operators import gold as G  # noqa: E402
 from claimflow.session import local_session  # noqa: E402
-from claimflow.sources import config as cfg  # noqa: E402
+from claimflow.sources.fixtures import fixture_profiles  # noqa: E402
 from claimflow.sources.fixtures import render_landing  # noqa: E402
 
 
@@ -48,7 +48,7 @@ def main() -> None:
     good, _ = B.split_rejects(B.ingest(spark.read.parquet(f"{scratch}/landing"), "r", "2024-01-01 00:00:00"))
     B.dedupe_by_hash(good).write.parquet(f"{scratch}/bronze")
     bronze = spark.read.parquet(f"{scratch}/bronze").repartition("file_hash")
-    res = C.parse(bronze, cfg.vendor_profiles(spark), repartition=False)
+    res = C.parse(bronze, fixture_profiles(spark), repartition=False)
     silver = C.to_silver(C.dedupe_claims(res["claims"]), "2024-01-01 00:00:00")
     plan = plan_of(silver)
     print(plan.split("\n\n(")[0])

@@ -4,7 +4,7 @@ import datetime as dt
 
 from claimflow.operators import bronze as B
 from claimflow.operators import claims as C
-from claimflow.sources import config as cfg
+from claimflow.sources.fixtures import fixture_profiles
 
 ISA_TMPL = ("ISA{e}00{e}          {e}00{e}          {e}ZZ{e}SENDER         {e}ZZ{e}RECEIVER       {e}240101{e}1200"
             "{e}^{e}00501{e}000000001{e}0{e}P{e}{c}{s}")
@@ -25,7 +25,7 @@ def landing(spark, files):
 
 def parse_texts(spark, files, profiles=True):
     good, bad = B.split_rejects(B.ingest(landing(spark, files), "r", "2024-01-01 00:00:00"))
-    res = C.parse(B.dedupe_by_hash(good), cfg.vendor_profiles(spark) if profiles else None)
+    res = C.parse(B.dedupe_by_hash(good), fixture_profiles(spark) if profiles else None)
     return res, bad
 
 

@@ -96,13 +96,13 @@ def test_scoped_lookup_precedence(spark):
 
 
 def test_claim_references_classified_by_ref_map(spark):
-    from claimflow.operators import claims as C
+    from claimflow.operators import gold as G
     from helpers import isa, parse_texts
 
     text = isa() + "ST*837*1*V~REF*EI*999~CLM*A*1~REF*F8*ORIG1~REF*ZZ*X~CLM*B*2~REF*1K*PCN~SE*7*1~"
     res, _ = parse_texts(spark, [("vendorA", "ref.x12", text)])
     vend = spark.createDataFrame([("vendorA", "ZZ", "VENDOR_SPECIFIC", True, cfg.SEED_TS, cfg.SEED_TS)], cfg.REF_MAP_SCHEMA)
-    refs = Q.claim_references(res["segments"], res["claims"], cfg.ref_qualifier_map(spark).unionByName(vend))
+    refs = G.claim_reference(res["claims"], cfg.ref_qualifier_map(spark).unionByName(vend))
     got = sorted((r.claim_id, r.ref_qualifier, r.ref_value, r.ref_type) for r in refs.collect())
     # the REF before the first CLM belongs to no claim
     assert got == [("A", "F8", "ORIG1", "ORIGINAL_REFERENCE"), ("A", "ZZ", "X", "VENDOR_SPECIFIC"),

@@ -200,9 +200,9 @@ def test_party_scope_preceding(spark):
             "NM1*IL*1*ROE*JANE****MI*M2~NM1*QC*1*KID*K****MI*P2~NM1*85*2*B*****XX*222~CLM*B*2~SE*9*1~")
     res, _ = parse_texts(spark, [("vendorA", "pre.x12", text)])
     from claimflow.operators import bronze as B
-    from claimflow.sources import config as cfg
+    from claimflow.sources.fixtures import fixture_profiles
     good, _ = B.split_rejects(B.ingest(landing(spark, [("vendorA", "pre.x12", text)])))
-    pre = C.parse(good, cfg.vendor_profiles(spark), party_scope="preceding")["claims"]
+    pre = C.parse(good, fixture_profiles(spark), party_scope="preceding")["claims"]
     got = {r.claim_id: (r.subscriber_id, r.patient_id, r.billing_npi, r.providers[0].addr1) for r in pre.collect()}
     assert got == {"A": ("M1", "M1", "111", "1 MAIN"), "B": ("M2", "P2", "222", None)}
     filed = {r.claim_id: (r.subscriber_id, r.patient_id, r.billing_npi) for r in res["claims"].collect()}

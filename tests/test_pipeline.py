@@ -6,14 +6,15 @@ import tempfile
 from pyspark.sql import functions as F
 
 from claimflow.plans import pipeline as P
-from claimflow.sources.fixtures import render_landing
+from claimflow.sources.fixtures import fixture_profiles, render_landing
 from conftest import SF001
 
 
 def _store(spark):
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    store = P.TableStore(spark, f"{root}/wh")
+    store = P.ClaimTables(spark, f"{root}/wh")
     P.seed_config(spark, store)
+    store.write("vendor_837_profile", fixture_profiles(spark))
     return root, store
 
 
@@ -54,12 +55,12 @@ def test_orchestrated_run_records_vendor_state(spark):
     assert plan.filter("enabled").select("step_name").distinct().count() == 9
     vs = {r.vendor_id: r.last_status for r in store.read("vendor_state").collect()}
     assert vs == {"vendorA": "SUCCESS", "vendorB": "SUCCESS", "vendorC": "SUCCESS"}
-    # an orchestrated run leaves its watermarks: the same listing again reads nothing new and changes no table
-    marks = {(r.consumer, r.vendor_id) for r in store.read("_watermarks").collect()}
-    assert {("silver", "vendorA"), ("claim_header", "vendorB"), ("ops", "vendorC")} <= marks
-    before = {t: store.latest_version(t) for t in ["bronze_837_raw", "silver_837_claim", "claim_header", "dq_results"]}
+    # an orchestrated run leaves its marks: the same listing again reads nothing new and changes no table
+    marks = {r.consumer for r in store.read("consumer_mark").collect()}
+    assert {"silver", "claim_header", "ops"} <= marks
+    before = {t: store.newer(t, -1) for t in ["bronze_837_raw", "silver_837_claim", "claim_header", "dq_results"]}
     P.orchestrate(P.RunContext(spark, store, "o2", "2024-06-02 00:00:00"), landing.select("path", "length"), landing)
-    assert {t: store.latest_version(t) for t in before} == before
+    assert {t: store.newer(t, -1) for t in before} == before
     # a further discovery finds only files that are not GOLD_BUILT and not quarantined
     from claimflow.operators import orchestration as O
     again = O.discover_files(landing.select("path", "length"), store.read("vendor_registry"),
@@ -153,16 +154,3 @@ def test_incremental_runs_equal_one_shot(spark):
     dq_inc = sorted(tuple(r) for r in inc.read("dq_results").select("rule_id", "file_hash", "failed_count").collect())
     dq_one = sorted(tuple(r) for r in one.read("dq_results").select("rule_id", "file_hash", "failed_count").collect())
     assert dq_inc == dq_one  # every row is checked exactly once across the two runs
-
-
-def test_vacuum_keeps_live_versions_only(spark):
-    root, store = _store(spark)
-    df1 = spark.createDataFrame([(1, "a")], "k int, v string")
-    store.write("t", df1)
-    store.write("t", df1.union(spark.createDataFrame([(2, "b")], "k int, v string")))
-    store.append("t", spark.createDataFrame([(3, "c")], "k int, v string"))
-    before = sorted(tuple(r) for r in store.read("t").collect())
-    P.vacuum(store, ["t"])
-    left = [n for n in os.listdir(f"{root}/wh/t") if not n.startswith(".")]
-    assert sorted(n[0] for n in left) == ["d", "v"]  # the newest full version and the delta after it
-    assert sorted(tuple(r) for r in store.read("t").collect()) == before == [(1, "a"), (2, "b"), (3, "c")]

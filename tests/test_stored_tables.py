@@ -8,6 +8,7 @@ from helpers import isa, landing
 from claimflow.operators import merge as M
 from claimflow.plans import pipeline as P
 from claimflow.sources import config as cfg
+from claimflow.sources.fixtures import fixture_profiles
 
 # service lines without LX and with one code, revenue-only lines, one rendering provider named twice, a repeated claim id
 TEXT = (isa() + "ST*837*1*V~CLM*A*10***11:B:1~SV1*HC:99213*5*UN*1~SV1*HC:99213*5*UN*1~SV2*0450**2*UN*1~SV2*0300**3*UN*1~"
@@ -16,8 +17,9 @@ TEXT = (isa() + "ST*837*1*V~CLM*A*10***11:B:1~SV1*HC:99213*5*UN*1~SV1*HC:99213*5
 
 
 def make(spark, steps=None):
-    store = P.TableStore(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/wh")
+    store = P.ClaimTables(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/wh")
     P.seed_config(spark, store)
+    store.write("vendor_837_profile", fixture_profiles(spark))
     return store
 
 
@@ -89,7 +91,7 @@ def test_ops_runs_without_a_gold_table_and_with_a_failing_rule(spark):
     store.append("dq_rules_837", bad)
     names = ["BRONZE", "SILVER", "GOLD_HEADER", "GOLD_LINES", "GOLD_DX", "GOLD_PROVIDER", "GOLD_SUB_PAT", "OPS_AUDIT"]
     run(spark, store, [("vendorA", "a.x12", TEXT)], "r1", names)
-    assert not store.exists("claim_other_payer")
+    assert store.read("claim_other_payer").isEmpty()
     assert store.read("file_audit").first().status == "GOLD_BUILT"
     dq = {r.rule_id: (r.severity, r.failed_count) for r in store.read("dq_results").collect()}
     assert dq["BAD"][0] == "RULE_ERROR" and dq["POS"] == ("WARN", 2)
