@@ -302,34 +302,3 @@ def vendor_state(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    O.vendor_outcomes(outcome, "run-0002", TS))
     return second.select("vendor_id", "last_status", "last_run_id",
                          F.col("last_success_ts").isNotNull().alias("has_last_success"))
-
-
-# ====================================================================== streaming
-@register("stream_bronze", with_ctes(BASE_CTES, TEXT_CTES) + """
-SELECT vendor_id, file_path, file_hash, file_size_bytes FROM bronze""")
-def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR1: Structured Streaming ingest (availableNow, one landing file per micro-batch, foreachBatch bronze step).
-
-    The rendered landing rows are written as parquet files under the
-    session's checkpoint folder and streamed from there; every micro-batch
-    runs the bronze step. Within a batch copies of one content keep the
-    smallest path; across batches the insert-only merge on ``file_hash``
-    keeps the first arrival, so a replayed batch adds nothing.
-    """
-    import uuid
-
-    from claimflow.plans.pipeline import TableStore
-    from claimflow.session import ensure_checkpoint_dir
-    from claimflow.sources.fixtures import render_landing
-    from claimflow.streaming.ingest import landing_rows_stream, start_bronze_stream
-
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    # copies of one content arrive in the same file (same batch); across batches the first arrival would win
-    render_landing(spark, sf_dir).repartition(F.sha2(F.col("content"), 256)).write.parquet(f"{base}/landing")
-    store = TableStore(spark, f"{base}/warehouse")
-    q = start_bronze_stream(spark, None, store, f"{base}/checkpoint", ingest_ts=TS,
-                            source=landing_rows_stream(spark, f"{base}/landing", files_per_batch=1))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return store.read("bronze_837_raw").select("vendor_id", "file_path", "file_hash", "file_size_bytes")

@@ -1,35 +1,94 @@
-"""Registered queries over the stored tables: the pipeline run twice into a warehouse, then read back.
+"""Registered queries over the stored tables, and over landing files with further content.
 
-The first load sees the files of half the contents, the second all files, so
-every table is reached by inserts into an empty and into a filled target, and
-by rows that are already there.
+The stored queries run the pipeline into a warehouse, in two loads or more, and
+read the tables back: the first load sees the files modified before the cutoff,
+the second all files, so every table is reached by inserts into an empty and
+into a filled target, and by rows that are already there.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.operators import audit as A
+from claimflow.operators import bronze as B
+from claimflow.operators import claims as C
 from claimflow.operators import gold as G
+from claimflow.operators import orchestration as O
+from claimflow.operators import quality as Q
+from claimflow.operators import segments as S
 from claimflow.plans import pipeline as P
-from claimflow.plans.queries import EARLIER_RUN_CUTOFF, ORACLES, TS, Stages, register
-from claimflow.session import ensure_checkpoint_dir
+from claimflow.plans.oracle_sql import BASE_CTES, PARSE_CTES, TEXT_CTES, with_ctes
+from claimflow.plans.queries import EARLIER_RUN_CUTOFF, ORACLES, RUN_ID, TS, Stages, register
+from claimflow.plans.tables import ClaimTables
+from claimflow.session import ensure_checkpoint_dir, materialize
+from claimflow.sources import config as cfg
+from claimflow.sources.fixtures import fixture_profiles, render_landing, write_landing
+from claimflow.sources.landing import list_landing, read_discovered
+from claimflow.sources.star import read_table
 
+_ALL = with_ctes(BASE_CTES, TEXT_CTES, PARSE_CTES)
+GOLD_STEPS = ["GOLD_HEADER", "GOLD_LINES", "GOLD_DX", "GOLD_PROVIDER", "GOLD_SUB_PAT", "GOLD_OTHER_PAYER"]
 
-def _two_loads(spark: SparkSession, sf_dir: str) -> P.ClaimTables:
-    """A warehouse in the shared folder after two runs of the pipeline."""
-    store = P.ClaimTables(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}")
+
+def _shared(spark: SparkSession, label: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _new_tables(spark: SparkSession) -> ClaimTables:
+    """A warehouse in the shared folder with the seeded configuration and the fixture's profiles."""
+    store = ClaimTables(spark, _shared(spark, "stored"))
     P.seed_config(spark, store)
-    landing = Stages(spark, sf_dir).landing
-    half = landing.filter(F.crc32("content") % 2 == 0)  # copies of one content arrive together
-    P.run_pipeline(P.RunContext(spark, store, "load-1", TS), half)
-    P.run_pipeline(P.RunContext(spark, store, "load-2", TS), landing)
+    store.write("vendor_837_profile", fixture_profiles(spark))
     return store
 
 
+def _early(landing: DataFrame) -> DataFrame:
+    return landing.filter(F.col("modificationTime") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp"))
+
+
+def _run(spark: SparkSession, store: ClaimTables, run_id: str, landing: DataFrame, steps: list[str] | None = None) -> P.RunContext:
+    ctx = P.RunContext(spark, store, run_id, TS)
+    P.run_pipeline(ctx, landing, steps)
+    return ctx
+
+
+_LOADED: dict[tuple[str, str], ClaimTables] = {}
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> ClaimTables:
+    """A warehouse after two runs of the pipeline; shared by the queries that only read it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        store = _new_tables(spark)
+        landing = Stages(spark, sf_dir).landing
+        _run(spark, store, "load-1", _early(landing))  # copies of one content have one time and arrive together
+        _run(spark, store, "load-2", landing)
+        _LOADED[key] = store
+    return _LOADED[key]
+
+
+def _customer(path: Column) -> Column:
+    """The customer key in a landing file's name."""
+    return F.regexp_extract(path, r"/c(\d+)", 1).cast("long")
+
+
+def _rows_per_file(store: ClaimTables, table: str, name: str) -> DataFrame:
+    return store.read(table).groupBy("file_hash").agg(F.count(F.lit(1)).alias(name))
+
+
+def _stored_counts(store: ClaimTables, tables: dict[str, str]) -> DataFrame:
+    """Per bronze file: path and rows in each of the tables."""
+    out = store.read("bronze_837_raw").select("file_hash", "file_path", "vendor_id")
+    for table, name in tables.items():
+        out = out.join(_rows_per_file(store, table, name), "file_hash", "left").fillna(0, [name])
+    return out
+
+
+# ====================================================================== two loads
 @register("stored_gold_metrics", ORACLES["gold_metrics"])
 def stored_gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1-G7, SNK1, SNK2: rows of the seven stored gold tables per file after two loads; none lost, none twice."""
@@ -46,3 +105,312 @@ def stored_file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     fa = _two_loads(spark, sf_dir).read("file_audit")
     return fa.select("vendor_id", "file_path", "file_size_bytes", "status", "silver_claim_count", "gold_header_count",
                      "recon_header_match", "recon_notes")
+
+
+@register("stored_recon_transactions", ORACLES["recon_transactions"])
+def stored_recon_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OPS5, AGG4, JN5: the stored summary per transaction after two loads, from partial sums."""
+    store = _two_loads(spark, sf_dir)
+    paths = store.read("bronze_837_raw").select("file_hash", "file_path")
+    return store.read("recon_summary").join(paths, "file_hash").select(
+        "vendor_id", "file_path", "st_control", "transaction_version", "expected_claims", "parsed_claims",
+        "gold_headers", "gold_lines", "parsed_claim_amt", "header_claim_amt", "header_match", "lines_match", "amount_match")
+
+
+@register("stored_runs", _ALL + f"""
+, loads AS (SELECT *, CASE WHEN modification_time < '{EARLIER_RUN_CUTOFF}' THEN 'load-1' ELSE 'load-2' END AS run_id FROM bronze),
+n AS (SELECT l.run_id, count(DISTINCT l.file_path) AS n_files, count(a.claim_id) AS n_claims
+      FROM loads l LEFT JOIN all_claims a ON a.file_path = l.file_path GROUP BY 1)
+SELECT run_id, 'claimflow' AS triggered_by, 'SUCCESS' AS status, 'All files reconciled.' AS notes, n_files, n_claims FROM n""")
+def stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OPS1, AGG8: the run rows after two loads, with the files and claims that each run brought."""
+    store = _two_loads(spark, sf_dir)
+    files = store.read("bronze_837_raw").groupBy("run_id").agg(F.count(F.lit(1)).alias("n_files"))
+    claims = store.read("silver_837_claim").groupBy("run_id").agg(F.count(F.lit(1)).alias("n_claims"))
+    runs = store.read("pipeline_run").select("run_id", "triggered_by", "status", "notes")
+    return runs.join(files, "run_id").join(claims, "run_id")
+
+
+# ====================================================================== replace by file
+@register("stored_reprocess", _ALL + """
+, per AS (SELECT file_path, count(*) AS n, sum(n_service_lines) AS lines, sum(n_diagnoses) AS dx FROM all_claims GROUP BY 1),
+f AS (
+  SELECT b.file_path, b.vendor_id, b.kind, b.k % 5 IN (0, 3) AS again, coalesce(p.n, 0) AS n, coalesce(p.lines, 0) AS lines, coalesce(p.dx, 0) AS dx
+  FROM bronze b LEFT JOIN per p ON p.file_path = b.file_path),
+r AS (
+  SELECT *, again AND vendor_id = 'vendorA' AS changed,
+    CASE WHEN kind = 13 THEN CASE vendor_id WHEN 'vendorA' THEN 1 ELSE 0 END ELSE n END AS claims FROM f)
+SELECT file_path, CAST(claims AS BIGINT) AS n_claims, CAST(claims AS BIGINT) AS n_headers,
+  CAST(CASE WHEN changed THEN 0 ELSE lines END AS BIGINT) AS n_lines, CAST(CASE WHEN changed THEN 0 ELSE dx END AS BIGINT) AS n_dx,
+  CAST(nullif(claims, 0) AS BIGINT) AS silver_claim_count,
+  CASE WHEN kind = 13 AND vendor_id <> 'vendorA' THEN 'QUARANTINED' WHEN claims = 0 THEN 'BRONZE_LOADED'
+       WHEN changed AND lines > 0 THEN 'FAILED' ELSE 'GOLD_BUILT' END AS status
+FROM r""")
+def stored_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4, X22, SNK3, Q8: files parsed again under changed profiles; no row of their earlier parse stays anywhere.
+
+    vendorA's profile now overrides the ISA with a wrong component delimiter
+    (no procedure or diagnosis codes, but short files become readable);
+    vendorB's becomes strict, so its short files lose their claim.
+    """
+    store = _new_tables(spark)
+    landing = Stages(spark, sf_dir).landing
+    _run(spark, store, "load-1", landing)
+    a, b = F.col("vendor_id") == "vendorA", F.col("vendor_id") == "vendorB"
+    changed = fixture_profiles(spark).withColumns({
+        "use_isa_delimiters": F.col("use_isa_delimiters") & ~a,
+        "component_delim": F.when(a, "!").otherwise(F.col("component_delim")),
+        "strict_mode": F.col("strict_mode") | b,
+    })
+    store.write("vendor_837_profile", changed)
+    files = store.read("bronze_837_raw").filter((_customer(F.col("file_path")) % 5).isin(0, 3)).select("file_hash")
+    ctx = P.RunContext(spark, store, "again", TS)
+    P.silver_step(ctx, reprocess=files)
+    P.run_pipeline(ctx, landing, [*GOLD_STEPS, "OPS_AUDIT"])
+    counts = _stored_counts(store, {"silver_837_claim": "n_claims", "claim_header": "n_headers", "claim_service_line": "n_lines",
+                                    "claim_diagnosis": "n_dx"})
+    audit = store.read("file_audit").select("file_hash", "silver_claim_count", "status")
+    return counts.join(audit, "file_hash").select(
+        "file_path", "n_claims", "n_headers", "n_lines", "n_dx", "silver_claim_count", "status")
+
+
+# ====================================================================== quarantine gate
+@register("quarantine_gate", _ALL + """
+, bad AS (
+  SELECT DISTINCT file_path FROM all_claims WHERE vendor_id = 'vendorC' AND (n_service_lines = 0 OR claim_amount IS NULL OR claim_amount <= 0)
+  UNION SELECT DISTINCT file_path FROM all_claims WHERE claim_amount < 0),
+per AS (SELECT file_path, count(*) AS n FROM all_claims GROUP BY 1),
+f AS (
+  SELECT b.file_path, b.kind, b.vendor_id, coalesce(p.n, 0) AS n, x.file_path IS NOT NULL AND b.k % 2 = 1 AS held
+  FROM bronze b LEFT JOIN per p ON p.file_path = b.file_path LEFT JOIN bad x ON x.file_path = b.file_path)
+SELECT file_path, n AS n_claims, CASE WHEN held THEN 0 ELSE n END AS n_headers, CASE WHEN held THEN 0 ELSE n END AS n_extracted,
+  CASE WHEN held OR (kind = 13 AND vendor_id <> 'vendorB') THEN 'QUARANTINED' WHEN n = 0 THEN 'BRONZE_LOADED' ELSE 'GOLD_BUILT' END AS status
+FROM f""")
+def quarantine_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OPS14, JN1: files with ERROR findings leave gold and the extract, over two loads; half of them are released."""
+    store = _new_tables(spark)
+    landing = Stages(spark, sf_dir).landing
+    on = F.col("enabled_flag") | (F.col("step_name") == "QUARANTINE_GATE")
+    store.write("pipeline_steps", store.read("pipeline_steps").withColumn("enabled_flag", on))
+    _run(spark, store, "load-1", _early(landing))
+    _run(spark, store, "load-2", landing)
+    held = store.read("quarantine_files").filter(F.col("stage").isin(Q.GATE_STAGES) & (_customer(F.col("file_path")) % 2 == 0))
+    ctx = P.RunContext(spark, store, "release", TS, extract_root=_shared(spark, "extract"))
+    P.release_files(ctx, materialize(held.select("file_hash").distinct()))
+    P.run_pipeline(ctx, landing, [*GOLD_STEPS, "OPS_AUDIT"])
+    P.extract_step(ctx)
+    extract = spark.read.parquet(f"{ctx.extract_root}/release/claims")
+    counts = _stored_counts(store, {"silver_837_claim": "n_claims", "claim_header": "n_headers"})
+    counts = counts.join(extract.groupBy("file_hash").agg(F.count(F.lit(1)).alias("n_extracted")), "file_hash", "left")
+    audit = store.read("file_audit").select("file_hash", "status")
+    return counts.fillna(0, ["n_extracted"]).join(audit, "file_hash").select(
+        "file_path", "n_claims", "n_headers", "n_extracted", "status")
+
+
+# ====================================================================== step parameters
+@register("params_override", _ALL + """
+, per AS (SELECT file_path, count(*) AS n FROM all_claims GROUP BY 1)
+SELECT b.vendor_id, b.file_path,
+  CASE WHEN b.kind = 13 THEN CASE b.vendor_id WHEN 'vendorA' THEN 1 ELSE 0 END ELSE coalesce(p.n, 0) END AS n_claims,
+  CASE WHEN b.kind = 13 AND b.vendor_id <> 'vendorA' THEN 'quarantine_delimiters' WHEN b.kind = 13 THEN NULL
+       ELSE e.error_stage END AS error_stage
+FROM bronze b LEFT JOIN per p ON p.file_path = b.file_path LEFT JOIN errors_exp e ON e.file_path = b.file_path""")
+def params_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OPS11, JN7: a vendor's step parameters change its parse; of two overrides the latest counts.
+
+    vendorA's files may fall back on the profile (an earlier override said
+    the opposite), vendorB's may not.
+    """
+    store = _new_tables(spark)
+    landing = Stages(spark, sf_dir).landing
+    rows = [("vendorA", "SILVER", None, '{"strict_mode": "false"}'), ("vendorB", "SILVER", None, '{"strict_mode": "true"}')]
+    older = cfg.step_overrides(spark, [("vendorA", "SILVER", None, '{"strict_mode": "true"}')])
+    older = older.withColumn("updated_ts", F.col("updated_ts") - F.expr("INTERVAL 1 DAY"))
+    store.write("vendor_step_overrides", cfg.step_overrides(spark, rows).unionByName(older))
+    P.orchestrate(P.RunContext(spark, store, "run", TS), landing.select("path", "length"), landing)
+    counts = _stored_counts(store, {"silver_837_claim": "n_claims"})
+    errors = store.read("silver_837_parse_error").select("file_hash", "error_stage")
+    return counts.join(errors, "file_hash", "left").select("vendor_id", "file_path", "n_claims", "error_stage")
+
+
+# ====================================================================== configuration inside the parse
+def _extra_claims(spark: SparkSession, sf_dir: str, role_map: DataFrame | None = None) -> DataFrame:
+    """Parsed claims of the landing files with further segments."""
+    landing = materialize(render_landing(spark, sf_dir, with_extras=True))
+    good, _ = B.split_rejects(B.ingest(landing, RUN_ID, TS))
+    parsed = C.parse(B.dedupe_by_hash(good), fixture_profiles(spark), repartition=False, role_map=role_map)
+    return C.rank_claims(parsed["claims"])
+
+
+@register("map_ref", _ALL + """
+, refs AS (
+  SELECT c.vendor_id, c.file_path, c.claim_id, 'F8' AS ref_qualifier, 'R' || c.claim_id AS ref_value, 1 AS s FROM claims_exp c WHERE c.o_orderkey % 3 = 0
+  UNION ALL
+  SELECT c.vendor_id, c.file_path, c.claim_id, 'ZZ', 'X' || c.claim_id, CASE WHEN c.o_orderkey % 3 = 0 THEN 2 ELSE 1 END FROM claims_exp c WHERE c.o_orderkey % 7 = 0)
+SELECT file_path, claim_id, CAST(s AS INTEGER) AS ref_seq, ref_qualifier, ref_value,
+  CASE WHEN ref_qualifier = 'F8' THEN 'ORIGINAL_REFERENCE' WHEN vendor_id = 'vendorA' THEN 'VENDOR_NOTE' END AS ref_type
+FROM refs""")
+def map_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X24, OPS9: REF segments of the claim aggregate, typed by the REF qualifier map (a vendor row and the defaults)."""
+    extra = spark.createDataFrame([("vendorA", "ZZ", "VENDOR_NOTE", True, cfg.SEED_TS, cfg.SEED_TS)], cfg.REF_MAP_SCHEMA)
+    refs = G.claim_reference(_extra_claims(spark, sf_dir), cfg.ref_qualifier_map(spark).unionByName(extra))
+    return refs.select("file_path", "claim_id", "ref_seq", "ref_qualifier", "ref_value", "ref_type")
+
+
+@register("providers_mapped", _ALL + """
+, p AS (
+  SELECT c.file_path, c.claim_id, '85' AS nm1_code, 'BILLING' AS provider_role, CAST(c.k + 1000000000 AS VARCHAR) AS npi, c.o_orderkey FROM claims_exp c
+  UNION ALL
+  SELECT c.file_path, c.claim_id, '82', CASE WHEN c.vendor_id = 'vendorC' THEN 'ATTENDING_PHYSICIAN' ELSE 'RENDERING' END,
+    CAST(c.rend_supp + 2000000000 AS VARCHAR), c.o_orderkey FROM claims_exp c WHERE c.rend_supp IS NOT NULL
+  UNION ALL
+  SELECT c.file_path, c.claim_id, '77', 'SERVICE_FACILITY', CAST(c.o_orderkey % 9 + 3000000000 AS VARCHAR), c.o_orderkey FROM claims_exp c
+  WHERE c.o_orderkey % 4 = 1)
+SELECT file_path, claim_id, false AS superseded, nm1_code, provider_role, npi FROM p WHERE o_orderkey % 11 <> 0
+UNION ALL SELECT file_path, claim_id, true, nm1_code, provider_role, npi FROM p WHERE o_orderkey % 11 = 0
+UNION ALL SELECT file_path, claim_id, false, nm1_code, provider_role, npi FROM p WHERE o_orderkey % 11 = 0 AND nm1_code = '85'""")
+def providers_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X17, JN9, D7: provider roles looked up in the configured map while the segments are read.
+
+    A claim id that occurs twice keeps its later claim; the earlier one is
+    marked superseded.
+    """
+    extra = spark.createDataFrame([
+        ("vendorC", None, "82", "ATTENDING_PHYSICIAN", 5, True, cfg.SEED_TS, cfg.SEED_TS),
+        ("vendorC", None, "82", "IGNORED_HIGHER_PRECEDENCE", 50, True, cfg.SEED_TS, cfg.SEED_TS),
+    ], cfg.NM1_ROLE_SCHEMA)
+    claims = _extra_claims(spark, sf_dir, cfg.nm1_role_map(spark).unionByName(extra))
+    x = claims.select("file_path", "claim_id", (F.col("newer_claims") > 0).alias("superseded"), F.explode("providers").alias("p"))
+    return x.select("file_path", "claim_id", "superseded", "p.nm1_code", F.col("p.role").alias("provider_role"), "p.npi")
+
+
+# ====================================================================== two-level scan
+@register("large_file_scan", _ALL + """
+, t AS (
+  SELECT p.vendor_id, p.file_path, CAST(p.k AS VARCHAR) AS st_control, p.k, p.part,
+    CASE WHEN p.delim_source = 'PROFILE' THEN 1 ELSE (SELECT count(*) FROM ord o WHERE o.k = p.k AND o.part = p.part) END AS n_claims,
+    CASE WHEN p.delim_source = 'PROFILE' THEN 3 ELSE p.n_segments - 4 END AS n_segments
+  FROM pfiles p WHERE p.delim_source <> 'FAILED' AND p.kind <> 19)
+SELECT vendor_id, st_control, CAST(sum(n_claims) OVER (PARTITION BY vendor_id ORDER BY k, part) - n_claims AS BIGINT) AS claims_before,
+  CAST(n_claims AS BIGINT) AS n_claims, CAST(n_segments AS BIGINT) AS n_segments
+FROM t""")
+def large_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN1, X7, X10, X11: a vendor's files as one file hundreds of times the median, scanned on two levels.
+
+    Its segments stay where they are: blocks of 200 positions are scanned apart
+    and start from the combined totals of the blocks before.
+    """
+    st = Stages(spark, sf_dir)
+    gated = S.resolve_delimiters(st.bronze, fixture_profiles(spark))
+    segs = S.map_provider_codes(S.explode_segments(gated, repartition=False), None)
+    name = gated.select("file_hash", _customer(F.col("file_path")).alias("_k"),
+                        F.coalesce(F.regexp_extract("file_path", r"_(\d+)\.x12$", 1).try_cast("long"), F.lit(0)).alias("_part"))
+    whole = segs.join(name, "file_hash")
+    start = F.shiftleft(F.col("_k") * 64 + F.col("_part"), 24)  # files follow each other by customer and part
+    whole = whole.withColumn("pos", start + F.col("pos")).withColumn("file_hash", F.col("vendor_id")).drop("_k", "_part")
+    whole = whole.withColumn("blk", F.floor(F.col("pos") / 200)).repartition("file_hash", "blk")
+    txn = S.annotate(materialize(whole)).filter("in_txn").groupBy("vendor_id", "g").agg(
+        F.max("span_st.st_control").alias("st_control"), F.min(F.col("k") - F.col("clm_flag").cast("long")).alias("claims_before"),
+        F.count_if("clm_flag").alias("n_claims"), F.count(F.lit(1)).alias("n_segments"))
+    return txn.drop("g")
+
+
+# ====================================================================== samples
+@register("dq_samples", """
+WITH e AS (
+  SELECT event_type AS vendor_id, CAST(user_id % 50 AS VARCHAR) AS file_hash, event_id, CAST(CAST(value AS DECIMAL(18,4)) AS VARCHAR) AS amount, value FROM events),
+f AS (
+  SELECT *, 'E001' AS rule_id FROM e WHERE value < 20 UNION ALL SELECT *, 'E002' FROM e WHERE value > 100),
+j AS (
+  SELECT vendor_id, file_hash, rule_id, event_id,
+    '{"vendor_id":"' || vendor_id || '","file_hash":"' || file_hash || '","event_id":' || CAST(event_id AS VARCHAR) || ',"amount":"' || amount || '"}' AS t FROM f)
+SELECT vendor_id, file_hash, rule_id, count(*) AS failed_count, left('[' || string_agg(t, ',' ORDER BY event_id) || ']', 2000) AS sample_values
+FROM j GROUP BY 1, 2, 3""")
+def dq_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG6, FN5, FN13: failing rows as JSON, cut to 2 000 characters a group (50 users to a group of events)."""
+    ev = read_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("vendor_id"), (F.col("user_id") % 50).cast("string").alias("file_hash"), "event_id",
+        F.col("value").cast("decimal(18,4)").cast("string").alias("amount"), "value")
+    rules = spark.createDataFrame([
+        ("E001", "value below 20", "EVENTS", "WARN", None, True, "cast(amount as double) < 20", cfg.SEED_TS, cfg.SEED_TS),
+        ("E002", "value above 100", "EVENTS", "INFO", None, True, "cast(amount as double) > 100", cfg.SEED_TS, cfg.SEED_TS),
+    ], cfg.DQ_RULES_SCHEMA)
+    dq = Q.run_dq_rules({"EVENTS": ev.drop("value")}, rules, "events_dq", RUN_ID, TS, sample_order=["event_id"])
+    return dq.select("vendor_id", "file_hash", "rule_id", "failed_count", "sample_values")
+
+
+# ====================================================================== real landing files
+BIG_FILE_BYTES = 1_100_000
+
+
+def _written_landing(spark: SparkSession, sf_dir: str, big: bool = False) -> str:
+    """The landing files written one by one into the shared folder; ``big``: with a large file for every 500th customer."""
+    root = _shared(spark, "landing")
+    landing = Stages(spark, sf_dir).landing.select("path", "content")
+    if big:
+        k = _customer(F.col("path"))
+        own = landing.filter((k % 500 == 41) & ~F.col("path").contains("_"))
+        text = F.rpad(F.lit("ISA"), BIG_FILE_BYTES, "x").cast("binary")
+        landing = landing.unionByName(own.select(F.regexp_replace("path", r"\.x12$", "_big.x12").alias("path"), text.alias("content")))
+    write_landing(landing, root)
+    return root
+
+
+def _below(root: str, path: str = "file_path") -> Column:
+    """A written file's path without the folder that it was written to."""
+    return F.regexp_replace(F.col(path), r"^.*?(/landing/x12/837/)", "$1")
+
+
+@register("discover_written_files", _ALL + f"""
+, big AS (
+  SELECT vendor_id, base || '_big.x12' AS file_path, CAST({BIG_FILE_BYTES} AS BIGINT) AS size_bytes FROM fpath WHERE k % 500 = 41 AND part = 0)
+SELECT vendor_id, file_path, CAST(strlen(text) AS BIGINT) AS size_bytes, 'PROCESS' AS action, true AS opened FROM landing
+UNION ALL SELECT vendor_id, file_path, size_bytes, 'OVERSIZE', false FROM big""")
+def discover_written_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1, SRC3, FLT7, OPS10: real files listed without their bytes; oversize ones are found, and never opened."""
+    root = _written_landing(spark, sf_dir, big=True)
+    listing = list_landing(spark, root).withColumn("path", _below(root, "path"))
+    registry = cfg.vendor_registry(spark).withColumn("max_file_size_mb", F.lit(1))
+    found = O.discover_files(listing, registry)
+    there = found.withColumn("file_path", F.concat(F.lit(_listed(spark, root)), "file_path"))
+    rows = read_discovered(spark, root, there, registry)
+    opened = rows.select(_below(root, "path").alias("file_path"), (F.octet_length("content") == F.col("length")).alias("opened"))
+    return found.join(opened, "file_path", "left").select(
+        "vendor_id", "file_path", "size_bytes", "action", F.coalesce("opened", F.lit(False)).alias("opened"))
+
+
+def _listed(spark: SparkSession, root: str) -> str:
+    """The folder as the file source writes it in its paths."""
+    first = list_landing(spark, root).first()["path"]
+    return first[: first.index("/landing/x12/837/")]
+
+
+# ====================================================================== streaming
+@register("stream_bronze", with_ctes(BASE_CTES, TEXT_CTES) + """
+SELECT vendor_id, file_path, file_hash, file_size_bytes FROM bronze""")
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1, X3: Structured Streaming ingest of real files, many a micro-batch, with a restart and a batch played twice.
+
+    The files arrive first, their copies after a restart from the checkpoint:
+    the state store still knows the contents. A micro-batch played again
+    finds its load counted in.
+    """
+    from claimflow.streaming.ingest import bronze_writer, first_arrivals, landing_stream, start_bronze_stream
+
+    base = _shared(spark, "stream")
+    landing = Stages(spark, sf_dir).landing
+    store = ClaimTables(spark, f"{base}/warehouse")
+
+    def arrive(files: DataFrame) -> None:
+        write_landing(files, f"{base}/files")
+        source = landing_stream(spark, f"{base}/files", files_per_batch=2000)
+        q = start_bronze_stream(spark, None, store, f"{base}/checkpoint", ingest_ts=TS, source=source)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+    copy = F.col("path").endswith("_copy.x12")
+    arrive(landing.filter(~copy))
+    arrive(landing.filter(copy))
+    bronze_writer(store, "stream")(first_arrivals(landing, TS), 0)  # the first micro-batch once more
+    return store.read("bronze_837_raw").select("vendor_id", _below(base).alias("file_path"), "file_hash", "file_size_bytes")

@@ -68,8 +68,15 @@ def render_landing(
     spark: SparkSession,
     sf_dir: str,
     with_kinds: bool = True,
+    with_extras: bool = False,
 ) -> DataFrame:
-    """Landing frame ``path, modificationTime, length, content`` from the star tables."""
+    """Landing frame ``path, modificationTime, length, content`` from the star tables.
+
+    ``with_extras`` adds segments to claims by order key: a service facility
+    (NM1*77) to every fourth, references (REF*F8, REF*ZZ) to every third and
+    seventh; and a second claim of the same id, one cent dearer and without
+    children, to every eleventh.
+    """
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     orders = read_table(spark, sf_dir, "orders").select(
@@ -195,6 +202,21 @@ def render_landing(
                  F.concat(F.lit("PY"), F.pmod(k, F.lit(7)).cast("string"))),
         ),
     )
+    if with_extras:
+        okey = ok.cast("string")
+        site = F.pmod(ok, F.lit(9))
+        again = F.col("o_totalprice").cast("decimal(18,2)") + F.lit("0.01").cast("decimal(18,2)")
+        extras = F.array(
+            F.when(F.pmod(ok, F.lit(4)) == 1, _seg(e, "NM1", "77", "2", F.concat(F.lit("SITE"), site.cast("string")), "", "", "", "",
+                                                   "XX", site + 3000000000)),
+            F.when(F.pmod(ok, F.lit(3)) == 0, _seg(e, "REF", "F8", F.concat(F.lit("R"), okey))),
+            F.when(F.pmod(ok, F.lit(7)) == 0, _seg(e, "REF", "ZZ", F.concat(F.lit("X"), okey))),
+        )
+        claim_segs = F.concat(claim_segs, extras)
+        repeated = o.filter(F.pmod(ok, F.lit(11)) == 0).select(
+            "k", "part", F.lit(1).alias("sec"), ok.alias("okey"), F.lit(1 << 30).alias("n"), F.lit(0).alias("sub"),
+            _seg(e, "CLM", ok, again.cast("decimal(18,2)").cast("string")).alias("text"),
+        )
     order_rows = o.select(
         "k", "part", F.lit(1).alias("sec"), ok.alias("okey"), F.lit(0).alias("n"),
         F.posexplode(claim_segs).alias("sub", "text"),
@@ -221,6 +243,8 @@ def render_landing(
     )
 
     all_rows = head_rows.unionByName(order_rows).unionByName(line_rows).unionByName(tail_rows)
+    if with_extras:
+        all_rows = all_rows.unionByName(repeated)
     bodies = all_rows.groupBy("k", "part").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("sec", "okey", "n", "sub", "text"))), lambda x: x["text"]
