@@ -139,11 +139,11 @@ PARTS = {
 class ClaimTables:
     """The declared tables under ``root`` (shared storage on a cluster), in a catalog database named after it."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
-        self.database = "claims_" + hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        self.database = database or "claims_" + hashlib.sha256(self.root.encode()).hexdigest()[:16]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
         self._declared: set[str] = set()
         self._recover = True
@@ -174,6 +174,19 @@ class ClaimTables:
         self._declared.add(name)
         return full
 
+    def _parts_of(self, name: str, number: int) -> list[dict[str, str]]:
+        """The partitions of a load, from the catalog alone."""
+        found = self.spark.sql(f"SHOW PARTITIONS {self.declare(name)} PARTITION (batch = {number})").collect()
+        return [dict(x.split("=", 1) for x in r["partition"].split("/")) for r in found]
+
+    def _drop(self, name: str, part: dict[str, str]) -> None:
+        """Drop a partition with its files (an overwrite without rows; a dropped partition alone would leave them)."""
+        full = self.declare(name)
+        spec = ", ".join(f"{c} = {v}" for c, v in part.items())
+        nothing = ", ".join(f"NULL AS {c}" for c in self._rows(name).columns if c not in part)
+        self.spark.sql(f"INSERT OVERWRITE {full} PARTITION ({spec}) SELECT {nothing} FROM VALUES (0) WHERE false")
+        self.spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION ({spec})")
+
     def declare_all(self) -> None:
         for name in TABLES:
             self.declare(name)
@@ -233,8 +246,8 @@ class ClaimTables:
         """The number of a new load of the tables; leftovers of a failed load under that number are dropped."""
         n = self.committed + 1
         for name in names:
-            if "batch" in TABLES[name].by:
-                self.spark.sql(f"ALTER TABLE {self.declare(name)} DROP IF EXISTS PARTITION (batch = {n})")
+            for part in self._parts_of(name, n):
+                self._drop(name, part)
         return n
 
     def commit(self, number: int, names: list[str], run_id: str | None, vendors: list[str] | None = None) -> None:
@@ -250,10 +263,11 @@ class ClaimTables:
         self._batches += [(number, name, vendors, run_id) for name in names]
 
     def append(self, name: str, df: DataFrame, number: int = 0, **partition: Column) -> int:
-        """Add rows (to load ``number`` where the table has loads); how many were written."""
+        """Add rows (to load ``number``, once a load, where the table has loads); how many were written."""
         t = TABLES[name]
         parts = {"batch": F.lit(number).cast("bigint"), "bucket": F.lit(0) if t.by == SMALL else self.bucket()} | partition
-        return self._write(name, df.withColumns({c: parts[c] for c in t.by}), "append")
+        # a load's partitions are its own: overwriting them leaves nothing of an earlier attempt
+        return self._write(name, df.withColumns({c: parts[c] for c in t.by}), "append" if t.by == SMALL else "overwrite")
 
     def _write(self, name: str, df: DataFrame, mode: str) -> int:
         """Insert in the declared column order, counting the rows on the way (no extra job)."""
@@ -267,7 +281,7 @@ class ClaimTables:
     def write(self, name: str, df: DataFrame) -> None:
         """Replace a small table whole (``df`` may read it: files are staged, then swapped)."""
         if self._write(name, df.withColumn("bucket", F.lit(0)), "overwrite") == 0:
-            self.spark.sql(f"ALTER TABLE {self.declare(name)} DROP IF EXISTS PARTITION (bucket = 0)")
+            self._drop(name, {"bucket": "0"})
 
     def _partitions(self, name: str, files: DataFrame, keys: list[str]) -> tuple[DataFrame, list, list]:
         """The table's partitions with rows of the files: their rows, those that keep others, those that keep none."""
@@ -309,8 +323,7 @@ class ClaimTables:
             rest = rows.where(self._in(by, mixed)).join(files.select(*keys).distinct(), keys, "left_anti")
             self._write(name, rest, "overwrite")
         for p in whole:
-            spec = ", ".join(f"{c} = {str(v).lower()}" for c, v in zip(by, p))
-            self.spark.sql(f"ALTER TABLE {self.declare(name)} DROP IF EXISTS PARTITION ({spec})")
+            self._drop(name, {c: str(v).lower() for c, v in zip(by, p)})
         return len(mixed) + len(whole)
 
     def update_files(self, name: str, files: DataFrame, merge: Callable[[DataFrame], DataFrame], number: int) -> None:
@@ -333,7 +346,7 @@ class ClaimTables:
         Run it between pipeline runs, with ``upto`` no higher than the lowest
         mark of the table's consumers (they wouldn't see the moved rows as new).
         """
-        full, by = self.declare(name), TABLES[name].by
+        by = TABLES[name].by
         old = self._rows(name).where(F.col("batch") <= upto)
         numbers = sorted(r[0] for r in old.select("batch").distinct().collect())
         if len(numbers) < 2:
@@ -341,5 +354,5 @@ class ClaimTables:
         moved = old.withColumn("batch", F.lit(upto).cast("bigint")).repartition(*by)
         self._write(name, moved, "overwrite")
         for n in numbers:
-            if n < upto:
-                self.spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION (batch = {n})")
+            for part in self._parts_of(name, n) if n < upto else []:
+                self._drop(name, part)
