@@ -1,7 +1,8 @@
 """Near-duplicate lines by a deletion-neighbourhood join (DataFrame functions only).
 
 Lines within one edit (a character changed, added or removed) of an earlier
-line are dropped, as are repeats. Two different lines are one edit apart in
+line are dropped, as are repeats. Lines too short for an edit to leave much of
+them are compared for equality only. Two different lines are one edit apart in
 one of two ways, and each is a variant that both emit:
 
 * changed: equal length, and deleting the same position leaves the same text;
@@ -30,19 +31,28 @@ from pyspark.sql import functions as F
 
 from claimflow.llm.common import stored
 
-#: Lines of fewer characters (after trimming) are left alone.
+#: Lines of fewer characters (after trimming) are near no other line; their repeats go all the same.
 LEAST_CHARS = 10
+#: Characters trimmed from both ends of a line.
+TRIMMED = " \t\r\x0b\x0c"
 #: Chunks that a line is cut into.
 CHUNKS = 8
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> DataFrame:
-    """Every line of ``least_chars`` or more: its place (``at``: id, row hash, number), trimmed text, and name (``a``, ``b``)."""
+def _trimmed(line: Column) -> Column:
+    """The line without white space at its ends; lines without any there (most) are passed on as they are."""
+    ragged = F.lit(False)
+    for c in TRIMMED:
+        ragged = ragged | line.startswith(c) | line.endswith(c)
+    return F.when(ragged, F.trim(line, F.lit(TRIMMED))).otherwise(line)
+
+
+def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Every line that isn't empty: its place (``at``: id, row hash, number), trimmed text, and name (``a``, ``b``)."""
     rows = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("g"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "raw")
     )
-    rows = rows.select("id", "g", "line_no", F.trim("raw", F.lit(" \t\r\x0b\x0c")).alias("line"))
-    rows = rows.where(F.char_length("line") >= least_chars)
+    rows = rows.select("id", "g", "line_no", _trimmed(F.col("raw")).alias("line")).where(F.col("line") != "")
     return rows.select(
         F.struct("id", "g", "line_no").alias("at"), "line", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")
     )
@@ -106,8 +116,9 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``first`` is a line's earliest place and ``n`` its number of places;
     ``keep`` is the earliest place of an earlier line one edit away.
     """
-    seen = occurrences(docs, id_col, text_col, least_chars)
-    distinct = seen.groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), F.first(_half_keys(F.col("line"))).alias("halves"))
+    seen = occurrences(docs, id_col, text_col)
+    halves = F.when(F.char_length("line") >= least_chars, _half_keys(F.col("line")))
+    distinct = seen.groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), F.first(halves).alias("halves"))
     distinct = stored(distinct, "line-names")
 
     halves = distinct.select("a", "b", F.explode(F.array_distinct("halves")).alias("half"))
@@ -143,14 +154,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     "earliest" is by id, then row hash, then line number (from 0). A line is
     dropped when an earlier place holds the same line (``n_exact``), or when
     some earlier line is one edit away, dropped itself or not (``n_near``, all
-    places of the line). Lines under ``least_chars`` stay. A null text has no
-    lines, an empty one an empty line. Rows equal in id and text share their
+    places of the line). Lines under ``least_chars`` are near no line; empty
+    lines stay. A null text has no lines, an empty one an empty line. Rows equal in id and text share their
     decisions. Only id and text are read; an empty table gives an empty result.
     """
     names, near = near_lines(docs, id_col, text_col, least_chars)
     marked = names.join(near, ["a", "b"], "left").where(F.col("keep").isNotNull() | (F.col("n") > 1))
     marked = marked.select("a", "b", "first", F.col("keep").isNotNull().alias("near"))
-    seen = occurrences(docs, id_col, text_col, least_chars).select("at", "a", "b")
+    seen = occurrences(docs, id_col, text_col).select("at", "a", "b")
     gone = seen.join(marked, ["a", "b"]).where(F.col("near") | (F.col("at") != F.col("first")))
     by_doc = gone.select("at.*", "near").groupBy("id", "g").agg(
         F.sort_array(F.collect_set("line_no")).alias("dropped"), F.collect_set(F.when(F.col("near"), F.col("line_no"))).alias("near")

@@ -91,11 +91,11 @@ OP4_SQL = r"""
 WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
 pos AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM raw),
 s AS (SELECT doc_id, i, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS t FROM pos),
-o AS (SELECT doc_id, i, t, row_number() OVER (ORDER BY doc_id, i) AS r FROM s WHERE length(t) >= 10),
+o AS (SELECT doc_id, i, t, row_number() OVER (ORDER BY doc_id, i) AS r FROM s WHERE t <> ''),
 d AS (SELECT t, min(r) AS r, length(t) AS n FROM o GROUP BY t),
 h AS (
   SELECT t, r, n, unnest([{'k': n, 'm': 'h', 'x': left(t, n // 2)}, {'k': n, 'm': 't', 'x': right(t, n - n // 2)},
-    {'k': n + 1, 'm': 'h', 'x': left(t, (n + 1) // 2)}, {'k': n + 1, 'm': 't', 'x': right(t, n + 1 - (n + 1) // 2)}], recursive := true) FROM d),
+    {'k': n + 1, 'm': 'h', 'x': left(t, (n + 1) // 2)}, {'k': n + 1, 'm': 't', 'x': right(t, n + 1 - (n + 1) // 2)}], recursive := true) FROM d WHERE n >= 10),
 p AS (SELECT DISTINCT y.t AS t, x.t AS u FROM h x JOIN h y ON x.k = y.k AND x.m = y.m AND x.x = y.x WHERE x.r < y.r),
 near AS (SELECT DISTINCT t FROM p WHERE abs(length(t) - length(u)) <= 1 AND levenshtein(t, u) = 1),
 gone AS (

@@ -3,11 +3,14 @@
 Distinct pre-tokens are inserted in a trie. A node stands for a prefix and
 holds the best score of cutting that prefix into pieces and the number of
 tokens of that cut; both follow from the nodes above it, so a prefix shared by
-many pre-tokens is scored once. A pre-token's count is that of its last node
-(its terminal). A text's count is the sum over its pre-tokens.
+many pre-tokens is scored once. The pieces that end at a node come from suffix
+links over the piece set, so only real pieces are weighed. A pre-token's count
+is that of its last node (its terminal). A text's count is the sum over its
+pre-tokens.
 
 Each task grows its own trie, so no text is shuffled; a trie of ``TRIE_NODES``
-nodes is dropped and begun anew, which costs time and changes no count.
+nodes (about 300 MB) is dropped and begun anew, which costs time and changes
+no count.
 
 The installed vocabulary is a byte-pair model, whose scores are merge ranks and
 no log probabilities. ``unigram_pieces`` gives its pieces unigram scores: the
@@ -30,7 +33,7 @@ from pyspark.sql import types as T
 #: Vocabulary file (a parameter of the query; the file is read, never copied).
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Nodes of a task's trie at most; longer pre-tokens than LONG characters are scored without it.
-TRIE_NODES, LONG = 400_000, 200
+TRIE_NODES, LONG = 1_500_000, 200
 #: Distinct pre-tokens that a task of the piece counts holds before it cuts them.
 HELD_WORDS = 200_000
 #: Added to the count of every piece.
@@ -98,67 +101,119 @@ def unigram_pieces(docs: DataFrame, text_col: str = "text", vocabulary: str = VO
     return {p: math.log((seen.get(p, 0) + SMOOTHING) / total) for p in pieces}
 
 
+class PieceSuffixes:
+    """The pieces that end at a place of a word, found by suffix links over the piece set.
+
+    A state stands for the longest suffix read so far that begins some piece;
+    its suffix link is the next shorter one. ``ends`` has, for every state, the
+    lengths and scores of the pieces that end there.
+    """
+
+    def __init__(self, pieces: dict[str, float]):
+        self.next: dict[int, int] = {}  # state and character -> state
+        self.ends: list[tuple[tuple[int, float], ...]] = [()]
+        link, own, queue = [0], [None], []
+        for piece, score in pieces.items():
+            state = 0
+            for ch in piece:
+                key = state << 21 | ord(ch)
+                below = self.next.get(key)
+                if below is None:
+                    below = self.next[key] = len(own)
+                    own.append(None)
+                    link.append(0)
+                    self.ends.append(())
+                    queue.append((state, ch, below))
+                state = below
+            if piece:
+                own[state] = (len(piece), score)
+        self.link = link
+        depth = [0] * len(own)
+        for up, _, below in queue:
+            depth[below] = depth[up] + 1
+        for up, ch, below in sorted(queue, key=lambda q: depth[q[2]]):  # links lead to shorter suffixes
+            if up:
+                link[below] = self.step(link[up], ch)
+            self.ends[below] = (() if own[below] is None else (own[below],)) + self.ends[link[below]]
+
+    def step(self, state: int, ch: str) -> int:
+        """The state after one more character; remembered, so that a link is followed once."""
+        key = state << 21 | ord(ch)
+        found = self.next.get(key)
+        if found is None:
+            found = self.step(self.link[state], ch) if state else 0
+            self.next[key] = found
+        return found
+
+
 class TrieCounter:
     """Token counts of pre-tokens under a unigram vocabulary.
 
     The best cut has the highest sum of scores, then the fewest tokens. A
     character that is no piece by itself may stand alone as its UTF-8 bytes,
-    one token each.
+    one token each. Bytes that are no UTF-8 count as replacement characters.
     """
 
     def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
+        self.suffixes = PieceSuffixes(pieces)
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN_PENALTY
         self._clear()
 
     def _clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
+        self.child: dict[int, int] = {}
         self.score: list[float] = [0.0]
         self.tokens: list[int] = [0]
+        self.state: list[int] = [0]
         self.terminal: dict[bytes, int] = {}
 
-    def _best(self, word: str, end: int, scores: list[float], tokens: list[int]) -> tuple[float, int]:
-        """Best score and tokens of word[:end], given those of all shorter prefixes."""
+    def _best(self, ch: str, state: int, path: list[int], score: list[float], tokens: list[int]) -> tuple[float, int]:
+        """Best score and tokens of a prefix that ends with ``ch``; ``path`` has the places of all shorter ones."""
         best, fewest = float("-inf"), 0
-        pieces = self.pieces
-        for start in range(max(0, end - self.longest), end):
-            s = pieces.get(word[start:end])
-            if s is None:
-                if start < end - 1:
-                    continue
-                s, n = self.unknown, len(word[start].encode("utf-8", "surrogatepass"))
-            else:
-                n = 1
-            s += scores[start]
-            n += tokens[start]
+        alone = False
+        for length, s in self.suffixes.ends[state]:
+            alone |= length == 1
+            at = path[-length]
+            s += score[at]
+            n = 1 + tokens[at]
+            if s > best or s == best and n < fewest:
+                best, fewest = s, n
+        if not alone:
+            at = path[-1]
+            s, n = self.unknown + score[at], len(ch.encode("utf-8", "surrogatepass")) + tokens[at]
             if s > best or s == best and n < fewest:
                 best, fewest = s, n
         return best, fewest
 
     def insert(self, pre_token: bytes) -> int:
         """Insert a pre-token; its terminal count."""
-        word = MARK + pre_token.decode("utf-8", "surrogatepass")
-        scores, tokens = [0.0], [0]
-        if len(word) > LONG:
-            for end in range(1, len(word) + 1):
-                s, n = self._best(word, end, scores, tokens)
-                scores.append(s)
+        word = MARK + pre_token.decode("utf-8", "replace")
+        step = self.suffixes.step
+        if len(word) > LONG:  # scored by itself, so that one long run doesn't fill the trie
+            score, tokens, state = [0.0], [0], 0
+            path = [0]
+            for end, ch in enumerate(word, 1):
+                state = step(state, ch)
+                s, n = self._best(ch, state, path, score, tokens)
+                score.append(s)
                 tokens.append(n)
+                path.append(end)
             return tokens[-1]
-        node = 0
-        for end, ch in enumerate(word, 1):
-            below = self.child.get((node, ch))
+        child, node = self.child, 0
+        path = [0]
+        for ch in word:
+            key = node << 21 | ord(ch)
+            below = child.get(key)
             if below is None:
-                s, n = self._best(word, end, scores, tokens)
-                below = self.child[node, ch] = len(self.score)
+                state = step(self.state[node], ch)
+                s, n = self._best(ch, state, path, self.score, self.tokens)
+                below = child[key] = len(self.score)
                 self.score.append(s)
                 self.tokens.append(n)
+                self.state.append(state)
             node = below
-            scores.append(self.score[node])
-            tokens.append(self.tokens[node])
-        self.terminal[pre_token] = tokens[-1]
-        return tokens[-1]
+            path.append(node)
+        self.terminal[pre_token] = n = self.tokens[node]
+        return n
 
     def count(self, raw: bytes | None) -> tuple[int, int]:
         """Pre-tokens (runs without ASCII white space) and tokens of a text."""
@@ -166,8 +221,10 @@ class TrieCounter:
         if len(self.score) > TRIE_NODES:
             self._clear()
         terminal = self.terminal
-        long = {w: self.insert(w) for w in set(words).difference(terminal)}
-        return len(words), sum(terminal[w] if w in terminal else long[w] for w in words)
+        new = {w: self.insert(w) for w in set(words).difference(terminal)}
+        if all(w in terminal for w in new):
+            return len(words), sum(map(terminal.__getitem__, words))
+        return len(words), sum(terminal[w] if w in terminal else new[w] for w in words)
 
 
 def _counting(pieces):

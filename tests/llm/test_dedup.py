@@ -162,10 +162,11 @@ def expected_lines(rows, least=lines.LEAST_CHARS):
     for i, t in sorted(((i, t) for i, t in rows if t is not None), key=lambda r: r[0]):
         for k, raw in enumerate(t.split("\n")):
             s = raw.strip(" \t\r\x0b\x0c")
-            if len(s) >= least:
+            if s:
                 place.append((i, k, s))
                 first.setdefault(s, (i, k))
-    near = {s for s in first if any(first[u] < first[s] and one_edit(s, u) for u in first)}
+    long = [s for s in first if len(s) >= least]
+    near = {s for s in long if any(first[u] < first[s] and one_edit(s, u) for u in long)}
     out = {i: (0 if t is None else len(t.split("\n")), [], []) for i, t in rows}
     for i, k, s in place:
         if s in near:
@@ -184,6 +185,7 @@ def line_rows():
         return rng.choice([s, s[:p] + "b" + s[p:], s[:p] + s[p + 1 :], s[:p] + "c" + s[p + 1 :], s])
 
     rows = [(i, "\n".join(rng.choice(["", "  ", "\t"]) + edit(rng.choice(pool)) for _ in range(rng.randint(0, 8)))) for i in range(80)]
+    rows += [(150 + i, rng.choice(["menu\nhome", "home", "menu \n\n}", "hone"])) for i in range(20)]  # short lines repeat, none is near
     rows += [(200 + i, f"item number {i:03d} of the list") for i in range(120)]  # a large group sharing variants
     return rows + [(900, None), (901, ""), (902, "\n\n"), (903, "x" * 20000), (904, "x" * 20001)]
 
@@ -199,4 +201,8 @@ def test_line_dedup_text_and_empty_table(spark):
     docs = frame(spark, [(1, "the same long line\nshort"), (2, "another line here\nthe same long lime"), (3, None)])
     out = {r.doc_id: r.text for r in lines.without_lines(docs, lines.line_dedup(docs)).collect()}
     assert out == {1: "the same long line\nshort", 2: "another line here", 3: None}
+    # repeated rows share their decisions, a null id comes first
+    docs = frame(spark, [(None, "a line of some length"), (4, "a line of some length\nown line of it"), (4, "a line of some length\nown line of it"), (5, "own line of if")])
+    got = sorted(((r.id, r.n_exact, r.n_near, r.dropped) for r in lines.line_dedup(docs).collect()), key=str)
+    assert got == [(4, 1, 0, [0]), (4, 1, 0, [0]), (5, 0, 1, [0]), (None, 0, 0, [])]
     assert lines.line_dedup(frame(spark, [])).count() == 0
