@@ -55,9 +55,17 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with ``shard`` (0 to SHARDS - 1) and ``slot`` (gapless from 0 in a shard)."""
-    placed = docs.withColumn("shard", sharding.shard_of("doc_id", sharding.default_tree(SHARDS)))
-    return sharding.with_slots(placed, ["doc_id", "text"])
+    """All rows with ``shard`` (0 to SHARDS - 1) and ``slot`` (gapless from 0 in a shard).
+
+    Slots follow the id, then a 128-bit hash of the text. Columns of those
+    names that the documents have already are kept as ``<name>_in``.
+    """
+    hashes = [F.xxhash64(F.lit(i), "text").alias(f"h{i}") for i in (1, 2)]
+    shard_of = sharding.shard_of("doc_id", sharding.default_tree(SHARDS)).alias("shard")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), *hashes, shard_of)
+    placed = sharding.with_slots(rows, ["id", "h1", "h2"])
+    own = [F.col("row")[c].alias(f"{c}_in" if c in ("shard", "slot") else c) for c in docs.columns]
+    return placed.select(*own, "shard", "slot")
 
 
 STAGES = [
