@@ -7,16 +7,18 @@ far that occurs in some item. Where that length reaches the window, the state
 of the last ``window`` words names the items that hold them, and the words are
 marked. An item shorter than the window is one window as a whole.
 
-The automaton is built from blocks of items of at most ``BLOCK_WORDS`` words,
-so what is broadcast has a bound whatever the size of the benchmark; with
-several blocks the documents are streamed once per block and the findings are
-united.
+The items are dealt to blocks of about ``BLOCK_WORDS`` words. A block's
+automaton is built in a task and broadcast; with several blocks the documents
+are streamed once per block, one block after the other, so that one automaton
+at a time is held, and the findings are united.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -184,7 +186,7 @@ def _scanner(automaton, name: str):
         words = flat.split()
         hits, items = sam.stream(words)
         at = [m.span() for m in _RUN.finditer(flat)] if hits else []
-        return len(words), [(at[a][0], at[b - 1][1], b - a) for a, b in hits], sorted(items)
+        return len(words), [(at[a][0], at[b - 1][1], b - a) for a, b in hits], sorted(i for i in items if i is not None)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sam: SuffixAutomaton = automaton.value
@@ -214,17 +216,27 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _result(batch.column("row"), "row", found)
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items in blocks of about ``block_words`` words; one block at a time reaches the driver."""
-    items = benchmark.select(
-        F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    ).where(F.col("item").isNotNull())
+def _building(window: int):
+    """Build the automaton of a block's items in a task; the result is the pickled automaton."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = [(i, words_of(t)) for b in batches for i, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist())]
+        made = pickle.dumps(SuffixAutomaton(items, window))
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["automaton"])
+
+    return run
+
+
+def _automata(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_words: int) -> Iterator[SuffixAutomaton]:
+    """The automata of the items in blocks of about ``block_words`` words, one at a time."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = F.size(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD_PATTERN), F.lit(0)))
     total = items.agg(F.sum(n)).first()[0] or 0
     blocks = -(-total // block_words)
     part = F.pmod(F.xxhash64("item", "text"), F.lit(max(blocks, 1)))
     for b in range(blocks):
-        yield [(r.item, words_of(r.text)) for r in items.where(part == b).toLocalIterator()]
+        made = items.where(part == b).repartition(1).mapInArrow(_building(window), "automaton binary").first()
+        yield pickle.loads(made.automaton)
 
 
 def scan(
@@ -241,22 +253,26 @@ def scan(
 
     ``hits`` are byte ranges of the UTF-8 text, cut at words, with their
     number of words; ``n_hit`` is their sum. Texts without words (null,
-    empty) have no hits; items without words or without an id have no
-    windows; items sharing an id count as one. An empty benchmark marks
-    nothing. Columns other than ``carry`` and the text are not read.
+    empty) have no hits; items without words have no windows. Windows of items
+    without an id are hit like others, but name no item; items sharing an id
+    count as one. An empty benchmark marks nothing. Repeated rows are scanned
+    each. Columns other than ``carry`` and the text are not read.
     """
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.struct(*carry).alias("row"), F.col(text_col).cast("binary").alias("text"))
-    blocks = [sc.broadcast(SuffixAutomaton(x, window)) for x in _blocks(benchmark, item_col, item_text_col, block_words)]
-    if len(blocks) <= 1:
-        only = blocks[0] if blocks else sc.broadcast(SuffixAutomaton([], window))
-        return rows.mapInArrow(_scanner(only, "row"), T.StructType([rows.schema["row"], *_FOUND]))
+    automata = _automata(benchmark, item_col, item_text_col, window, block_words)
+    first = next(automata, None) or SuffixAutomaton([], window)
+    second = next(automata, None)
+    if second is None:
+        return rows.mapInArrow(_scanner(sc.broadcast(first), "row"), T.StructType([rows.schema["row"], *_FOUND]))
     kept = stored(rows.withColumn("rid", F.monotonically_increasing_id()), "decontaminate-rows")
     by_rid = T.StructType([kept.schema["rid"], *_FOUND])
-    each = [kept.select("rid", "text").mapInArrow(_scanner(b, "rid"), by_rid).where("n_hit > 0") for b in blocks]
-    found = each[0]
-    for x in each[1:]:
-        found = found.unionByName(x)
+    found = None
+    for automaton in chain([first, second], automata):
+        shared = sc.broadcast(automaton)
+        hits = stored(kept.select("rid", "text").mapInArrow(_scanner(shared, "rid"), by_rid).where("n_hit > 0"), "decontaminate-hits")
+        shared.destroy()
+        found = hits if found is None else found.unionByName(hits)
     united = found.groupBy("rid").agg(
         F.flatten(F.collect_list("hits")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),

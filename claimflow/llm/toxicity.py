@@ -347,8 +347,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
 
 
 def held_out(id_col: Column) -> Column:
-    """Rows that training never sees: crc32 of the id as text, modulo 3, is 1."""
-    return F.crc32(id_col.cast("string").cast("binary")) % 3 == 1
+    """Rows that training never sees: crc32 of the id as text, modulo 3, is 1 (a null id isn't)."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

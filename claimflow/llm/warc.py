@@ -17,13 +17,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.llm.common import shared_path, stored
@@ -43,7 +45,16 @@ def _clean(value: str) -> str:
     return "".join(chr(b) if 0x20 < b < 0x7F else f"%{b:02X}" for b in value.encode("utf-8", "surrogatepass"))
 
 
-def record(page: str, url: str, payload: bytes, refers_to: str | None) -> bytes:
+def _urn(page: str | None) -> str:
+    """A page's record id; any text of an id comes back whole from :func:`_page`, and null is no text."""
+    return "<urn:nil>" if page is None else f"<urn:page:{quote(page, safe='', errors='surrogatepass')}>"
+
+
+def _page(urn: str) -> str | None:
+    return None if urn == "<urn:nil>" else unquote(urn[len("<urn:page:") : -1], errors="surrogatepass")
+
+
+def record(page: str | None, url: str, payload: bytes, refers_to: str | None) -> bytes:
     """A response record, or (with ``refers_to``) a revisit record, which keeps the HTTP headers only."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
@@ -51,12 +62,12 @@ def record(page: str, url: str, payload: bytes, refers_to: str | None) -> bytes:
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{page}>",
+        f"WARC-Record-ID: {_urn(page)}",
         f"WARC-Target-URI: {_clean(url)}",
         f"WARC-Payload-Digest: sha1:{payload_digest(payload)}",
     ]
     if refers_to is not None:
-        head.append(f"WARC-Refers-To: <urn:page:{refers_to}>")
+        head.append(f"WARC-Refers-To: {_urn(refers_to)}")
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -78,19 +89,19 @@ def parse(raw: bytes) -> dict:
     digest = h["warc-payload-digest"].removeprefix("sha1:")
     if h["warc-type"] == "response" and (len(payload) != size or payload_digest(payload) != digest):
         raise ValueError(f"damaged payload in {h['warc-record-id']}")
-    page = lambda x: x[len("<urn:page:") : -1]
     refers = h.get("warc-refers-to")
     return {
-        "page": page(h["warc-record-id"]),
+        "page": _page(h["warc-record-id"]),
         "payload_bytes": size,
         "payload_digest": digest,
         "record_type": h["warc-type"],
-        "refers": None if refers is None else page(refers),
+        "refers": None if refers is None else _page(refers),
     }
 
 
 def _open(folder_or_file: str):
-    return pyarrow.fs.FileSystem.from_uri(folder_or_file)
+    """File system and path of an address; Hadoop's names of the S3 scheme are those of S3."""
+    return pyarrow.fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", folder_or_file))
 
 
 def _writer(folder: str):
@@ -257,8 +268,7 @@ def write_monolithic(pages: DataFrame, folder: str, id_col: str = "page_id", url
         F.col(id_col).alias("page"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), payload.alias("html"), F.sha2(payload, 256).alias("digest")
     )
     marked = rows.join(revisits(pages, id_col, text_col, least_bytes), ["page", "digest"], "left")
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(c)
-    out = marked.select(text("page"), "url", "html", F.col("refers").cast("string").alias("refers"))
+    out = marked.select(F.col("page").cast("string").alias("page"), "url", "html", F.col("refers").cast("string").alias("refers"))
     _make(pages, folder)
     return stored(out.mapInArrow(_writer(folder), "archive string, records long"), "warc-raw")
 
@@ -292,11 +302,8 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     raw = write_monolithic(pages, folder, id_col, url_col, text_col, least_bytes)
     found = read_indexed(normalise(raw, folder))
     kind = pages.schema[id_col].dataType
-    back = lambda c: _typed(F.col(c), kind)
+    back = lambda c: F.col(c).cast(kind)
     return found.select(
         back("page").alias(id_col), "payload_bytes", "payload_digest", "record_type", back("refers").alias("refers_to"), "archive", "offset", "length"
     )
 
-
-def _typed(c: Column, kind) -> Column:
-    return F.when(c != "null", c).cast(kind)

@@ -110,6 +110,56 @@ def test_gradients_equal_differences():
             v[at] = old
 
 
+def plain_window(p, x, real):
+    """Log odds of one window, word by word: two gated recurrences, then attention over their states."""
+    size = toxicity.HIDDEN
+    squash = lambda v: 1 / (1 + np.exp(-v))
+
+    def read(d, order):
+        h, states = np.zeros(size), {}
+        for t in order:
+            if real[t]:
+                own, past = x[t, d * 3 * size : (d + 1) * 3 * size], h @ p["u"][d]
+                keep = squash(own[:size] + past[:size])
+                reset = squash(own[size : 2 * size] + past[size : 2 * size])
+                h = keep * h + (1 - keep) * np.tanh(own[2 * size :] + reset * past[2 * size :])
+            states[t] = h
+        return states
+
+    forth, back = read(0, range(len(x))), read(1, reversed(range(len(x))))
+    states = [np.concatenate([forth[t], back[t]]) for t in range(len(x)) if real[t]]
+    weight = np.exp([np.tanh(s @ p["wa"] + p["ba"]) @ p["va"] for s in states])
+    return sum(w * s for w, s in zip(weight / weight.sum(), states)) @ p["wo"] + p["bo"][0]
+
+
+def test_windows_equal_a_plain_loop_over_gates_and_attention(model):
+    words = sorted({w for _, t, _ in make_texts(60, seed=8) for w in toxicity.words_of(t.encode())})
+    inputs = model.inputs(words)
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, len(words), (40, toxicity.WINDOW))
+    real = (np.arange(toxicity.WINDOW) < rng.integers(1, toxicity.WINDOW + 1, 40)[:, None]).astype(np.float32)
+    got = model.windows(inputs, ids, real)
+    want = [1 / (1 + np.exp(-plain_window(model.p, inputs[i].astype(float), m))) for i, m in zip(ids, real)]
+    assert np.abs(got - want).max() < 1e-4 and np.ptp(got) > 0.1
+
+
+def test_a_null_id_is_not_held_out(spark):
+    ids = spark.createDataFrame([(None,), (1,), (2,), (3,)], "i long")
+    got = {r.i: r.h for r in ids.select("i", toxicity.held_out(F.col("i")).alias("h")).collect()}
+    assert got == {None: False} | {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in (1, 2, 3)}
+
+
+def test_the_shard_stage_keeps_every_column(spark):
+    rows = [(i % 7, f"text {i % 3}", i, 5, 6, "s") for i in range(40)] + [(None, None, 99, 5, 6, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _b long, shard int, h1 int, slot string")
+    out = corpus_pipeline.shard(spark, docs, SF001)
+    assert out.columns == ["doc_id", "text", "_b", "shard_in", "h1", "slot_in", "shard", "slot"]
+    got = out.collect()
+    assert sorted((tuple(r)[:6] for r in got), key=str) == sorted(rows, key=str)
+    for s in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
 def test_scores_need_only_the_text_and_chunks_do_not_matter(spark, model, monkeypatch):
     rows = make_texts(120, 5) + [(900, None, 0), (901, "", 0), (902, "zorkish " * 9000, 1)]
     docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, score string").repartition(4)

@@ -64,6 +64,25 @@ def test_token_counts_of_a_table(spark):
     assert tokens.token_counts(docs.limit(0), ["doc_id"]).count() == 0
 
 
+def test_bytes_that_are_no_utf8_are_counted(spark):
+    docs = spark.createDataFrame([(1, bytearray(b"ok \xff\xfe bad\xc3"))], "doc_id long, text binary")
+    pieces = {"▁": -1.0, "ok": -2.0, "bad": -2.0, "\ufffd": -9.0}
+    r = tokens.token_counts(docs, ["doc_id"], scores=pieces).first()
+    assert (r.n_pretokens, r.n_tokens) == (3, 2 + 3 + 3)
+
+
+def test_suffix_links_find_all_pieces_that_end():
+    rng = random.Random(2)
+    for _ in range(40):
+        pieces = {"".join(rng.choices("ab", k=rng.randint(1, 6))): -float(i) for i in range(rng.randint(0, 12))}
+        links = tokens.PieceSuffixes(pieces)
+        word, state = "".join(rng.choices("abc", k=60)), 0
+        for end, ch in enumerate(word, 1):
+            state = links.step(state, ch)
+            want = {(len(p), s) for p, s in pieces.items() if word[:end].endswith(p)}
+            assert set(links.ends[state]) == want
+
+
 def test_unigram_scores_are_log_probabilities_of_the_corpus(spark, monkeypatch):
     import sentencepiece
 
@@ -142,6 +161,15 @@ def test_scan_in_one_and_many_blocks(spark):
     assert decontaminate.scan(table, bench.limit(0), ["doc_id"]).where("n_hit > 0").count() == 0
 
 
+def test_items_without_an_id_are_hit_and_repeated_rows_scanned_each(spark):
+    docs = spark.createDataFrame([(1, "x a b c d y"), (1, "x a b c d y"), (None, "a b c d"), (2, "e f g h")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "a b c d"), (5, "b c d y"), (5, "b c d y"), (6, None)], "item_id long, text string")
+    for words in (1000, 4):
+        found = decontaminate.scan(docs, bench, ["doc_id"], window=3, block_words=words)
+        got = sorted(((r.row.doc_id, r.n_words, r.n_hit, r["items"]) for r in found.collect()), key=str)
+        assert got == [(1, 6, 5, ["5"]), (1, 6, 5, ["5"]), (2, 4, 0, []), (None, 4, 4, ["5"])]
+
+
 def test_decontaminate_cuts_and_drops(spark):
     bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
     docs = spark.createDataFrame(
@@ -248,6 +276,16 @@ def test_small_payloads_are_all_responses_and_ids_may_be_null(spark):
     assert kinds[1] == kinds[2] == kinds[3] == ("response", None) and kinds[4] == ("revisit", 3) and len(got) == 5
 
 
+def test_ids_of_any_text_come_back(spark):
+    ids = ["null", "a\nb", "", " ", "x\r\n\r\ny", "100%", "é<>", "urn:nil", None, "rep", "rep"]
+    rows = [(i, "u", f"p{k}") for k, i in enumerate(ids)] + [("zz", "u", "p1"), ("yy", "u", "p2")]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = warc.round_trip(pages).collect()
+    assert sorted((r.page_id for r in got), key=str) == sorted((r[0] for r in rows), key=str)
+    refers = {r.page_id: r.refers_to for r in got if r.record_type == "revisit"}
+    assert refers == {"zz": "a\nb", "yy": ""}
+
+
 def test_damaged_archives_are_errors():
     rec = warc.record("1", "u", b"payload", None)
     assert [bytes(r) for r in warc.records_of([rec[:10], rec[10:] + rec])] == [rec, rec]
