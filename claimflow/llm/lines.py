@@ -58,7 +58,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _half_keys(line: Column) -> Column:
+def _half_keys(line: Column) -> list[Column]:
     """Both halves in the frame of the line's length, and in that of a line one longer."""
     keys = []
     for more in (0, 1):
@@ -66,7 +66,7 @@ def _half_keys(line: Column) -> Column:
         h = F.floor(m / 2).cast("int")
         keys.append(F.xxhash64(F.lit("head"), m, F.left(line, h)))
         keys.append(F.xxhash64(F.lit("tail"), m, F.right(line, m - h)))
-    return F.array(*keys)
+    return keys
 
 
 def _frames(line: Column) -> Column:
@@ -117,11 +117,13 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``keep`` is the earliest place of an earlier line one edit away.
     """
     seen = occurrences(docs, id_col, text_col)
-    halves = F.when(F.char_length("line") >= least_chars, _half_keys(F.col("line")))
-    distinct = seen.groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), F.first(halves).alias("halves"))
+    # keys before the aggregate: what it sorts are numbers, no lines
+    halves = {f"h{i}": F.when(F.char_length("line") >= least_chars, k) for i, k in enumerate(_half_keys(F.col("line")))}
+    named = seen.select("at", "a", "b", *[k.alias(h) for h, k in halves.items()])
+    distinct = named.groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), *[F.first(h).alias(h) for h in halves])
     distinct = stored(distinct, "line-names")
 
-    halves = distinct.select("a", "b", F.explode(F.array_distinct("halves")).alias("half"))
+    halves = distinct.where("h0 IS NOT NULL").select("a", "b", F.explode(F.array_distinct(F.array(*halves))).alias("half"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
     close = halves.join(shared, "half").select("a", "b").distinct()
     close = distinct.select("a", "b", "first").join(close, ["a", "b"])
