@@ -80,6 +80,42 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The tree by its paths and weights: two regions of two racks of two shards, and the region that the ninth shard opens.
+OP3_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t),
+texts AS (
+  SELECT text, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+  FROM (SELECT DISTINCT coalesce(text, '') AS text FROM documents)),
+summed AS (
+  SELECT text, CAST(len(bytes) + 1 AS BIGINT) AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32
+  FROM texts, crc),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(CAST(doc_id AS VARCHAR), chr(0) || 'null') AS key, size, text_crc32
+  FROM documents JOIN summed ON coalesce(documents.text, '') = summed.text),
+child(parent, path, weight) AS (VALUES
+  ('', '/r0', 4), ('', '/r1', 4), ('', '/r+8', 1),
+  ('/r0', '/r0/k0', 2), ('/r0', '/r0/k1', 2), ('/r1', '/r1/k2', 2), ('/r1', '/r1/k3', 2),
+  ('/r0/k0', '/r0/k0/s0', 1), ('/r0/k0', '/r0/k0/s1', 1), ('/r0/k1', '/r0/k1/s2', 1), ('/r0/k1', '/r0/k1/s3', 1),
+  ('/r1/k2', '/r1/k2/s4', 1), ('/r1/k2', '/r1/k2/s5', 1), ('/r1/k3', '/r1/k3/s6', 1), ('/r1/k3', '/r1/k3/s7', 1)),
+drawn AS (
+  SELECT rid, parent, path, -ln((CAST('0x' || left(md5(path || ':' || key), 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / weight AS draw
+  FROM d, child),
+taken AS (SELECT rid, parent, arg_min(path, draw) FILTER (path <> '/r+8') AS path, arg_min(path, draw) AS grown FROM drawn GROUP BY rid, parent),
+placed AS (
+  SELECT d.*, CAST(right(leaf.path, 1) AS INT) AS shard, CASE WHEN region.grown = '/r+8' THEN 8 ELSE CAST(right(leaf.path, 1) AS INT) END AS grown_shard,
+    CAST('0x' || left(md5(concat_ws(':', CAST(doc_id AS VARCHAR), CAST(size AS VARCHAR), CAST(text_crc32 AS VARCHAR))), 8) AS BIGINT) % 1024 AS b
+  FROM d JOIN taken region ON region.rid = d.rid AND region.parent = ''
+  JOIN taken rack ON rack.rid = d.rid AND rack.parent = region.path
+  JOIN taken leaf ON leaf.rid = d.rid AND leaf.parent = rack.path)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY b, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot
+FROM placed
+"""
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that repeat an earlier line or lie one edit from one."""
     found = lines.line_dedup(table(spark, sf_dir, "documents"))
@@ -201,6 +237,54 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A match starts after the pieces between matches and the matches before it. The first pattern spells both cases
+#: out, as case folding would take in letters beyond ASCII. Ownership counts the values of all candidates.
+OP10_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, chr(0) || 'null') AS owner,
+    concat_ws('/', source, lang) AS repo,
+    '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])'
+    || '["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS assign
+  FROM documents),
+matched AS (
+  SELECT rid, 0 AS kind, regexp_extract_all(text, assign) AS m, regexp_extract_all(text, assign, 2) AS v, regexp_split_to_array(text, assign) AS gap FROM d
+  UNION ALL SELECT rid, 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+') AS m, m, regexp_split_to_array(text, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL SELECT rid, 2, regexp_extract_all(text, '[0-9a-f]+') AS m, m, regexp_split_to_array(text, '[0-9a-f]+') FROM d
+  UNION ALL SELECT rid, 3, regexp_extract_all(text, '[A-Za-z0-9+/_-]{20,}') AS m, m, regexp_split_to_array(text, '[A-Za-z0-9+/_-]{20,}') FROM d),
+each AS (SELECT rid, kind, unnest(m) AS m, unnest(v) AS v, unnest(gap[1:len(m)]) AS gap, unnest(range(len(m))) AS i FROM matched),
+placed AS (SELECT rid, kind, v, length(m) AS n, sum(length(gap) + length(m)) OVER (PARTITION BY rid, kind ORDER BY i) AS upto FROM each),
+long AS (
+  SELECT rid, kind, v, CAST(upto - n AS BIGINT) AS first, CAST(upto AS BIGINT) AS upto FROM placed
+  WHERE length(v) >= CASE kind WHEN 0 THEN 12 WHEN 1 THEN 18 WHEN 2 THEN 16 ELSE 20 END),
+chars AS (SELECT v, c, count(*) AS n FROM (SELECT v, unnest(string_split(v, '')) AS c FROM (SELECT DISTINCT v FROM long WHERE kind = 3)) GROUP BY v, c),
+rich AS (
+  SELECT v FROM chars GROUP BY v
+  HAVING sum(CASE WHEN c BETWEEN '0' AND '9' THEN n ELSE 0 END) >= 3 AND sum(CASE WHEN c BETWEEN '0' AND '9' THEN 0 ELSE n END) >= 3
+    AND -sum(CAST(n AS DOUBLE) / length(v) * log2(CAST(n AS DOUBLE) / length(v))) >= 3.5),
+candidates AS (
+  SELECT rid, kind, v, first, upto FROM long WHERE kind < 3
+  UNION ALL SELECT rid, kind, v, first, upto FROM long t WHERE kind = 3 AND v IN (SELECT v FROM rich)
+    AND NOT EXISTS (SELECT 1 FROM long b WHERE b.rid = t.rid AND b.kind < 3 AND b.first < t.upto AND t.first < b.upto)),
+owned AS (
+  SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT repo) AS repos, count(*) AS uses
+  FROM candidates JOIN d USING (rid) GROUP BY v),
+judged AS (
+  SELECT rid, kind, first, concat_ws(':', ['assign', 'access', 'hex', 'dense'][kind + 1], CAST(first AS VARCHAR), CAST(upto AS VARCHAR)) AS span,
+    owners, repos, uses, CASE WHEN owners >= 3 THEN 'example' WHEN owners = 1 THEN 'live' ELSE 'shared' END AS verdict
+  FROM candidates JOIN owned USING (v)),
+told AS (
+  SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY first, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY first, kind) AS spans,
+    count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'shared') AS n_shared, count(*) FILTER (verdict = 'example') AS n_example,
+    max(owners) AS max_owners, max(repos) AS max_repos, max(uses) AS max_uses
+  FROM judged WHERE kind < 3 OR verdict = 'live' GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared,
+  coalesce(n_example, 0) AS n_example, coalesce(max_owners, 0) AS max_owners, coalesce(max_repos, 0) AS max_repos, coalesce(max_uses, 0) AS max_uses
+FROM d LEFT JOIN told USING (rid)
+"""
+
+
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights, scores and draws of all documents towards the words of the benchmark."""
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -321,10 +405,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": OP2_SQL,
+        "op3_sharding": OP3_SQL,
         "op4_line_dedup": OP4_SQL,
         "op5_warc": OP5_SQL,
         "op7_exact_dedup": OP7_SQL,
         "op8_minhash_near_dedup": OP8_SQL,
+        "op10_secret_scan": OP10_SQL,
         "op11_importance_resampling": OP11_SQL,
         "op12_html_extraction": OP12_SQL,
         "op13_filter_audit": OP13_SQL,

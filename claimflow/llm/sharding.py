@@ -1,7 +1,7 @@
 """Sharding by a hierarchical weighted hash tree (DataFrame functions only).
 
 A row descends region, rack and shard levels. At each node every child draws
-``-ln(u) / weight`` with ``u`` hashed from the row's key and the child's path;
+``-ln(u) / weight`` with ``u`` from an MD5 digest of the row's key and the child's path;
 the smallest draw wins, so a child is taken in proportion to its weight and a
 change of one child's weight changes no other child's draw. Movement is
 confined to the subtrees whose weights change: a new region takes rows only
@@ -61,9 +61,9 @@ def default_tree(shards: int, racks: int = 2, per_rack: int = 2, base: int = 8)
 
 
 def draw(key: Column, path: str, weight: float) -> Column:
-    """An exponential draw of rate ``weight`` hashed from key and path (53 bits, never 0)."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(path), key), 11).cast("double")
-    return -F.log((bits + 0.5) / float(1 << 53)) / F.lit(weight)
+    """An exponential draw of rate ``weight`` from the first 52 bits of MD5 over path and key (never 0)."""
+    bits = F.conv(F.left(F.md5(F.concat(F.lit(f"{path}:"), key).cast("binary")), F.lit(13)), 16, 10).cast("double")
+    return -F.log((bits + 0.5) / float(1 << 52)) / F.lit(weight)
 
 
 def descend(key: Column, node: Node, path: str = "") -> Column:
@@ -94,9 +94,15 @@ def text_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
+def sub_bucket(order: list[str], buckets: int) -> Column:
+    """A row's sub-bucket, from an MD5 digest of the columns as text (nulls left out)."""
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in order])
+    return F.pmod(F.conv(F.left(F.md5(text.cast("binary")), F.lit(8)), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+
+
 def with_slots(placed: DataFrame, order: list[str], buckets: int = SUB_BUCKETS) -> DataFrame:
     """Add ``slot``: gapless from 0 inside each ``shard``, in order of sub-bucket, then ``order``."""
-    b = placed.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    b = placed.withColumn("_b", sub_bucket(order, buckets))
     counts = b.groupBy("shard", "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("shard").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))

@@ -8,13 +8,13 @@ import random
 import re
 import zlib
 
+import duckdb
 import pyarrow.fs
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
-from claimflow.llm import decontaminate, secrets, sharding, tokens, warc
+from claimflow.llm import decontaminate, queries, secrets, sharding, tokens, warc
 
 # -- token counts ---------------------------------------------------------------------------------
 
@@ -199,8 +199,8 @@ def brute_shard(key, node, path=""):
     live = [c for c in node.children if c.weight > 0]
 
     def draw(c):
-        h = xxhash.xxh64_intdigest(key.encode(), xxhash.xxh64_intdigest(f"{path}/{c.name}".encode(), 42))
-        return -math.log(((h >> 11) + 0.5) / (1 << 53)) / c.weight
+        bits = int(hashlib.md5(f"{path}/{c.name}:{key}".encode()).hexdigest()[:13], 16)
+        return -math.log((bits + 0.5) / (1 << 52)) / c.weight
 
     best = live[0] if len(live) == 1 else min(live, key=draw)
     return brute_shard(key, best, f"{path}/{best.name}")
@@ -330,3 +330,38 @@ def test_base_spans_equal_plain_patterns_and_ownership_parts_them(spark):
     assert got[1000].n_example >= 1 and got[1000].n_live == 0 and got[1000].max_owners == 9
     assert got[2000].spans == "dense:4:28" and got[2000].n_live == 1 and got[2000].max_uses == 2
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
+
+
+# -- queries against their SQL on planted rows ----------------------------------------------------
+
+
+def planted_secrets():
+    rng = random.Random(7)
+    key = lambda n, letters="abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/_-": "".join(rng.choices(letters, k=n))
+    keys = [key(n) for n in (12, 20, 24, 32, 40, 40, 64)]
+    hexes = [key(n, "0123456789abcdef") for n in (15, 16, 32, 64)]
+    forms = ["PassWord = {}", 'token:"{}"', "api_key={}", "apikey='{}' x", "AKIA{}", "{}", "é{}é", "\u212aey toKen={}", "secret={}=password={}", "x/{}/y"]
+    rows = [(0, "", "a", "en"), (1, None, "a", "en"), (1, None, "a", "en"), (2, "token=abcdefghijk", None, None), (3, "k" * 50 + "1" * 25, "b", "de")]
+    for i in range(4, 160):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            form = rng.choice(forms)
+            value = rng.choice([*keys, *hexes, key(30), key(18, "ABCDEFGHIJ0123456789")])
+            parts.append(form.replace("{}", value) + rng.choice([" ", "\n", "日本 ", "", "; "]))
+        rows.append((i, "".join(parts), rng.choice(["a", "b", "c", "d", None]), rng.choice(["en", "fr", None])))
+    return rows
+
+
+@pytest.mark.parametrize("name", ["op3_sharding", "op10_secret_scan"])
+def test_query_equals_its_sql_on_planted_rows(spark, tmp_path, name):
+    rows = planted_secrets()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(queries.oracle_sql()[name])
+    columns = sorted(c[0] for c in want.description)
+    order = [[c[0] for c in want.description].index(c) for c in columns]
+    want = sorted(tuple(r[i] for i in order) for r in want.fetchall())
+    got = queries.queries()[name](spark, str(tmp_path)).select(*columns).collect()
+    assert len(want) == len(rows) and sorted(map(tuple, got)) == want
