@@ -228,15 +228,15 @@ def silver_step(ctx: RunContext, reprocess: DataFrame | None = None) -> None:
     # one write: claims that a later claim of the same id in the transaction replaces go to partitions of their own
     latest = F.col("newer_claims") == 0
     n_claims = st.append(SILVER, ctx.observe("silver_claims_parsed", silver, latest), n, superseded=~latest)
-    errs = ctx.observe("silver_parse_errors", C.errors_table(res["errors"], ctx.ts)).persist()
+    errs = ctx.observe("silver_parse_errors", C.errors_table(res["errors"], ctx.ts))
     n_errors = st.append("silver_837_parse_error", errs, n)
-    held = C.quarantine_rows(errs, ctx.run_id, ctx.ts)
+    # from the rows just written: the parse's plan ends there
+    held = C.quarantine_rows(st.batch("silver_837_parse_error", n), ctx.run_id, ctx.ts)
     n_held = 0 if n_errors == 0 or held.isEmpty() else 1
     if n_held:
         _quarantine(ctx, held, n)
     for k in ("segments", "transactions", "parties"):
         res[k].unpersist()
-    errs.unpersist()
     _commit(ctx, n, SILVER_TABLES, [1, n_claims, n_errors, n_replaced, n_held])
     if reprocess is None:
         ctx.advance("silver", "bronze_837_raw", upto)
