@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import pathlib
 import tempfile
 
 import pytest
@@ -48,6 +49,13 @@ def test_every_table_is_declared_and_readable(spark):
     st.declare_all()  # again: nothing happens
 
 
+def test_rows_are_stored_compressed(spark):
+    st = tables(spark)
+    load(st, "file_partial", partial(spark, ["f1", "f2"]))
+    files = [p.name for p in pathlib.Path(st.root).rglob("*.parquet")]
+    assert len(files) > 1 and all(".zstd." in f for f in files)
+
+
 def test_a_delta_and_a_lookup_read_their_partitions_only(spark):
     st = tables(spark)
     for k in range(3):
