@@ -369,20 +369,21 @@ UNION ALL SELECT vendor_id, file_path, size_bytes, 'OVERSIZE', false FROM big"""
 def discover_written_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1, SRC3, FLT7, OPS10: real files listed without their bytes; oversize ones are found, and never opened."""
     root = _written_landing(spark, sf_dir, big=True)
-    listing = list_landing(spark, root).withColumn("path", _below(root, "path"))
+    listed = list_landing(spark, root)
+    listing = listed.withColumn("path", _below(root, "path"))
     registry = cfg.vendor_registry(spark).withColumn("max_file_size_mb", F.lit(1))
     found = O.discover_files(listing, registry)
-    there = found.withColumn("file_path", F.concat(F.lit(_listed(spark, root)), "file_path"))
+    there = found.withColumn("file_path", F.concat(F.lit(_folder(listed)), "file_path"))
     rows = read_discovered(spark, root, there, registry)
     opened = rows.select(_below(root, "path").alias("file_path"), (F.octet_length("content") == F.col("length")).alias("opened"))
     return found.join(opened, "file_path", "left").select(
         "vendor_id", "file_path", "size_bytes", "action", F.coalesce("opened", F.lit(False)).alias("opened"))
 
 
-def _listed(spark: SparkSession, root: str) -> str:
-    """The folder as the file source writes it in its paths."""
-    first = list_landing(spark, root).first()["path"]
-    return first[: first.index("/landing/x12/837/")]
+def _folder(listed: DataFrame) -> str:
+    """The folder of the landing files as the listing writes it in its paths ('' when there is no file)."""
+    first = listed.first()
+    return "" if first is None else first["path"][: first["path"].index("/landing/x12/837/")]
 
 
 # ====================================================================== streaming
