@@ -420,6 +420,11 @@ def annotate(segs: DataFrame) -> DataFrame:
     )
 
 
+def scan_elements(segs: DataFrame) -> DataFrame:
+    """Segments with the elements that :func:`annotate` reads and no others, for a scan whose state alone is wanted."""
+    return segs.withColumn("el", F.when(F.col("tag").isin("ST", "LX", "NM1"), F.slice("el", 1, 4)))
+
+
 def segment_table(files: DataFrame, num_partitions: int | None = None, repartition: bool = True,
                   role_map: DataFrame | None = None, block_segments: int | None = None) -> DataFrame:
     """Exploded and annotated segments of every parseable file.

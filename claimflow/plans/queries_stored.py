@@ -308,7 +308,7 @@ def large_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = S.map_provider_codes(S.explode_segments(gated, repartition=False, keep=["_k", "_part"]), None)
     start = F.shiftleft(F.col("_k") * 64 + F.col("_part"), 24)  # files follow each other by customer and part
     whole = whole.withColumn("pos", start + F.col("pos")).withColumn("file_hash", F.col("vendor_id")).drop("_k", "_part")
-    whole = materialize(whole.withColumn("blk", F.floor(F.col("pos") / 200)))
+    whole = materialize(S.scan_elements(whole).withColumn("blk", F.floor(F.col("pos") / 200)))
     txn = S.annotate(whole.repartition("file_hash", "blk")).filter("in_txn").groupBy("vendor_id", "g").agg(
         F.max("span_st.st_control").alias("st_control"), F.min(F.col("k") - F.col("clm_flag").cast("long")).alias("claims_before"),
         F.count_if("clm_flag").alias("n_claims"), F.count(F.lit(1)).alias("n_segments"))

@@ -36,6 +36,15 @@ def test_blocks_of_any_size_give_the_same_state(spark, gated, block):
     assert rows(S.segment_table(gated, block_segments=block), columns) == rows(S.segment_table(gated), columns)
 
 
+def test_the_state_hangs_on_few_elements(spark, gated):
+    segs = S.map_provider_codes(S.explode_segments(gated, keep=["file_path"]), None)
+    columns = [*STATE, "pos", "party_pos", "last85_pos", "file_path"]
+    slim = S.scan_elements(segs)
+    assert rows(S.annotate(slim), columns) == rows(S.annotate(segs), columns)
+    kept = slim.filter("el IS NOT NULL")
+    assert kept.filter("size(el) > 4 OR tag NOT IN ('ST', 'LX', 'NM1')").count() == 0 < kept.count() < segs.count()
+
+
 def test_claims_of_a_scan_in_blocks(spark, gated):
     files = gated.select("vendor_id", "file_hash", "file_path", "run_id", "content_str")
     columns = ["file_hash", "k", "claim_id", "st_control", "n_block_segments", "claim_block_text", "billing_npi", "subscriber_id"]
