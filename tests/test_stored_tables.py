@@ -133,3 +133,27 @@ def test_files_of_any_name_reach_the_quarantine(spark, tmp_path, body):
     store = make(spark)
     P.bronze_step(P.RunContext(spark, store, "r", "2024-06-01 00:00:00"), scan_landing(spark, str(tmp_path)))
     assert store.read("bronze_837_quarantine").count() == 1
+
+
+def test_the_gate_shuffles_no_claims(spark):
+    """Held files are broadcast, so that the rows that pass are not sent by file."""
+    from claimflow.operators import quality as Q
+    from claimflow.plans.tables import QUARANTINE_SCHEMA
+
+    held = spark.createDataFrame([("vendorA", "h1", "p", "r", Q.GATE_STAGES[0], "x", "y", None), ("vendorA", "h2", "p", "r", "SILVER", "x", "y", None)],
+                                 QUARANTINE_SCHEMA)
+    rows = spark.createDataFrame([("h1", 1), ("h2", 2), ("h3", 3), (None, 4)], "file_hash string, n int")
+    got = Q.pass_gate(rows, held)
+    assert sorted(r.n for r in got.collect()) == [2, 3, 4]
+    assert "strategy=broadcast" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_parse_does_not_send_contents_by_vendor(spark):
+    """The size of a catalog table is not known to Spark: its rows are counted, and the profiles broadcast."""
+    from claimflow.operators import segments as S
+
+    store = make(spark)
+    files = spark.createDataFrame([("vendorA", TEXT)], "vendor_id string, content_str string")
+    got = S.resolve_delimiters(files, store.read("vendor_837_profile"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
